@@ -72,7 +72,8 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP4_SQL = r"""
 with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') ws from documents),
 s as (select doc_id, case when len(ws) = 0 then [] when len(ws) < 3 then [array_to_string(ws, ' ')] else list_distinct(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i+2], ' '))) end sh from w),
-c as (select list_sort(sh) sh, min(doc_id) cls, len(sh) n from s group by list_sort(sh)),
+o as (select doc_id, list_sort(sh) sh, len(sh) n from s),
+c as (select sh, min(doc_id) cls, min(n) n from o group by sh),
 e as (select cls, n, unnest(sh) t from c where n > 0),
 f as (select t from e group by t having count(*) > 1),
 x as (select e.* from e join f using (t)),
@@ -81,8 +82,8 @@ l as (select a, b from p where 100 * m >= 90 * (an + bn - m)),
 b as (select a, b from l union all select b, a from l),
 r as (select cls root, cls node from c where n > 0 union select r.root, b.b from r join b on r.node = b.a),
 k as (select node, min(root) least from r group by node)
-select s.doc_id, len(s.sh) n_shingles, case when len(s.sh) = 0 then s.doc_id else k.least end component_id
-from s left join c on list_sort(s.sh) = c.sh left join k on k.node = c.cls"""
+select o.doc_id, o.n n_shingles, case when o.n = 0 then o.doc_id else k.least end component_id
+from o left join c on o.sh = c.sh left join k on k.node = c.cls"""
 
 
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,6 +120,18 @@ def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def whole_words(data: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """Pieces of a text of about `most` bytes that end at white space or at the text's end."""
+    at, end = 0, len(data)
+    while at < end:
+        to = min(at + most, end)
+        while to < end and not SPACE[data[to]]:
+            step = np.flatnonzero(SPACE[data[to : to + most]])
+            to = min(to + (int(step[0]) if len(step) else most), end)
+        yield data[at:to]
+        at = to
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, hashes, offsets of each row's hashes), in pieces of bounded memory.
 
@@ -128,14 +140,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, most: int = 1 << 20) -> I
     """
     for a, b in slices(offsets, most):
         if b - a == 1 and offsets[b] - offsets[a] > most:
-            at, end, found = int(offsets[a]), int(offsets[b]), []
-            while at < end:
-                to = min(at + most, end)
-                while to < end and not SPACE[data[to]]:
-                    step = np.flatnonzero(SPACE[data[to : to + most]])
-                    to = min(to + (int(step[0]) if len(step) else most), end)
-                found.append(_word_hashes(data[at:to])[1])
-                at = to
+            found = [_word_hashes(p)[1] for p in whole_words(data[offsets[a] : offsets[b]], most)]
             one = np.concatenate(found)
             yield a, b, one, np.array([0, len(one)], np.int64)
             continue

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,3 +73,19 @@ def number_frames(frames: DataFrame, key: str = "video_id") -> DataFrame:
     """frame_no and frame_name, in the order of shots and of keyframes inside them; names grow beyond three digits."""
     n = F.row_number().over(Window.partitionBy(key).orderBy("shot_id", "k_in_shot"))
     return frames.withColumn("frame_no", n).withColumn("frame_name", F.format_string("frame_%03d", F.col("frame_no")))
+
+
+def score_frames(frames: DataFrame, model, key: str = "video_id", at: str = "frame_idx", width: int = 100, stride: int = 50) -> DataFrame:
+    """(key, frame_idx, p_single): model() scores windows of `width` frames; the middle `stride` scores of each are kept.
+
+    frames(key, frame_idx, pixels); the model maps a window's list of pixels to a score each.  A window fits in a task.
+    """
+    slots = sliding_windows(frames, key, at, width, stride).join(frames.select(key, at, "pixels"), [key, at])
+    kind = f"{key} {frames.schema[key].dataType.simpleString()}, {at} int, p_single float"
+
+    def run(window: pd.DataFrame) -> pd.DataFrame:
+        window = window.sort_values("slot")
+        window["p_single"] = list(model()(window["pixels"].tolist()))
+        return window.loc[window["kept"], [key, at, "p_single"]]
+
+    return slots.groupBy(key, "window_id").applyInPandas(run, kind)

@@ -213,3 +213,32 @@ def test_sources(spark, tmp_path):
 def test_rates_without_requests(spark):
     none = spark.createDataFrame([], "model string, success boolean, has_images boolean")
     assert metrics.counters(none, []).first().success_rate == 0
+
+
+def test_scored_frames(spark):
+    frames = spark.createDataFrame([("v", i, bytes([i])) for i in range(60)], "video_id string, frame_idx int, pixels binary")
+    model = lambda: (lambda pixels: [float(p[0]) for p in pixels])
+    got = sorted(map(tuple, shots.score_frames(frames, model).collect()))
+    assert got == [("v", i, float(i)) for i in range(60)]
+
+
+def test_sinks(spark, tmp_path):
+    from reelspan.sources import sinks
+
+    rows = spark.createDataFrame([("v", 1, "b"), ("v", 0, "a"), ("w", 0, "é")], "video_id string, line_no int, line string")
+    sinks.write_documents(rows, str(tmp_path / "out"), "video_id", "line", "line_no")
+    assert "".join(p.read_text() for p in (tmp_path / "out" / "video_id=v").glob("part*")) == "a\nb\n"
+    files_df = spark.createDataFrame([("a.webp", b"12")], "name string, content binary")
+    assert sinks.write_files(files_df, str(tmp_path / "img")).collect()[0].n_bytes == 2
+    assert (tmp_path / "img" / "a.webp").read_bytes() == b"12"
+
+    class Client:
+        def send(self, batch):
+            return batch["batch_no"] < 1
+
+        def fallback(self, key):
+            return key == "w"
+
+    batches = spark.createDataFrame([("v", 0), ("v", 1), ("w", 0)], "video_id string, batch_no long")
+    got = {r.video_id: (r.sent, r.total, r.delivered) for r in sinks.upload(batches, Client).collect()}
+    assert got == {"v": (1, 2, False), "w": (1, 1, True)}

@@ -242,3 +242,29 @@ def test_sinks(spark, tmp_path):
     batches = spark.createDataFrame([("v", 0), ("v", 1), ("w", 0)], "video_id string, batch_no long")
     got = {r.video_id: (r.sent, r.total, r.delivered) for r in sinks.upload(batches, Client).collect()}
     assert got == {"v": (1, 2, False), "w": (1, 1, True)}
+
+
+def test_snapshots_and_correlation(spark, tmp_path):
+    rows = spark.createDataFrame([("r1", "m", True), ("r2", "m", False), ("r3", "n", True)], "request_id string, model string, success boolean")
+    rows.write.parquet(str(tmp_path / "r"))
+    seen: dict = {}
+    q = streaming.snapshots(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "r")), lambda df, epoch: seen.update({r.model: (r.total, r.succeeded) for r in df.collect()}))
+    q.processAllAvailable()
+    q.stop()
+    assert seen == {"m": (2, 1), "n": (1, 1)}
+    t = "timestamp'2024-01-01 00:00:00'"
+    spark.sql(f"select 'a' request_id, {t} start_ts union all select 'b', {t}").write.parquet(str(tmp_path / "s"))
+    spark.sql(f"select 'a' request_id, {t} + interval 5 seconds end_ts union all select 'zz', {t}").write.parquet(str(tmp_path / "e"))
+    starts = spark.readStream.schema("request_id string, start_ts timestamp").parquet(str(tmp_path / "s"))
+    ends = spark.readStream.schema("request_id string, end_ts timestamp").parquet(str(tmp_path / "e"))
+    q = streaming.correlate(starts, ends).writeStream.outputMode("append").format("memory").queryName("both").start()
+    q.processAllAvailable()
+    q.stop()
+    assert [r.request_id for r in spark.table("both").collect()] == ["a"]
+
+
+def test_model_slot(spark):
+    rows = enrich.micro_batches(spark.createDataFrame([(0, i, f"img{i}") for i in range(8)], "video_id int, k int, image string"), 6, ["video_id"], ["k"])
+    caption = lambda: (lambda frame: frame.assign(caption=[f"{x} of {len(frame)}" for x in frame["image"]])[["k", "caption"]])
+    got = {r.k: r.caption for r in enrich.apply_model(rows, caption, "k int, caption string", ["video_id", "batch_no"]).collect()}
+    assert (got[0], got[7]) == ("img0 of 6", "img7 of 2")

@@ -3,14 +3,15 @@
 Two documents link when 100 * |A & B| >= threshold * |A | B| over their sets of word shingles.
 
 * Equal sets form a class (64-bit signature of the set); only classes go on.
-* Every class keeps its k-prefix: its rarest n - ceil(t*n) + 2 shingles in one total order.  Linked sets of
-  ten or more shingles share at least two shingles of those prefixes; smaller sets link only when equal.
+* Every class keeps its extended prefix: its rarest n - ceil(t*n) + m shingles in one total order.  Linked sets
+  share at least m = 4 shingles of those prefixes (all they need to share, where that is fewer); sets too small
+  for a link at the threshold link only when equal.
   Any total order gives exact results; this one puts shingles that many documents share last, by a
   bounded count sketch over the whole corpus.
 * Similar classes are gathered into groups: the smallest class of a prefix shingle is its pivot, and classes
   within the threshold of a pivot join that group, so a group of n near copies costs n checks, not n * n.
 * The token-group matrix holds each group's union of prefix shingles and its range of set sizes.  A class
-  opens another group only if their shingles meet at least twice and the sizes allow a link; then it is
+  opens another group only if it meets the group's union m times and the sizes allow a link; then it is
   checked against the group's members.
 * Links of classes and groups are closed by connected components.
 
@@ -26,11 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelspan.llm.common import cut, mix, utf8, word_hashes
+from reelspan.llm.common import cut, mix, parts_of, utf8, word_hashes
 from reelspan.llm.graph import components
 
 SKETCH_BITS = 18
 BLOCK = 1 << 12
+#: Prefix shingles that linked sets share.
+MEET = 4
+#: Join texts with wanted ids by broadcast up to so many rows (three numbers each); beyond that both sides are shuffled.
+BROADCAST_ROWS = 1_000_000
 
 
 def shingles(words: np.ndarray, k: int) -> np.ndarray:
@@ -52,6 +57,11 @@ def sets_of(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
             yield shingles(hashes[at[i] : at[i + 1]], k)
 
 
+def signature(s: np.ndarray) -> int:
+    """A signed 64-bit name of a set."""
+    return int(mix(np.array([np.add.reduce(mix(s, 7)) + np.uint64(len(s))], np.uint64), 11).view(np.int64)[0])
+
+
 def _sketch(docs: DataFrame, k: int, bits: int) -> np.ndarray:
     """A level for each of 2**bits cells: 0 for shingles that are not more frequent than chance."""
 
@@ -91,10 +101,10 @@ def _signatures(docs: DataFrame, k: int, percent: int, level: DataFrame) -> Data
                     cls.append(None)
                     prefix.append(None)
                     continue
-                c = int(mix(np.array([np.add.reduce(mix(s, 7)) + np.uint64(len(s))], np.uint64), 11).view(np.int64)[0])
+                c = signature(s)
                 cls.append(c)
-                need = len(s) - -(-percent * len(s) // 100) + 2
-                if c in met or need > len(s) or -(-percent * (len(s) + 1) // 100) > len(s):
+                need = len(s) - -(-percent * len(s) // 100) + MEET
+                if c in met or -(-percent * (len(s) + 1) // 100) > len(s):
                     prefix.append(None)
                     continue
                 met.add(c)
@@ -106,22 +116,32 @@ def _signatures(docs: DataFrame, k: int, percent: int, level: DataFrame) -> Data
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(sign, "doc_id long, n_shingles long, class long, prefix array<long>")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (a, b) of classes whose whole sets reach the threshold."""
-    one, two = (sets.select(F.col("class").alias(x), F.col("set").alias(f"{x}_set")) for x in "ab")
-    full = pairs.join(one, "a").join(two, "b").withColumn("both", F.size(F.array_intersect("a_set", "b_set")))
-    return full.filter(F.lit(100) * F.col("both") >= F.lit(percent) * (F.size("a_set") + F.size("b_set") - F.col("both"))).select("a", "b")
-
-
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """class, set of the wanted (class, doc_id)."""
+    """wanted (class, doc_id, others) with the class's set instead of the doc_id."""
+    names = [c for c in wanted.columns if c != "doc_id"]
+    small = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
 
     def load(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.view(np.int64) for s in sets_of(batch.column(1), k)], pa.list_(pa.int64()))], ["class", "set"])
+        for b in batches:
+            sets = list(sets_of(b.column(len(names)), k))
+            # another text under the same doc_id is not the class's
+            own = [i for i, (c, s) in enumerate(zip(b.column(0).to_pylist(), sets)) if len(s) and signature(s) == c]
+            rows = b.take(pa.array(own, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*rows.columns[: len(names)], pa.array([sets[i].view(np.int64) for i in own], pa.list_(pa.int64()))], [*names, "set"])
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.join(wanted.select("class", "doc_id").distinct(), "doc_id").select("class", "text").dropDuplicates(["class"]).mapInArrow(load, "class long, set array<long>")
+    rows = texts.join(F.broadcast(wanted) if small else wanted, "doc_id").select(*names, "text")
+    return rows.mapInArrow(load, ", ".join(f"`{c}` long" for c in names) + ", set array<long>")
+
+
+def _linked(docs: DataFrame, pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Those pairs (a, b) of classes whose whole sets reach the threshold.  Each set travels once, to its b."""
+    ids = classes.select("class", "doc_id")
+    one = _sets(docs, cut(pairs.select(F.col("a").alias("class"), "b").join(ids, "class").select("class", "b", "doc_id")), k)
+    two = _sets(docs, cut(pairs.select(F.col("b").alias("class")).distinct().join(ids, "class").select("class", "doc_id")), k)
+    full = one.select(F.col("class").alias("a"), "b", F.col("set").alias("a_set")).join(two.select(F.col("class").alias("b"), F.col("set").alias("b_set")), "b")
+    full = full.withColumn("both", F.size(F.array_intersect("a_set", "b_set")))
+    return full.filter(F.lit(100) * F.col("both") >= F.lit(percent) * (F.size("a_set") + F.size("b_set") - F.col("both"))).select("a", "b")
 
 
 def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80, sketch_bits: int = SKETCH_BITS) -> DataFrame:
@@ -131,29 +151,30 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80, sketch_bi
     signed = cut(_signatures(docs, k, percent, level))
     classes = cut(signed.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n")))
 
-    # rows of prefixes, a class once; shingles that only one class has cannot link
-    rows = signed.filter("prefix is not null").select("class", F.col("n_shingles").alias("n"), F.explode("prefix").alias("token")).groupBy("token", "class").agg(F.min("n").alias("n"))
-    shared = rows.groupBy("token").agg(F.min("class").alias("pivot"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-    rows = cut(rows.join(shared.select("token", "pivot"), "token"))
-
-    # groups: classes within the threshold of a pivot that shares two prefix shingles with them
-    near = cut(rows.filter("class <> pivot").groupBy(F.col("class").alias("a"), F.col("pivot").alias("b")).agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("a", "b"))
-    sets = cut(_sets(docs, near.select(F.col("a").alias("class")).union(near.select("b")).distinct().join(classes, "class"), k))
-    links = cut(_linked(near, sets, percent))
+    # prefix shingles, shuffled once: those of a single class cannot link
+    rows = signed.filter("prefix is not null").select(F.explode("prefix").alias("token"), "class").repartition(parts_of(docs), "token")
+    shared = rows.groupBy("token").agg(F.min("class").alias("pivot"), F.max("class").alias("other")).filter("pivot < other")
+    rows = cut(rows.join(shared.select("token", "pivot"), "token").groupBy("token", "class").agg(F.min("pivot").alias("pivot")))
+
+    # groups: classes within the threshold of a pivot that they meet often enough
+    enough = F.least(F.lit(MEET), F.ceil(F.lit(percent) * F.col("n") / 100))
+    sizes = classes.select("class", "n")
+    near = rows.filter("class <> pivot").groupBy("class", "pivot").agg(F.count(F.lit(1)).alias("m")).join(sizes, "class").filter(F.col("m") >= enough)
+    near = cut(near.select(F.col("class").alias("a"), F.col("pivot").alias("b")))
+    links = cut(_linked(docs, near, classes, k, percent))
     group = components(links)
 
     # token-group matrix: union of prefixes and range of sizes of each group
-    rows = rows.select("token", "class", "n").join(group.select(F.col("node").alias("class"), "component"), "class", "left").select("token", "class", "n", F.coalesce("component", "class").alias("g"))
+    members = cut(rows.select("class").distinct().join(sizes, "class").join(group.select(F.col("node").alias("class"), "component"), "class", "left").select("class", "n", F.coalesce("component", "class").alias("g")))
+    rows = rows.select("token", "class").join(members, "class")
     matrix = rows.groupBy("token", "g").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     several = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("token")
     matrix, rows = cut(matrix.join(several, "token")), cut(rows.join(several, "token"))
     # both ends of a link open each other's group, so the smaller group asks; members count as they ask
     fits = f"r.n * 100 >= {percent} * m.least and m.most * 100 >= {percent} * r.n"
-    opened = rows.alias("r").join(matrix.alias("m"), F.expr(f"r.token = m.token and r.g < m.g and {fits}")).groupBy(F.col("r.class").alias("a"), F.col("r.n").alias("n"), F.col("m.g").alias("g")).agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("a", "n", "g")
-    members = rows.select("class", "n", "g").distinct()
+    opened = rows.alias("r").join(matrix.alias("m"), F.expr(f"r.token = m.token and r.g < m.g and {fits}")).groupBy(F.col("r.class").alias("a"), F.col("r.n").alias("n"), F.col("m.g").alias("g")).agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") >= enough).select("a", "n", "g")
     asked = cut(opened.alias("o").join(members.alias("m"), F.expr(f"o.g = m.g and o.n * 100 >= {percent} * m.n and m.n * 100 >= {percent} * o.n")).select("o.a", F.col("m.class").alias("b")))
-    more = cut(_sets(docs, asked.select(F.col("a").alias("class")).union(asked.select("b")).distinct().join(classes, "class"), k))
-    links = cut(links.union(_linked(asked, more, percent)))
+    links = cut(links.union(_linked(docs, asked, classes, k, percent)))
     group = components(links)
 
     ids = classes.join(group.select(F.col("node").alias("class"), "component"), "class", "left").select("class", F.coalesce("component", "class").alias("component"), "doc_id")

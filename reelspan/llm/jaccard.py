@@ -8,12 +8,18 @@ Two documents link when 100 * |A & B| >= threshold * |A | B| over their sets of
   for a link at the threshold link only when equal.
   Any total order gives exact results; this one puts shingles that many documents share last, by a
   bounded count sketch over the whole corpus.
-* Similar classes are gathered into groups: the smallest class of a prefix shingle is its pivot, and classes
-  within the threshold of a pivot join that group, so a group of n near copies costs n checks, not n * n.
+* Similar classes are gathered into groups around pivots: the pivot of a prefix shingle is the class with the
+  largest share of shared prefix shingles, the one nearest the middle of a set of copies.  A class joins the
+  group of its most similar pivot (at the threshold less REACH, at least), and links with it at the threshold.
 * The token-group matrix holds each group's union of prefix shingles and its range of set sizes.  A class
-  opens another group only if it meets the group's union m times and the sizes allow a link; then it is
-  checked against the group's members.
-* Links of classes and groups are closed by connected components.
+  opens a group only if it meets the union m times and the sizes allow a link, and, once its set is compared
+  with the pivot's, only if the triangle inequality of the Jaccard distance leaves room for a linked member.
+* Inside an opened group a class is its difference from the pivot: the shingles it has more, and those it lacks.
+  Two differences D and E that share s entries belong to sets |D| + |E| - 2s shingles apart, which gives their
+  Jaccard exactly.  Linked classes that share no such entry are both linked with the pivot, so joining on
+  shared entries finds every other link; n copies of a text cost n small differences, not n * n pairs.  Pairs
+  whose entries that others have cannot bring them close enough are not made.
+* Links are closed by connected components; classes already connected are not compared again.
 
 Nulls and texts without words: an empty set, linked with nothing.  Repeated rows link like any equal sets.
 """
@@ -24,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelspan.llm.common import cut, mix, parts_of, utf8, word_hashes
@@ -34,6 +40,8 @@ SKETCH_BITS = 18
 BLOCK = 1 << 12
 #: Prefix shingles that linked sets share.
 MEET = 4
+#: How far under the threshold (in percent) a class may still join a pivot's group.
+REACH = 20
 #: Join texts with wanted ids by broadcast up to so many rows (three numbers each); beyond that both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 
@@ -74,9 +82,12 @@ def _sketch(docs: DataFrame, k: int, bits: int) -> np.ndarray:
         for at in range(0, len(cells), BLOCK):
             yield pa.RecordBatch.from_arrays([pa.array([at // BLOCK], pa.int32()), pa.array([cells[at : at + BLOCK].astype("<i8").tobytes()], pa.binary())], ["block", "cells"])
 
-    def add(key, own):
-        total = np.sum([np.frombuffer(x, "<i8") for x in own.column("cells").to_pylist()], axis=0)
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "cells": pa.array([total.astype("<i8").tobytes()], pa.binary())})
+    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BLOCK, np.int64)  # a task sends each block once; they are added as they come
+        for b in batches:
+            for x in b.column("cells").to_pylist():
+                total += np.frombuffer(x, "<i8")
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.astype("<i8").tobytes()], pa.binary())], ["block", "cells"])
 
     rows = docs.select("text").mapInArrow(count, "block int, cells binary").groupBy("block").applyInArrow(add, "block int, cells binary").collect()
     cells = np.zeros(1 << bits, np.int64)
@@ -134,14 +145,19 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return rows.mapInArrow(load, ", ".join(f"`{c}` long" for c in names) + ", set array<long>")
 
 
-def _linked(docs: DataFrame, pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those pairs (a, b) of classes whose whole sets reach the threshold.  Each set travels once, to its b."""
+def _compared(docs: DataFrame, pairs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """pairs (a, b) with na, nb, apart (shingles that only one of them has), more and less (those of a, of b, alone).  Each set travels once, to its b."""
     ids = classes.select("class", "doc_id")
     one = _sets(docs, cut(pairs.select(F.col("a").alias("class"), "b").join(ids, "class").select("class", "b", "doc_id")), k)
     two = _sets(docs, cut(pairs.select(F.col("b").alias("class")).distinct().join(ids, "class").select("class", "doc_id")), k)
-    full = one.select(F.col("class").alias("a"), "b", F.col("set").alias("a_set")).join(two.select(F.col("class").alias("b"), F.col("set").alias("b_set")), "b")
-    full = full.withColumn("both", F.size(F.array_intersect("a_set", "b_set")))
-    return full.filter(F.lit(100) * F.col("both") >= F.lit(percent) * (F.size("a_set") + F.size("b_set") - F.col("both"))).select("a", "b")
+    full = one.select(F.col("class").alias("a"), "b", F.col("set").alias("x")).join(two.select(F.col("class").alias("b"), F.col("set").alias("y")), "b")
+    full = full.select("a", "b", F.size("x").cast("long").alias("na"), F.size("y").cast("long").alias("nb"), F.array_except("x", "y").alias("more"), F.array_except("y", "x").alias("less"))
+    return full.withColumn("apart", (F.size("more") + F.size("less")).cast("long"))
+
+
+def _jaccard_at_least(n, apart, percent):
+    """Whether sets of n shingles in sum, `apart` of them in one set only, reach percent: (n - apart) / (n + apart)."""
+    return F.lit(100) * (n - apart) >= F.lit(percent) * (n + apart)
 
 
 def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80, sketch_bits: int = SKETCH_BITS) -> DataFrame:
@@ -153,28 +169,60 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80, sketch_bi
 
     # prefix shingles, shuffled once: those of a single class cannot link
     rows = signed.filter("prefix is not null").select(F.explode("prefix").alias("token"), "class").repartition(parts_of(docs), "token")
-    shared = rows.groupBy("token").agg(F.min("class").alias("pivot"), F.max("class").alias("other")).filter("pivot < other")
-    rows = cut(rows.join(shared.select("token", "pivot"), "token").groupBy("token", "class").agg(F.min("pivot").alias("pivot")))
-
-    # groups: classes within the threshold of a pivot that they meet often enough
+    shared = rows.groupBy("token").agg(F.min("class").alias("one"), F.max("class").alias("other")).filter("one < other").select("token")
+    rows = cut(rows.join(shared, "token").select("token", "class").distinct())
+    need = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + MEET
+    central = rows.groupBy("class").agg(F.count(F.lit(1)).alias("m")).join(classes, "class").select("class", "n", F.floor(F.col("m") * 1000 / F.least(need, F.col("n"))).cast("long").alias("share"))
+    rows = cut(rows.join(central, "class"))
+    pivots = rows.groupBy("token").agg(F.max(F.struct("share", "class"))["class"].alias("pivot"))
+
+    # groups: a class and its most similar pivot
     enough = F.least(F.lit(MEET), F.ceil(F.lit(percent) * F.col("n") / 100))
-    sizes = classes.select("class", "n")
-    near = rows.filter("class <> pivot").groupBy("class", "pivot").agg(F.count(F.lit(1)).alias("m")).join(sizes, "class").filter(F.col("m") >= enough)
+    near = rows.join(pivots, "token").filter("class <> pivot").groupBy("class", "n", "pivot").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") >= enough)
     near = cut(near.select(F.col("class").alias("a"), F.col("pivot").alias("b")))
-    links = cut(_linked(docs, near, classes, k, percent))
-    group = components(links)
+    both = F.col("na") + F.col("nb")
+    near = cut(_compared(docs, near, classes, k).filter(_jaccard_at_least(both, F.col("apart"), percent - REACH)).select("a", "b", "na", "nb", "apart"))
+    links = near.filter(_jaccard_at_least(both, F.col("apart"), percent)).select("a", "b")
+    joined = near.groupBy("a").agg(F.min(F.struct((F.col("apart") / both).alias("d"), "b"))["b"].alias("p")).select(F.col("a").alias("class"), "p")
+    centres = joined.select(F.col("p").alias("class"), "p").distinct()
+    alone = rows.select("class").distinct().join(joined.select("class"), "class", "left_anti").select("class", F.col("class").alias("p"))
+    members = joined.unionByName(centres).unionByName(alone).distinct().join(classes.select("class", "n"), "class")
+    members = cut(members)
 
     # token-group matrix: union of prefixes and range of sizes of each group
-    members = cut(rows.select("class").distinct().join(sizes, "class").join(group.select(F.col("node").alias("class"), "component"), "class", "left").select("class", "n", F.coalesce("component", "class").alias("g")))
-    rows = rows.select("token", "class").join(members, "class")
-    matrix = rows.groupBy("token", "g").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    several = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("token")
-    matrix, rows = cut(matrix.join(several, "token")), cut(rows.join(several, "token"))
-    # both ends of a link open each other's group, so the smaller group asks; members count as they ask
+    matrix = rows.select("token", "class", "n").join(members.select("class", "p"), "class").groupBy("token", "p").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     fits = f"r.n * 100 >= {percent} * m.least and m.most * 100 >= {percent} * r.n"
-    opened = rows.alias("r").join(matrix.alias("m"), F.expr(f"r.token = m.token and r.g < m.g and {fits}")).groupBy(F.col("r.class").alias("a"), F.col("r.n").alias("n"), F.col("m.g").alias("g")).agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") >= enough).select("a", "n", "g")
-    asked = cut(opened.alias("o").join(members.alias("m"), F.expr(f"o.g = m.g and o.n * 100 >= {percent} * m.n and m.n * 100 >= {percent} * o.n")).select("o.a", F.col("m.class").alias("b")))
-    links = cut(links.union(_linked(docs, asked, classes, k, percent)))
+    # of two classes in different groups each would open the other's group: the one of the lesser pivot asks
+    rows = rows.join(members.groupBy("class").agg(F.min("p").alias("least_p")), "class")
+    opened = rows.alias("r").join(matrix.alias("m"), F.expr(f"r.token = m.token and r.least_p < m.p and r.class <> m.p and {fits}")).groupBy("r.class", "r.n", "m.p").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") >= enough)
+    opened = cut(opened.select(F.col("class").alias("a"), F.col("p").alias("b")).union(members.filter("class <> p").select("class", "p")).distinct())
+
+    # differences from the pivots of opened groups
+    found = cut(_compared(docs, opened, classes, k).filter(_jaccard_at_least(both, F.col("apart"), max(0, 2 * percent - 100 - REACH))))
+    links = cut(links.union(found.filter(_jaccard_at_least(both, F.col("apart"), percent)).select("a", "b")))
+    comp = members.select("class").distinct().join(components(links).withColumnRenamed("node", "class"), "class", "left").select("class", F.coalesce("component", "class").alias("c"))
+    entries = F.concat(F.transform("more", lambda t: F.struct(t.alias("t"), F.lit(1).alias("s"))), F.transform("less", lambda t: F.struct(t.alias("t"), F.lit(-1).alias("s"))))
+    entries = found.select("a", F.col("b").alias("p"), F.col("na").alias("n"), "apart", F.explode(entries).alias("e")).select("a", "p", "n", "apart", "e.t", "e.s")
+    entries = entries.join(comp.withColumnRenamed("class", "a"), "a")
+    # an entry that no two classes of different components have joins nothing; the others bound what a pair can share
+    useful = entries.groupBy("p", "t", "s").agg(F.min("c").alias("one"), F.max("c").alias("other"), F.count(F.lit(1)).alias("f")).filter("one <> other").select("p", "t", "s", "f")
+    asks = cut(entries.join(useful, ["p", "t", "s"]))
+    inside = members.select(F.col("class").alias("a"), "p", F.lit(True).alias("inside"))
+    asks = cut(asks.join(asks.groupBy("p", "a").agg(F.count(F.lit(1)).alias("u")), ["p", "a"]).join(inside, ["p", "a"], "left").fillna(False, ["inside"]))
+    # who differs by more than a linked class may needs several entries in common, one of them among its rarest
+    needed = F.greatest(F.lit(1), F.ceil(F.col("apart") - F.col("n") * (100 - percent) / percent - 1e-9))
+    rank = F.row_number().over(Window.partitionBy("p", "a").orderBy("f", "t", "s"))
+    first = asks.withColumn("rank", rank).filter(F.col("rank") <= F.col("u") - needed + 1)
+    own = first.filter("inside")
+    least = "(q.apart + m.apart - 2 * least(q.u, m.u))"
+    fits = f"q.a <> m.a and not (q.inside and q.a > m.a) and q.c <> m.c and q.n * 100 >= {percent} * m.n and m.n * 100 >= {percent} * q.n and 100 * (q.n + m.n - {least}) >= {percent} * (q.n + m.n + {least})"
+    pairs = cut(first.alias("q").join(own.alias("m"), F.expr(f"q.p = m.p and q.t = m.t and q.s = m.s and {fits}")).select(F.col("q.a").alias("a"), F.col("m.a").alias("b"), F.col("q.p").alias("p")).distinct())
+    differ = found.select("a", F.col("b").alias("p"), "na", "apart", "more", "less")
+    one, two = (differ.select("p", F.col("a").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("na", "apart", "more", "less")]) for x in "ab")
+    shared = F.size(F.array_intersect("a_more", "b_more")) + F.size(F.array_intersect("a_less", "b_less"))
+    pairs = pairs.join(one, ["p", "a"]).join(two, ["p", "b"])
+    more = pairs.filter(_jaccard_at_least(F.col("a_na") + F.col("b_na"), F.col("a_apart") + F.col("b_apart") - 2 * shared, percent)).select("a", "b")
+    links = cut(links.union(more))
     group = components(links)
 
     ids = classes.join(group.select(F.col("node").alias("class"), "component"), "class", "left").select("class", F.coalesce("component", "class").alias("component"), "doc_id")

@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 from reelspan.llm.common import cut, mix, parts_of, utf8, word_hashes
 from reelspan.llm.graph import components
 
-SKETCH_BITS = 18
+#: Least and most bits of the count sketch; in between, four cells for each document.
+SKETCH_BITS = (18, 22)
 BLOCK = 1 << 12
 #: Prefix shingles that linked sets share.
 MEET = 4
@@ -80,13 +81,13 @@ def _sketch(docs: DataFrame, k: int, bits: int) -> np.ndarray:
                 if len(s):
                     np.add.at(cells, (s >> np.uint64(64 - bits)).astype(np.int64), 1)
         for at in range(0, len(cells), BLOCK):
-            yield pa.RecordBatch.from_arrays([pa.array([at // BLOCK], pa.int32()), pa.array([cells[at : at + BLOCK].astype("<i8").tobytes()], pa.binary())], ["block", "cells"])
+            yield pa.RecordBatch.from_arrays([pa.array([at // BLOCK], pa.int32()), pa.array([cells[at : at + BLOCK].astype("<i4").tobytes()], pa.binary())], ["block", "cells"])
 
     def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BLOCK, np.int64)  # a task sends each block once; they are added as they come
         for b in batches:
             for x in b.column("cells").to_pylist():
-                total += np.frombuffer(x, "<i8")
+                total += np.frombuffer(x, "<i4")
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.astype("<i8").tobytes()], pa.binary())], ["block", "cells"])
 
     rows = docs.select("text").mapInArrow(count, "block int, cells binary").groupBy("block").applyInArrow(add, "block int, cells binary").collect()
@@ -160,9 +161,11 @@ def _jaccard_at_least(n, apart, percent):
     return F.lit(100) * (n - apart) >= F.lit(percent) * (n + apart)
 
 
-def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80, sketch_bits: int = SKETCH_BITS) -> DataFrame:
+def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80, sketch_bits: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of docs(doc_id, text); links at percent / 100 Jaccard."""
     spark = docs.sparkSession
+    if sketch_bits is None:
+        sketch_bits = min(max(int(docs.count()).bit_length() + 2, SKETCH_BITS[0]), SKETCH_BITS[1])
     level = spark.sparkContext.broadcast(_sketch(docs, k, sketch_bits))  # 2**sketch_bits bytes
     signed = cut(_signatures(docs, k, percent, level))
     classes = cut(signed.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n")))

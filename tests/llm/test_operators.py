@@ -6,6 +6,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -278,6 +279,30 @@ def test_language_model_gradients():
     assert m.score(ids, at).sum() > cold.score(ids, at).sum()
 
 
+def test_language_model_learns_from_every_text(spark):
+    path = P.path("byte_bpe_50k.tiktoken")
+    pieces = lm.Pieces(path)
+    huge, small = "ab " * 450_000, "zebra quiz jumps"
+    for texts in ([huge, small, None], [small, huge, None]):  # whichever comes first in hash order
+        ids = np.concatenate([pieces.ids(*common.utf8(pa.array([t], pa.string())))[0] for t in texts])
+        share = np.bincount(ids, minlength=pieces.n) / len(ids)
+        _, model = lm.train_model(frame(spark, texts), path, steps=0)
+        seen = np.flatnonzero(share)
+        got = model.p["b"][model.of[seen]] + model.inner[seen]
+        assert got == pytest.approx(np.log(share[seen]), abs=0.15)
+        counts, (x, y) = lm.gather(frame(spark, texts), pieces, rate=1, least=0, few=4)
+        assert counts.tolist() == np.bincount(ids, minlength=pieces.n).tolist()
+        assert (y[:, 0] >= 0).all() and len(x) == 4 + 1 + -(-len(pieces.ids(*common.utf8(pa.array([small], pa.string())))[0]) // lm.STRIDE)
+
+
+def test_language_model_windows_grow(spark):
+    pieces = lm.Pieces(P.path("byte_bpe_50k.tiktoken"))
+    sizes = [len(lm.gather(frame(spark, sample(n)), pieces, rate=4, least=0)[1][0]) for n in (300, 3000)]
+    assert 5 * sizes[0] < sizes[1] < 20 * sizes[0]
+    one, other = (lm.gather(frame(spark, sample(90)).repartition(n), pieces)[1] for n in (1, 3))
+    assert one[0].tolist() == other[0].tolist() and one[1].tolist() == other[1].tolist()
+
+
 def test_html(spark):
     rows = [(1, "http://h.example/a/1", "<html><body><nav><a href=/>Home</a></nav><div class='post-1'><h1>A &amp; B</h1><p>One  two,\n three, and more words to be sure.<p>Next <b>bold</b> text, long enough to count.<script>x('</p>')</script></div><div id=comments><p>Nice post</p></div><footer>(c)</footer>"),
             (2, "http://h.example/a/2", "<html><body><div class='post-2'><p>Some other article, with commas, and a fine length.</p><aside>side</aside><form>f</form></div><div class='cookie notice'>We use cookies</div></body></html>"),

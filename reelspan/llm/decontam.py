@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame functions only.
 
 Texts become templates: numbers (with a unit that follows) and capitalised names inside a sentence turn into
-typed placeholders, the rest is lower-cased words.  Windows of `window` template words are hashed, and a hash
+typed placeholders, the rest is lower-cased words.  Names in a row are one placeholder, as a number and its unit are, so
+that other names or units leave the template's length as it is.  Windows of `window` template words are hashed, and a hash
 join finds items whose templates recur in a document, verbatim or with other numbers, names or units.
 An item is a leak when at least `share` of its distinct windows recur, and the slots agree: over
 the matched windows that hold placeholders, an item's slot value always meets the same value in the
@@ -9,13 +10,15 @@ document, for at least `share` of the slots (verbatim copies agree with themselv
 
 Only (doc_id, position, hash) rows are exploded; a window's words are read again where a hash met.
 
-Items shorter than a window are one window and match a text that has those template words in a row only if
-the text is that short too.  Null and empty texts match nothing.  Repeated rows give repeated results' keys
+Items shorter than a window are one window of their own length, met by a hash join at that length inside any text;
+where such a template has placeholders only, their values must be the same too.  Null and empty texts match nothing.  Repeated rows give repeated results' keys
 once: results are per distinct (doc_id, item_id).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +28,7 @@ from reelspan.llm.common import cut
 UNITS = "km|cm|mm|kg|mg|ml|lb|lbs|oz|ft|mph|kph|miles?|meters?|metres?|grams?|liters?|litres?|hours?|minutes?|seconds?|days?|weeks?|months?|years?|dollars?|euros?|cents?|percent|usd|eur"
 #: Broadcast the item windows up to so many; beyond that both sides are shuffled.
 BROADCAST_ROWS = 200_000
-NUMBER, UNIT, NAME = "\u0001", "\u0002", "\u0003"
+NUMBER, UNIT, NAME, JOIN = "\u0001", "\u0002", "\u0003", "\u0004"
 
 
 def let(value: Column, body) -> Column:
@@ -35,10 +38,12 @@ def let(value: Column, body) -> Column:
 
 def written(text: Column) -> Column:
     """Words as written, lower case; a word that fills a slot has its placeholder before it."""
-    t = F.coalesce(text, F.lit(""))
+    t = F.translate(F.coalesce(text, F.lit("")), NUMBER + UNIT + NAME + JOIN, "    ")
     t = F.when(F.rlike(t, F.lit(r"\d")), F.regexp_replace(F.regexp_replace(F.regexp_replace(t, rf"(?i)(\d)[ \t]*({UNITS})\b", f"$1 {UNIT}$2"), r"(\d)[.,](?=\d)", "$1_"), r"(?<![\p{L}\d_])(?=\d)", NUMBER)).otherwise(t)
+    t = F.when(F.contains(t, F.lit(UNIT)), F.regexp_replace(t, rf" {UNIT}(?<={NUMBER}[\d_]{{1,255}} {UNIT})", JOIN)).otherwise(t)
     t = F.regexp_replace(t, r"(?<=\p{Ll}[,;]? )(?=\p{Lu}\p{Ll})", NAME)
-    return F.filter(F.split(F.lower(t), f"[^\\p{{L}}\\p{{N}}_{NUMBER}{UNIT}{NAME}]+"), lambda w: w != "")
+    t = F.regexp_replace(t, rf" {NAME}(?<={NAME}[\p{{L}}\p{{N}}_]{{1,255}} {NAME})", JOIN)
+    return F.filter(F.split(F.lower(t), f"[^\\p{{L}}\\p{{N}}_{NUMBER}{UNIT}{NAME}{JOIN}]+"), lambda w: w != "")
 
 
 def window_hashes(words: Column, window: int) -> Column:
@@ -63,22 +68,31 @@ def window_hashes(words: Column, window: int) -> Column:
 
 def leaks(docs: DataFrame, items: DataFrame, window: int = 5, share: float = 0.8) -> DataFrame:
     """doc_id, item_id, n_windows (item's distinct windows), n_found, slots, consistent for each leaked item of docs(doc_id, text), items(item_id, text)."""
-    own = items.filter("text is not null").select("item_id", written(F.col("text")).alias("words"))
-    keys = own.select("item_id", "words", window_hashes(F.col("words"), window).alias("hashes")).select("item_id", F.posexplode("hashes").alias("at", "h"), "words").select("item_id", "at", "h", F.slice("words", F.col("at") + 1, window).alias("item_words"))
+    own = items.filter("text is not null").select("item_id", written(F.col("text")).alias("words")).withColumn("width", F.least(F.lit(window), F.size("words")))
+    widths = sorted({window, *(r.width for r in own.filter(F.col("width") > 0).select("width").distinct().collect())})
+    made = [own.filter(F.col("width") == w).select("item_id", F.posexplode(window_hashes(F.col("words"), w)).alias("at", "h"), "words", "width") for w in widths]
+    keys = reduce(DataFrame.unionByName, made).select("item_id", "at", "h", F.slice("words", F.col("at") + 1, F.col("width")).alias("item_words"), "width")
     sizes = keys.groupBy("item_id").agg(F.countDistinct("h").alias("n_windows"))
-    hashes = keys.select("h").distinct()
     n = keys.limit(BROADCAST_ROWS + 1).count()
     small = (lambda df: F.broadcast(df)) if n <= BROADCAST_ROWS else (lambda df: df)
 
     text = docs.select("doc_id", "text").filter("text is not null and doc_id is not null")
-    found = cut(text.select("doc_id", let(written(F.col("text")), lambda w: window_hashes(w, window)).alias("hashes")).select("doc_id", F.posexplode("hashes").alias("pos", "h")).join(small(hashes), "h", "left_semi").select("doc_id", "pos", "h"))
-    # the words of the windows that met, read again from the few texts that hold them
-    places = found.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "h")).alias("places"))
-    again = text.join(places, "doc_id").select("doc_id", written(F.col("text")).alias("words"), "places")
-    own_words = F.transform("places", lambda x: F.struct(x["h"].alias("h"), F.slice("words", x["pos"] + 1, window).alias("words")))
-    found = again.select("doc_id", F.explode(own_words).alias("x")).select("doc_id", "x.h", "x.words").distinct()
-    met = found.join(small(keys), "h")
-    slot = F.filter(F.arrays_zip(F.col("item_words").alias("i"), F.col("words").alias("d")), lambda x: x["i"] < "\u0004")
+
+    def windows_met(width: int) -> DataFrame:
+        """doc_id, h, words of the documents' windows of `width` words that items of that width have too."""
+        hashes = keys.filter(F.col("width") == width).select("h").distinct()
+        found = cut(text.select("doc_id", let(written(F.col("text")), lambda w: window_hashes(w, width)).alias("hashes")).select("doc_id", F.posexplode("hashes").alias("pos", "h")).join(small(hashes), "h", "left_semi").select("doc_id", "pos", "h"))
+        # the words of the windows that met, read again from the few texts that hold them
+        places = found.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "h")).alias("places"))
+        again = text.join(places, "doc_id").select("doc_id", written(F.col("text")).alias("words"), "places")
+        own_words = F.transform("places", lambda x: F.struct(x["h"].alias("h"), F.slice("words", x["pos"] + 1, width).alias("words")))
+        return again.select("doc_id", F.explode(own_words).alias("x")).select("doc_id", "x.h", "x.words", F.lit(width).alias("width")).distinct()
+
+    found = reduce(DataFrame.unionByName, [windows_met(w) for w in widths])
+    met = found.join(small(keys), ["width", "h"])
+    # a short item of slots only would meet any number or name
+    met = met.filter((F.col("width") == window) | F.exists("item_words", lambda w: w >= JOIN) | (F.col("item_words") == F.col("words")))
+    slot = F.filter(F.arrays_zip(F.col("item_words").alias("i"), F.col("words").alias("d")), lambda x: x["i"] < JOIN)
     met = met.select("doc_id", "item_id", "h", "at", slot.alias("slots"))
     shares = met.groupBy("doc_id", "item_id").agg(F.countDistinct("h").alias("n_found")).join(small(sizes), "item_id").filter(F.col("n_found") >= F.lit(share) * F.col("n_windows"))
     slots = met.select("doc_id", "item_id", F.explode("slots").alias("s")).groupBy("doc_id", "item_id", F.col("s.i").alias("i"), F.col("s.d").alias("d")).agg(F.count(F.lit(1)).alias("n"))

@@ -326,3 +326,11 @@ def test_decontamination(spark):
     assert got == {(0, 1), (1, 1), (2, 1)}
     assert decontam.leaks(docs, items.limit(0)).count() == 0
     assert decontam.leaks(empty(spark), items).count() == 0
+
+
+def test_decontamination_of_short_items_and_longer_slots(spark):
+    item = "the train to Paris leaves with 120 people and travels 300 km in 4 hours today"
+    docs = frame(spark, [f"so {item} they said", item.replace("Paris", "New York"), item.replace("300 km", "300"), item.replace("120 people", "120 kg people"), "we ask what is photosynthesis here", "we ask what is here", "it is 7 and 12 there", "what is photosynthesis"])
+    items = spark.createDataFrame([(1, item), (2, "what is photosynthesis"), (3, "12"), (4, ""), (5, None)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(docs, items).collect()}
+    assert got == {(0, 1), (1, 1), (2, 1), (3, 1), (4, 2), (7, 2), (6, 3)}

@@ -38,7 +38,8 @@ def let(value: Column, body) -> Column:
 
 def written(text: Column) -> Column:
     """Words as written, lower case; a word that fills a slot has its placeholder before it."""
-    t = F.translate(F.coalesce(text, F.lit("")), NUMBER + UNIT + NAME + JOIN, "    ")
+    t = F.coalesce(text, F.lit(""))
+    t = F.when(F.rlike(t, F.lit(f"[{NUMBER}-{JOIN}]")), F.translate(t, NUMBER + UNIT + NAME + JOIN, "    ")).otherwise(t)
     t = F.when(F.rlike(t, F.lit(r"\d")), F.regexp_replace(F.regexp_replace(F.regexp_replace(t, rf"(?i)(\d)[ \t]*({UNITS})\b", f"$1 {UNIT}$2"), r"(\d)[.,](?=\d)", "$1_"), r"(?<![\p{L}\d_])(?=\d)", NUMBER)).otherwise(t)
     t = F.when(F.contains(t, F.lit(UNIT)), F.regexp_replace(t, rf" {UNIT}(?<={NUMBER}[\d_]{{1,255}} {UNIT})", JOIN)).otherwise(t)
     t = F.regexp_replace(t, r"(?<=\p{Ll}[,;]? )(?=\p{Lu}\p{Ll})", NAME)

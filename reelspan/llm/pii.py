@@ -3,7 +3,10 @@
 High-recall generators propose overlapping spans: the base rules of each kind, and wider forms (numbers in
 groups, addresses spelt out).  Boosted trees score every other proposal from its format and its context;
 they learn what validated spans look like against the proposals that fail validation, on a bounded sample of
-documents.  Thresholds are calibrated per kind on a held-out part of the sample; proposals over the
+documents.  The labels do not restate the base rules: positives are the wide forms of validated spans (a phone
+number without + and country code, an address with (at) and (dot), a card or an IP address with other separators), as they
+stand in their texts and after a cue word; negatives are proposals that touch no base span and follow no cue, and
+sentences that look like a spelt-out address.  Thresholds are calibrated per kind on a held-out part of the sample; proposals over the
 threshold that touch no base span are added, best score first.  Base spans always stay.
 
 Null and empty texts have no spans; positions are code points, ends exclusive.  With no sample of both
@@ -98,6 +101,40 @@ def proposals(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+def _wide(kind: int, x: str) -> list[str]:
+    """Forms of a validated span that the base rules do not know."""
+    if kind == 0:
+        local, _, domain = x.partition("@")
+        return [f"{local} {at} {domain.replace('.', dot)}" for at, dot in (("(at)", " (dot) "), ("[at]", " [dot] "), ("{at}", "{dot}"), ("(at)", "."))]
+    if kind == 1:
+        return [x.replace(".", ". "), x.replace(".", " . ")]
+    if kind == 2:
+        d = _digits(x)
+        return [s.join(d[i : i + 4] for i in range(0, len(d), 4)) for s in ("/", ". ")]
+    rest = re.sub(r"^\+[0-9]{1,3}[\x20.-]*(?=[0-9(])", "", x) if re.match(r"\+[0-9]{1,3}[\x20.(-]", x) else x[1:]
+    d = _digits(rest)
+    return [rest] + ([f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]}-{d[3:6]}-{d[6:]}", f"{d[:3]}.{d[3:6]}.{d[6:]}"] if len(d) == 10 else [])
+
+
+def lessons(text: str) -> list[tuple[list[float], bool]]:
+    """Described proposals of one text and whether they are personal data."""
+    base, out = base_spans(text), []
+    for p in proposals(text):
+        if not _overlaps(p, base) and not _CUES[p[1]].search(text[max(0, p[0] - 24) : p[0]]):
+            out.append((describe(text, p), False))  # after a cue it may well be personal data: no lesson
+    for a, kind, b in base:
+        for form in _wide(kind, text[a:b]):
+            for cue in ("", _SAID[kind]):
+                before = text[max(0, a - 40) : a] + cue
+                made, end = before + form + text[b : b + 40], len(before) + len(form)
+                out += [(describe(made, p), True) for p in proposals(made) if p[1] == kind and p[0] < end and p[2] > len(before) and not _overlaps(p, base_spans(made))]
+        if kind == 0:  # "meet (at) noon. Then" is a sentence
+            before = text[max(0, a - 40) : a]
+            made = before + text[a:b].replace("@", " (at) ").replace(".", ". ") + text[b : b + 40]
+            out += [(describe(made, p), False) for p in proposals(made) if p[1] == 0 and p[2] > len(before)]
+    return out
+
+
 def describe(text: str, span: tuple[int, int, int]) -> list[float]:
     """Format and context of a span; none of the validations that define the base rules."""
     a, kind, b = span
@@ -107,13 +144,18 @@ def describe(text: str, span: tuple[int, int, int]) -> list[float]:
     before, after = text[max(0, a - 24) : a], text[b : b + 12]
     sizes = [len(g) for g in groups] or [0]
     return [
-        kind, b - a, n, len(groups), max(sizes), min(sizes), sizes[0], sizes[-1], n / (b - a),
+        x.count(". "), kind, b - a, n, len(groups), max(sizes), min(sizes), sizes[0], sizes[-1], n / (b - a),
         x.count(" "), x.count("-"), x.count("."), x.count("("), x.count(")"), x.count("/"), x.startswith("+"), x.startswith("("), x.startswith("0"),
         len(set(x)), max([int(g) if len(g) < 9 else 10**9 for g in groups], default=0), sum(c.isalpha() for c in x),
         before[-1:].isalnum(), before[-1:].isspace(), after[:1].isalnum(), after[:1].isspace(), after[:1] in ".,;:)", bool(_HINT.search(before)), sum(c.isdigit() for c in before), sum(c.isdigit() for c in after),
     ]
 
 
+#: What announces each kind, and the words that a lesson puts before a form.
+_CUES = [re.compile(c, re.I) for c in (r"mail|contact|write", r"\bip\b|server|host|address", r"card|visa|credit|account", r"tel|phone|call|mobil|fax|contact|dial|reach")]
+_SAID = ["mail ", "server ", "card ", "call "]
+
+
 class Boosted:
     """Gradient-boosted trees for a yes or no, on binned features, by second-order gains."""
 
@@ -182,7 +224,7 @@ class Finder:
         self.model = Boosted(x[~fold], y[~fold])
         s = self.model.score(x[fold])
         for kind in range(len(KINDS)):
-            own = x[fold][:, 0] == kind
+            own = x[fold][:, 1] == kind
             by = np.argsort(-s[own], kind="stable")
             good = np.cumsum(y[fold][own][by]) / np.arange(1, own.sum() + 1)
             ok = np.flatnonzero(good >= precision)
@@ -210,18 +252,14 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Finder:
 
     def load(batches):
         for b in batches:
-            rows = []
-            for t in b.column(0).to_pylist():
-                if t:
-                    base = base_spans(t)
-                    for p in proposals(t):
-                        rows.append(([float(v) for v in describe(t, p)], any(p[0] < s[2] and s[0] < p[2] and s[1] == p[1] for s in base)))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.list_(pa.float64())), pa.array([r[1] for r in rows], pa.bool_())], ["x", "y"])
+            rows = [(h, [float(v) for v in x], y) for h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if t for x, y in lessons(t)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.float64())), pa.array([r[2] for r in rows], pa.bool_())], ["h", "x", "y"])
 
     n = docs.count()
     span = 1 << 30
     reach = span if n <= train_docs else int(span * train_docs / n)
-    rows = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(span)) < reach).select(F.col("text").cast("string")).mapInArrow(load, "x array<double>, y boolean").limit(20_000).toPandas()
+    h = F.pmod(F.xxhash64("doc_id"), F.lit(span))
+    rows = docs.filter(h < reach).select(h.alias("h"), F.col("text").cast("string")).mapInArrow(load, "h long, x array<double>, y boolean").orderBy("h", "x", "y").limit(20_000).toPandas()
     if not len(rows):
         return Finder(np.empty((0, 1)), np.empty(0))
     x, y = np.array(rows.x.tolist()), rows.y.to_numpy().astype(float)

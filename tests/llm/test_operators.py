@@ -80,6 +80,20 @@ def test_pii_query(spark):
     assert pii.redacted(docs, finder).filter("text is null").count() == 1
 
 
+def test_pii_adds_forms_beyond_the_base_rules(spark):
+    r = random.Random(6)
+    words = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    n = lambda k: "".join(r.choice("0123456789") for _ in range(k))
+    texts = [f"{words(6)} +1 ({n(3)}) 555-{n(4)} {words(5)} {words(1)}.{n(2)}@mail{n(1)}.example.com {words(4)} {n(16)} {words(3)} {n(20)}" for _ in range(150)]
+    probes = ["please call (555) 123-4567 today", "write to a (at) b (dot) com now", "we meet (at) noon. Then we go", f"{words(4)} {'9' * 16} {words(3)}"]
+    docs = frame(spark, texts)
+    finder = pii.train(docs)
+    assert [t[a:b] for t in probes for a, _, b in finder.find(t)[1]] == ["(555) 123-4567", "a (at) b (dot) com"]
+    got = pii.redacted(frame(spark, probes), finder).orderBy("doc_id").collect()
+    assert [x.text for x in got] == ["please call [PHONE] today", "write to [EMAIL] now", *probes[2:]]
+    assert pii.train(docs.repartition(3)).thresholds == finder.thresholds
+
+
 def test_boosting_separates():
     r = np.random.default_rng(0)
     x = r.normal(size=(400, 4))

@@ -56,3 +56,25 @@ def test_stages_keep_odd_rows(spark):
     assert corpus_pipeline.no_personal_data(spark, docs, SF).count() == len(rows)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_one_of_each_with_null_and_clashing_ids(spark):
+    from tests.llm.test_operators import sample
+
+    a, b, c, d, e, f = sample(18)[::3]
+    long = " ".join(f"word{i}" for i in range(40))
+    texts = [(None, a), (None, b), (7, c), (7, d), (8, e), (None, e), (9, f), (9, f), (9, f), (None, long), (None, long.replace("word39", "end")), (None, None), (None, ""), (3, None), (3, None)]
+    rows = [(i, t, None, None, None) for i, t in texts]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    seen = []
+    for n in (1, 5):
+        got = corpus_pipeline.one_of_each(spark, spark.createDataFrame(rows, schema).repartition(n), SF).collect()
+        known = sorted(((r.doc_id, r.text) for r in got if r.text != long and not (r.text or "").endswith("end")), key=repr)
+        assert known == sorted([(None, a), (None, b), (7, c), (7, d), (8, e), (9, f), (None, None), (None, ""), (3, None), (3, None)], key=repr)
+        assert len(got) == len(known) + 1
+        seen.append(set(got))
+    assert seen[0] == seen[1]
+
+
+def test_quality_keeps_what_op3_predicts():
+    assert corpus_pipeline.QUALITY == 0.7

@@ -36,6 +36,20 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Small sides of joins are broadcast up to so many rows (a few numbers each); beyond that both sides are shuffled.
+BROADCAST_ROWS = 250_000
+
+
+def beside(rows: DataFrame, table: DataFrame, on: str, numbers: str | None = None, how: str = "inner") -> DataFrame:
+    """rows with the columns of table, which has one row a key (numbers: its array column).
+
+    The table is counted, arrays by their items, and broadcast while it is small, so that a frequent key is in no single task.
+    """
+    table = cut(table)
+    size = table.agg(F.coalesce(F.sum(F.size(numbers)) if numbers else F.count(F.lit(1)), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("rows")).first()
+    return rows.join(F.broadcast(table) if max(size.n, size.rows) <= BROADCAST_ROWS else table, on, how)
+
+
 def bucket_of(column: str | Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo modulus: how the contracts split rows into folds."""
     return F.pmod(F.crc32(F.col(column).cast("string") if isinstance(column, str) else column.cast("string")), F.lit(modulus))

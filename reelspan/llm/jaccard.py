@@ -11,14 +11,16 @@ Two documents link when 100 * |A & B| >= threshold * |A | B| over their sets of
 * Similar classes are gathered into groups around pivots: the pivot of a prefix shingle is the class with the
   largest share of shared prefix shingles, the one nearest the middle of a set of copies.  A class joins the
   group of its most similar pivot (at the threshold less REACH, at least), and links with it at the threshold.
-* The token-group matrix holds each group's union of prefix shingles and its range of set sizes.  A class
-  opens a group only if it meets the union m times and the sizes allow a link, and, once its set is compared
-  with the pivot's, only if the triangle inequality of the Jaccard distance leaves room for a linked member.
-* Inside an opened group a class is its difference from the pivot: the shingles it has more, and those it lacks.
+* The token-group matrix holds each group's union of prefix shingles and its range of set sizes; in it, the largest
+  component of a group that the links with pivots make stands apart from the group's rest.  A class
+  opens a group only if that has members of larger components, it meets the union m times and the sizes allow a link,
+  and, once its set is compared with the pivot's, only if the triangle inequality of the Jaccard distance leaves
+  room for a linked member.
+* Inside an opened group a class is its difference from the pivot: the shingles that only one of the two has.
   Two differences D and E that share s entries belong to sets |D| + |E| - 2s shingles apart, which gives their
-  Jaccard exactly.  Linked classes that share no such entry are both linked with the pivot, so joining on
-  shared entries finds every other link; n copies of a text cost n small differences, not n * n pairs.  Pairs
-  whose entries that others have cannot bring them close enough are not made.
+  Jaccard exactly.  links_in_groups() connects what is linked there by stars: every class meets the one
+  nearest the group's middle, and those of each entry that several share meet again in a subgroup with a middle of
+  its own; n copies of a text cost n small differences, not n * n pairs.
 * Links are closed by connected components; classes already connected are not compared again.
 
 Nulls and texts without words: an empty set, linked with nothing.  Repeated rows link like any equal sets.
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelspan.llm.common import cut, mix, parts_of, utf8, word_hashes
+from reelspan.llm.common import BROADCAST_ROWS, beside, cut, mix, parts_of, utf8, word_hashes
 from reelspan.llm.graph import components
 
 #: Least and most bits of the count sketch; in between, four cells for each document.
@@ -43,8 +45,8 @@ BLOCK = 1 << 12
 MEET = 4
 #: How far under the threshold (in percent) a class may still join a pivot's group.
 REACH = 20
-#: Join texts with wanted ids by broadcast up to so many rows (three numbers each); beyond that both sides are shuffled.
-BROADCAST_ROWS = 1_000_000
+#: Groups of so many classes are compared pair by pair; larger ones are split.
+SMALL = 16
 
 
 def shingles(words: np.ndarray, k: int) -> np.ndarray:
@@ -161,6 +163,66 @@ def _jaccard_at_least(n, apart, percent):
     return F.lit(100) * (n - apart) >= F.lit(percent) * (n + apart)
 
 
+def _symmetric(x: str, y: str):
+    return F.concat(F.array_except(x, y), F.array_except(y, x))
+
+
+def links_in_groups(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect what is linked between the askers and the members of each group of rows(g, a, c, n, d, asks).
+
+    a is a class of n shingles in component c so far, d its symmetric difference from the group's centre; asks tells
+    askers from members.  With w = (100 + percent) |d| - (100 - percent) n, classes whose differences share s entries
+    link when their w sum to 2 (100 + percent) s or less.  So an asker that is linked with a member of another
+    component with which it shares nothing is linked with the member of least w in another component, too: one
+    comparison an asker finds what connects them.  Classes that share an entry meet again in the subgroup of that
+    entry.  Before that a group is centred on the entries of more than half its rows, so that a subgroup has half
+    the rows at most; groups of SMALL rows are compared pair by pair.  Subgroups of one component, or with the rows of
+    another subgroup, go; a class enters those of its rarest entries only, as many as the bound on s asks for.
+    """
+    scale = 100 + percent
+    links = rows.select("a", F.col("c").alias("b")).limit(0)
+    asked, met = F.when(F.col("asks"), F.col("c")), F.when(~F.col("asks"), F.col("c"))
+    ends = [F.min(asked).alias("a0"), F.max(asked).alias("a1"), F.min(met).alias("b0"), F.max(met).alias("b1")]
+    open_still = "a0 <> b1 or a1 <> b0"  # an asker and a member of different components
+    state = cut(rows)
+    while True:
+        live = state.groupBy("g").agg(F.count(F.lit(1)).alias("m"), *ends).filter(open_still).select("g", "m")
+        state = cut(beside(state, live, "g"))
+        small = state.filter(F.col("m") <= SMALL)
+        x, y = (small.filter(kind).select("g", *[F.col(c).alias(f"{side}_{c}") for c in ("a", "c", "n", "d")]) for side, kind in (("x", "asks"), ("y", "not asks")))
+        apart = F.size("x_d") + F.size("y_d") - 2 * F.size(F.array_intersect("x_d", "y_d"))
+        pairs = x.join(y, "g").filter(f"x_c <> y_c and x_n * 100 >= {percent} * y_n and y_n * 100 >= {percent} * x_n")
+        links = links.union(cut(pairs.filter(_jaccard_at_least(F.col("x_n") + F.col("y_n"), apart, percent)).select(F.col("x_a").alias("a"), F.col("y_a").alias("b")).distinct()))
+        large = state.filter(F.col("m") > SMALL)
+        if large.isEmpty():
+            return links
+        # the centre of each large group; the member nearest to it, and the nearest one of another component than that
+        often = large.select("g", "m", F.explode("d").alias("t")).groupBy("g", "m", "t").agg(F.count(F.lit(1)).alias("f")).filter("2 * f > m")
+        centre = large.select("g").distinct().join(often.groupBy("g").agg(F.collect_list("t").alias("centre")), "g", "left").select("g", F.coalesce("centre", F.array().cast("array<bigint>")).alias("centre"))
+        large = beside(large, centre, "g", "centre").withColumn("d", _symmetric("d", "centre")).drop("centre", "m")
+        large = cut(large.withColumn("w", F.size("d") * scale - F.col("n") * (100 - percent)))
+        members, nearest = large.filter("not asks"), F.min_by(F.struct("a", "c", "w", "d"), F.struct("w", "a"))
+        one = cut(members.groupBy("g").agg(nearest.alias("x")))
+        two = beside(members, one.select("g", F.col("x.c").alias("c1")), "g").filter("c <> c1").groupBy("g").agg(nearest.alias("y"))
+        both = one.join(two, "g", "left").join(large.filter("asks").groupBy("g").agg(F.min("w").alias("least")), "g")
+        star = beside(large, both.withColumn("size", F.concat("x.d", F.coalesce("y.d", F.array().cast("array<bigint>")))), "g", "size")
+        star = star.withColumn("x", F.when(F.col("x.c") != F.col("c"), F.col("x")).otherwise(F.col("y")))
+        star = star.select("g", "a", "c", "n", "d", "asks", "w", F.when(F.col("asks"), F.col("x.w")).otherwise(F.col("least")).alias("other_w"), F.col("x.a").alias("x_a"), F.col("x.c").alias("x_c"), (F.col("asks") & (F.col("w") + F.col("x.w") <= 2 * scale * F.size(F.array_intersect("d", "x.d")))).alias("linked"))
+        star = cut(star.filter("other_w is not null"))  # else every member is of the asker's component
+        made = star.filter("linked")
+        links = links.union(cut(made.select("a", F.col("x_a").alias("b"))))
+        merged = components(made.select(F.col("c").alias("a"), F.col("x_c").alias("b")).distinct()).withColumnRenamed("node", "c")
+        star = cut(beside(star, merged, "c", how="left").withColumn("c", F.coalesce("component", "c")).select("g", "a", "c", "n", "d", "asks", "w", "other_w"))
+        # subgroups: by entries that askers and members of different components share
+        entries = star.select("g", "a", "c", "asks", F.greatest(F.lit(1), F.ceil((F.col("w") + F.col("other_w")) / (2 * scale))).alias("needed"), F.explode("d").alias("t"))
+        useful = entries.groupBy("g", "t").agg(F.count(F.lit(1)).alias("f"), *ends).filter(open_still).select("g", "t", "f")
+        entries = cut(entries.join(useful, ["g", "t"]))
+        own = Window.partitionBy("g", "a", "asks")
+        entries = cut(entries.withColumn("u", F.count(F.lit(1)).over(own)).withColumn("rank", F.row_number().over(own.orderBy("f", "t"))).filter("rank <= u - needed + 1").select("g", "a", "c", "asks", "t"))
+        alike = entries.groupBy("g", "t").agg(F.bit_xor(F.xxhash64("a", "asks")).alias("rows"), F.count(F.lit(1)).alias("m"), *ends).filter(open_still).groupBy("g", "rows", "m").agg(F.min("t").alias("t")).select("g", "t")
+        state = entries.join(alike, ["g", "t"]).select("g", "t", "a", "asks").join(star, ["g", "a", "asks"]).select(F.xxhash64("g", "t").alias("g"), "a", "c", "n", "d", "asks")
+
+
 def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80, sketch_bits: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of docs(doc_id, text); links at percent / 100 Jaccard."""
     spark = docs.sparkSession
@@ -189,44 +251,35 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80, sketch_bi
     joined = near.groupBy("a").agg(F.min(F.struct((F.col("apart") / both).alias("d"), "b"))["b"].alias("p")).select(F.col("a").alias("class"), "p")
     centres = joined.select(F.col("p").alias("class"), "p").distinct()
     alone = rows.select("class").distinct().join(joined.select("class"), "class", "left_anti").select("class", F.col("class").alias("p"))
+    comp = components(links).withColumnRenamed("node", "class")
     members = joined.unionByName(centres).unionByName(alone).distinct().join(classes.select("class", "n"), "class")
-    members = cut(members)
+    members = cut(members.join(comp, "class", "left").select("class", "p", "n", F.coalesce("component", "class").alias("c")))
+
+    # what is connected already is not compared again: in each group the largest component apart from the rest
+    sizes = members.groupBy("c").agg(F.count(F.lit(1)).alias("size"))
+    members = cut(beside(members, sizes, "c").withColumn("key", F.struct("size", "c")))
+    main = members.groupBy("p").agg(F.max("key").alias("main"))
+    members = cut(beside(members, main, "p").withColumn("g", F.xxhash64("p", F.col("key") == F.col("main"))).select("class", "p", "n", "c", "key", "g"))
 
-    # token-group matrix: union of prefixes and range of sizes of each group
-    matrix = rows.select("token", "class", "n").join(members.select("class", "p"), "class").groupBy("token", "p").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    # token-group matrix: union of prefixes, range of sizes and greatest key of each group
+    matrix = rows.select("token", "class").join(members, "class").groupBy("token", "g", "p").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("key").alias("key"))
     fits = f"r.n * 100 >= {percent} * m.least and m.most * 100 >= {percent} * r.n"
-    # of two classes in different groups each would open the other's group: the one of the lesser pivot asks
-    rows = rows.join(members.groupBy("class").agg(F.min("p").alias("least_p")), "class")
-    opened = rows.alias("r").join(matrix.alias("m"), F.expr(f"r.token = m.token and r.least_p < m.p and r.class <> m.p and {fits}")).groupBy("r.class", "r.n", "m.p").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") >= enough)
-    opened = cut(opened.select(F.col("class").alias("a"), F.col("p").alias("b")).union(members.filter("class <> p").select("class", "p")).distinct())
+    # of two classes of different components the one with the lesser key asks: that of the smaller component
+    rows = rows.join(members.groupBy("class").agg(F.min("key").alias("key")), "class")
+    opened = rows.alias("r").join(matrix.alias("m"), F.expr(f"r.token = m.token and r.key < m.key and {fits}")).groupBy("r.class", "r.n", "m.p", "m.g").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") >= enough)
+    opened = cut(opened.select(F.col("class").alias("a"), F.col("p").alias("b"), "g"))
+    asked = cut(opened.select("g").distinct())
+    inside = members.join(asked, "g", "left_semi").select(F.col("class").alias("a"), F.col("p").alias("b"), "g")
 
     # differences from the pivots of opened groups
-    found = cut(_compared(docs, opened, classes, k).filter(_jaccard_at_least(both, F.col("apart"), max(0, 2 * percent - 100 - REACH))))
-    links = cut(links.union(found.filter(_jaccard_at_least(both, F.col("apart"), percent)).select("a", "b")))
-    comp = members.select("class").distinct().join(components(links).withColumnRenamed("node", "class"), "class", "left").select("class", F.coalesce("component", "class").alias("c"))
-    entries = F.concat(F.transform("more", lambda t: F.struct(t.alias("t"), F.lit(1).alias("s"))), F.transform("less", lambda t: F.struct(t.alias("t"), F.lit(-1).alias("s"))))
-    entries = found.select("a", F.col("b").alias("p"), F.col("na").alias("n"), "apart", F.explode(entries).alias("e")).select("a", "p", "n", "apart", "e.t", "e.s")
-    entries = entries.join(comp.withColumnRenamed("class", "a"), "a")
-    # an entry that no two classes of different components have joins nothing; the others bound what a pair can share
-    useful = entries.groupBy("p", "t", "s").agg(F.min("c").alias("one"), F.max("c").alias("other"), F.count(F.lit(1)).alias("f")).filter("one <> other").select("p", "t", "s", "f")
-    asks = cut(entries.join(useful, ["p", "t", "s"]))
-    inside = members.select(F.col("class").alias("a"), "p", F.lit(True).alias("inside"))
-    asks = cut(asks.join(asks.groupBy("p", "a").agg(F.count(F.lit(1)).alias("u")), ["p", "a"]).join(inside, ["p", "a"], "left").fillna(False, ["inside"]))
-    # who differs by more than a linked class may needs several entries in common, one of them among its rarest
-    needed = F.greatest(F.lit(1), F.ceil(F.col("apart") - F.col("n") * (100 - percent) / percent - 1e-9))
-    rank = F.row_number().over(Window.partitionBy("p", "a").orderBy("f", "t", "s"))
-    first = asks.withColumn("rank", rank).filter(F.col("rank") <= F.col("u") - needed + 1)
-    own = first.filter("inside")
-    least = "(q.apart + m.apart - 2 * least(q.u, m.u))"
-    fits = f"q.a <> m.a and not (q.inside and q.a > m.a) and q.c <> m.c and q.n * 100 >= {percent} * m.n and m.n * 100 >= {percent} * q.n and 100 * (q.n + m.n - {least}) >= {percent} * (q.n + m.n + {least})"
-    pairs = cut(first.alias("q").join(own.alias("m"), F.expr(f"q.p = m.p and q.t = m.t and q.s = m.s and {fits}")).select(F.col("q.a").alias("a"), F.col("m.a").alias("b"), F.col("q.p").alias("p")).distinct())
-    differ = found.select("a", F.col("b").alias("p"), "na", "apart", "more", "less")
-    one, two = (differ.select("p", F.col("a").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("na", "apart", "more", "less")]) for x in "ab")
-    shared = F.size(F.array_intersect("a_more", "b_more")) + F.size(F.array_intersect("a_less", "b_less"))
-    pairs = pairs.join(one, ["p", "a"]).join(two, ["p", "b"])
-    more = pairs.filter(_jaccard_at_least(F.col("a_na") + F.col("b_na"), F.col("a_apart") + F.col("b_apart") - 2 * shared, percent)).select("a", "b")
-    links = cut(links.union(more))
-    group = components(links)
+    wanted = cut(opened.select("a", "b").union(inside.select("a", "b")).filter("a <> b").distinct())
+    found = cut(_compared(docs, wanted, classes, k).filter(_jaccard_at_least(both, F.col("apart"), max(0, 2 * percent - 100 - REACH))).select("a", "b", F.col("na").alias("n"), F.concat("more", "less").alias("d"), _jaccard_at_least(both, F.col("apart"), percent).alias("linked")))
+    pivots = members.filter("class = p").select(F.col("class").alias("a"), F.col("p").alias("b"), "n", F.array().cast("array<bigint>").alias("d"))
+    links = cut(links.union(found.filter("linked").select("a", "b")))
+    comp = members.select("class").distinct().join(components(links).withColumnRenamed("node", "class"), "class", "left").select(F.col("class").alias("a"), F.coalesce("component", "class").alias("c"))
+    roles = opened.withColumn("asks", F.lit(True)).union(inside.withColumn("asks", F.lit(False)))
+    rows = roles.join(found.drop("linked").union(pivots), ["a", "b"]).join(comp, "a").select("g", "a", "c", "n", "d", "asks")
+    group = components(cut(links.union(links_in_groups(rows, percent))))
 
     ids = classes.join(group.select(F.col("node").alias("class"), "component"), "class", "left").select("class", F.coalesce("component", "class").alias("component"), "doc_id")
     least = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"))

@@ -132,6 +132,22 @@ def test_jaccard_large_group_and_empty(spark):
     assert jaccard.ngram_jaccard_join(empty(spark), 3, 90).count() == 0
 
 
+def test_jaccard_group_without_a_common_middle(spark):
+    r = random.Random(8)
+    base, pool, texts = [f"w{i}" for i in range(80)], [(r.randrange(80), f"p{i}") for i in range(8)], []
+    for _ in range(260):  # own edits, edits that several share, and cut beginnings: some link by chains only
+        v = list(base)
+        for _ in range(r.choice([0, 1, 2, 3])):
+            v[r.randrange(80)] = f"q{r.randrange(10**6)}"
+        for _ in range(r.choice([0, 1, 2, 3])):
+            at, word = r.choice(pool)
+            v[at] = word
+        texts.append(" ".join(v[r.choice([0, 0, 0, 3, 6]) :]))
+    want = sorted(brute.components(list(enumerate(texts)), 3, 90))
+    assert 5 < len({c for _, _, c in want}) < 200
+    assert sorted(map(tuple, jaccard.ngram_jaccard_join(frame(spark, texts), 3, 90).collect())) == want
+
+
 def test_bpe_equals_library(spark):
     import tiktoken
 

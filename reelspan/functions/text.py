@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import struct
 import unicodedata
+import zlib
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import BinaryType, StringType
 
 OCR_FIELDS = ("channel_name", "main_news_text", "thumbnail_text", "time")
 
@@ -24,14 +26,19 @@ def time_stamp(t: pd.Series) -> pd.Series:
     return t.map(lambda x: None if pd.isna(x) else f"{x // 60:02.0f}:{x % 60:06.3f}")
 
 
+def strip(x: Column) -> Column:
+    """Without white space at either end."""
+    return F.btrim(x, F.lit(" \t\n\r\x0b\x0c"))
+
+
 def json_object(x: Column) -> Column:
-    """From the first { to the last }, or null."""
+    """What stands from the first { to the last }, or null if that is no JSON."""
     found = F.regexp_extract(x, r"(?s)\{.*\}", 0)
-    return F.when(found != "", found)
+    return F.when((found != "") & F.try_parse_json(found).isNotNull(), found)
 
 
 def strip_fences(x: Column) -> Column:
-    return F.trim(F.regexp_replace(x, r"```(?:json)?", ""))
+    return strip(F.regexp_replace(x, r"```(?:json)?", ""))
 
 
 def ocr_text(raw: Column) -> Column:
@@ -39,8 +46,8 @@ def ocr_text(raw: Column) -> Column:
     value = F.try_parse_json(json_object(raw))
     first = F.try_variant_get(value, "$.extracted_texts[0]", "variant")
     has = F.try_variant_get(value, "$.extracted_texts", "variant").isNotNull()
-    text = F.when(F.schema_of_variant(first) == "STRING", F.trim(F.try_variant_get(value, "$.extracted_texts[0]", "string"))).otherwise(F.lit(""))
-    return F.when(has, text).otherwise(F.trim(raw))
+    text = F.when(F.schema_of_variant(first) == "STRING", strip(F.try_variant_get(value, "$.extracted_texts[0]", "string"))).otherwise(F.lit(""))
+    return F.when(has, text).otherwise(strip(raw))
 
 
 def structured_ocr(raw: Column) -> Column:
@@ -68,13 +75,35 @@ def image_mime(path: Column) -> Column:
     return F.when(ext.isin("jpg", "jpeg"), "image/jpeg").when(ext.isin("png", "webp", "gif", "bmp", "tiff"), F.concat(F.lit("image/"), ext))
 
 
+def base64_of(content: Column) -> Column:
+    """Base64 in one line."""
+    return F.translate(F.base64(content), "\r\n", "")
+
+
 def data_uri(mime: Column, content: Column) -> Column:
-    return F.concat(F.lit("data:"), mime, F.lit(";base64,"), F.base64(content))
+    return F.concat(F.lit("data:"), mime, F.lit(";base64,"), base64_of(content))
 
 
 def is_image_uri(x: Column) -> Column:
-    """Begins with data:image/ and what follows the comma is base64."""
-    return F.coalesce(x.startswith("data:image/") & x.contains(",") & F.try_to_binary(F.substring_index(x, ",", -1), F.lit("base64")).isNotNull(), F.lit(False))
+    """Begins with data:image/ and holds the base64 marker, with padded base64 up to the next marker or the end."""
+    data = F.get(F.split(x, "base64,"), F.lit(1))
+    return F.coalesce(x.startswith("data:image/") & (F.char_length(data) % 4 == 0) & F.rlike(data, F.lit("^[A-Za-z0-9+/]*={0,2}\\z")), F.lit(False))
+
+
+@F.pandas_udf(BinaryType())
+def png(width: pd.Series, height: pd.Series, pixels: pd.Series) -> pd.Series:
+    """A lossless PNG of 8-bit RGB pixels in row order; null where their number does not fit the size."""
+
+    def chunk(kind: bytes, data: bytes) -> bytes:
+        return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+
+    def encode(w, h, rgb):
+        if rgb is None or pd.isna(w) or pd.isna(h) or len(rgb) != 3 * w * h:
+            return None
+        rows = b"".join(b"\0" + bytes(rgb[3 * w * i : 3 * w * (i + 1)]) for i in range(h))
+        return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
+
+    return pd.Series([encode(*x) for x in zip(width, height, pixels)])
 
 
 def is_url(x: Column) -> Column:
@@ -90,44 +119,68 @@ def mask_token(x: Column) -> Column:
 
 
 def uptime(seconds: Column) -> Column:
-    return F.format_string("%d:%02d:%02d", F.floor(seconds / 3600), F.floor(seconds % 3600 / 60), F.floor(seconds % 60))
+    """Days, if any, then hours, minutes and seconds."""
+    days = F.floor(seconds / 86400)
+    clock = F.format_string("%d:%02d:%02d", F.floor(seconds % 86400 / 3600), F.floor(seconds % 3600 / 60), F.floor(seconds % 60))
+    return F.concat(F.when(days == 1, "1 day, ").when(days > 1, F.concat(days.cast("string"), F.lit(" days, "))).otherwise(""), clock)
 
 
 def batch_count(n: Column, size: int) -> Column:
     return F.greatest(F.lit(1), F.ceil(n / size)).cast("long")
 
 
-def model_route(model: Column) -> Column:
-    """Provider of a model name; `unsupported` for names of neither."""
-    name = F.lower(F.trim(model))
-    return F.when(name.startswith("gemini-"), "gemini").when(name.startswith("mistral-") | name.startswith("pixtral-") | name.startswith("codestral-"), "mistral").otherwise("unsupported")
+#: Names that go to the first provider without its prefix; prefixes of the two providers' models.
+OTHER_NAMES = ("gpt-4o", "gpt-4-vision-preview")
+PREFIXES = {"gemini": ("gemini-",), "mistral": ("mistral-", "pixtral-", "codestral-")}
 
+#: Parts of lower-cased errors that retire a key of each provider, and that remove one of the first provider's.
+RETIRE = {
+    "gemini": ("quota", "rate limit", "exceeded", "invalid argument", "internal error", "504", "503", "500", "429"),
+    "mistral": ("quota", "rate limit", "exceeded", "permission_denied", "unauthorized", "invalid api key"),
+}
+REMOVE = ("api key not valid", "suspended", "api key expired", "permission_denied", "expired")
 
-#: Parts of provider errors that retire a key for a while, and those that remove it.
-RETIRE = ("429", "quota", "rate limit", "resource exhausted", "resource_exhausted", "503", "overloaded")
-REMOVE = ("api key not valid", "api_key_invalid", "permission denied", "401", "403", "unauthorized", "invalid api key")
+#: What an error's text holds, and what the user is told.
+TOLD = (
+    ("Connection refused", "Connection Failed. Is the AI Gateway server running at %s?"),
+    ("All Gemini API keys have been exhausted", "Server reported that all Gemini keys are exhausted or have failed. Please check the server logs."),
+    ("Mistral request failed after", "Server reported that all retries for Mistral failed. The Mistral API might be down or all keys are invalid."),
+)
 
 
-def error_class(message: Column) -> Column:
-    """retire, remove or other, by parts of the lower-cased message; removal wins."""
-    low = F.lower(message)
+def _any(conditions) -> Column:
+    out = F.lit(False)
+    for c in conditions:
+        out = out | c
+    return out
 
-    def any_of(parts):
-        out = F.lit(False)
-        for p in parts:
-            out = out | low.contains(p)
-        return out
 
-    return F.when(any_of(REMOVE), "remove").when(any_of(RETIRE), "retire").otherwise("other")
+def model_route(model: Column) -> Column:
+    """Provider of a model name, whatever its case; `unsupported` for names of neither."""
+    name = F.lower(model)
+    first, second = (_any(name.startswith(x) for x in PREFIXES[k]) for k in ("gemini", "mistral"))
+    return F.when(first | name.isin(*OTHER_NAMES), "gemini").when(second, "mistral").otherwise("unsupported")
 
 
-def user_message(message: Column) -> Column:
-    """What a user is told of an error."""
+def error_class(message: Column, provider: Column) -> Column:
+    """retire, remove or other: what a provider's error means for the key, by parts of the lower-cased message.
+
+    The first provider tries the retiring parts before the removing ones and retires the key on any other error, too;
+    the second one leaves the key alone then.
+    """
     low = F.lower(message)
-    return (
-        F.when(low.contains("connection"), "The service cannot be reached.").when(low.contains("timeout") | low.contains("timed out"), "The request took too long.")
-        .when(low.contains("401") | low.contains("unauthorized"), "The key was refused.").when(low.contains("429") | low.contains("rate limit"), "Too many requests.").otherwise("An unexpected error occurred.")
-    )
+    first = F.when(_any(low.contains(x) for x in RETIRE["gemini"]), "retire").when(_any(low.contains(x) for x in REMOVE), "remove").otherwise("retire")
+    second = F.when(_any(low.contains(x) for x in RETIRE["mistral"]), "retire").otherwise("other")
+    return F.when(provider == "mistral", second).otherwise(first)
+
+
+def user_message(message: Column, base_url: str = "") -> Column:
+    """What a user is told of an error."""
+    (refused, where), *rest = TOLD
+    out = F.when(message.contains(refused), where % base_url)
+    for part, said in rest:
+        out = out.when(message.contains(part), said)
+    return out.otherwise(F.concat(F.lit("An unhandled error occurred: "), message))
 
 
 def text_of_parts(parts: Column) -> Column:

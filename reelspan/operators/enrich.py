@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelspan.functions.text import base64_of
+
 UNKNOWN = "unknown"
 
 
@@ -48,21 +50,41 @@ def numeric_suffix(name: Column) -> Column:
     return F.regexp_extract(name, r"(\d+)(?:\.\w+)?$", 1).cast("long")
 
 
-def metadata_json(frames: DataFrame, key: str = "video_id") -> DataFrame:
-    """One JSON document a video: a map from frame name to its entry, in numeric order."""
-    entry = F.struct("id", F.col("time_stamp").alias("time-stamp"), "shot", "tags", "ocr", "caption")
-    rows = frames.select(key, F.struct(numeric_suffix(F.col("frame_name")).alias("n"), F.col("frame_name").alias("k"), entry.alias("v")).alias("e"))
-    ordered = rows.groupBy(key).agg(F.sort_array(F.collect_list("e")).alias("es"))
-    return ordered.select(key, F.to_json(F.create_map(F.col(key).cast("string"), F.map_from_entries(F.transform("es", lambda e: F.struct(e["k"], e["v"]))))).alias("metadata_json"))
+def _json(x: Column) -> Column:
+    """A number or string as JSON."""
+    return F.regexp_replace(F.to_json(F.array(x)), r"^\[|\]$", "")
+
+
+def metadata_lines(frames: DataFrame, key: str = "video_id") -> DataFrame:
+    """(key, line_no, line): in order, the text of one JSON document a video, indented by three, its frames in numeric order.
+
+    One row a frame, so that no task holds a whole document; write_documents() writes them.
+    """
+    fields = [("id", _json(F.col("id"))), ("time-stamp", _json(F.col("time_stamp"))), ("shot", _json(F.col("shot")))]
+    tags = F.array_join(F.transform("tags", lambda t: F.concat(F.lit(" " * 12), _json(t))), ",\n")
+    fields += [("tags", F.when(F.size("tags") == 0, "[]").otherwise(F.concat(F.lit("[\n"), tags, F.lit("\n" + " " * 9 + "]"))))]
+    fields += [("ocr", _json(F.col("ocr"))), ("caption", _json(F.col("caption")))]
+    body = F.concat_ws(",\n", *[F.concat(F.lit(" " * 9 + f'"{name}": '), F.coalesce(value, F.lit("null"))) for name, value in fields])
+    w = Window.partitionBy(key).orderBy(numeric_suffix(F.col("frame_name")))
+    name = F.concat(F.lit(" " * 6), _json(F.col("frame_name")), F.lit(": {\n"))
+    end = F.when(F.lead(F.lit(1)).over(w).isNull(), "\n      }").otherwise("\n      },")
+    rows = frames.select(key, F.row_number().over(w).alias("line_no"), F.concat(name, body, end).alias("line"))
+    n = rows.groupBy(key).agg(F.max("line_no").alias("n"))
+    ends = n.select(key, F.explode(F.array(F.struct(F.lit(0).alias("line_no"), F.concat(F.lit("{\n   "), _json(F.col(key).cast("string")), F.lit(": {")).alias("line")), F.struct((F.col("n") + 1).alias("line_no"), F.lit("   }\n}").alias("line")))).alias("x")).select(key, "x.*")
+    return rows.unionByName(ends)
 
 
-def summary_lines(keyframes: DataFrame, key: str = "video_id") -> DataFrame:
-    """(key, line_no, line): a header of totals, then one line a keyframe, in numeric order."""
-    head = keyframes.groupBy(key).agg(F.countDistinct("shot_id").alias("shots"), F.count(F.lit(1)).alias("n"))
-    head = head.select(key, F.posexplode(F.array(F.concat(F.lit("Video: "), F.col(key).cast("string")), F.concat(F.lit("Total shots: "), F.col("shots").cast("string")), F.concat(F.lit("Total keyframes: "), F.col("n").cast("string")))).alias("line_no", "line"))
+def summary_lines(keyframes: DataFrame, key: str = "video_id", shots: DataFrame | None = None) -> DataFrame:
+    """(key, line_no, line): a header of totals and a blank line, then one line a keyframe, in numeric order.
+
+    shots(key, shot_id) holds every shot; without it those that have a keyframe count.
+    """
+    total = (keyframes if shots is None else shots).groupBy(key).agg(F.countDistinct("shot_id").alias("shots"))
+    head = keyframes.groupBy(key).agg(F.count(F.lit(1)).alias("n")).join(total, key)
+    head = head.select(key, F.posexplode(F.array(F.concat(F.lit("Video: "), F.col(key).cast("string")), F.concat(F.lit("Total shots: "), F.col("shots").cast("string")), F.concat(F.lit("Total keyframes: "), F.col("n").cast("string")), F.lit(""))).alias("line_no", "line"))
     w = Window.partitionBy(key).orderBy(numeric_suffix(F.col("frame_name")))
-    body = keyframes.select(key, (F.row_number().over(w) + 2).alias("line_no"), F.format_string("%s: shot %d, keyframe %d", F.col("frame_name"), F.col("shot_id").cast("int"), F.col("k_in_shot").cast("int")).alias("line"))
-    return head.unionByName(body)
+    line = F.format_string("%s.webp: Shot %d, Keyframe %d, Original Frame %d", F.col("frame_name"), F.col("shot_id").cast("int"), F.col("k_in_shot").cast("int"), F.col("frame_idx").cast("int"))
+    return head.unionByName(keyframes.select(key, (F.row_number().over(w) + 3).alias("line_no"), line.alias("line")))
 
 
 def upload_batches(files: DataFrame, metadata: DataFrame, size: int = 8, key: str = "video_id") -> DataFrame:
@@ -71,7 +93,7 @@ def upload_batches(files: DataFrame, metadata: DataFrame, size: int = 8, key: st
     A video without files has one batch without keyframes.
     """
     numbered = micro_batches(files, size, [key], ["name"])
-    made = numbered.groupBy(key, "batch_no").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("name", F.base64("content"))))).alias("keyframes"))
+    made = numbered.groupBy(key, "batch_no").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("name", base64_of(F.col("content")))))).alias("keyframes"))
     made = metadata.select(key, "metadata_json").join(made, key, "left").withColumn("batch_no", F.coalesce("batch_no", F.lit(0)))
     last = F.max("batch_no").over(Window.partitionBy(key))
     return made.select(key, "batch_no", F.when(F.col("batch_no") == 0, F.col("metadata_json")).alias("metadata_json"), "keyframes", (F.col("batch_no") == last).alias("is_final_batch"))

@@ -90,17 +90,24 @@ OUTCOMES = "provider string, at_s double, event string, token string, outcome st
 
 
 def replay(events: DataFrame, rpm: float) -> DataFrame:
-    """Outcome of every key event (provider, at_s, seq, event, token), in order of at_s and seq; a provider's pool is one state machine."""
+    """Outcome of every key event (provider, at_s, seq, event, token), in order of at_s and seq; a provider's pool is one state machine.
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        pool = Pool(rpm)
-        rows = []
-        for r in frame.sort_values(["at_s", "seq"]).itertuples():
-            token, outcome = pool.apply(r.at_s, r.event, r.token)
-            rows.append((r.provider, r.at_s, r.event, token, outcome))
-        return pd.DataFrame(rows, columns=["provider", "at_s", "event", "token", "outcome"])
+    A task reads its providers' events in order, batch by batch, and holds one pool: no provider's log is in memory.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pool, provider = Pool(rpm), None
+        for frame in frames:
+            rows = []
+            for r in frame.itertuples():
+                if r.provider != provider:
+                    pool, provider = Pool(rpm), r.provider
+                token, outcome = pool.apply(r.at_s, r.event, r.token)
+                rows.append((r.provider, r.at_s, r.event, token, outcome))
+            yield pd.DataFrame(rows, columns=["provider", "at_s", "event", "token", "outcome"])
 
-    return events.groupBy("provider").applyInPandas(run, OUTCOMES)
+    dealt = events.filter("provider is not null").repartition("provider").sortWithinPartitions("provider", "at_s", "seq")
+    return dealt.select("provider", "at_s", "seq", "event", "token").mapInPandas(run, OUTCOMES)
 
 
 def token_bucket(requests: DataFrame, rpm: float, capacity: int, key: str, at: str, order: str) -> DataFrame:

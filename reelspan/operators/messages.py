@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelspan.functions.text import has_image, image_mime, text_of_parts
+from reelspan.functions.text import base_name, has_image, image_mime, text_of_parts
 
 
 def chat_request_status(body: Column) -> Column:
@@ -40,24 +40,34 @@ def content_of(messages: DataFrame) -> DataFrame:
     return messages.withColumn("text", F.coalesce("content_text", text_of_parts(F.col("parts")), F.lit(""))).withColumn("sends_images", F.coalesce(has_image(F.col("parts")), F.lit(False)))
 
 
+#: Why a request is refused, and what an image that cannot be read puts before the text.
+NEEDS, ONLY_USER, ONLY_TEXT = "Either 'prompt' or 'messages' must be provided.", "Images can only be added to the most recent 'user' message in the history.", "The last message content must be a string when providing new images."
+UNREADABLE = "[Error processing image %d: Error processing image file %s: Unsupported or unknown image format for file: %s]\n"
+
+
 def assemble(prompt: Column, messages_n: Column, last_role: Column, last_text: Column, images: Column) -> Column:
-    """Struct (error, parts) of a request: a prompt or messages are needed; images go only on a last user message of string content.
+    """Struct (error, parts) of a request of a prompt, or of messages, beside which a prompt does not count; an empty prompt is none.
 
-    An image of unknown type adds an error line before the text, the latest image first.
+    Images go only on a last user message of string content; one of unknown type puts a line before the text, the
+    latest first.  A last message of list content has no parts here: it stays as it is.
     """
-    bad = F.filter(images, lambda p: image_mime(p).isNull())
-    good = F.filter(images, lambda p: image_mime(p).isNotNull())
-    lines = F.transform(F.reverse(bad), lambda p: F.struct(F.lit("text").alias("type"), F.concat(F.lit("[unreadable image: "), p, F.lit("]")).alias("value")))
-    text = F.array(F.struct(F.lit("text").alias("type"), F.coalesce(prompt, last_text).alias("value")))
-    pictures = F.transform(good, lambda p: F.struct(F.lit("image_url").alias("type"), p.alias("value")))
-    error = F.when(prompt.isNull() & (F.coalesce(messages_n, F.lit(0)) == 0), "a prompt or messages are required").when((F.size(images) > 0) & prompt.isNull() & ((last_role != "user") | last_text.isNull()), "images need a last user message of text")
-    return F.struct(error.alias("error"), F.when(error.isNull(), F.concat(lines, text, pictures)).alias("parts"))
+    none = F.coalesce(messages_n, F.lit(0)) == 0
+    role, text = F.when(none, "user").otherwise(last_role), F.when(none, F.coalesce(prompt, F.lit(""))).otherwise(last_text)
+    numbered = F.transform(images, lambda p, i: F.struct(p.alias("p"), (i + 1).alias("n")))
+    bad = F.filter(numbered, lambda x: image_mime(x["p"]).isNull())
+    lines = F.transform(F.reverse(bad), lambda x: F.format_string(UNREADABLE, x["n"], x["p"], base_name(x["p"])))
+    said = F.array(F.struct(F.lit("text").alias("type"), F.concat(F.array_join(lines, ""), text).alias("value")))
+    pictures = F.transform(F.filter(images, lambda p: image_mime(p).isNotNull()), lambda p: F.struct(F.lit("image_url").alias("type"), p.alias("value")))
+    some = F.size(images) > 0
+    error = F.when(none & F.coalesce(prompt == "", F.lit(True)), NEEDS).when(some & F.coalesce(role != "user", F.lit(True)), ONLY_USER).when(some & text.isNull(), ONLY_TEXT)
+    return F.struct(error.alias("error"), F.when(error.isNull() & text.isNotNull(), F.concat(said, pictures)).alias("parts"))
 
 
 def completion(model: Column, text: Column, created: Column, request_id: Column) -> Column:
-    """The JSON of an OpenAI-style chat completion."""
+    """The JSON of an OpenAI-style chat completion; tokens are not counted."""
     choice = F.struct(F.lit(0).alias("index"), F.struct(F.lit("assistant").alias("role"), text.alias("content")).alias("message"), F.lit("stop").alias("finish_reason"))
-    return F.to_json(F.struct(request_id.alias("id"), F.lit("chat.completion").alias("object"), created.alias("created"), model.alias("model"), F.array(choice).alias("choices")))
+    usage = F.struct(*[F.lit(0).alias(x) for x in ("prompt_tokens", "completion_tokens", "total_tokens")])
+    return F.to_json(F.struct(request_id.alias("id"), F.lit("chat.completion").alias("object"), created.alias("created"), model.alias("model"), F.array(choice).alias("choices"), usage.alias("usage")))
 
 
 def tile_grid(images: DataFrame, size: int = 448, most: int = 12, least: int = 1) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def correlate(starts: DataFrame, ends: DataFrame, on: str = "request_id") -> DataFrame:
@@ -20,6 +22,16 @@ def counters(requests: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def started(starts: DataFrame, keys: list[str]) -> DataFrame:
+    """Requests begun and those with images, counted at their start, ended or not."""
+    return starts.groupBy(*keys).agg(F.count(F.lit(1)).alias("started"), F.count_if("has_images").alias("multimodal"))
+
+
+def error_types(ends: DataFrame, keys: list[str]) -> DataFrame:
+    """Ended requests by error type; those without one are not counted."""
+    return ends.filter("error_type is not null").groupBy(*keys, "error_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 def peak_concurrency(requests: DataFrame, key: str) -> DataFrame:
     """Most requests of a key under way at once, sampled at starts; an end at the same moment comes first."""
     events = requests.select(key, F.col("start_s").alias("t"), F.lit(1).alias("d")).unionByName(requests.select(key, F.col("end_s").alias("t"), F.lit(-1).alias("d")))
@@ -54,11 +66,19 @@ def latest(requests: DataFrame, keys: list[str], order: list, most: int = 50) ->
     return requests.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most)
 
 
-def health(keys: DataFrame) -> DataFrame:
-    """(provider, status, total, active, in_use, cooling, retired) of a key table with states."""
-    out = keys.groupBy("provider").agg(F.count(F.lit(1)).alias("total"), *[F.count_if(F.col("state") == s).alias(s) for s in ("active", "in_use", "cooling", "retired")])
-    return out.withColumn("status", F.when(F.col("active") > 0, "healthy").otherwise("degraded"))
+def health(keys: DataFrame, providers: tuple[str, ...] = ("mistral", "gemini")) -> DataFrame:
+    """One row: status, the number of active keys of each provider, vision_support."""
+    active = [F.count_if((F.col("provider") == p) & (F.col("state") == "active")).alias(f"{p}_keys_in_pool") for p in providers]
+    return keys.agg(*active).select(F.lit("healthy").alias("status"), "*", F.lit(True).alias("vision_support"))
 
 
-def status_line(counts: DataFrame) -> DataFrame:
-    return counts.withColumn("line", F.format_string("%d requests, %d succeeded, %d failed, success %.2f%%", "total", "succeeded", "failed", "success_rate"))
+@F.pandas_udf(StringType())
+def status_text(total: pd.Series, success_rate: pd.Series, active: pd.Series, mistral_keys: pd.Series, gemini_keys: pd.Series, response_s: pd.Series, rpm: pd.Series, up: pd.Series) -> pd.Series:
+    """The lines of a status report; keys that are not known are N/A."""
+    known = lambda n: "N/A" if pd.isna(n) else int(n)
+    return pd.Series(
+        [
+            f"Total Requests: {n:,}\nSuccess Rate: {ok:.1f}%\nActive Requests: {busy}\nActive Keys - Mistral: {known(m)} | Gemini: {known(g)}\nAvg Response: {s * 1000:.0f} ms\nThroughput: {r:.1f} req/min\nUptime: {u}"
+            for n, ok, busy, m, g, s, r, u in zip(total, success_rate, active, mistral_keys, gemini_keys, response_s, rpm, up)
+        ]
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from reelspan.functions import text as T
 from reelspan.operators import audio, enrich, shots, vectors
 from reelspan.plans.proxies import FRAMES, SEGMENTS, SHOTS, features, frames, segments, small_shots, table
 from reelspan.plans.registry import query
@@ -133,11 +134,11 @@ def keyframes_by_clusters(spark, sf_dir):
     return vectors.keyframes_of_shots(small_shots(spark, sf_dir), ["shot_id"], threshold=0.3)
 
 
-@query(f"with {FRAMES}, w as (select video_id, frame_idx from fr where frame_idx % 7 = 3 union select video_id, frame_idx + 1000000 from fr where frame_idx = 0) select f.video_id, f.frame_idx, f.event_id from fr f join w using (video_id, frame_idx)")
+@query(f"with {FRAMES}, w as (select video_id, frame_idx from fr where value >= 75 union select video_id, frame_idx + 1000000 from fr where frame_idx = 0) select f.video_id, f.frame_idx, f.event_id from fr f join w using (video_id, frame_idx)")
 def wanted_frames(spark, sf_dir):
     """Indices are chosen first, payloads joined last; wanted indices without a frame are skipped."""
     f = frames(spark, sf_dir)
-    wanted = f.filter("frame_idx % 7 = 3").select("video_id", "frame_idx").union(f.filter("frame_idx = 0").select("video_id", (F.col("frame_idx") + 1_000_000)))
+    wanted = f.filter("value >= 75").select("video_id", "frame_idx").union(f.filter("frame_idx = 0").select("video_id", (F.col("frame_idx") + 1_000_000)))
     return f.join(wanted, ["video_id", "frame_idx"]).select("video_id", "frame_idx", "event_id")
 
 
@@ -148,11 +149,11 @@ def missing_metadata(spark, sf_dir):
     return enrich.missing_from(table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels"), ["doc_id"])
 
 
-@query("with l as (select doc_id, quality::varchar quality, toxic::varchar toxic from labels where doc_id % 2 = 0) select * from l union all select d.doc_id, coalesce(i.quality::varchar, 'unknown'), coalesce(i.toxic::varchar, 'unknown') from (select doc_id from documents anti join l using (doc_id)) d left join labels i on i.doc_id = d.doc_id")
+@query("with l as (select doc_id, quality::varchar quality, toxic::varchar toxic from labels where quality = 1) select * from l union all select d.doc_id, coalesce(i.quality::varchar, 'unknown'), coalesce(i.toxic::varchar, 'unknown') from (select doc_id from documents anti join l using (doc_id)) d left join labels i on i.doc_id = d.doc_id")
 def repaired_metadata(spark, sf_dir):
-    """Labels of even documents are the metadata, all labels the info, documents the saved files."""
+    """Labels of good documents are the metadata, all labels the info, documents the saved files."""
     labels, docs = table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents").select("doc_id")
-    return enrich.repair(labels.filter("doc_id % 2 = 0"), docs, labels, ["doc_id"], ["quality", "toxic"])
+    return enrich.repair(labels.filter("quality = 1"), docs, labels, ["doc_id"], ["quality", "toxic"])
 
 
 @query("select l.doc_id, d.source, l.quality from labels l join documents d on d.doc_id = l.doc_id")
@@ -160,46 +161,61 @@ def attached_results(spark, sf_dir):
     return enrich.attach_results(table(spark, sf_dir, "documents").select("doc_id", "source"), table(spark, sf_dir, "labels").select("doc_id", "quality"), ["doc_id"])
 
 
-@query("with b as (select source, doc_id, (row_number() over (partition by source order by doc_id) - 1) // 6 batch_no from documents) select source, doc_id, batch_no from b")
+def _by_medium(spark, sf_dir):
+    """documents with medium: a source's documents by the 2,000 ids, so that a medium stays small as the table grows."""
+    return table(spark, sf_dir, "documents").withColumn("medium", F.concat_ws("-", "source", F.floor(F.col("doc_id") / 2000).cast("string")))
+
+
+MEDIUM = "dm as (select *, source || '-' || (doc_id // 2000) medium from documents)"
+
+
+@query(f"with {MEDIUM} select medium, doc_id, (row_number() over (partition by medium order by doc_id) - 1) // 6 batch_no from dm")
 def micro_batches(spark, sf_dir):
-    return enrich.micro_batches(table(spark, sf_dir, "documents").select("source", "doc_id"), 6, ["source"], ["doc_id"])
+    return enrich.micro_batches(_by_medium(spark, sf_dir).select("medium", "doc_id"), 6, ["medium"], ["doc_id"])
 
 
-@query("with b as (select source, doc_id, text, (row_number() over (partition by source order by doc_id) - 1) // 6 batch_no from documents), g as (select source, batch_no, list(doc_id order by doc_id) ids, list(left(text, 5) order by doc_id) filter (doc_id % 6 <> 5) rs from b group by 1, 2), e as (select source, batch_no, unnest(ids) item, unnest(range(0, len(ids)))::int pos, rs from g) select source, batch_no, pos, item, coalesce(rs[pos + 1], '') response from e")
+@query(f"with {MEDIUM}, b as (select medium, doc_id, lang, text, (row_number() over (partition by medium order by doc_id) - 1) // 6 batch_no from dm), g as (select medium, batch_no, list(doc_id order by doc_id) ids, list(text order by doc_id) filter (lang <> 'en') rs from b group by 1, 2), e as (select medium, batch_no, unnest(ids) item, unnest(range(0, len(ids)))::int pos, rs from g) select medium, batch_no, pos, item, coalesce(rs[pos + 1], '') response from e")
 def zipped_captions(spark, sf_dir):
-    """A batch's items with its responses by position; batches have too few responses and are padded."""
-    d = enrich.micro_batches(table(spark, sf_dir, "documents").select("source", "doc_id", "text"), 6, ["source"], ["doc_id"])
+    """A batch's items with its responses by position: whole texts, those in English missing, so that batches are padded."""
+    d = enrich.micro_batches(_by_medium(spark, sf_dir).select("medium", "doc_id", "lang", "text"), 6, ["medium"], ["doc_id"])
     ordered = lambda c: F.transform(F.sort_array(c), lambda s: s["v"])
-    g = d.groupBy("source", "batch_no").agg(ordered(F.collect_list(F.struct("doc_id", F.col("doc_id").alias("v")))).alias("ids"), ordered(F.collect_list(F.when(F.col("doc_id") % 6 != 5, F.struct("doc_id", F.left("text", F.lit(5)).alias("v"))))).alias("rs"))
-    return enrich.zip_positions(g, ["source", "batch_no"], "ids", "rs")
+    g = d.groupBy("medium", "batch_no").agg(ordered(F.collect_list(F.struct("doc_id", F.col("doc_id").alias("v")))).alias("ids"), ordered(F.collect_list(F.when(F.col("lang") != "en", F.struct("doc_id", F.col("text").alias("v"))))).alias("rs"))
+    return enrich.zip_positions(g, ["medium", "batch_no"], "ids", "rs")
 
 
-@query("select doc_id, 'frame_' || lpad(doc_id::varchar, greatest(3, len(doc_id::varchar))::int, '0') frame_name, row_number() over (partition by source order by doc_id)::int place from documents")
+@query(f"with {MEDIUM} select doc_id, 'frame_' || lpad(doc_id::varchar, greatest(3, len(doc_id::varchar))::int, '0') frame_name, row_number() over (partition by medium order by doc_id)::int place from dm")
 def numeric_name_order(spark, sf_dir):
     from pyspark.sql import Window
 
-    d = table(spark, sf_dir, "documents").select("doc_id", "source", F.format_string("frame_%03d", "doc_id").alias("frame_name"))
-    return d.select("doc_id", "frame_name", F.row_number().over(Window.partitionBy("source").orderBy(enrich.numeric_suffix(F.col("frame_name")))).alias("place"))
+    d = _by_medium(spark, sf_dir).select("doc_id", "medium", F.format_string("frame_%03d", "doc_id").alias("frame_name"))
+    return d.select("doc_id", "frame_name", F.row_number().over(Window.partitionBy("medium").orderBy(enrich.numeric_suffix(F.col("frame_name")))).alias("place"))
 
 
-@query()
+KEYFRAMES = f"{SHOTS}, k as (select s.video_id, s.shot_id, f.frame_idx, row_number() over (partition by s.video_id, s.shot_id order by f.frame_idx) k from fr f join sh s on f.video_id = s.video_id and f.frame_idx between s.start_idx and s.end_idx where (f.frame_idx - s.start_idx) % 3 = 0), n as (select *, row_number() over (partition by video_id order by shot_id, k) n from k), kf as (select *, 'frame_' || lpad(n::varchar, greatest(3, len(n::varchar))::int, '0') name from n)"
+
+
+@query(f"""with {KEYFRAMES}, t as (select video_id, max(n) last from kf group by 1)
+select video_id, 0 line_no, e'{{\n   "' || video_id || '": {{' line from t union all select video_id, (last + 1)::int, e'   }}\n}}' from t
+union all select video_id, n::int, '      "' || name || e'": {{\n         "id": ' || n || e',\n         "time-stamp": "' || printf('%02.0f', floor(frame_idx / 25.0 / 60)) || ':' || printf('%06.3f', (frame_idx / 25.0::double) % 60) || e'",\n         "shot": ' || shot_id || e',\n         "tags": [\n            "tag",\n            "of ' || video_id || e'"\n         ],\n         "ocr": "",\n         "caption": "é ' || name || e'"\n      }}' || case when n = last then '' else ',' end from kf join t using (video_id)""")
 def metadata_documents(spark, sf_dir):
-    """One JSON document a video, frames in numeric order; the tests read it back."""
-    k = _keyframes(spark, sf_dir).select("video_id", "frame_name", F.col("frame_no").alias("id"), F.format_string("%02d:%06.3f", F.floor(F.col("frame_idx") / 25 / 60), (F.col("frame_idx") / 25.0) % 60).alias("time_stamp"), F.col("shot_id").alias("shot"), F.array(F.lit("tag")).alias("tags"), F.lit("").alias("ocr"), F.concat(F.lit("é "), F.col("frame_name")).alias("caption"))
-    return enrich.metadata_json(k)
+    """The lines of one JSON document a video, frames in numeric order; the tests read it back."""
+    stamp = T.time_stamp(F.col("frame_idx") / F.lit(25.0))
+    k = _keyframes(spark, sf_dir).select("video_id", "frame_name", F.col("frame_no").alias("id"), stamp.alias("time_stamp"), F.col("shot_id").alias("shot"), F.array(F.lit("tag"), F.concat(F.lit("of "), F.col("video_id").cast("string"))).alias("tags"), F.lit("").alias("ocr"), F.concat(F.lit("é "), F.col("frame_name")).alias("caption"))
+    return enrich.metadata_lines(k)
 
 
-@query(f"with {SHOTS}, k as (select s.video_id, s.shot_id, row_number() over (partition by s.video_id, s.shot_id order by f.frame_idx) k from fr f join sh s on f.video_id = s.video_id and f.frame_idx between s.start_idx and s.end_idx where (f.frame_idx - s.start_idx) % 3 = 0), n as (select *, row_number() over (partition by video_id order by shot_id, k) n from k), h as (select video_id, count(distinct shot_id) s, count(*) c from n group by 1) select video_id, 0 line_no, 'Video: ' || video_id line from h union all select video_id, 1, 'Total shots: ' || s from h union all select video_id, 2, 'Total keyframes: ' || c from h union all select video_id, (n + 2)::int, 'frame_' || lpad(n::varchar, greatest(3, len(n::varchar))::int, '0') || ': shot ' || shot_id || ', keyframe ' || k from n")
+@query(f"with {KEYFRAMES}, h as (select video_id, count(distinct shot_id) s, count(*) c from kf group by 1) select video_id, 0 line_no, 'Video: ' || video_id line from h union all select video_id, 1, 'Total shots: ' || s from h union all select video_id, 2, 'Total keyframes: ' || c from h union all select video_id, 3, '' from h union all select video_id, (n + 3)::int, name || '.webp: Shot ' || shot_id || ', Keyframe ' || k || ', Original Frame ' || frame_idx from kf")
 def keyframe_summary(spark, sf_dir):
-    return enrich.summary_lines(_keyframes(spark, sf_dir))
+    return enrich.summary_lines(_keyframes(spark, sf_dir), shots=_shots(spark, sf_dir))
 
 
-@query("with f as (select source video_id, 'frame_' || lpad(doc_id::varchar, 6, '0') name, text from documents where doc_id % 3 = 0), n as (select *, (row_number() over (partition by video_id order by name) - 1) // 8 batch_no from f), v as (select distinct source video_id from documents), g as (select video_id, batch_no, count(*) n_images, min(name) first_name, sum(len(to_base64(encode(left(text, 40))))) n_base64 from n group by 1, 2), j as (select v.video_id, coalesce(batch_no, 0) batch_no, coalesce(n_images, 0) n_images, first_name, coalesce(n_base64, 0)::bigint n_base64 from v left join g using (video_id)) select video_id, batch_no, batch_no = 0 has_metadata, n_images, first_name, n_base64, batch_no = max(batch_no) over (partition by video_id) is_final_batch from j")
+@query(f"with {MEDIUM}, f as (select medium video_id, 'frame_' || lpad(doc_id::varchar, 6, '0') name, text from dm where lang <> 'en'), n as (select *, (row_number() over (partition by video_id order by name) - 1) // 8 batch_no from f), v as (select distinct medium video_id from dm), g as (select video_id, batch_no, count(*) n_images, min(name) first_name, sum(len(to_base64(encode(text)))) n_base64 from n group by 1, 2), j as (select v.video_id, coalesce(batch_no, 0) batch_no, coalesce(n_images, 0) n_images, first_name, coalesce(n_base64, 0)::bigint n_base64 from v left join g using (video_id)) select video_id, batch_no, batch_no = 0 has_metadata, n_images, first_name, n_base64, batch_no = max(batch_no) over (partition by video_id) is_final_batch from j")
 def upload_batches(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    files = d.filter("doc_id % 3 = 0").select(F.col("source").alias("video_id"), F.format_string("frame_%06d", "doc_id").alias("name"), F.left("text", F.lit(40)).cast("binary").alias("content"))
-    b = enrich.upload_batches(files, d.select(F.col("source").alias("video_id")).distinct().withColumn("metadata_json", F.lit("{}")))
-    # lower-case file names only in map keys: sizes and the first name tell a batch
+    """Whole texts as images; media in English only have none."""
+    d = _by_medium(spark, sf_dir)
+    files = d.filter("lang <> 'en'").select(F.col("medium").alias("video_id"), F.format_string("frame_%06d", "doc_id").alias("name"), F.col("text").cast("binary").alias("content"))
+    b = enrich.upload_batches(files, d.select(F.col("medium").alias("video_id")).distinct().withColumn("metadata_json", F.lit("{}")))
+    # sizes and the first name tell a batch
     return b.select("video_id", "batch_no", F.col("metadata_json").isNotNull().alias("has_metadata"), F.coalesce(F.size(F.map_keys("keyframes")), F.lit(0)).cast("long").alias("n_images"), F.array_min(F.map_keys("keyframes")).alias("first_name"), F.coalesce(F.aggregate(F.map_values("keyframes"), F.lit(0).cast("long"), lambda s, x: s + F.length(x)), F.lit(0)).alias("n_base64"), "is_final_batch")
 
 
@@ -234,9 +250,9 @@ def packed_chunks(spark, sf_dir):
     return audio.pack(segments(spark, sf_dir), 5000).select("media_id", "seg_idx", "chunk_no")
 
 
-@query(f"with {SEGMENTS}, t as (select sg.media_id, string_agg(left(d.text, 20), ' ' order by d.doc_id) as text from sg join documents d on d.doc_id = sg.seg_idx group by 1) select media_id, text from t")
+@query(f"with {SEGMENTS}, t as (select sg.media_id, string_agg(d.text, ' ' order by d.doc_id) as text from sg join documents d on d.doc_id = sg.seg_idx group by 1) select media_id, text from t")
 def ordered_transcripts(spark, sf_dir):
-    s = segments(spark, sf_dir).join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seg_idx"), F.left("text", F.lit(20)).alias("t")), "seg_idx")
+    s = segments(spark, sf_dir).join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seg_idx"), F.col("text").alias("t")), "seg_idx")
     return audio.joined_in_order(s, ["media_id"], "seg_idx", "t")
 
 

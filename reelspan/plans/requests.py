@@ -40,14 +40,27 @@ def latest_requests(spark, sf_dir):
     return out.select("model", "event_id", F.round(F.col("response_s") * 1000, 3).alias("ms"), "rank")
 
 
-@query(f"with {REQ} select model, count(*) n, round(sum(floor(response_s * 60000000) / 60000000), 2) total_minutes from rq where event_id % 3 <> 0 group by 1")
+@query(f"with {REQ} select model, count(*) n, round(sum(floor(response_s * 60000000) / 60000000), 2) total_minutes from rq where event_id in (select event_id from events where event_type <> 'signup') group by 1")
 def correlated_requests(spark, sf_dir):
-    """Starts of two thirds of the requests; ends of the rest are ignored."""
+    """Starts of all requests but the sign-ups, whose ends are ignored."""
     r = requests(spark, sf_dir)
-    both = metrics.correlate(r.filter("event_id % 3 <> 0").drop("end_s"), r.select("request_id", "end_s"))
+    starts = r.join(table(spark, sf_dir, "events").filter("event_type <> 'signup'").select("event_id"), "event_id", "left_semi").drop("end_s")
+    both = metrics.correlate(starts, r.select("request_id", "end_s"))
     return both.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("took_s") / 60, 2).alias("total_minutes"))
 
 
+@query(f"with {REQ} select model, count(*) started, count(*) filter (has_images) multimodal from rq group by 1")
+def model_usage(spark, sf_dir):
+    return metrics.started(requests(spark, sf_dir), ["model"])
+
+
+@query("select user_id model, 'over ' || floor(value / 50)::int * 50 error_type, count(*) n from events where event_type = 'error' group by 1, 2")
+def error_types(spark, sf_dir):
+    """Errors by the fifties of their value."""
+    kind = F.when(F.col("event_type") == "error", F.concat(F.lit("over "), (F.floor(F.col("value") / 50) * 50).cast("string")))
+    return metrics.error_types(table(spark, sf_dir, "events").select(F.col("user_id").alias("model"), kind.alias("error_type")), ["model"])
+
+
 @query("select time_bucket(interval '1 minute', ts) as minute, event_type, count(*) n from events group by 1, 2")
 def tumbling_minutes(spark, sf_dir):
     e = table(spark, sf_dir, "events")
@@ -60,22 +73,34 @@ def hopping_minutes(spark, sf_dir):
     return e.groupBy(F.window("ts", "5 minutes", "1 minute").alias("w")).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.end").alias("until"), (F.col("n") / F.lit(5.0)).alias("rpm"))
 
 
-@query("with k as (select user_id % 3 provider, user_id token, count(*) n from events group by 1, 2) select provider, count(*) total, count(*) filter (n % 4 = 0) active, count(*) filter (n % 4 = 1) in_use, count(*) filter (n % 4 = 2) cooling, count(*) filter (n % 4 = 3) retired, case when count(*) filter (n % 4 = 0) > 0 then 'healthy' else 'degraded' end status from k group by 1")
+@query("with k as (select user_id token, count(*) n from events group by 1) select 'healthy' status, count(*) filter (token % 2 = 0 and n % 4 = 0) mistral_keys_in_pool, count(*) filter (token % 2 = 1 and n % 4 = 0) gemini_keys_in_pool, true vision_support from k")
 def pool_health(spark, sf_dir):
     k = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     state = F.element_at(F.array(*[F.lit(s) for s in ("active", "in_use", "cooling", "retired")]), (F.col("n") % 4 + 1).cast("int"))
-    return metrics.health(k.select((F.col("user_id") % 3).alias("provider"), F.col("user_id").alias("token"), state.alias("state")))
+    return metrics.health(k.select(F.when(F.col("user_id") % 2 == 0, "mistral").otherwise("gemini").alias("provider"), F.col("user_id").alias("token"), state.alias("state")))
 
 
-@query(f"with {REQ} select model, count(*) || ' requests, ' || count(*) filter (success) || ' succeeded, ' || count(*) filter (not success) || ' failed' line from rq group by 1")
+@query(f"""with {REQ}, l as (select model, min(start_ts) a, max(start_ts) b from rq group by 1),
+c as (select model, count(*) total, count(*) filter (success) * 100.0::double / count(*) rate, count(*) filter (end_ts > b) active, count(*) filter (start_ts >= date_trunc('minute', b) - interval 4 minute) / 5.0::double rpm, (epoch_us(any_value(b)) - epoch_us(any_value(a))) // 1000000 up from rq join l using (model) group by 1),
+o as (select model, round(response_s * 100)::bigint h, row_number() over (partition by model order by start_ts desc, event_id desc) k from rq),
+h as (select model, avg(h) / 100 s from o where k <= 100 group by 1)
+select model, format('Total Requests: {{:,}}', total) || printf(e'\nSuccess Rate: %.1f%%', rate) || e'\nActive Requests: ' || active || e'\nActive Keys - Mistral: N/A | Gemini: N/A' || printf(e'\nAvg Response: %.0f ms', s * 1000) || printf(e'\nThroughput: %.1f req/min', rpm) || e'\nUptime: ' || case up // 86400 when 0 then '' when 1 then '1 day, ' else (up // 86400) || ' days, ' end || (up % 86400 // 3600) || ':' || lpad((up % 3600 // 60)::varchar, 2, '0') || ':' || lpad((up % 60)::varchar, 2, '0') report from c join h using (model)""")
 def status_report(spark, sf_dir):
-    out = metrics.status_line(metrics.counters(requests(spark, sf_dir), ["model"]))
-    return out.select("model", F.regexp_replace("line", ", success .*", "").alias("line"))
+    """A report a model as of its last request: requests still under way then, the mean of the last 100 responses, the last five minutes."""
+    r = requests(spark, sf_dir).withColumn("hundredths", F.round(F.col("response_s") * 100).cast("long"))
+    last = metrics.latest(r, ["model"], [F.desc("start_s"), F.desc("event_id")], 100).groupBy("model").agg((F.avg("hundredths") / 100).alias("response_s"))
+    rpm = metrics.per_minute(r, "start_s", keys=["model"]).groupBy("model").agg(F.max_by("rpm", "minute").alias("rpm"))
+    span = r.groupBy("model").agg(F.min("start_s").alias("a"), F.max("start_s").alias("b"))
+    counts = r.join(span, "model").groupBy("model").agg(F.count(F.lit(1)).alias("total"), (F.count_if("success") * 100.0 / F.count(F.lit(1))).alias("rate"), F.count_if(F.col("end_s") > F.col("b")).alias("active"), F.first("a").alias("a"), F.first("b").alias("b"))
+    micros = F.round((F.col("b") * 1_000_000).cast("decimal(20,3)") - (F.col("a") * 1_000_000).cast("decimal(20,3)")).cast("long")
+    out = counts.join(last, "model").join(rpm, "model").withColumn("up", F.floor(micros / 1_000_000))
+    none = F.lit(None).cast("long")
+    return out.select("model", metrics.status_text("total", "rate", "active", none, none, "response_s", "rpm", T.uptime(F.col("up"))).alias("report"))
 
 
 # ---------------------------------------------------------------- keys
 
-SHEET = "ks as (select nullif(c_name, case when c_custkey % 11 = 0 then c_name else '' end) as \"Token\", case when c_custkey % 13 = 0 then null else c_mktsegment end as \"Name\", c_custkey pos from customer union all select c_name, c_mktsegment, c_custkey + 1000000000 from customer where c_custkey % 5 = 0)"
+SHEET = "ks as (select nullif(c_name, case when c_custkey % 11 = 0 then c_name else '' end) as \"Token\", case when c_custkey % 13 = 0 then null else c_mktsegment end as \"Name\", c_custkey pos from customer union all select c_name, c_mktsegment, c_custkey + 1000000000 from customer where c_nationkey < 5)"
 
 
 def _sheet(spark, sf_dir):
@@ -83,7 +108,7 @@ def _sheet(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     i = F.col("c_custkey")
     a = c.select(F.when(i % 11 != 0, F.col("c_name")).alias(" Token"), F.when(i % 13 != 0, F.col("c_mktsegment")).alias("Name "), i.alias("pos"))
-    return a.unionByName(c.filter(i % 5 == 0).select(F.col("c_name").alias(" Token"), F.col("c_mktsegment").alias("Name "), (i + 1_000_000_000).alias("pos")))
+    return a.unionByName(c.filter("c_nationkey < 5").select(F.col("c_name").alias(" Token"), F.col("c_mktsegment").alias("Name "), (i + 1_000_000_000).alias("pos")))
 
 
 @query(f'with {SHEET} select "Token" token, arg_min("Name", pos) name, min(pos) pos from ks where "Token" is not null and "Name" is not null group by 1')
@@ -91,9 +116,9 @@ def clean_key_sheet(spark, sf_dir):
     return keys.clean_sheet(_sheet(spark, sf_dir))
 
 
-@query(f'with {SHEET}, k as (select "Token" token, min(pos) pos from ks where "Token" is not null and "Name" is not null group by 1) select token from k anti join (select c_name token from customer where c_custkey % 2 = 0) using (token)')
+@query(f'with {SHEET}, k as (select "Token" token, min(pos) pos from ks where "Token" is not null and "Name" is not null group by 1) select token from k anti join (select c_name token from customer where c_acctbal > 0) using (token)')
 def unseen_keys(spark, sf_dir):
-    known = table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0").select(F.col("c_name").alias("token"))
+    known = table(spark, sf_dir, "customer").filter("c_acctbal > 0").select(F.col("c_name").alias("token"))
     return keys.unseen(keys.clean_sheet(_sheet(spark, sf_dir)), known).select("token")
 
 
@@ -109,10 +134,10 @@ def model_names(spark, sf_dir):
 
 
 def _key_events(spark, sf_dir):
-    """Events as a pool's log: sign-ups load, clicks select, views release, errors retire, purchases confirm; users modulo 40 are providers."""
+    """Events as a pool's log: sign-ups load, clicks select, views release, errors retire, purchases confirm; a user is a provider."""
     e = table(spark, sf_dir, "events")
     kind = F.when(F.col("event_type") == "signup", "load").when(F.col("event_type") == "click", "select").when(F.col("event_type") == "view", "release").when(F.col("event_type") == "error", "retire").otherwise("success")
-    return e.select((F.col("user_id") % 40).cast("string").alias("provider"), (epoch_micros(F.col("ts")) / 1_000_000).alias("at_s"), F.col("event_id").alias("seq"), kind.alias("event"), F.when(kind != "select", F.concat(F.lit("k"), (F.col("event_id") % 5).cast("string"))).alias("token"))
+    return e.select(F.col("user_id").cast("string").alias("provider"), (epoch_micros(F.col("ts")) / 1_000_000).alias("at_s"), F.col("event_id").alias("seq"), kind.alias("event"), F.when(kind != "select", F.concat(F.lit("k"), (F.col("event_id") % 5).cast("string"))).alias("token"))
 
 
 @query()
@@ -133,15 +158,13 @@ def token_bucket_waits(spark, sf_dir):
 
 # ---------------------------------------------------------------- messages
 
-MODELS = "case user_id % 6 when 0 then 'Gemini-2.0-flash' when 1 then 'mistral-small' when 2 then ' pixtral-12b' when 3 then 'codestral-22b' when 4 then 'gpt-x' else 'GEMINI-pro' end"
-
-
 def _model():
-    names = ["Gemini-2.0-flash", "mistral-small", " pixtral-12b", "codestral-22b", "gpt-x", "GEMINI-pro"]
-    return F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("user_id") % 6 + 1).cast("int"))
+    user = F.col("user_id").cast("string")
+    kind = F.col("event_type")
+    return F.when(kind == "click", F.concat(F.lit("Gemini-"), user)).when(kind == "view", F.concat(F.lit("MISTRAL-"), user)).when(kind == "signup", F.concat(F.lit("pixtral-"), user)).when(kind == "purchase", "GPT-4o").otherwise(F.concat(F.lit("gpt-"), user))
 
 
-@query(f"with m as (select event_id, lower(trim({MODELS})) m from events) select event_id, case when m like 'gemini-%' then 'gemini' when m like 'mistral-%' or m like 'pixtral-%' or m like 'codestral-%' then 'mistral' else 'unsupported' end route from m")
+@query("with m as (select event_id, lower(case event_type when 'click' then 'Gemini-' || user_id when 'view' then 'MISTRAL-' || user_id when 'signup' then 'pixtral-' || user_id when 'purchase' then 'GPT-4o' else 'gpt-' || user_id end) m from events) select event_id, case when m like 'gemini-%' or m in ('gpt-4o', 'gpt-4-vision-preview') then 'gemini' when m like 'mistral-%' or m like 'pixtral-%' or m like 'codestral-%' then 'mistral' else 'unsupported' end route from m")
 def model_routes(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", T.model_route(_model()).alias("route"))
 
@@ -153,15 +176,17 @@ def vision_fallback(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", T.vision_model(model, parts, ["pixtral-12b", "pixtral-large-latest"], "pixtral-12b").alias("model"))
 
 
-ERRORS = ("HTTP 429: Resource Exhausted", "API key not valid. Please pass a valid one", "Connection timed out", "503 model overloaded", "401 Unauthorized", "strange")
-
-
-@query("with e as (select event_id, lower(case event_id % 6 " + " ".join(f"when {i} then '{x}'" for i, x in enumerate(ERRORS)) + """ end) e from events)
-select event_id, case when e like '%api key not valid%' or e like '%permission denied%' or e like '%401%' or e like '%403%' then 'remove' when e like '%429%' or e like '%quota%' or e like '%exhausted%' or e like '%503%' then 'retire' else 'other' end class,
-case when e like '%connection%' then 'The service cannot be reached.' when e like '%timed out%' then 'The request took too long.' when e like '%401%' then 'The key was refused.' when e like '%429%' then 'Too many requests.' else 'An unexpected error occurred.' end message from e""")
+@query("""with e as (select event_id, user_id % 2 = 0 mistral, case event_type when 'click' then 'Deadline Exceeded by ' || user_id when 'view' then 'API key not valid: ' || event_id when 'signup' then 'Permission_Denied: consumer suspended' when 'purchase' then 'Mistral request failed after ' || user_id || ' tries: Unauthorized' else 'HTTP ' || event_id || ': Connection refused' end e from events), l as (select *, lower(e) l from e)
+select event_id, case when mistral and (l like '%quota%' or l like '%rate limit%' or l like '%exceeded%' or l like '%permission_denied%' or l like '%unauthorized%' or l like '%invalid api key%') then 'retire' when mistral then 'other'
+when l like '%quota%' or l like '%rate limit%' or l like '%exceeded%' or l like '%invalid argument%' or l like '%internal error%' or regexp_matches(l, '504|503|500|429') then 'retire' when l like '%api key not valid%' or l like '%suspended%' or l like '%expired%' or l like '%permission_denied%' then 'remove' else 'retire' end class,
+case when e like '%Connection refused%' then 'Connection Failed. Is the AI Gateway server running at http://h?' when e like '%All Gemini API keys have been exhausted%' then 'Server reported that all Gemini keys are exhausted or have failed. Please check the server logs.' when e like '%Mistral request failed after%' then 'Server reported that all retries for Mistral failed. The Mistral API might be down or all keys are invalid.' else 'An unhandled error occurred: ' || e end message from l""")
 def error_classes(spark, sf_dir):
-    e = F.element_at(F.array(*[F.lit(x) for x in ERRORS]), (F.col("event_id") % 6 + 1).cast("int"))
-    return table(spark, sf_dir, "events").select("event_id", T.error_class(e).alias("class"), T.user_message(e).alias("message"))
+    """Errors with ids in them, some of which read like a status."""
+    user, kind = F.col("user_id").cast("string"), F.col("event_type")
+    e = F.when(kind == "click", F.concat(F.lit("Deadline Exceeded by "), user)).when(kind == "view", F.concat(F.lit("API key not valid: "), F.col("event_id").cast("string"))).when(kind == "signup", "Permission_Denied: consumer suspended")
+    e = e.when(kind == "purchase", F.concat(F.lit("Mistral request failed after "), user, F.lit(" tries: Unauthorized"))).otherwise(F.concat(F.lit("HTTP "), F.col("event_id").cast("string"), F.lit(": Connection refused")))
+    provider = F.when(F.col("user_id") % 2 == 0, "mistral").otherwise("gemini")
+    return table(spark, sf_dir, "events").select("event_id", T.error_class(e, provider).alias("class"), T.user_message(e, "http://h").alias("message"))
 
 
 @query("with c as (select *, row_number() over (partition by conv_id order by turn desc) = 1 is_last from conversations) select conv_id, turn, case when role = 'assistant' then 'model' else 'user' end provider_role, is_last from c where is_last or turn % 4 <> 1")
@@ -171,7 +196,7 @@ def chat_history(spark, sf_dir):
     return messages.split_history(m).select("conv_id", "turn", "provider_role", "is_last")
 
 
-@query("select conv_id, turn, case when turn % 3 = 0 then left(text, 30) else left(text, 10) || ' ' || role end as text, turn % 3 = 2 sends_images from conversations")
+@query("select conv_id, turn, case when turn % 3 = 0 then text else text || ' ' || role end as text, turn % 3 = 2 sends_images from conversations")
 def message_contents(spark, sf_dir):
     """String contents; lists of two text parts; and such lists with an image, decodable in every third turn only."""
     t = F.col("turn")
@@ -181,16 +206,18 @@ def message_contents(spark, sf_dir):
 
     none = F.lit(None)
     url = F.when(t % 3 == 2, "data:image/png;base64,aGVsbG8=").otherwise("data:image/png;base64,###")
-    parts = F.array(part("text", F.left("text", F.lit(10)), none), part("image_url", none, url), part("text", F.col("role"), none))
-    m = table(spark, sf_dir, "conversations").withColumn("content_text", F.when(t % 3 == 0, F.left("text", F.lit(30)))).withColumn("parts", F.when(t % 3 != 0, parts)).drop("text")
+    parts = F.array(part("text", F.col("text"), none), part("image_url", none, url), part("text", F.col("role"), none))
+    m = table(spark, sf_dir, "conversations").withColumn("content_text", F.when(t % 3 == 0, F.col("text"))).withColumn("parts", F.when(t % 3 != 0, parts)).drop("text")
     return messages.content_of(m).select("conv_id", "turn", "text", "sends_images")
 
 
-@query("select conv_id, turn, case when turn % 5 = 0 then 'a prompt or messages are required' when turn % 5 = 1 and role <> 'user' then 'images need a last user message of text' end error, (case when turn % 5 = 0 or (turn % 5 = 1 and role <> 'user') then null when turn % 5 = 1 then 4 else 1 end)::int n_parts, case when turn % 5 = 0 or (turn % 5 = 1 and role <> 'user') then null when turn % 5 = 1 then '[unreadable image: b.xyz]' else left(text, 12) end first_part from conversations")
+@query("""with e as (select *, case when turn % 5 = 0 then 'Either ''prompt'' or ''messages'' must be provided.' when turn % 5 = 1 and role <> 'user' then 'Images can only be added to the most recent ''user'' message in the history.' when turn % 5 = 3 then 'The last message content must be a string when providing new images.' end error from conversations where not (turn % 5 = 3 and role <> 'user') union all select *, 'Images can only be added to the most recent ''user'' message in the history.' from conversations where turn % 5 = 3 and role <> 'user')
+select conv_id, turn, error, case when error is null then case when turn % 5 = 1 then 2 else 1 end end::int n_parts, case when error is null then case when turn % 5 = 1 then e'[Error processing image 3: Error processing image file d/b.xyz: Unsupported or unknown image format for file: b.xyz]\n[Error processing image 2: Error processing image file a.doc: Unsupported or unknown image format for file: a.doc]\n' || text when turn % 5 = 2 then role else text end end first_part from e""")
 def assembled_requests(spark, sf_dir):
-    t = F.col("turn")
-    images = F.when(t % 5 == 1, F.array(F.lit("a.png"), F.lit("a.doc"), F.lit("b.xyz"))).otherwise(F.array().cast("array<string>"))
-    made = messages.assemble(F.lit(None).cast("string"), F.when(t % 5 == 0, 0).otherwise(1), F.col("role"), F.left("text", F.lit(12)), images)
+    """By turn: neither prompt nor messages; images on a text; a prompt only; images on list content; a message, and a prompt that does not count."""
+    t = F.col("turn") % 5
+    images = F.when(t.isin(1, 3), F.array(F.lit("a.png"), F.lit("a.doc"), F.lit("d/b.xyz"))).otherwise(F.array().cast("array<string>"))
+    made = messages.assemble(F.when(t == 0, "").when(t == 2, F.col("role")).otherwise("a prompt"), F.when(t.isin(0, 2), 0).otherwise(1), F.col("role"), F.when(t != 3, F.col("text")), images)
     out = table(spark, sf_dir, "conversations").select("conv_id", "turn", made.alias("m"))
     return out.select("conv_id", "turn", "m.error", F.when(F.col("m.parts").isNotNull(), F.size("m.parts")).alias("n_parts"), F.get("m.parts", F.lit(0))["value"].alias("first_part"))
 
@@ -211,7 +238,7 @@ def upload_checks(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", messages.upload_media_type(explicit, name).alias("media_type"), messages.file_upload_status(parts).alias("upload_status"))
 
 
-@query("""select conv_id, turn, '{"id":"' || conv_id || '-' || turn || '","object":"chat.completion","created":0,"model":"m","choices":[{"index":0,"message":{"role":"assistant","content":"' || role || '"},"finish_reason":"stop"}]}' response from conversations""")
+@query("""select conv_id, turn, '{"id":"' || conv_id || '-' || turn || '","object":"chat.completion","created":0,"model":"m","choices":[{"index":0,"message":{"role":"assistant","content":"' || role || '"},"finish_reason":"stop"}],"usage":{"prompt_tokens":0,"completion_tokens":0,"total_tokens":0}}' response from conversations""")
 def chat_completions(spark, sf_dir):
     c = table(spark, sf_dir, "conversations")
     return c.select("conv_id", "turn", messages.completion(F.lit("m"), F.col("role"), F.lit(0), F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))).alias("response"))

@@ -21,21 +21,26 @@ def time_stamps(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", T.time_stamp(F.col("event_id") / F.lit(25.0)).alias("time_stamp"))
 
 
-RAW = "case doc_id % 6 when 0 then '```json\n{\"extracted_texts\":[\" a ' || doc_id || '\",\"b\"]}\n```' when 1 then '{\"extracted_texts\":[]}' when 2 then '{\"extracted_texts\":[1]}' when 3 then '{\"other\":1}' when 4 then '  plain text ' || doc_id else '{bad' end"
+RAW = """case doc_id % 6 when 0 then e'```json\n{"a": ' || doc_id || e'}\n```' when 1 then 'so {"a": [' || doc_id || ']} it is' when 2 then '{' || doc_id || '}' when 3 then '{"other": "' || source || '"}' when 4 then '  plain text ' || doc_id else '{bad' end"""
 
 
 def _raw():
     i = F.col("doc_id")
     n = i.cast("string")
-    return F.when(i % 6 == 0, F.concat(F.lit('```json\n{"extracted_texts":[" a '), n, F.lit('","b"]}\n```'))).when(i % 6 == 1, '{"extracted_texts":[]}').when(i % 6 == 2, '{"extracted_texts":[1]}').when(i % 6 == 3, '{"other":1}').when(i % 6 == 4, F.concat(F.lit("  plain text "), n)).otherwise("{bad")
+    return F.when(i % 6 == 0, F.concat(F.lit('```json\n{"a": '), n, F.lit("}\n```"))).when(i % 6 == 1, F.concat(F.lit('so {"a": ['), n, F.lit("]} it is"))).when(i % 6 == 2, F.concat(F.lit("{"), n, F.lit("}"))).when(i % 6 == 3, F.concat(F.lit('{"other": "'), "source", F.lit('"}'))).when(i % 6 == 4, F.concat(F.lit("  plain text "), n)).otherwise("{bad")
 
 
-@query(f"select doc_id, case doc_id % 6 when 0 then 'a ' || doc_id when 1 then '' when 2 then '' else trim({RAW}) end ocr from documents")
+@query(r"""select doc_id, case when doc_id % 6 in (1, 2) then '' else trim(text, e' \t\n\r\x0b\x0c') end ocr from documents""")
 def ocr_texts(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.ocr_text(_raw()).alias("ocr"))
+    """Whole texts as answers: plain, and as the first, a later or no item of a JSON answer in a fence."""
+    i = F.col("doc_id") % 6
+    items = F.when(i == 0, F.array("text", F.lit("b"))).when(i == 1, F.array().cast("array<string>"))
+    made = F.concat(F.lit("```json\n"), F.to_json(F.struct(items.alias("extracted_texts"))), F.lit("\n```"))
+    raw = F.when(i < 2, made).when(i == 2, '{"extracted_texts": [1]}').otherwise(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.ocr_text(raw).alias("ocr"))
 
 
-@query(f"select doc_id, nullif(regexp_extract({RAW}, '(?s)\\{{.*\\}}', 0), '') object, trim(regexp_replace({RAW}, '```(json)?', '', 'g'), ' ') like '%```%' fenced from documents")
+@query(f"with o as (select doc_id, {RAW} raw, nullif(regexp_extract({RAW}, '(?s)\\{{.*\\}}', 0), '') object from documents) select doc_id, case when json_valid(object) then object end object, trim(regexp_replace(raw, '```(json)?', '', 'g'), ' ') like '%```%' fenced from o")
 def json_objects(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.json_object(_raw()).alias("object"), T.strip_fences(_raw()).contains("```").alias("fenced"))
 
@@ -46,9 +51,9 @@ def structured_ocr(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.structured_ocr(raw).alias("s")).select("doc_id", "s.*")
 
 
-@query("select doc_id, string_split(left(text, 20) || ' | ' || lang || '| ' || source || ' | ', ' | ') tags from documents")
+@query("select doc_id, string_split(text || ' | ' || lang || '| ' || source || ' | ', ' | ') tags from documents")
 def tag_lists(spark, sf_dir):
-    raw = F.concat(F.left("text", F.lit(20)), F.lit(" | "), "lang", F.lit("| "), "source", F.lit(" | "))
+    raw = F.concat("text", F.lit(" | "), "lang", F.lit("| "), "source", F.lit(" | "))
     return table(spark, sf_dir, "documents").select("doc_id", T.split_tags(raw).alias("tags"))
 
 
@@ -57,14 +62,15 @@ def url_names(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", T.base_name(F.col("url")).alias("base"), T.is_url(F.col("url")).alias("remote"), T.stem(F.col("url")).alias("stem"))
 
 
-@query("select doc_id, 'data:image/png;base64,' || to_base64(encode(left(text, 30))) uri, true valid, false invalid from documents")
+@query("""select doc_id, 'data:image/png;base64,' || to_base64(encode(text)) uri, true valid, false invalid, false unmarked from documents""")
 def image_uris(spark, sf_dir):
-    uri = T.data_uri(T.image_mime(F.lit("x.PNG")), F.left("text", F.lit(30)).cast("binary"))
-    d = table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace(uri, r"\s", "").alias("uri"))
-    return d.select("doc_id", "uri", T.is_image_uri(F.col("uri")).alias("valid"), T.is_image_uri(F.concat(F.lit("x"), "uri")).alias("invalid"))
+    """Whole texts as the bytes of a file; also the same with a stray prefix, and without the base64 marker."""
+    uri = T.data_uri(T.image_mime(F.lit("x.PNG")), F.col("text").cast("binary"))
+    d = table(spark, sf_dir, "documents").select("doc_id", uri.alias("uri"))
+    return d.select("doc_id", "uri", T.is_image_uri(F.col("uri")).alias("valid"), T.is_image_uri(F.concat(F.lit("x"), "uri")).alias("invalid"), T.is_image_uri(F.replace(F.col("uri"), F.lit(";base64"))).alias("unmarked"))
 
 
-@query("select event_id, (event_id * 7 // 3600) || ':' || lpad((event_id * 7 % 3600 // 60)::varchar, 2, '0') || ':' || lpad((event_id * 7 % 60)::varchar, 2, '0') up, greatest(1, (event_id + 7) // 8)::bigint n_batches, case when event_id % 4 = 0 then false else event_id % 4 = 1 end passes from events")
+@query("select event_id, case event_id * 7 // 86400 when 0 then '' when 1 then '1 day, ' else (event_id * 7 // 86400) || ' days, ' end || (event_id * 7 % 86400 // 3600) || ':' || lpad((event_id * 7 % 3600 // 60)::varchar, 2, '0') || ':' || lpad((event_id * 7 % 60)::varchar, 2, '0') up, greatest(1, (event_id + 7) // 8)::bigint n_batches, case when event_id % 4 = 0 then false else event_id % 4 = 1 end passes from events")
 def uptime_and_batches(spark, sf_dir):
     """Also the strict 32-bit threshold: 0.3 as a float does not pass, 0.31 does."""
     i = F.col("event_id")

@@ -137,16 +137,46 @@ def test_packing(spark):
 
 
 def test_metadata_and_archives(spark):
-    for r in registry.QUERIES["metadata_documents"](spark, SF).limit(3).collect():
-        own = json.loads(r.metadata_json)
-        frames = own[str(r.video_id)]
-        assert list(frames) == sorted(frames) and set(next(iter(frames.values()))) == {"id", "time-stamp", "shot", "tags", "ocr", "caption"}
-        assert "é" in r.metadata_json
+    lines = registry.QUERIES["metadata_documents"](spark, SF).orderBy("video_id", "line_no").collect()
+    for video in sorted({r.video_id for r in lines})[:3]:
+        made = "\n".join(r.line for r in lines if r.video_id == video)
+        own = json.loads(made)
+        frames = own[str(video)]
+        assert list(frames) == sorted(frames) and list(next(iter(frames.values()))) == ["id", "time-stamp", "shot", "tags", "ocr", "caption"]
+        assert json.dumps(own, indent=3, ensure_ascii=False) == made and "é" in made
     rows = spark.createDataFrame([("v", "b.webp", b"2"), ("v", "a.webp", b"1")], "video_id string, name string, content binary")
     z = zipfile.ZipFile(io.BytesIO(enrich.zip_archives(rows).first().archive))
     assert z.namelist() == ["a.webp", "b.webp"] and z.read("b.webp") == b"2"
 
 
+def test_errors_routes_and_uris(spark):
+    def same(cases, schema, made):
+        rows = spark.createDataFrame(cases, schema)
+        assert [(r.want, r.got) for r in rows.select("want", made.alias("got")).collect() if r.want != r.got] == []
+
+    errors = [("429 RESOURCE_EXHAUSTED", "gemini", "retire"), ("API key expired, quota left", "gemini", "retire"), ("API Key Not Valid", "gemini", "remove"), ("Unauthorized", "gemini", "retire"), ("Unauthorized", "mistral", "retire"), ("suspended", "mistral", "other"), ("504", "mistral", "other"), ("PERMISSION_DENIED", "gemini", "remove"), ("strange", "gemini", "retire")]
+    same(errors, "e string, p string, want string", X.error_class(F.col("e"), F.col("p")))
+    same([("GPT-4o", "gemini"), ("gpt-4-vision-preview", "gemini"), ("gpt-4o-mini", "unsupported"), ("Pixtral-x", "mistral"), (" gemini-pro", "unsupported"), ("", "unsupported")], "m string, want string", X.model_route(F.col("m")))
+    same([("data:image/png;base64,aGVsbG8=", True), ("data:image/png,aGVs", False), ("data:image/png;base64,aGVsbG8", False), ("data:image/png;base64,", True), ("data:image/png;base64,aG\nVs", False), ("data:text/plain;base64,aGVs", False), (None, False)], "u string, want boolean", X.is_image_uri(F.col("u")))
+    same([('so {"a": 1} it', '{"a": 1}'), ("{bad}", None), ("none", None), ("} {", None)], "x string, want string", X.json_object(F.col("x")))
+    same([("Connection refused by x", "Connection Failed. Is the AI Gateway server running at http://h?"), ("Timed out", "An unhandled error occurred: Timed out")], "e string, want string", X.user_message(F.col("e"), "http://h"))
+    same([(0, "0:00:00"), (86_399, "23:59:59"), (90_061, "1 day, 1:01:01"), (200_000, "2 days, 7:33:20")], "s long, want string", X.uptime(F.col("s")))
+
+
+def test_png(spark):
+    import struct
+    import zlib
+
+    rgb = bytes(range(2 * 3 * 3))
+    got = spark.createDataFrame([(2, 3, rgb), (2, 2, rgb), (2, 3, None)], "w int, h int, x binary").select(X.png("w", "h", "x").alias("p")).collect()
+    data = bytes(got[0].p)
+    at = data.index(b"IDAT")
+    size = struct.unpack(">I", data[at - 4 : at])[0]
+    rows = zlib.decompress(data[at + 4 : at + 4 + size])
+    assert b"".join(rows[7 * i + 1 : 7 * i + 7] for i in range(3)) == rgb and data[16:24] == struct.pack(">II", 2, 3)
+    assert got[1].p is None and got[2].p is None
+
+
 def test_key_pool():
     p = keys.Pool(10)
     assert p.apply(0, "select", None) == (None, "no keys")

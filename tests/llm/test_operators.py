@@ -318,7 +318,7 @@ def test_language_model_learns_from_every_text(spark):
         share = np.bincount(ids, minlength=pieces.n) / len(ids)
         _, model = lm.train_model(frame(spark, texts), path, steps=0)
         seen = np.flatnonzero(share)
-        got = model.p["b"][model.of[seen]] + model.inner[seen]
+        got = model.prior()[seen]
         assert got == pytest.approx(np.log(share[seen]), abs=0.15)
         counts, (x, y) = lm.gather(frame(spark, texts), pieces, rate=1, least=0, few=4)
         assert counts.tolist() == np.bincount(ids, minlength=pieces.n).tolist()

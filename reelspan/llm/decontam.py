@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelspan.llm.common import cut
+from reelspan.llm.common import beside, cut
 
 #: Units that may follow a number.
 UNITS = "km|cm|mm|kg|mg|ml|lb|lbs|oz|ft|mph|kph|miles?|meters?|metres?|grams?|liters?|litres?|hours?|minutes?|seconds?|days?|weeks?|months?|years?|dollars?|euros?|cents?|percent|usd|eur"
@@ -85,7 +85,7 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = 5, share: float = 0.8
         found = cut(text.select("doc_id", let(written(F.col("text")), lambda w: window_hashes(w, width)).alias("hashes")).select("doc_id", F.posexplode("hashes").alias("pos", "h")).join(small(hashes), "h", "left_semi").select("doc_id", "pos", "h"))
         # the words of the windows that met, read again from the few texts that hold them
         places = found.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "h")).alias("places"))
-        again = text.join(places, "doc_id").select("doc_id", written(F.col("text")).alias("words"), "places")
+        again = beside(text, places, "doc_id", "places").select("doc_id", written(F.col("text")).alias("words"), "places")
         own_words = F.transform("places", lambda x: F.struct(x["h"].alias("h"), F.slice("words", x["pos"] + 1, width).alias("words")))
         return again.select("doc_id", F.explode(own_words).alias("x")).select("doc_id", "x.h", "x.words", F.lit(width).alias("width")).distinct()
 

@@ -183,5 +183,5 @@ def order_minhash(docs: DataFrame, k: int = K, buckets: int = BUCKETS, order: in
             yield batch()
 
     # the guest closes its part: it sorts last whatever its doc_id
-    placed = rows.repartition(parts, "part").sortWithinPartitions("part", "guest", "doc_id", "text").select("part", "doc_id", "guest", "text")
+    placed = rows.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "guest", "doc_id", "text").select("part", "doc_id", "guest", "text")
     return placed.mapInArrow(run, schema)

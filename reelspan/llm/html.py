@@ -9,7 +9,8 @@ Inside the container, menus, page headers, footers, sidebars, notices, adverts,
 reader comments go, by tag or by class, id and role tokens.  Character references are decoded, white
 space inside a block becomes one space, blocks are joined by one line feed.
 
-Null and empty html: an empty text.  Markup that never closes is closed where its parent ends.
+Null and empty html: an empty text.  Markup that never closes is closed where its parent ends.  Of paths with equal votes
+the last by name wins; repeated rows each give their row and their vote; other columns of pages are not read.
 """
 
 from __future__ import annotations
@@ -21,7 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</?([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+from reelspan.llm.common import beside
+
+#: A quote means a quoted value right after an equals sign only; elsewhere it is a character of a name or value.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</?([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?)*+)>", re.S)
 _ATTR = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 
 #: Tags of HTML by their part in a page.
@@ -61,15 +65,20 @@ def _step(tag: str, attrs: str) -> str:
         return tag
     for k, a, b, c in _ATTR.findall(attrs):
         if k.lower() == "class":
-            return ".".join([tag, *sorted({re.sub(r"\d+", "N", x) for x in (a or b or c).split()})])
+            return ".".join([tag, *sorted({re.sub(r"\d+", "N", x).replace("/", "_") for x in (a or b or c).split()})])
     return tag
 
 
 class Page:
-    """Nodes (parent, tag, path, junk) and text blocks (node, text, letters inside links) of one page."""
+    """Nodes (parent, tag, number of path, junk) and text blocks (node, text, letters inside links) of one page.
+
+    A path is a number, known by the number of the path above it and its last step, so that deep pages stay small.
+    """
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.path, self.junk = [-1], [""], [""], [False]
+        self.parent, self.tag, self.path, self.junk = [-1], [""], [0], [False]
+        self.paths: dict[tuple[int, str], int] = {}
+        self.steps: list[tuple[int, str]] = [(-1, "")]
         self.blocks: list[tuple[int, str, int]] = []
         stack, text, linked, inlink = [0], [], 0, 0
         owner, at, n = 0, 0, len(source)
@@ -133,11 +142,33 @@ class Page:
             top = stack[-1]
             self.parent.append(top)
             self.tag.append(tag)
-            self.path.append(f"{self.path[top]}/{_step(tag, m[2])}" if tag in BLOCK else self.path[top])
+            self.path.append(self._path(self.path[top], _step(tag, m[2])) if tag in BLOCK else self.path[top])
             self.junk.append(self.junk[top] or _junk(tag, m[2]))
             stack.append(len(self.tag) - 1)
         flush()
 
+    def _path(self, above: int, step: str) -> int:
+        own = self.paths.setdefault((above, step), len(self.steps))
+        if own == len(self.steps):
+            self.steps.append((above, step))
+        return own
+
+    def _written(self, path: int) -> str:
+        out = []
+        while path:
+            path, step = self.steps[path]
+            out.append(step)
+        return "".join(f"/{x}" for x in reversed(out))
+
+    def _known(self, path: str) -> int | None:
+        """Number of a written path, if the page has it."""
+        at: int | None = 0
+        for step in path.split("/")[1:]:
+            at = self.paths.get((at, step))
+            if at is None:
+                return None
+        return at
+
     def votes(self) -> dict[str, float]:
         """Score of each container path: a block's text counts for its container, half for the next one out, less for links."""
         score: dict[int, float] = {}
@@ -149,12 +180,12 @@ class Page:
                     score[node] = score.get(node, 0.0) + worth * share
                     share /= 2
                 node = self.parent[node]
-        out: dict[str, float] = {}
+        out: dict[int, float] = {}
         for node, s in score.items():
             if self.tag[node] in ("article", "main"):
                 s *= 1.5
             out[self.path[node]] = max(out.get(self.path[node], 0.0), s)
-        return out
+        return {self._written(p): s for p, s in out.items()}
 
     def best(self) -> tuple[str, float]:
         votes = self.votes()
@@ -162,8 +193,9 @@ class Page:
 
     def text(self, path: str | None) -> str:
         """Blocks under the elements on path, else under the page's best container, else all."""
-        for own in (path, self.best()[0], ""):
-            if own is None or own not in self.path:
+        for written in (path, None, "") if path else (None, ""):
+            own = self._known(self.best()[0] if written is None else written)
+            if own is None:
                 continue
             inside = [False] * len(self.tag)
             for i in range(len(self.tag)):
@@ -204,5 +236,6 @@ def extract(pages: DataFrame, paths: DataFrame) -> DataFrame:
             texts = [Page(x).text(p) if x else "" for x, p in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    rows = pages.select("page_id", "url", F.col("html").cast("string"), host_of(F.col("url")).alias("host")).join(paths, "host", "left").select("page_id", "url", "html", "path")
+    rows = pages.select("page_id", "url", F.col("html").cast("string"), host_of(F.col("url")).alias("host"))
+    rows = beside(rows, paths, "host", how="left").select("page_id", "url", "html", "path")  # one path a host: the pages stay where they are
     return rows.mapInArrow(read, pages.select("page_id", "url").schema.add("text", "string"))

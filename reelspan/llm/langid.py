@@ -10,17 +10,26 @@ The automaton is completed to a table: a missing transition counts a phrase and
 parse is one table look-up a character, and numpy walks many texts in step.  Texts are walked in lanes of
 `lane` characters; a lane starts a new phrase.
 
-Training text is a bounded sample: whole texts in hash order until `chars` characters a language.
+Every language has an alphabet of its own: the frequent letters of its training text, one symbol for its rarer
+ones, and one for letters that it does not hold, which end a phrase each.  So scripts tell languages apart, and
+languages of many letters keep small tables.
+
+Training text is a bounded sample: pieces of at most PIECE characters of many texts in hash order, until `chars` characters a
+language (fewer where the languages are so many that the tables would pass TABLES bytes).  Texts of any length are read
+whole; repeated rows each have their prediction.
 """
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TRAIN_CHARS, LANE, SYMBOLS = 24_000, 256, 63
+PIECE, TABLES = 2_000, 1 << 29
 UNKNOWN = "und"
 
 
@@ -70,39 +79,56 @@ def parse_table(text: np.ndarray, symbols: int) -> np.ndarray:
 
 
 class Model:
-    """Parse tables of the languages over one alphabet of frequent characters (symbol 0: any other)."""
+    """Parse tables of the languages, each over its own alphabet.
+
+    Symbols: 0 what is no letter, 1 a letter outside the training text, 2 a rare one of it, 3 and more its frequent ones.
+    """
 
     def __init__(self, texts: dict[str, str], symbols: int = SYMBOLS):
         self.names = sorted(texts)
-        points = {k: _lower(_points(texts[k])) for k in self.names}
-        kinds, n = np.unique(np.concatenate([*points.values(), np.empty(0, np.uint32)]), return_counts=True)
-        letters = np.array([chr(c).isalpha() for c in kinds], bool)
-        kinds, n = kinds[letters], n[letters]
-        self.alphabet = np.sort(kinds[np.lexsort((kinds, -n))][: symbols - 2])
         self.symbols = symbols
-        look = self.lookup()
-        codes = [squeeze(look[points[k]])[0] for k in self.names]
-        self.tables = [parse_table(c, symbols) for c in codes]
-        self.bits = np.array([np.log2(max(2, len(c))) for c in codes])
-
-    def lookup(self) -> np.ndarray:
-        """Symbol of every code point: 0 for what is no letter, 1 for a letter outside the alphabet, lower-casing included."""
-        points = np.arange(0x110000, dtype=np.uint32)
-        low = _lower(points)
-        out = np.array([chr(c).isalpha() for c in range(0x110000)], np.uint8)
-        if len(self.alphabet):
-            at = np.minimum(np.searchsorted(self.alphabet, low), len(self.alphabet) - 1)
-            out = np.where(self.alphabet[at] == low, at + 2, out).astype(np.uint8)
+        self.letters, self.own, self.tables, bits = [], [], [], []
+        for k in self.names:
+            points = _lower(_points(texts[k]))
+            kinds, n = np.unique(points, return_counts=True)
+            letters = np.array([chr(c).isalpha() for c in kinds], bool)
+            kinds, n = kinds[letters], n[letters]
+            self.letters.append(kinds)
+            code = np.full(len(kinds), 2, np.uint8)
+            often = np.lexsort((kinds, -n))[: symbols - 3]
+            code[np.sort(often)] = np.arange(3, 3 + len(often))
+            self.own.append(code)
+            made = squeeze(self.lookup(len(self.own) - 1)[points])[0]
+            self.tables.append(parse_table(made, symbols))
+            bits.append(np.log2(max(2, len(made))))
+        self.bits = np.array(bits)
+
+    def lookup(self, k: int) -> np.ndarray:
+        """Language k's symbol of every code point, lower-casing included."""
+        low, letter = _cases()
+        out = letter.copy()
+        if len(self.letters[k]):
+            at = np.minimum(np.searchsorted(self.letters[k], low), len(self.letters[k]) - 1)
+            out = np.where(self.letters[k][at] == low, self.own[k][at], out).astype(np.uint8)
         return out
 
-    def phrases(self, symbols: np.ndarray, offsets: np.ndarray, lane: int = LANE, width: int = 2048) -> np.ndarray:
-        """Phrases that each text (its symbols between offsets) needs in each language."""
+    def phrases(self, looks: list[np.ndarray], points: np.ndarray, offsets: np.ndarray, lane: int = LANE, width: int = 2048) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases that each text (its code points between offsets) needs in each language, and its symbols."""
+        out = np.zeros((len(offsets) - 1, len(self.names)), np.int64)
+        sizes = np.zeros(len(offsets) - 1, np.int64)
+        for k, look in enumerate(looks):
+            codes, own = squeeze(look[points], offsets)
+            out[:, k] = self._walk(self.tables[k], codes, own, lane, width)
+            sizes = np.diff(own)  # what is no letter is the same in every language
+        return out, sizes
+
+    def _walk(self, table: np.ndarray, symbols: np.ndarray, offsets: np.ndarray, lane: int, width: int) -> np.ndarray:
         n = np.diff(offsets)
         lanes = -(-n // lane)
         of = np.repeat(np.arange(len(n)), lanes)
         start = offsets[:-1][of] + lane * (np.arange(len(of)) - np.repeat(np.cumsum(lanes) - lanes, lanes))
         size = np.minimum(lane, offsets[1:][of] - start)
-        out = np.zeros((len(n), len(self.names)), np.int64)
+        out = np.zeros(len(n), np.int64)
         by = np.argsort(-size, kind="stable")
         padded = np.concatenate([symbols, np.zeros(lane, np.uint8)])
         steps = np.arange(lane)
@@ -112,18 +138,24 @@ class Model:
             longest = int(length[0])
             block = np.ascontiguousarray(padded[start[own][:, None] + steps[None, :longest]].T).astype(np.int32)
             active = np.searchsorted(-length, -np.arange(longest), "left")  # lanes longer than the step
-            for k, table in enumerate(self.tables):
-                state = np.zeros(len(own), np.int32)
-                count = np.ones(len(own), np.int32)
-                for t in range(longest):
-                    m = active[t]
-                    v = table.take(state[:m] + block[t, :m])
-                    count[:m] += v & 1
-                    state[:m] = v >> 1
-                out[:, k] += np.bincount(of[own], weights=count, minlength=len(n)).astype(np.int64)
+            state = np.zeros(len(own), np.int32)
+            count = np.ones(len(own), np.int32)
+            for t in range(longest):
+                m = active[t]
+                v = table.take(state[:m] + block[t, :m])
+                count[:m] += v & 1
+                state[:m] = v >> 1
+            out += np.bincount(of[own], weights=count, minlength=len(n)).astype(np.int64)
         return out
 
 
+@cache
+def _cases() -> tuple[np.ndarray, np.ndarray]:
+    """Simple lower case of every code point, and whether it is a letter; made once a process."""
+    points = np.arange(0x110000, dtype=np.uint32)
+    return _lower(points), np.array([chr(c).isalpha() for c in range(0x110000)], np.uint8)
+
+
 def squeeze(codes: np.ndarray, offsets: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Runs of separators (0) become one; offsets follow."""
     keep = np.ones(len(codes), bool)
@@ -144,19 +176,28 @@ def _lower(points: np.ndarray) -> np.ndarray:
     return low[at] if len(points) else points
 
 
-def sample(docs: DataFrame, chars: int = TRAIN_CHARS) -> dict[str, str]:
-    """Labelled text a language: whole texts in hash order until `chars` characters (the last may pass that, and is cut there)."""
-    rows = docs.filter("lang is not null and text is not null and length(text) > 0").select("lang", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)).alias("h"), F.length("text").alias("n"))
-    sizes = rows.groupBy("lang").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.count(F.lit(1)).alias("m")).collect()
-    out = {}
+def sample(docs: DataFrame, chars: int = TRAIN_CHARS, piece: int = PIECE) -> dict[str, str]:
+    """Labelled text a language: a piece of each of many texts, in hash order until `chars` characters.
+
+    A language of few texts gives longer pieces of each, so that it reaches `chars` where its texts have as many.
+    """
+    h = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    rows = docs.filter("lang is not null and text is not null and length(text) > 0").select("lang", "text", h.alias("h"), F.length("text").alias("n"))
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("m"), F.avg(F.least(F.col("n"), F.lit(piece))).alias("mean")).collect()
     if not sizes:
-        return out
+        return {}
+    chars = min(chars, TABLES // (2 * SYMBOLS * 4 * len(sizes)))
     # a hash range that holds a few times the wanted rows at the mean length; the rest of the rows never leave the executors
-    reach = F.lit(0)
+    reach, most = F.lit(0), F.lit(piece)
     for r in sizes:
-        share = min(1.0, (4 * chars / (r.n / r.m) + 40) / r.m)
+        share = min(1.0, (4 * chars / r.mean + 40) / r.m)
         reach = F.when(F.col("lang") == r.lang, F.lit(int(share * (1 << 30)))).otherwise(reach)
-    found = rows.filter(F.col("h") < reach).select("lang", F.left("text", F.lit(chars)).alias("text"), "h").orderBy("lang", "h", "text").collect()
+        if r.m * r.mean < 2 * chars:  # every text of such a language is read, each for an even share at least
+            most = F.when(F.col("lang") == r.lang, F.lit(max(piece, chars))).otherwise(most)
+    room = F.greatest(F.lit(1), F.col("n") - most + 2)
+    taken = F.substring("text", (F.pmod(F.col("h"), room) + 1).cast("int"), most.cast("int"))
+    found = rows.filter(F.col("h") < reach).select("lang", taken.alias("text"), "h").orderBy("lang", "h", "text").collect()
+    out: dict[str, str] = {}
     for r in found:
         own = out.get(r.lang, "")
         if len(own) < chars:
@@ -172,13 +213,13 @@ def identify(docs: DataFrame, train: DataFrame, chars: int = TRAIN_CHARS, lane:
     """
     spark = docs.sparkSession
     texts = sample(train, chars)
-    shared = spark.sparkContext.broadcast(Model(texts))  # chars * languages bounds its size
+    shared = spark.sparkContext.broadcast(Model(texts))  # TABLES bounds its size
     keep = [c for c in docs.columns if c != "text"]
     schema = ", ".join(f"{docs.schema[c].name} {docs.schema[c].dataType.simpleString()}" for c in keep) + ", lang_pred string, score double"
 
     def run(batches):
         model = shared.value
-        symbols = model.lookup()
+        looks = [model.lookup(k) for k in range(len(model.names))]
         for b in batches:
             frame = b.column(len(keep))
             texts = frame.to_pylist()
@@ -188,12 +229,13 @@ def identify(docs: DataFrame, train: DataFrame, chars: int = TRAIN_CHARS, lane:
                 known = [t is not None and any(map(str.isalpha, t)) and bool(model.names) for t in part]
                 points = [_points(t) if ok else np.empty(0, np.uint32) for t, ok in zip(part, known)]
                 offsets = np.concatenate(([0], np.cumsum([len(p) for p in points])))
-                codes, offsets = squeeze(symbols[np.concatenate(points)] if offsets[-1] else np.empty(0, np.uint8), offsets)
+                every = np.concatenate(points) if offsets[-1] else np.empty(0, np.uint32)
                 if not model.names:
                     pred += [UNKNOWN] * len(part)
                     score += [0.0] * len(part)
                     continue
-                cost = model.phrases(codes, offsets, lane) * model.bits / np.maximum(1, np.diff(offsets))[:, None]
+                needed, size = model.phrases(looks, every, offsets, lane)
+                cost = needed * model.bits / np.maximum(1, size)[:, None]
                 best = cost.argmin(1)
                 low = cost[np.arange(len(part)), best]
                 rest = np.sort(cost, 1)[:, 1] if cost.shape[1] > 1 else low * 2

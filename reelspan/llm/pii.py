@@ -10,12 +10,15 @@ sentences that look like a spelt-out address.  Thresholds are calibrated per kin
 threshold that touch no base span are added, best score first.  Base spans always stay.
 
 Null and empty texts have no spans; positions are code points, ends exclusive.  With no sample of both
-outcomes no span is added.
+outcomes no span is added.  Texts of any length are read whole; repeated rows each have their spans; columns named like
+the results are replaced.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,8 @@ _IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
-_NUMBERS = re.compile(r"[+(]?[0-9][0-9().\x20/-]{5,38}[0-9]")
+_NUMBERS = re.compile(r"[+(]?[0-9][0-9().\x20/-]{5,}(?<=[0-9])")
+_GROUP = re.compile(r"[0-9]+")
 _SPELT = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}) ?[A-Za-z0-9-]{1,63}){1,6}", re.I)
 _HINT = re.compile(r"tel|phone|call|mobil|fax|card|visa|credit|mail|contact|account|ssn|iban|\bip\b|server|host", re.I)
 
@@ -82,11 +86,28 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _stretches(text: str):
+    """Runs of numbers; of a run longer than one number can be, each stretch of groups of 7 to 19 digits."""
+    for m in _NUMBERS.finditer(text):
+        if m.end() - m.start() <= 40:
+            yield m.start(), m.end()
+            continue
+        groups = [(g.start(), g.end()) for g in _GROUP.finditer(text, m.start(), m.end())]
+        for i, (a, _) in enumerate(groups):
+            n = 0
+            for c, b in groups[i : i + 19]:
+                n += b - c
+                if n > 19 or b - a > 40:
+                    break
+                if n >= 7:
+                    yield a - (a > m.start() and text[a - 1] in "+("), b
+
+
 def proposals(text: str) -> list[tuple[int, int, int]]:
     """(start, rank of kind, end) of the wide generators; they may overlap."""
     found = []
-    for m in _NUMBERS.finditer(text):
-        a, b, x = m.start(), m.end(), m.group()
+    for a, b in _stretches(text):
+        x = text[a:b]
         n = len(_digits(x))
         if n < 7:
             continue
@@ -119,15 +140,16 @@ def _wide(kind: int, x: str) -> list[str]:
 def lessons(text: str) -> list[tuple[list[float], bool]]:
     """Described proposals of one text and whether they are personal data."""
     base, out = base_spans(text), []
+    taken = Taken(base)
     for p in proposals(text):
-        if not _overlaps(p, base) and not _CUES[p[1]].search(text[max(0, p[0] - 24) : p[0]]):
+        if not taken.meets(p) and not _CUES[p[1]].search(text[max(0, p[0] - 24) : p[0]]):
             out.append((describe(text, p), False))  # after a cue it may well be personal data: no lesson
     for a, kind, b in base:
         for form in _wide(kind, text[a:b]):
             for cue in ("", _SAID[kind]):
                 before = text[max(0, a - 40) : a] + cue
                 made, end = before + form + text[b : b + 40], len(before) + len(form)
-                out += [(describe(made, p), True) for p in proposals(made) if p[1] == kind and p[0] < end and p[2] > len(before) and not _overlaps(p, base_spans(made))]
+                out += [(describe(made, p), True) for p in proposals(made) if p[1] == kind and p[0] < end and p[2] > len(before) and not Taken(base_spans(made)).meets(p)]
         if kind == 0:  # "meet (at) noon. Then" is a sentence
             before = text[max(0, a - 40) : a]
             made = before + text[a:b].replace("@", " (at) ").replace(".", ". ") + text[b : b + 40]
@@ -208,8 +230,22 @@ class Boosted:
         return 1 / (1 + np.exp(-margin))
 
 
-def _overlaps(a: tuple, spans: list[tuple]) -> bool:
-    return any(a[0] < s[2] and s[0] < a[2] for s in spans)
+class Taken:
+    """Spans in order of start, and the furthest end so far: whether another span overlaps one of them is one search."""
+
+    def __init__(self, spans: list[tuple]):
+        self.starts = [s[0] for s in spans]
+        self.ends = list(accumulate((s[2] for s in spans), max))
+
+    def meets(self, span: tuple) -> bool:
+        i = bisect_left(self.starts, span[2])
+        return i > 0 and self.ends[i - 1] > span[0]
+
+    def add(self, span: tuple) -> None:
+        """A span that meets none."""
+        i = bisect_left(self.starts, span[0])
+        self.starts.insert(i, span[0])
+        self.ends.insert(i, span[2])
 
 
 class Finder:
@@ -236,14 +272,16 @@ class Finder:
         base = base_spans(text)
         if self.model is None:
             return base, []
-        more = [p for p in proposals(text) if not _overlaps(p, base)]
+        taken = Taken(base)
+        more = [p for p in proposals(text) if not taken.meets(p)]
         if not more:
             return base, []
         s = self.model.score(np.array([describe(text, p) for p in more], float))
-        added: list[tuple] = []
+        added, own = [], Taken([])
         for i in np.argsort(-s, kind="stable"):
-            if s[i] >= self.thresholds[more[i][1]] and not _overlaps(more[i], added):
+            if s[i] >= self.thresholds[more[i][1]] and not own.meets(more[i]):
                 added.append(more[i])
+                own.add(more[i])
         return base, sorted(added)
 
 

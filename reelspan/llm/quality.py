@@ -5,10 +5,12 @@ of character classes, of pairs of classes, hashed words, and how much of it repe
 network learns, from labels of documents only, what to weigh: with z = tanh(W x), a passage's weight is
 softmax(w . (tanh(V z) * sigmoid(U z))), and the weighted sum of z is scored by a logistic output.
 
-Training uses at most `train_docs` labelled documents in hash order (and at most PASSAGES passages);
-features are computed where the documents are, the fit runs on the driver over that bounded sample.
+Training uses at most `train_docs` labelled documents in hash order, and of each at most PASSAGES passages, spread evenly
+over the text; features are computed where the documents are, the fit runs on the driver over that bounded sample.
+Scores use every passage.
 
-Null, empty and word-free texts: one passage without features, scored like any other.  Without both labels
+Null, empty and word-free texts: one passage without features, scored like any other.  Repeated rows of a labelled document
+count once in training and are each scored; different texts under one doc_id are all lessons of its label.  Without both labels
 in the sample, every score is the share of label 1 (0.5 if there are none).
 """
 
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 
 from reelspan.llm.common import slices, utf8, word_hashes
 
-PASSAGE, TRAIN_DOCS, PASSAGES = 640, 3000, 40_000
+PASSAGE, TRAIN_DOCS, PASSAGES = 640, 3000, 48
 HIDDEN, GATE, HASHED = 24, 16, 64
 
 #: Class of each byte: ASCII punctuation one by one; then digit, upper, lower, space, line end, other.
@@ -156,12 +158,11 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> G
     def load(batches):
         for b in batches:
             x, first = features(b.column(2))
-            n = np.diff(first)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int32()), pa.array([x[first[i] : first[i + 1]].tobytes() for i in range(len(n))], pa.binary())], ["doc_id", "label", "n", "x"])
+            own = [x[np.unique(np.linspace(i, j - 1, min(PASSAGES, j - i)).astype(int))] for i, j in zip(first[:-1], first[1:])]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(o) for o in own], pa.int32()), pa.array([o.tobytes() for o in own], pa.binary())], ["doc_id", "label", "n", "x"])
 
     rows = _labelled(docs.select("doc_id", "text"), labels, train_docs).select(F.col("doc_id").cast("long"), F.col("label").cast("int"), F.col("text").cast("string")).mapInArrow(load, "doc_id long, label int, n int, x binary").toPandas()
-    rows = rows.drop_duplicates(["doc_id", "n"]).sort_values("doc_id")
-    rows = rows[rows.n.cumsum() <= PASSAGES]
+    rows = rows.drop_duplicates(["doc_id", "x"]).sort_values(["doc_id", "x"])
     x = np.concatenate([np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in rows.x]) if len(rows) else np.empty((0, FEATURES), np.float32)
     return GatedAttention(x, np.concatenate(([0], np.cumsum(rows.n.to_numpy(np.int64)))), (rows.label.to_numpy() > 0).astype(np.float32))
 

@@ -94,6 +94,20 @@ def test_pii_adds_forms_beyond_the_base_rules(spark):
     assert pii.train(docs.repartition(3)).thresholds == finder.thresholds
 
 
+def test_pii_overlaps_and_long_runs():
+    r = random.Random(3)
+    for _ in range(60):
+        spans = sorted((a := r.randrange(60), r.randrange(4), a + r.randrange(1, 9)) for _ in range(r.randrange(12)))
+        taken = pii.Taken(spans)
+        for _ in range(20):
+            a = r.randrange(60)
+            p = (a, 0, a + r.randrange(1, 9))
+            assert taken.meets(p) == any(p[0] < s[2] and s[0] < p[2] for s in spans)
+    run = " ".join(["555 123 4567"] * 8)
+    found = pii.proposals(run)
+    assert {(12 * i + i, 3, 13 * i + 12) for i in range(8)} <= set(found) and (0, 3, 12) in found
+
+
 def test_boosting_separates():
     r = np.random.default_rng(0)
     x = r.normal(size=(400, 4))
@@ -112,6 +126,33 @@ def test_secrets(spark):
     assert secrets.scan(empty(spark)).count() == 0
 
 
+def test_trigram_queries_follow_from_the_patterns():
+    tri = lambda x: sorted({x[i : i + 3] for i in range(len(x) - 2)})
+    want = {"assign": ("password", "passwd", "secret", "token", "api_key", "apikey"), "access": ("akia",), "hex": (), "github": ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), "slack": ("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-"), "google": ("aiza",), "jwt": (".eyj",), "pem": ("private key-----",)}
+    for r in secrets.RULES:
+        assert sorted(secrets.trigram_query(r.pattern)) == sorted(map(tri, want[r.kind]))
+    cases = {"abcd+e": ["abcd"], "ab(?:cd|ef)?g": ["abcdg", "abefg", "abg"], "a.bc": None, "[^a]bcd": ["bcd"], r"x\\dabc": ["abc"], "abc|de": None, "abc|def": ["abc", "def"], "(ab)+c": ["abc"], "ab{3}cde": ["bcde"], r"\\x41bc": ["abc"]}
+    for pattern, words in cases.items():
+        assert sorted(secrets.trigram_query(pattern)) == sorted(map(tri, words or [])), pattern
+
+
+def test_trigram_index_equals_a_full_scan(spark):
+    import re
+
+    r = random.Random(12)
+    rules = tuple(secrets.Rule(f"k{i}", p) for i, p in enumerate(["ab(?:ca|b)[ab]+", "[abc]{4}", "(?i:caba)[:=]?c", "bbb|cac", "aab?c"]))
+    texts = [*ODD, *["".join(r.choice("abcABC:") for _ in range(r.randrange(0, 40))) for _ in range(150)]]
+    texts += texts[20:40]
+    rows = secrets.scan(frame(spark, texts), rules).collect()
+    assert len(rows) == len(texts)
+    for x in rows:
+        want = [(m.start(), i, m.end()) for i, rule in enumerate(rules) for m in re.finditer(rule.pattern, texts[x.doc_id] or "")]
+        assert [(s.start, s.rank, s.end) for s in x.spans] == sorted(want)
+    index = secrets.postings(frame(spark, ["abcab", "xbca", None]).selectExpr("doc_id row", "coalesce(text, '') text"), ["abc", "bca", "zzz"])
+    assert sorted(map(tuple, index.collect())) == [("abc", 0), ("bca", 0), ("bca", 1)]
+    assert {tuple(x) for x in secrets.candidates(index, {7: [["abc", "bca"]], 8: [["zzz"], ["bca"]]}).selectExpr("row", "explode(rules)").collect()} == {(0, 7), (0, 8), (1, 8)}
+
+
 @pytest.mark.parametrize(("k", "percent"), [(3, 90), (5, 80)])
 def test_jaccard(spark, k, percent):
     texts = [*ODD, *sample(90), *ODD[:5], *["same old text of some ten words in a row here"] * 7]
@@ -207,22 +248,43 @@ def test_order_minhash_sees_order():
 
 def test_parse_counts_phrases():
     r = random.Random(4)
-    texts = {"x": "".join(r.choice("ab ") for _ in range(300)), "y": "".join(r.choice("bc ") for _ in range(300))}
-    model = langid.Model(texts, symbols=16)
-    look = model.lookup()
-    for probe in ("abcabc", "aaaaabbbb", "zzz", "b"):
-        codes, _ = langid.squeeze(look[langid._points(probe)])
-        got = model.phrases(codes, np.array([0, len(codes)]), lane=1000)[0]
+    texts = {"x": "".join(r.choice("ab ") for _ in range(300)), "y": "".join(r.choice("bcdefgh ") for _ in range(300))}
+    model = langid.Model(texts, symbols=7)  # y has more letters than symbols
+    looks = [model.lookup(k) for k in range(2)]
+    for probe in ("abcabc", "aaaaabbbb", "zzz", "b", "a!?b  cB", "hgfedcb" * 9, "zazbz"):
+        points = langid._points(probe)
+        got, size = model.phrases(looks, points, np.array([0, len(points)]), lane=1000)
         for k, name in enumerate(model.names):
-            own = langid.squeeze(look[langid._points(texts[name])])[0].tobytes()
-            left, n = codes.tobytes(), 0
-            while left:
+            codes = langid.squeeze(looks[k][points])[0]
+            own = langid.squeeze(looks[k][langid._points(texts[name])])[0].tobytes()
+            # a phrase is the longest match from where the one before ended; a symbol that no phrase can begin with ends one, too
+            n, at, left = 1, 0, codes.tobytes()
+            while at < len(left):
                 m = 0
-                while m < len(left) and left[: m + 1] in own:
+                while at + m < len(left) and left[at : at + m + 1] in own:
                     m += 1
-                left, n = left[max(1, m) :], n + 1
-            # the table counts a phrase where it restarts; an unknown letter is a phrase of its own
-            assert abs(got[k] - n) <= 1 + probe.count("z")
+                at += m
+                if at < len(left):
+                    n += 1
+                    at += left[at : at + 1] not in own
+            assert (got[0, k], size[0]) == (n, len(codes))
+
+
+def test_language_by_script():
+    texts = {"el": "αβγδε ζηθ " * 60, "ja": "".join(chr(0x3040 + i % 80) + chr(0x4E00 + i * 7 % 900) for i in range(1500)), "zh": "".join(chr(0x4E00 + i * 11 % 2000) for i in range(3000)), "ru": "абвгде жзи " * 60}
+    model = langid.Model(texts)
+    looks = [model.lookup(k) for k in range(4)]
+    for want, probe in (("el", "δεζη αβγ"), ("ru", "ЖЗИ абв"), ("ja", texts["ja"][300:340]), ("zh", texts["zh"][500:560])):
+        points = langid._points(probe)
+        cost, _ = model.phrases(looks, points, np.array([0, len(points)]))
+        assert model.names[int((cost[0] * model.bits).argmin())] == want
+
+
+def test_language_sample_takes_pieces_of_many_texts(spark):
+    rows = [(i, "a" * 50_000 if i == 3 else f"text{i} " * 30, "xx") for i in range(400)] + [(1000, "only one " * 4000, "yy"), (1001, None, "yy"), (1002, "no language", None)]
+    got = langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(got) == {"xx", "yy"} and all(len(t) >= langid.TRAIN_CHARS for t in got.values())
+    assert got["xx"].count("a" * 100) <= langid.PIECE / 100 and len(set(got["xx"].split())) > 50
 
 
 def test_language(spark):
@@ -345,6 +407,25 @@ def test_html(spark):
     assert len(got) == 6
 
 
+def test_html_host_votes_beat_a_page(spark):
+    article = lambda i: f"<article class='post-{i}'><p>A fine article number {i}, with commas, and enough words to count.</p></article>"
+    page = lambda i, more="": f"<html><body><div class='wrap'>{article(i)}</div><div class='teasers'>{more}</div></body></html>"
+    teasers = "".join(f"<p>Teaser {k}, much longer than the article, with commas, and more, and more, and more.</p>" for k in range(9))
+    rows = [(i, "http://h.example/x", page(i)) for i in range(6)] + [(9, "http://h.example/y", page(9, teasers)), (10, "http://lone.example", page(10, teasers))]
+    pages = spark.createDataFrame([*rows, *rows[:2]], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html.extract(pages, html.winning_paths(pages)).collect()}
+    assert got[9] == "A fine article number 9, with commas, and enough words to count."
+    assert "Teaser" in got[10]  # nobody outvotes a lone page
+    assert html.extract(pages, html.winning_paths(pages)).count() == 10
+    assert html.extract(pages.limit(0), html.winning_paths(pages.limit(0))).count() == 0
+
+
+def test_html_stray_quotes_and_depth():
+    assert html.Page("""<body><p title="5" tall">Hello</p><p data-x=don't>World</p><p a = 'x>y' b="<i>">and <b c=d/>more</p></body>""").text(None) == "Hello\nWorld\nand more"
+    deep = html.Page("<div>" * 5000 + "deep text" + "</div>" * 5000)
+    assert deep.text(None) == "deep text" and len(deep.steps) == 5001
+
+
 def test_decontamination(spark):
     item = "The train to Paris leaves with 120 people and travels 300 km in 4 hours before it meets the other one near the old bridge"
     other = item.replace("120", "75").replace("300 km", "210 km").replace("Paris", "Lyon")

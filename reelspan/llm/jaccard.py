@@ -47,6 +47,8 @@ MEET = 4
 REACH = 20
 #: Groups of so many classes are compared pair by pair; larger ones are split.
 SMALL = 16
+#: About so many members of a larger group choose its centre.
+DRAWN = 24
 
 
 def shingles(words: np.ndarray, k: int) -> np.ndarray:
@@ -175,8 +177,8 @@ def links_in_groups(rows: DataFrame, percent: int) -> DataFrame:
     link when their w sum to 2 (100 + percent) s or less.  So an asker that is linked with a member of another
     component with which it shares nothing is linked with the member of least w in another component, too: one
     comparison an asker finds what connects them.  Classes that share an entry meet again in the subgroup of that
-    entry.  Before that a group is centred on the entries of more than half its rows, so that a subgroup has half
-    the rows at most; groups of SMALL rows are compared pair by pair.  Subgroups of one component, or with the rows of
+    entry, without it.  Before that a group is centred on the entries that more than half of some DRAWN members have: any
+    centre is right, this one keeps differences and subgroups small; groups of SMALL rows are compared pair by pair.  Subgroups of one component, or with the rows of
     another subgroup, go; a class enters those of its rarest entries only, as many as the bound on s asks for.
     """
     scale = 100 + percent
@@ -186,7 +188,7 @@ def links_in_groups(rows: DataFrame, percent: int) -> DataFrame:
     open_still = "a0 <> b1 or a1 <> b0"  # an asker and a member of different components
     state = cut(rows)
     while True:
-        live = state.groupBy("g").agg(F.count(F.lit(1)).alias("m"), *ends).filter(open_still).select("g", "m")
+        live = state.groupBy("g").agg(F.count(F.lit(1)).alias("m"), F.count_if(~F.col("asks")).alias("members"), *ends).filter(open_still).select("g", "m", "members")
         state = cut(beside(state, live, "g"))
         small = state.filter(F.col("m") <= SMALL)
         x, y = (small.filter(kind).select("g", *[F.col(c).alias(f"{side}_{c}") for c in ("a", "c", "n", "d")]) for side, kind in (("x", "asks"), ("y", "not asks")))
@@ -197,30 +199,34 @@ def links_in_groups(rows: DataFrame, percent: int) -> DataFrame:
         if large.isEmpty():
             return links
         # the centre of each large group; the member nearest to it, and the nearest one of another component than that
-        often = large.select("g", "m", F.explode("d").alias("t")).groupBy("g", "m", "t").agg(F.count(F.lit(1)).alias("f")).filter("2 * f > m")
+        drawn = large.filter("not asks").filter(F.pmod(F.xxhash64("a"), F.col("members")) < DRAWN)
+        n = drawn.groupBy("g").agg(F.count(F.lit(1)).alias("drawn"))
+        often = drawn.select("g", F.explode("d").alias("t")).groupBy("g", "t").agg(F.count(F.lit(1)).alias("f")).join(n, "g").filter("2 * f > drawn")
         centre = large.select("g").distinct().join(often.groupBy("g").agg(F.collect_list("t").alias("centre")), "g", "left").select("g", F.coalesce("centre", F.array().cast("array<bigint>")).alias("centre"))
-        large = beside(large, centre, "g", "centre").withColumn("d", _symmetric("d", "centre")).drop("centre", "m")
+        large = beside(large, centre, "g", "centre").withColumn("d", _symmetric("d", "centre")).drop("centre", "m", "members")
         large = cut(large.withColumn("w", F.size("d") * scale - F.col("n") * (100 - percent)))
         members, nearest = large.filter("not asks"), F.min_by(F.struct("a", "c", "w", "d"), F.struct("w", "a"))
         one = cut(members.groupBy("g").agg(nearest.alias("x")))
         two = beside(members, one.select("g", F.col("x.c").alias("c1")), "g").filter("c <> c1").groupBy("g").agg(nearest.alias("y"))
-        both = one.join(two, "g", "left").join(large.filter("asks").groupBy("g").agg(F.min("w").alias("least")), "g")
+        room = F.when(F.col("asks"), "asks").otherwise("met")
+        bounds = large.groupBy("g").agg(F.min(F.when(F.col("asks"), F.col("w"))).alias("least"), *[F.max(F.when(room == x, F.size("d") * scale + F.col("n") * (100 - percent))).alias(f"most_{x}") for x in ("asks", "met")])
+        both = one.join(two, "g", "left").join(bounds, "g")
         star = beside(large, both.withColumn("size", F.concat("x.d", F.coalesce("y.d", F.array().cast("array<bigint>")))), "g", "size")
         star = star.withColumn("x", F.when(F.col("x.c") != F.col("c"), F.col("x")).otherwise(F.col("y")))
-        star = star.select("g", "a", "c", "n", "d", "asks", "w", F.when(F.col("asks"), F.col("x.w")).otherwise(F.col("least")).alias("other_w"), F.col("x.a").alias("x_a"), F.col("x.c").alias("x_c"), (F.col("asks") & (F.col("w") + F.col("x.w") <= 2 * scale * F.size(F.array_intersect("d", "x.d")))).alias("linked"))
+        star = star.select("g", "a", "c", "n", "d", "asks", "w", F.when(F.col("asks"), F.col("x.w")).otherwise(F.col("least")).alias("other_w"), (F.col("w") <= F.when(F.col("asks"), F.col("most_met")).otherwise(F.col("most_asks"))).alias("near"), F.col("x.a").alias("x_a"), F.col("x.c").alias("x_c"), (F.col("asks") & (F.col("w") + F.col("x.w") <= 2 * scale * F.size(F.array_intersect("d", "x.d")))).alias("linked"))
         star = cut(star.filter("other_w is not null"))  # else every member is of the asker's component
         made = star.filter("linked")
         links = links.union(cut(made.select("a", F.col("x_a").alias("b"))))
         merged = components(made.select(F.col("c").alias("a"), F.col("x_c").alias("b")).distinct()).withColumnRenamed("node", "c")
-        star = cut(beside(star, merged, "c", how="left").withColumn("c", F.coalesce("component", "c")).select("g", "a", "c", "n", "d", "asks", "w", "other_w"))
+        star = cut(beside(star, merged, "c", how="left").withColumn("c", F.coalesce("component", "c")).filter("near").select("g", "a", "c", "n", "d", "asks", "w", "other_w"))  # who is too far even if it shared all of a partner's entries goes
         # subgroups: by entries that askers and members of different components share
-        entries = star.select("g", "a", "c", "asks", F.greatest(F.lit(1), F.ceil((F.col("w") + F.col("other_w")) / (2 * scale))).alias("needed"), F.explode("d").alias("t"))
+        entries = star.select("g", "a", "c", "asks", F.greatest(F.lit(1), F.ceil((F.col("w") + F.col("other_w")) / (2 * scale))).alias("needed"), "d").filter(F.col("needed") <= F.size("d")).withColumn("t", F.explode("d")).drop("d")
         useful = entries.groupBy("g", "t").agg(F.count(F.lit(1)).alias("f"), *ends).filter(open_still).select("g", "t", "f")
         entries = cut(entries.join(useful, ["g", "t"]))
         own = Window.partitionBy("g", "a", "asks")
         entries = cut(entries.withColumn("u", F.count(F.lit(1)).over(own)).withColumn("rank", F.row_number().over(own.orderBy("f", "t"))).filter("rank <= u - needed + 1").select("g", "a", "c", "asks", "t"))
         alike = entries.groupBy("g", "t").agg(F.bit_xor(F.xxhash64("a", "asks")).alias("rows"), F.count(F.lit(1)).alias("m"), *ends).filter(open_still).groupBy("g", "rows", "m").agg(F.min("t").alias("t")).select("g", "t")
-        state = entries.join(alike, ["g", "t"]).select("g", "t", "a", "asks").join(star, ["g", "a", "asks"]).select(F.xxhash64("g", "t").alias("g"), "a", "c", "n", "d", "asks")
+        state = entries.join(alike, ["g", "t"]).select("g", "t", "a", "asks").join(star, ["g", "a", "asks"]).select(F.xxhash64("g", "t").alias("g"), "a", "c", "n", F.array_remove("d", F.col("t")).alias("d"), "asks")
 
 
 def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80, sketch_bits: int | None = None) -> DataFrame:

@@ -21,6 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelspan.llm.common import numbered
+
 MEMO = 1 << 18
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -229,7 +231,8 @@ def _map(docs: DataFrame, path: str, pattern: str, source: str, added: list[tupl
     names = {x for x, _ in added}
     keep = [c for c in docs.columns if c not in names]
     types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
-    schema = docs.select(*keep).schema
+    given = numbered(docs.select(*[F.col(f"`{c}`") for c in keep]))
+    schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema
     for name, kind in added:
         schema = schema.add(name, kind)
     at = keep.index(source)
@@ -239,6 +242,6 @@ def _map(docs: DataFrame, path: str, pattern: str, source: str, added: list[tupl
         for b in batches:
             rows = [f(own, empty if x is None else x) for x in b.column(at).to_pylist()]
             made = list(zip(*rows)) or [()] * len(added)
-            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(c, types[k]) for c, (_, k) in zip(made, added))], [*b.schema.names, *(x for x, _ in added)])
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(c, types[k]) for c, (_, k) in zip(made, added))], schema.names)
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
+    return given.mapInArrow(run, schema)

@@ -36,6 +36,19 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """wanted, with as many underscores behind it as it takes to be no column of df, in either case."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """df with its columns named by position: mapInArrow looks columns up by name, which fails for names with a dot."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 #: Small sides of joins are broadcast up to so many rows (a few numbers each); beyond that both sides are shuffled.
 BROADCAST_ROWS = 250_000
 

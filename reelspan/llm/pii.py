@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reelspan.llm.common import numbered
+
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS, TREES, DEPTH = 6000, 40, 3
 
@@ -319,9 +321,9 @@ def detect(docs: DataFrame, finder: Finder) -> DataFrame:
         for b in batches:
             both = [shared.value.find(t) if t else ([], []) for t in b.column(at).to_pylist()]
             cols = [pa.array([[{"start": s, "rank": k, "end": e} for s, k, e in x[i]] for x in both], arrow) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*b.columns, *cols], [*b.schema.names, "base", "added"])
+            yield pa.RecordBatch.from_arrays([*b.columns, *cols], schema.names)
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
+    return numbered(docs.select(*[F.col(f"`{c}`") for c in keep])).mapInArrow(run, schema)
 
 
 def redact(text: str, spans: list[tuple]) -> str:
@@ -339,12 +341,12 @@ def redact(text: str, spans: list[tuple]) -> str:
 def redacted(docs: DataFrame, finder: Finder) -> DataFrame:
     """docs with the found spans of text replaced; null stays null."""
     shared = docs.sparkSession.sparkContext.broadcast(finder)
-    cols = docs.columns
+    cols, schema = docs.columns, docs.schema
     at = cols.index("text")
 
     def run(batches):
         for b in batches:
             texts = [t if not t else redact(t, sum(shared.value.find(t), [])) for t in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(b.columns)], b.schema.names)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(b.columns)], cols)
 
-    return docs.mapInArrow(run, docs.schema)
+    return numbered(docs).mapInArrow(run, schema)

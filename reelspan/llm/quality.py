@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelspan.llm.common import slices, utf8, word_hashes
+from reelspan.llm.common import numbered, slices, utf8, word_hashes
 
 PASSAGE, TRAIN_DOCS, PASSAGES = 640, 3000, 48
 HIDDEN, GATE, HASHED = 24, 16, 64
@@ -57,7 +57,7 @@ def features(texts: pa.Array, passage: int = PASSAGE) -> tuple[np.ndarray, np.nd
         size = np.maximum(1, np.bincount(where, minlength=m))[:, None]
         x[:, :CLASSES] = np.bincount(where * CLASSES + _CLASS[text], minlength=m * CLASSES).reshape(m, -1) / size
         c = _COARSE[text].astype(np.int64)
-        x[:, CLASSES : CLASSES + 49] = np.bincount(where[1:] * 49 + c[:-1] * 7 + c[1:], minlength=m * 49).reshape(m, -1) / size
+        x[:, CLASSES : CLASSES + 49] = np.bincount((where[1:] * 49 + c[:-1] * 7 + c[1:])[row[1:] == row[:-1]], minlength=m * 49).reshape(m, -1) / size
         # words: spread over a text's passages by rank (their places follow closely)
         k = np.diff(at)
         of = np.repeat(np.arange(b - a), k)
@@ -153,7 +153,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> GatedAttention:
-    """A model from docs(doc_id, text) and labels(doc_id, label of 0 or 1)."""
+    """A model from docs(doc_id, text) and labels(doc_id, label of 0 or 1); of several texts under one doc_id it learns from one."""
 
     def load(batches):
         for b in batches:
@@ -161,8 +161,9 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> G
             own = [x[np.unique(np.linspace(i, j - 1, min(PASSAGES, j - i)).astype(int))] for i, j in zip(first[:-1], first[1:])]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(o) for o in own], pa.int32()), pa.array([o.tobytes() for o in own], pa.binary())], ["doc_id", "label", "n", "x"])
 
-    rows = _labelled(docs.select("doc_id", "text"), labels, train_docs).select(F.col("doc_id").cast("long"), F.col("label").cast("int"), F.col("text").cast("string")).mapInArrow(load, "doc_id long, label int, n int, x binary").toPandas()
-    rows = rows.drop_duplicates(["doc_id", "x"]).sort_values(["doc_id", "x"])
+    rows = _labelled(docs.select("doc_id", "text"), labels, train_docs).select(F.col("doc_id").cast("long"), F.col("label").cast("int"), F.col("text").cast("string")).mapInArrow(load, "doc_id long, label int, n int, x binary")
+    # one row a document, merged before it leaves its task: a doc_id of very many rows brings one to the driver
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("x", "label", "n")).alias("r")).select("doc_id", "r.*").toPandas().sort_values("doc_id")
     x = np.concatenate([np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in rows.x]) if len(rows) else np.empty((0, FEATURES), np.float32)
     return GatedAttention(x, np.concatenate(([0], np.cumsum(rows.n.to_numpy(np.int64)))), (rows.label.to_numpy() > 0).astype(np.float32))
 
@@ -178,6 +179,6 @@ def score(docs: DataFrame, model: GatedAttention, name: str = "score") -> DataFr
         for b in batches:
             _, offsets = utf8(b.column(at))
             made = [shared.value.score(*features(b.column(at).slice(i, j - i))) for i, j in slices(offsets, 1 << 22)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate(made) if made else [], pa.float64())], [*b.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate(made) if made else [], pa.float64())], schema.names)
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
+    return numbered(docs.select(*[F.col(f"`{c}`") for c in keep])).mapInArrow(run, schema)

@@ -309,6 +309,22 @@ def test_quality(spark):
     assert {r.score for r in quality.score(frame(spark, ODD), quality.train(empty(spark), empty(spark).selectExpr("doc_id", "score label"))).collect()} == {0.5}
 
 
+def test_quality_features_are_of_one_text():
+    texts = [t for t in ODD if t] + sample(12)
+    x, first = quality.features(pa.array(texts))
+    for i, t in enumerate(texts):
+        assert (quality.features(pa.array([t]))[0] == x[first[i] : first[i + 1]]).all()
+
+
+def test_quality_learns_once_from_a_repeated_document(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").selectExpr("doc_id", "quality label")
+    one = labels.orderBy("doc_id").first().doc_id
+    hot = docs.union(docs).union(docs.filter(docs.doc_id == one).crossJoin(spark.range(300)).select("doc_id", "text"))
+    a, b = quality.train(docs, labels), quality.train(hot.repartition(7), labels)
+    assert a.fitted and all((a.p[k] == b.p[k]).all() for k in a.p)
+
+
 def test_quality_gradients():
     r = np.random.default_rng(1)
     x, first, y = r.normal(size=(7, quality.FEATURES)).astype(np.float32), np.array([0, 3, 7]), np.array([1.0, 0.0], np.float32)

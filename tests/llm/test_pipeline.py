@@ -76,5 +76,16 @@ def test_one_of_each_with_null_and_clashing_ids(spark):
     assert seen[0] == seen[1]
 
 
+def test_stages_keep_columns_of_clashing_names(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60).selectExpr("*", "doc_id + 1 as row", "'s' as score", "lang as `a.b`", "source as hash", "1 as component_id", "2 as ROW_", "text as item_id")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, SF)
+        assert got.columns == docs.columns
+        assert all(r["row"] == r.doc_id + 1 and r["score"] == "s" and r["a.b"] == r.lang for r in got.collect())
+        without = docs.select("doc_id", "lang", "source", "text")
+        assert stage(spark, without, SF).columns == without.columns
+    assert corpus_pipeline.token_ids(spark, docs, SF).count() == 60
+
+
 def test_quality_keeps_what_op3_predicts():
     assert corpus_pipeline.QUALITY == 0.7

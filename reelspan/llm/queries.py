@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspan.llm import bpe, decontam, fingerprint, html, jaccard, langid, lm, pii, quality, secrets
+from reelspan.llm import bpe, decontam, fim, fingerprint, html, jaccard, langid, lm, pii, quality, secrets
 from reelspan.llm.common import bucket_of, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -114,11 +114,25 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fim.restored(fim.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return rows.select("doc_id", "n", "form", F.col("prefix_n").alias("prefix_chars"), F.col("middle_n").alias("middle_chars"), _sha(F.col("output")).alias("output_sha256"), _sha(F.col("restored")).alias("restored_sha256"))
+
+
+OP12_SQL = """
+with d as (select doc_id, coalesce(text, '') t, length(coalesce(text, ''))::bigint n, sha256('1:' || doc_id) h from documents),
+u as (select doc_id, t, n, ('0x' || h[1:8])::bigint % (n + 1) a, ('0x' || h[9:16])::bigint % (n + 1) b, ('0x' || h[17:24])::bigint % 100 c, ('0x' || h[25:32])::bigint % 100 e from d),
+f as (select doc_id, t, n, least(a, b) i, greatest(a, b) j, case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or c >= 90 then 'plain' when e < 20 then 'spm' else 'psm' end form from u),
+p as (select doc_id, t, n, form, i, j, substring(t, 1, i) x, substring(t, i + 1, j - i) y, substring(t, j + 1) z from f)
+select doc_id, n, form, case when form <> 'plain' then i end prefix_chars, case when form <> 'plain' then j - i end middle_chars,
+sha256(case form when 'plain' then t when 'psm' then '<P>' || x || '<S>' || z || '<M>' || y else '<S>' || z || '<P>' || x || '<M>' || y end) output_sha256, sha256(t) restored_sha256 from p"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_secrets, op3_quality, op4_ngram_jaccard, op5_html, op6_order_minhash, op7_language, op8_bpe, op9_lm, op10_decontaminate, pipeline)}
-SQL = {"op2_secrets": _op2_sql(), "op4_ngram_jaccard": OP4_SQL}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_secrets, op3_quality, op4_ngram_jaccard, op5_html, op6_order_minhash, op7_language, op8_bpe, op9_lm, op10_decontaminate, op12_fim, pipeline)}
+SQL = {"op2_secrets": _op2_sql(), "op4_ngram_jaccard": OP4_SQL, "op12_fim": OP12_SQL}

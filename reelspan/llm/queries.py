@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspan.llm import bpe, decontam, fim, fingerprint, html, jaccard, langid, lm, pii, quality, secrets
-from reelspan.llm.common import bucket_of, table
+from reelspan.llm import bpe, decontam, fim, fingerprint, html, jaccard, langid, lm, pii, quality, secrets, warc
+from reelspan.llm.common import bucket_of, shared_dir, table
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -114,6 +116,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.archive_pages(table(spark, sf_dir, "pages"), path)
+    return warc.pages_of(spark, path)
+
+
+OP11_SQL = """
+with p as (select page_id, coalesce(html, '') h, octet_length(encode(coalesce(html, '')))::bigint n from pages),
+m as (select *, case when n >= 1000 then max(page_id) over (partition by h) end o from p)
+select page_id, n payload_bytes, sha1(h) payload_digest, case when page_id < o then 'revisit' else 'response' end record_type, case when page_id < o then o end refers_to from m"""
+
+
 def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fim.restored(fim.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return rows.select("doc_id", "n", "form", F.col("prefix_n").alias("prefix_chars"), F.col("middle_n").alias("middle_chars"), _sha(F.col("output")).alias("output_sha256"), _sha(F.col("restored")).alias("restored_sha256"))
@@ -134,5 +148,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_secrets, op3_quality, op4_ngram_jaccard, op5_html, op6_order_minhash, op7_language, op8_bpe, op9_lm, op10_decontaminate, op12_fim, pipeline)}
-SQL = {"op2_secrets": _op2_sql(), "op4_ngram_jaccard": OP4_SQL, "op12_fim": OP12_SQL}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_secrets, op3_quality, op4_ngram_jaccard, op5_html, op6_order_minhash, op7_language, op8_bpe, op9_lm, op10_decontaminate, op11_warc, op12_fim, pipeline)}
+SQL = {"op2_secrets": _op2_sql(), "op4_ngram_jaccard": OP4_SQL, "op11_warc": OP11_SQL, "op12_fim": OP12_SQL}

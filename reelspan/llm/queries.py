@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspan.llm import bpe, decontam, fim, fingerprint, html, jaccard, langid, lm, pii, quality, secrets, warc
+from reelspan.llm import bpe, decontam, fim, fingerprint, html, jaccard, langid, lm, pii, quality, secrets, variants, warc
 from reelspan.llm.common import bucket_of, shared_dir, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -142,11 +142,15 @@ select doc_id, n, form, case when form <> 'plain' then i end prefix_chars, case
 sha256(case form when 'plain' then t when 'psm' then '<P>' || x || '<S>' || z || '<M>' || y else '<S>' || z || '<P>' || x || '<M>' || y end) output_sha256, sha256(t) restored_sha256 from p"""
 
 
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(variants.vocabulary(table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_secrets, op3_quality, op4_ngram_jaccard, op5_html, op6_order_minhash, op7_language, op8_bpe, op9_lm, op10_decontaminate, op11_warc, op12_fim, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_secrets, op3_quality, op4_ngram_jaccard, op5_html, op6_order_minhash, op7_language, op8_bpe, op9_lm, op10_decontaminate, op11_warc, op12_fim, op13_variants, pipeline)}
 SQL = {"op2_secrets": _op2_sql(), "op4_ngram_jaccard": OP4_SQL, "op11_warc": OP11_SQL, "op12_fim": OP12_SQL}

@@ -8,6 +8,8 @@ from reelspan.functions import text as T
 from reelspan.operators import audio, enrich, shots, vectors
 from reelspan.plans.proxies import FRAMES, SEGMENTS, SHOTS, features, frames, segments, small_shots, table
 from reelspan.plans.registry import query
+from reelspan.session import new_folder
+from reelspan.sources import frames as raw
 
 DOT = "list_sum(list_transform(range(1, len({a}) + 1), lambda i: {a}[i]::double * {b}[i]::double))"
 
@@ -270,3 +272,42 @@ def silence_split(spark, sf_dir):
     """A user's events as 100 ms of loudness each; silences of 300 ms split, 100 ms are kept around speech."""
     f = frames(spark, sf_dir).select(F.col("video_id").alias("media_id"), (F.col("frame_idx").cast("long") * 100).alias("ms"), F.when(F.col("value") < 40, -60.0).otherwise(-20.0).alias("dbfs"))
     return audio.speech(f, min_silence_ms=300, keep_ms=100)
+
+
+# ---------------------------------------------------------------- raw frames
+
+RAW = "(upper(sha256(event_id::varchar))[1:48])"
+
+
+def _raw(spark, sf_dir):
+    """Every series as a raw video of 4 x 2 pixels, written with the frame sink; the folder."""
+    path = new_folder(spark, "frames")
+    pixels = F.unhex(F.substring(F.sha2(F.col("event_id").cast("string"), 256), 1, 48))
+    raw.write_frames(frames(spark, sf_dir).select("video_id", "frame_idx", pixels.alias("pixels")), path, 4, 2, segment=256)
+    return path
+
+
+def _shown(rows):
+    return rows.select(F.col("video_id").cast("long").alias("video_id"), F.col("frame_idx").cast("int").alias("frame_idx"), F.hex("pixels").alias("pixels"))
+
+
+@query(f"with {FRAMES} select video_id::bigint video_id, frame_idx, {RAW} pixels from fr where frame_idx % 5 = 0")
+def raw_stride_sample(spark, sf_dir):
+    """Every fifth frame of raw videos; the scan seeks from one to the next."""
+    return _shown(raw.raw_frames(spark, _raw(spark, sf_dir), 4, 2, stride=5))
+
+
+@query(f"with {FRAMES} select video_id::bigint video_id, frame_idx, {RAW} pixels from fr where frame_idx between 10 and 300 and video_id in (select min(user_id) from events union select max(user_id) from events) or frame_idx = 3")
+def raw_frame_range(spark, sf_dir):
+    """Ranges of frames: predicates on video_id and frame_idx inside the scan, one scan's given, the other's Spark's own."""
+    path, ends = _raw(spark, sf_dir), table(spark, sf_dir, "events").agg(F.min("user_id").alias("a"), F.max("user_id").alias("b")).first()
+    some = raw.raw_frames(spark, path, 4, 2, where=[("video_id", "in", [str(ends.a), str(ends.b)]), ("frame_idx", ">=", 10), ("frame_idx", "<=", 300)])
+    return _shown(some.unionByName(raw.raw_frames(spark, path, 4, 2, pushdown=True).filter("frame_idx = 3")))
+
+
+@query(f"with {FRAMES} select video_id::bigint video_id, frame_idx, {RAW} pixels from fr where value >= 75")
+def raw_wanted_frames(spark, sf_dir):
+    """Indices chosen by value, twice and with some that no video has; only their frames are read."""
+    chosen = frames(spark, sf_dir).filter("value >= 75").select("video_id", "frame_idx")
+    beyond = chosen.select("video_id", F.col("frame_idx") + 1_000_000)
+    return _shown(raw.wanted_frames(chosen.union(chosen).union(beyond), _raw(spark, sf_dir), 4, 2, block=64))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -13,3 +16,17 @@ def session(master: str | None = None, **settings: str) -> SparkSession:
     for k, v in settings.items():
         b = b.config(k.replace("__", "."), v)
     return b.getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as spark.checkpoint.dir names it; one of our own only where none is set, as in tests."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        found = tempfile.mkdtemp(prefix="reelspan-")
+        spark.sparkContext.setCheckpointDir(found)
+    return found.rstrip("/")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nobody else uses."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

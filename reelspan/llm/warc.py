@@ -1,7 +1,8 @@
 """WARC archives as a PySpark data source: `spark.read.format("warc")` and `df.write.format("warc")`.
 
 Reading.  Files are packed into partitions of about `partitionBytes`.  Predicates on the record type and on other headers
-are pushed into the scan (on `path` they drop whole files).  A record's headers are parsed first; a payload is read and
+are pushed into the scan (on `path` they drop whole files): those given with the load (`where`), and with `pushdown`
+Spark's own filters too.  Spark keeps the latter by loaded relation, not by scan, so with them each scan needs a load of its own.  A record's headers are parsed first; a payload is read and
 decoded only if the headers pass and the schema has the column `payload`.  Otherwise the scan jumps over it: by
 Content-Length in plain files, by the length that a gzip member states of itself (extra field `sl`) where it does, and
 by inflating in small pieces, which are dropped, where it does not.  A schema given by `.schema(...)` may name any of
@@ -38,11 +39,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualNullSafe, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, IsNull, LessThan, LessThanOrEqual, Not, StringContains, StringEndsWith, StringStartsWith, WriterCommitMessage
 
 from reelspan.llm.common import beside, free_name
+from reelspan.sources.predicates import allow_pushdown, as_option, filters_of
 
 SCHEMA = "record_id string, warc_type string, target_uri string, date string, payload_digest string, refers_to string, content_type string, content_length long, http_status int, payload_length long, headers map<string,string>, payload binary, path string, offset long"
 #: Columns that are known once the WARC headers are parsed, and those that take the HTTP headers too.
 BY_WARC = {"record_id", "warc_type", "target_uri", "date", "payload_digest", "refers_to", "content_type", "content_length"}
 BY_HTTP = {"http_status", "payload_length"}
+JUDGED = BY_WARC | BY_HTTP | {"path"}
 PIECE = 1 << 16
 
 
@@ -322,16 +325,11 @@ class Files(InputPartition):
 
 class WarcReader(DataSourceReader):
     def __init__(self, schema, options: dict):
-        self.schema, self.path, self.filters = schema, options["path"], []
+        self.schema, self.path, self.filters = schema, options["path"], filters_of(options.get("where"))
+        if bad := [f for f in self.filters if column_of(f) not in JUDGED]:
+            raise ValueError(f"the scan can't judge {bad}")
         self.bytes, self.corrupt = int(options.get("partitionbytes", 64 << 20)), options.get("corrupt", "fail")
 
-    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
-        for f in filters:
-            if column_of(f) in BY_WARC | BY_HTTP | {"path"}:
-                self.filters.append(f)
-            else:
-                yield f
-
     def partitions(self) -> list[Files]:
         store, top = _open(self.path)
         info = store.get_file_info(top)
@@ -377,6 +375,17 @@ class WarcReader(DataSourceReader):
             yield batch()
 
 
+class PushedWarcReader(WarcReader):
+    """Takes Spark's own filters too."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        for f in filters:
+            if column_of(f) in JUDGED:
+                self.filters.append(f)
+            else:
+                yield f
+
+
 @dataclass
 class Written(WriterCommitMessage):
     names: list[str]
@@ -476,28 +485,25 @@ class WarcSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> WarcReader:
-        return WarcReader(schema, {k.lower(): v for k, v in self.options.items()})
+        options = {k.lower(): v for k, v in self.options.items()}
+        return (PushedWarcReader if options.get("pushdown") == "true" else WarcReader)(schema, options)
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
         return WarcWriter({k.lower(): v for k, v in self.options.items()}, overwrite)
 
 
-def register(spark: SparkSession) -> None:
-    """Makes the format known; pushing predicates into Python sources is off unless a session turns it on."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+def read(spark: SparkSession, path: str, columns: str | None = None, where: list[tuple] | None = None, pushdown: bool = False, **options) -> DataFrame:
+    """Records under path that satisfy `where`; without `payload` among `columns` no payload is decoded."""
     spark.dataSource.register(WarcSource)
-
-
-def read(spark: SparkSession, path: str, columns: str | None = None, **options) -> DataFrame:
-    """Records under path; without `payload` among `columns` no payload is decoded."""
-    register(spark)
-    source = spark.read.format("warc").options(**options)
+    if pushdown:
+        allow_pushdown(spark)
+    source = spark.read.format("warc").options(where=as_option(where or []), pushdown=pushdown, **options)
     return (source.schema(columns) if columns else source).load(path)
 
 
 def write(rows: DataFrame, path: str, mode: str = "append", **options) -> None:
     """rows(record_id, warc_type, target_uri, date, payload_digest, refers_to, payload_length, payload; any may be missing) as archives under path."""
-    register(rows.sparkSession)
+    rows.sparkSession.dataSource.register(WarcSource)
     rows.write.format("warc").options(**options).mode(mode).save(path)
 
 
@@ -541,7 +547,7 @@ def pages_of(spark: SparkSession, path: str) -> DataFrame:
     Length and digest of a response are taken from its payload as read, those of a revisit from its headers: that scan decodes no payload.
     """
     number = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1).try_cast("long")
-    full = read(spark, path, "record_id string, warc_type string, payload binary").filter("warc_type = 'response'")
+    full = read(spark, path, "record_id string, warc_type string, payload binary", where=[("warc_type", "=", "response")])
     full = full.select(number("record_id").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"), F.col("warc_type").alias("record_type"), F.lit(None).cast("long").alias("refers_to"))
-    again = read(spark, path, "record_id string, warc_type string, payload_digest string, payload_length long, refers_to string").filter("warc_type = 'revisit'")
+    again = read(spark, path, "record_id string, warc_type string, payload_digest string, payload_length long, refers_to string", where=[("warc_type", "=", "revisit")])
     return full.unionByName(again.select(number("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"), "payload_digest", F.col("warc_type").alias("record_type"), number("refers_to").alias("refers_to")))

@@ -65,16 +65,30 @@ def test_overwrite_and_append(spark, tmp_path):
 
 
 def test_predicates_reach_the_scan(spark, tmp_path):
-    warc.archive_pages(pages(spark, ROWS), str(tmp_path / "w"))
-    df = warc.read(spark, str(tmp_path / "w")).filter("warc_type = 'revisit' and record_id like '<urn:page:1>%' and http_status = 200")
+    path = str(tmp_path / "w")
+    warc.archive_pages(pages(spark, ROWS), path)
+    df = warc.read(spark, path, pushdown=True).filter("warc_type = 'revisit' and record_id like '<urn:page:1>%' and http_status = 200")
     assert [r.record_id for r in df.collect()] == ["<urn:page:1>"]
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "Filter" not in plan.replace("PushedFilters", "") or "isnotnull" not in plan
-    full = warc.read(spark, str(tmp_path / "w"))
+    assert "Filter (" not in plan and "Filter [" not in plan
+    every = warc.read(spark, path).collect()
+    everything = spark.createDataFrame(every, warc.SCHEMA)
     for condition in ("payload_length > 1000", "target_uri is null and warc_type = 'response'", "not warc_type = 'response'", "warc_type in ('revisit', 'x') or content_length < 100", "refers_to <=> null", "payload_digest = '%s'" % hashlib.sha1(LONG.encode()).hexdigest()):
-        kept = [r.record_id for r in full.filter(condition).collect()]
-        plain = [r.record_id for r in full.withColumn("k", F.expr(condition)).collect() if r.k]
-        assert sorted(map(str, kept)) == sorted(map(str, plain)) and kept
+        kept = [str(r.record_id) for r in warc.read(spark, path, pushdown=True).filter(condition).collect()]
+        assert sorted(kept) == sorted(str(r.record_id) for r in everything.filter(condition).collect()) and kept
+
+
+def test_predicates_of_a_load_are_its_own(spark, tmp_path):
+    path = str(tmp_path / "w")
+    warc.archive_pages(pages(spark, ROWS), path)
+    n = len(ROWS)
+    again = warc.read(spark, path, where=[("warc_type", "=", "revisit"), ("http_status", "in", [200, 304]), ("target_uri", "not null")])
+    every = warc.read(spark, path, where=[("warc_type", "not =", "warcinfo")])
+    revisits = len([r for r in brute(ROWS) if r[3] == "revisit" and r[0]]) + 1
+    assert again.count() == revisits and every.count() == n
+    assert every.filter("warc_type = 'revisit'").unionByName(every).unionByName(again).count() == n + 2 * revisits
+    with pytest.raises(Exception, match="can't judge"):
+        warc.read(spark, path, where=[("payload", "=", "x")]).count()
 
 
 def archive(n=50, size=40_000):
@@ -126,7 +140,7 @@ def test_partitions(spark, tmp_path):
     small = warc.read(spark, str(tmp_path / "w"), partitionBytes=1200)
     assert small.rdd.getNumPartitions() > 4 and small.filter("warc_type = 'response'").count() == 40
     one = next(str(p) for p in sorted((tmp_path / "w").iterdir()) if p.name.endswith(".gz"))
-    assert warc.read(spark, str(tmp_path / "w"), partitionBytes=1).filter(F.col("path") == one).rdd.getNumPartitions() == 1
+    assert warc.read(spark, str(tmp_path / "w"), where=[("path", "=", one)], partitionBytes=1).rdd.getNumPartitions() == 1
     (tmp_path / "w" / "z.warc").write_bytes(b"WARC/1.0\r\nContent-Length: 5\r\n\r\nab")
     with pytest.raises(Exception, match="cut off"):
         warc.read(spark, str(tmp_path / "w")).count()

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelspan.operators import scan
+
 MEGABYTE = 1024 * 1024
 
 
@@ -32,22 +34,24 @@ def pack(segments: DataFrame, limit: int, key: str = "media_id", at: str = "seg_
     return segments.join(placed, [key, at])
 
 
-def speech(loudness: DataFrame, key: str = "media_id", at: str = "ms", level: str = "dbfs", step_ms: int = 100, min_silence_ms: int = 700, below: float = 14.0, keep_ms: int = 300) -> DataFrame:
+def speech(loudness: DataFrame, key: str = "media_id", at: str = "ms", level: str = "dbfs", step_ms: int = 100, min_silence_ms: int = 700, below: float = 14.0, keep_ms: int = 300, block_ms: int = 3_600_000) -> DataFrame:
     """(key, seg_idx, start_ms, end_ms): stretches between silences of at least min_silence_ms, with keep_ms around them.
 
-    Silence is quieter than the medium's mean loudness less `below`.  A medium without speech has no rows.
+    Silence is quieter than the medium's mean loudness less `below`.  A medium without speech has no rows.  A medium is
+    scanned in blocks of block_ms.
     """
-    whole = Window.partitionBy(key)
-    quiet = loudness.select(key, F.col(at).alias("ms"), (F.col(level) < F.avg(level).over(whole) - below).alias("q"), (F.max(at).over(whole) + step_ms).alias("len"))
-    w = whole.orderBy("ms")
-    runs = quiet.withColumn("c", F.coalesce((F.col("q") != F.lag("q").over(w)).cast("int"), F.lit(0))).withColumn("run", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = runs.groupBy(key, "run").agg(F.first("q").alias("q"), F.min("ms").alias("a"), (F.max("ms") + step_ms).alias("b"), F.first("len").alias("len"))
-    # short silences belong to the speech around them
-    runs = runs.withColumn("silent", F.col("q") & (F.col("b") - F.col("a") >= min_silence_ms))
-    w = whole.orderBy("run")
-    runs = runs.withColumn("c", F.coalesce((F.col("silent") != F.lag("silent").over(w)).cast("int"), F.lit(0))).withColumn("part", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    parts = runs.filter(~F.col("silent")).groupBy(key, "part").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.first("len").alias("len"), F.bool_and("q").alias("quiet")).filter(~F.col("quiet"))
-    return parts.select(key, F.row_number().over(whole.orderBy("a")).alias("seg_idx"), F.greatest(F.lit(0), F.col("a") - keep_ms).alias("start_ms"), F.least("len", F.col("b") + keep_ms).alias("end_ms"))
+    whole = loudness.groupBy(key).agg((F.avg(level) - below).alias("_quiet"), F.min(at).alias("_first"), (F.max(at) + step_ms).alias("_len"))
+    steps = scan.with_carry(loudness.select(key, F.col(at), F.col(level)), whole.select(key, "_quiet"), [key])
+    loud = scan.runs(steps, [key], at, F.col(level) < F.col("_quiet"), block_ms).filter(~F.col("flag")).select(key, F.col("lo").alias("a"), (F.col("hi") + step_ms).alias("b"))
+    # a short silence belongs to the speech around it: a stretch begins where the silence before is long, or with the medium
+    loud = scan.previous(loud, [key], "a", "b", "before", block_ms)
+    begins = F.col("before").isNull() | (F.col("a") - F.col("before") >= min_silence_ms)
+    parts = scan.running_sum(loud, [key], "a", begins.cast("int"), "seg_idx", block_ms).groupBy(key, "seg_idx").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    parts = scan.with_carry(parts, whole.drop("_quiet"), [key])
+    # so does one at either end of the medium
+    start = F.when(F.col("a") - F.col("_first") < min_silence_ms, F.col("_first")).otherwise(F.col("a"))
+    end = F.when(F.col("_len") - F.col("b") < min_silence_ms, F.col("_len")).otherwise(F.col("b"))
+    return parts.select(key, F.col("seg_idx").cast("int").alias("seg_idx"), F.greatest(F.lit(0), start - keep_ms).alias("start_ms"), F.least("_len", end + keep_ms).alias("end_ms"))
 
 
 def joined_in_order(parts: DataFrame, keys: list[str], at: str, text: str, separator: str = " ") -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from reelspan.operators import scan
+
 
 def correlate(starts: DataFrame, ends: DataFrame, on: str = "request_id") -> DataFrame:
     """Requests with both a start and an end; an end without a start is ignored."""
@@ -32,16 +34,15 @@ def error_types(ends: DataFrame, keys: list[str]) -> DataFrame:
     return ends.filter("error_type is not null").groupBy(*keys, "error_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-def peak_concurrency(requests: DataFrame, key: str) -> DataFrame:
-    """Most requests of a key under way at once, sampled at starts; an end at the same moment comes first."""
+def peak_concurrency(requests: DataFrame, key: str, block_s: float = 3600) -> DataFrame:
+    """Most requests of a key under way at once, sampled at starts; an end at the same moment comes first.  Scanned in blocks of block_s seconds."""
     events = requests.select(key, F.col("start_s").alias("t"), F.lit(1).alias("d")).unionByName(requests.select(key, F.col("end_s").alias("t"), F.lit(-1).alias("d")))
-    active = events.withColumn("active", F.sum("d").over(Window.partitionBy(key).orderBy("t", "d").rowsBetween(Window.unboundedPreceding, 0)))
-    return active.filter("d = 1").groupBy(key).agg(F.max("active").alias("peak"))
+    return scan.peak_of_sum(events, [key], "t", F.col("d"), F.col("d") == 1, "peak", block_s, ["d"])
 
 
-def rolling_mean(requests: DataFrame, key: str, order: list[str], value: str, last: int = 100) -> DataFrame:
-    """Mean over a row and the up to last - 1 rows before it, within a key."""
-    return requests.withColumn("rolling_mean", F.avg(value).over(Window.partitionBy(key).orderBy(*order).rowsBetween(-(last - 1), 0)))
+def rolling_mean(requests: DataFrame, key: str, order: list[str], value: str, last: int = 100, block: float = 3600) -> DataFrame:
+    """Mean over a row and the up to last - 1 rows before it, within a key; the first of `order` is a number, scanned in blocks of `block`."""
+    return scan.last_rows(requests, [key], order[0], F.avg(value), "rolling_mean", last, block, order[1:])
 
 
 def per_minute(requests: DataFrame, at: str, minutes: int = 5, keys: list[str] | None = None) -> DataFrame:

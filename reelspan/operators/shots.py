@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelspan.operators import scan
+
 THRESHOLD = 0.3
 
 
@@ -14,22 +16,17 @@ def over_threshold(p: Column, threshold: float = THRESHOLD) -> Column:
     return p.cast("float") > F.lit(threshold).cast("float")
 
 
-def shots_from_scores(scores: DataFrame, threshold: float = THRESHOLD, key: str = "video_id", at: str = "frame_idx", p: str = "p_single") -> DataFrame:
+def shots_from_scores(scores: DataFrame, threshold: float = THRESHOLD, key: str = "video_id", at: str = "frame_idx", p: str = "p_single", block: int = 1 << 16) -> DataFrame:
     """(key, shot_id, start_idx, end_idx), both ends inclusive.
 
     A maximal run of frames at or under the threshold is a shot; it takes in the first transition frame
-    after it.  A series of transition frames only is one shot; an empty series has none.
+    after it.  A series of transition frames only is one shot; an empty series has none; a null score is none over the
+    threshold.  A series is scanned in blocks of `block` frames.
     """
-    w = Window.partitionBy(key).orderBy(at)
-    bits = scores.select(key, F.col(at).alias("i"), over_threshold(F.col(p), threshold).alias("b"))
-    runs = bits.withColumn("change", F.coalesce((F.col("b") != F.lag("b").over(w.orderBy("i"))).cast("int"), F.lit(0)))
-    runs = runs.withColumn("run", F.sum("change").over(Window.partitionBy(key).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)))
-    by_run = runs.groupBy(key, "run").agg(F.first("b").alias("b"), F.min("i").alias("lo"), F.max("i").alias("hi"))
-    whole = Window.partitionBy(key)
-    ends = by_run.select(key, "b", "lo", "hi", F.max("hi").over(whole).alias("last"), F.min("lo").over(whole).alias("first"), F.bool_and("b").over(whole).alias("none"), F.min("run").over(whole).alias("r0"), F.col("run"))
-    found = ends.filter(~F.col("b") | (F.col("none") & (F.col("run") == F.col("r0"))))
-    found = found.select(key, F.when(F.col("none"), F.col("first")).otherwise(F.col("lo")).alias("start_idx"), F.when(F.col("none"), F.col("last")).otherwise(F.least(F.col("hi") + 1, "last")).alias("end_idx"))
-    return found.select(key, F.row_number().over(Window.partitionBy(key).orderBy("start_idx")).alias("shot_id"), "start_idx", "end_idx")
+    runs = scan.runs(scores, [key], at, over_threshold(F.col(p), threshold), block)
+    alone = F.col("flag") & F.col("begins") & F.col("ends")
+    found = runs.filter(~F.col("flag") | alone).select(key, F.col("lo").alias("start_idx"), (F.col("hi") + F.when(F.col("ends"), 0).otherwise(1)).alias("end_idx"))
+    return scan.row_numbers(found, [key], "start_idx", "shot_id", block).select(key, "shot_id", "start_idx", "end_idx")
 
 
 def frames_of_shots(frames: DataFrame, shots: DataFrame, key: str = "video_id", at: str = "frame_idx", block: int = 64) -> DataFrame:

@@ -8,6 +8,8 @@ from reelspan.functions import text as T
 from reelspan.operators import keys, messages, metrics
 from reelspan.plans.proxies import epoch_micros, requests, table
 from reelspan.plans.registry import query
+from reelspan.session import new_folder
+from reelspan.streaming import throttle
 
 REQ = "rq as (select event_id::varchar request_id, user_id model, ts start_ts, ts + to_microseconds(floor(value * 60000000)::bigint) end_ts, event_type <> 'error' success, event_type = 'view' has_images, value response_s, event_id from events)"
 
@@ -146,16 +148,38 @@ def key_pool_replay(spark, sf_dir):
     return keys.replay(_key_events(spark, sf_dir), 10)
 
 
-@query("""with recursive o as (select user_id, event_id, epoch_us(ts) / 1e6 a, row_number() over (partition by user_id order by ts, event_id) n from events),
+BUCKET_SQL = """with recursive o as (select user_id, event_id, epoch_us(ts) / 1e6 a, row_number() over (partition by user_id order by ts, event_id) n from events),
 r as (select user_id, event_id, n, a start_s, a + 3600.0 tat, 0.0::double wait from o where n = 1
       union all select o.user_id, o.event_id, o.n, greatest(o.a, r.tat - 3600.0), greatest(o.a, r.tat) + 3600.0, greatest(o.a, r.tat - 3600.0) - o.a from r join o on o.user_id = r.user_id and o.n = r.n + 1)
-select user_id, event_id, round(wait, 2) wait_s from r""")
+select user_id, event_id, round(wait, 2) wait_s from r"""
+
+
+@query(BUCKET_SQL)
 def token_bucket_waits(spark, sf_dir):
     """Waits at a bucket of two that gains one an hour."""
     out = keys.token_bucket(table(spark, sf_dir, "events").withColumn("at_s", epoch_micros(F.col("ts")) / 1_000_000), 60.0 / 3600.0, 2, "user_id", "at_s", "event_id")
     return out.select("user_id", "event_id", F.round("wait_s", 2).alias("wait_s"))
 
 
+@query(BUCKET_SQL)
+def throttled_stream(spark, sf_dir):
+    """The same bucket over a stream: one run takes the requests, a later one from its checkpoint moves the clock and releases what waits."""
+    folder = new_folder(spark, "throttle")
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", F.timestamp_micros(epoch_micros(F.col("ts"))).alias("ts"))
+    late = e.agg(F.lit(None).cast(e.schema["user_id"].dataType).alias("user_id"), F.lit(-1).cast(e.schema["event_id"].dataType).alias("event_id"), (F.max("ts") + F.expr("interval 1000 days")).alias("ts"))
+
+    def run():
+        source = spark.readStream.schema(e.schema).parquet(f"{folder}/in")
+        rows = throttle.throttled(source, 60.0 / 3600.0, 2, "user_id", "event_id", late="1 second")
+        q = rows.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start()
+        q.awaitTermination()
+
+    for rows in (e, late):
+        rows.write.mode("append").parquet(f"{folder}/in")
+        run()
+    return spark.read.parquet(f"{folder}/out").filter("event_id >= 0").select("user_id", "event_id", F.round("wait_s", 2).alias("wait_s"))
+
+
 # ---------------------------------------------------------------- messages
 
 def _model():

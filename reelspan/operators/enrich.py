@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,21 +101,6 @@ def layout_faults(listing: DataFrame, key: str = "video_id") -> DataFrame:
     return out.withColumn("valid", F.col("has_metadata") & (F.col("n_webp") > 0))
 
 
-def zip_archives(files: DataFrame, key: str = "video_id") -> DataFrame:
-    """(key, archive): a flat deflated ZIP of each video's files, in order of name.  A video's keyframes fit in a task."""
-
-    def pack(frame: pd.DataFrame) -> pd.DataFrame:
-        out = io.BytesIO()
-        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-            for name, content in sorted(zip(frame["name"], frame["content"])):
-                info = zipfile.ZipInfo(name, (1980, 1, 1, 0, 0, 0))
-                info.compress_type = zipfile.ZIP_DEFLATED
-                z.writestr(info, bytes(content))
-        return pd.DataFrame({key: [frame[key].iloc[0]], "archive": [out.getvalue()]})
-
-    return files.select(key, "name", "content").groupBy(key).applyInPandas(pack, f"{key} {files.schema[key].dataType.simpleString()}, archive binary")
-
-
 def apply_model(rows: DataFrame, model, columns: str, keys: list[str]) -> DataFrame:
     """A model called once a batch: `model(frame)` maps a batch's rows (a pandas frame) to a frame of `columns`."""
     return rows.groupBy(*keys).applyInPandas(lambda frame: model()(frame), columns)

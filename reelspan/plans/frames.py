@@ -10,6 +10,7 @@ from reelspan.plans.proxies import FRAMES, SEGMENTS, SHOTS, features, frames, se
 from reelspan.plans.registry import query
 from reelspan.session import new_folder
 from reelspan.sources import frames as raw
+from reelspan.sources import sinks
 
 DOT = "list_sum(list_transform(range(1, len({a}) + 1), lambda i: {a}[i]::double * {b}[i]::double))"
 
@@ -228,12 +229,21 @@ def layout_check(spark, sf_dir):
     return enrich.layout_faults(table(spark, sf_dir, "documents").select(F.col("source").alias("video_id"), name.alias("name")))
 
 
-@query()
+@query(f"with {MEDIUM} select medium video_id, doc_id || '.webp' as name, octet_length(encode(coalesce(text, '')))::bigint n_bytes, sha256(coalesce(text, '')) sha256 from dm")
 def flat_archives(spark, sf_dir):
-    """A ZIP of each source's documents by hundreds; the tests unpack it."""
-    d = table(spark, sf_dir, "documents")
-    files = d.select(F.concat_ws("-", "source", F.floor(F.col("doc_id") / 2000).cast("string")).alias("video_id"), F.concat(F.col("doc_id").cast("string"), F.lit(".webp")).alias("name"), F.col("text").cast("binary").alias("content"))
-    return enrich.zip_archives(files).select("video_id", F.length("archive").alias("n_bytes"))
+    """A ZIP of each medium's documents, written by the archive sink and read again: every file's whole content."""
+    path, d = new_folder(spark, "archives"), _by_medium(spark, sf_dir)
+    made = sinks.write_archives(d.select(F.col("medium").alias("video_id"), F.concat(F.col("doc_id").cast("string"), F.lit(".webp")).alias("name"), F.col("text").cast("binary").alias("content")), path)
+    return sinks.archive_entries(made, path).select(F.regexp_replace("archive", "[.]zip$", "").alias("video_id"), "name", F.length("content").cast("long").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+@query(f"with {MEDIUM} select medium || '/' || doc_id || '.webp' as name, octet_length(encode(coalesce(text, '')))::bigint n_bytes, sha256(coalesce(text, '')) sha256 from dm")
+def written_files(spark, sf_dir):
+    """Documents as one file each in their medium's folder, by the file sink; read again as binary files."""
+    path, d = new_folder(spark, "files"), _by_medium(spark, sf_dir)
+    sinks.write_files(d.select(F.concat("medium", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".webp")).alias("name"), F.col("text").cast("binary").alias("content")), path)
+    read = spark.read.format("binaryFile").option("pathGlobFilter", "*.webp").option("recursiveFileLookup", "true").load(path)
+    return read.select(F.regexp_extract("path", "([^/]+/[^/]+)$", 1).alias("name"), F.col("length").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
 
 
 # ---------------------------------------------------------------- audio

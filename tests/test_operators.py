@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import io
 import itertools
 import json
-import zipfile
 
 import numpy as np
 import pytest
@@ -136,7 +134,7 @@ def test_packing(spark):
     assert chunks([150, 10]) == [0, 1]
 
 
-def test_metadata_and_archives(spark):
+def test_metadata(spark):
     lines = registry.QUERIES["metadata_documents"](spark, SF).orderBy("video_id", "line_no").collect()
     for video in sorted({r.video_id for r in lines})[:3]:
         made = "\n".join(r.line for r in lines if r.video_id == video)
@@ -144,9 +142,6 @@ def test_metadata_and_archives(spark):
         frames = own[str(video)]
         assert list(frames) == sorted(frames) and list(next(iter(frames.values()))) == ["id", "time-stamp", "shot", "tags", "ocr", "caption"]
         assert json.dumps(own, indent=3, ensure_ascii=False) == made and "é" in made
-    rows = spark.createDataFrame([("v", "b.webp", b"2"), ("v", "a.webp", b"1")], "video_id string, name string, content binary")
-    z = zipfile.ZipFile(io.BytesIO(enrich.zip_archives(rows).first().archive))
-    assert z.namelist() == ["a.webp", "b.webp"] and z.read("b.webp") == b"2"
 
 
 def test_errors_routes_and_uris(spark):

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from reelspan.functions.text import uptime
 from reelspan.operators import scan
 
 
@@ -67,6 +68,48 @@ def latest(requests: DataFrame, keys: list[str], order: list, most: int = 50) ->
     return requests.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most)
 
 
+def dashboard(events: DataFrame, key: str = "gateway", at: str = "ts", block_s: float = 3600) -> DataFrame:
+    """A row a gateway as of its last event: the fields of `streaming.dashboard.snapshots`, over the whole history.
+
+    Counters are aggregated before they are shuffled; the last 100 and 50 rows are ranked with a limit inside each task; the
+    peak is scanned in blocks.  Requests under way and names of models and errors are gathered in one row, as a snapshot is.
+    """
+    rows = events.filter(F.col(at).isNotNull() & F.col("request_id").isNotNull()).withColumn("us", F.unix_micros(at))
+    starts = rows.filter("kind = 'start'").select(key, "request_id", F.col("us").alias("start_us"), F.coalesce("model", F.lit("")).alias("model"), F.coalesce("has_images", F.lit(False)).alias("has_images"))
+    ends = rows.filter("kind = 'end'").select(key, "request_id", F.col("us").alias("end_us"), F.coalesce("success", F.lit(False)).alias("success"), F.nullif("error_type", F.lit("")).alias("error_type"))
+    # an end that is no later than its start comes before it and is ignored, as one without a start is
+    both = starts.join(ends, [key, "request_id"], "left").withColumn("took_us", F.when(F.col("end_us") > F.col("start_us"), F.col("end_us") - F.col("start_us")))
+    both = both.withColumns({c: F.when(F.col("took_us").isNotNull(), F.col(c)) for c in ("end_us", "success", "error_type")})
+    done = both.filter("end_us is not null")
+    clock = rows.groupBy(key).agg(F.max("us").alias("now"), F.min("us").alias("since"))
+    counts = both.groupBy(key).agg(F.count("end_us").alias("total"), F.count_if("success").alias("ok"), F.count_if("has_images").alias("multimodal"), F.count_if(F.col("end_us").isNull()).alias("active_count"))
+    moves = both.select(key, (F.col("start_us") / 1e6).alias("t"), F.lit(1).alias("d")).unionByName(done.select(key, (F.col("end_us") / 1e6).alias("t"), F.lit(-1).alias("d")))
+    peak = scan.peak_of_sum(moves, [key], "t", F.col("d"), F.col("d") == 1, "peak", block_s, ["d"])
+    last = latest(done, [key], [F.desc("end_us"), F.desc("request_id")], 100)
+    recent = last.groupBy(key).agg(
+        F.avg(F.col("took_us") / 1e6).alias("avg_s"),
+        F.transform(F.sort_array(F.collect_list(F.when(F.col("rank") <= 50, F.struct((-F.col("rank")).alias("r"), (F.col("end_us") / 1e3).alias("timestamp"), (F.col("took_us") / 1e3).alias("response_time"), "success", "has_images")))), lambda x: x.dropFields("r")).alias("recent_performance"),
+    )
+    by_minute = done.groupBy(key, F.floor(F.col("end_us") / 60_000_000).alias("minute")).agg(F.count(F.lit(1)).alias("n"))
+    rate = by_minute.join(clock, key).filter(F.col("minute") > F.floor(F.col("now") / 60_000_000) - 5).groupBy(key).agg((F.sum("n") / 5.0).alias("rpm"))
+    named = lambda rows, name, made: rows.groupBy(key, F.col(name).alias("name")).agg(F.count(F.lit(1)).alias("n")).groupBy(key).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("name", "n")))).alias(made))
+    errors, usage = named(done.filter("error_type is not null"), "error_type", "error_breakdown"), named(starts, "model", "model_usage")
+    busy = both.filter("end_us is null").join(clock, key).groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.col("request_id").alias("id"), (F.col("start_us") / 1e6).alias("start_time"), ((F.col("now") - F.col("start_us")) / 1e6).alias("duration"), "model", "has_images"))).alias("active_requests"))
+    out = clock
+    for part in (counts, peak, recent, rate, errors, usage, busy):
+        out = out.join(part, key, "left")
+    n = F.greatest(F.col("total"), F.lit(1))
+    up = F.floor((F.col("now") - F.col("since")) / 1_000_000)
+    zero = lambda c, kind="long": F.coalesce(c, F.lit(0).cast(kind))
+    stats = F.struct(
+        zero("total").alias("total_requests"), zero("ok").alias("successful_requests"), zero(F.col("total") - F.col("ok")).alias("failed_requests"), zero("multimodal").alias("multimodal_requests"), zero("active_count").alias("active_count"), zero("peak").alias("peak_concurrent"), F.lit(0.0).alias("current_load"),
+        zero("avg_s", "double").alias("avg_response_time"), zero("rpm", "double").alias("requests_per_minute"), (F.col("since") / 1e6).alias("uptime"), uptime(up).alias("uptime_formatted"),
+        zero(F.col("ok") / n * 100, "double").alias("success_rate"), zero((F.col("total") - F.col("ok")) / n * 100, "double").alias("error_rate"), zero(F.col("multimodal") / n * 100, "double").alias("multimodal_percentage"),
+    )
+    none = lambda c, like: F.coalesce(c, F.expr(like))
+    return out.select(key, stats.alias("stats"), none(F.col("active_requests"), "array()").alias("active_requests"), none(F.col("recent_performance"), "array()").alias("recent_performance"), none(F.col("error_breakdown"), "map()").alias("error_breakdown"), none(F.col("model_usage"), "map()").alias("model_usage"), (F.col("now") / 1e3).alias("timestamp"))
+
+
 def health(keys: DataFrame, providers: tuple[str, ...] = ("mistral", "gemini")) -> DataFrame:
     """One row: status, the number of active keys of each provider, vision_support."""
     active = [F.count_if((F.col("provider") == p) & (F.col("state") == "active")).alias(f"{p}_keys_in_pool") for p in providers]

@@ -180,6 +180,45 @@ def throttled_stream(spark, sf_dir):
     return spark.read.parquet(f"{folder}/out").filter("event_id >= 0").select("user_id", "event_id", F.round("wait_s", 2).alias("wait_s"))
 
 
+def gateway_events(spark, sf_dir):
+    """Starts of all events as requests of four gateways, ends of nine in ten."""
+    e = table(spark, sf_dir, "events")
+    start = epoch_micros(F.col("ts"))
+    r = e.select(
+        (F.col("user_id") % 4).alias("gateway"), F.col("event_id").cast("string").alias("request_id"), F.concat(F.lit("m"), (F.col("user_id") % 7).cast("string")).alias("model"), (F.col("event_type") == "view").alias("has_images"),
+        (F.col("event_type") != "error").alias("success"), F.when(F.col("event_type") == "error", F.concat(F.lit("over "), (F.floor(F.col("value") / 50) * 50).cast("string"))).alias("error_type"), start.alias("a"), (start + F.floor(F.col("value") * 60_000_000)).alias("b"), "event_id",
+    )
+    shape = lambda rows, at, kind: rows.select("gateway", F.timestamp_micros(at).alias("ts"), F.lit(kind).alias("kind"), "request_id", "model", "has_images", "success", "error_type")
+    return shape(r, "a", "start").unionByName(shape(r.filter("event_id % 10 <> 0"), "b", "end"))
+
+
+@query("""with r as (select user_id % 4 gateway, event_id::varchar id, 'm' || (user_id % 7) model, event_type = 'view' img, event_type <> 'error' ok, case when event_type = 'error' then 'over ' || (floor(value / 50)::int * 50) end err, epoch_us(ts) a, epoch_us(ts) + floor(value * 60000000)::bigint b0, event_id from events),
+q as (select *, case when event_id % 10 <> 0 and b0 > a then b0 end b from r),
+c as (select gateway, greatest(max(a), max(case when event_id % 10 <> 0 then b0 end)) now, min(a) since from r group by 1),
+n as (select gateway, count(b) total_requests, count(*) filter (ok and b is not null) successful_requests, count(*) filter (img) multimodal_requests, count(*) filter (b is null) active_count from q group by 1),
+v as (select gateway, a t, 1 d from q union all select gateway, b, -1 from q where b is not null),
+p as (select gateway, max(x)::bigint peak_concurrent from (select gateway, d, sum(d) over (partition by gateway order by t, d rows unbounded preceding) x from v) where d = 1 group by 1),
+l as (select *, b - a took, row_number() over (partition by gateway order by b desc, id desc) k from q where b is not null),
+t as (select gateway, round(avg(took / 1e6), 3) avg_response_time, string_agg((took // 1000)::varchar, ',' order by k desc) filter (k <= 50) recent from l where k <= 100 group by 1),
+u as (select q.gateway, count(*) filter (b // 60000000 > now // 60000000 - 5) / 5.0::double requests_per_minute from q join c using (gateway) group by 1),
+e as (select gateway, string_agg(err || '=' || n, ';' order by err) errors from (select gateway, err, count(*) n from q where err is not null and b is not null group by 1, 2) group by 1),
+m as (select gateway, string_agg(model || '=' || n, ';' order by model) models from (select gateway, model, count(*) n from q group by 1, 2) group by 1),
+s as (select gateway, string_agg(id, ';' order by id) busy from q where b is null group by 1)
+select gateway, total_requests, successful_requests, multimodal_requests, active_count, peak_concurrent, avg_response_time, recent, requests_per_minute, errors, models, busy, round(successful_requests * 100.0::double / total_requests, 6) success_rate, now / 1000 "timestamp",
+case when (now - since) // 1000000 >= 172800 then ((now - since) // 86400000000) || ' days, ' when (now - since) // 1000000 >= 86400 then '1 day, ' else '' end || ((now - since) // 1000000 % 86400 // 3600) || ':' || lpad(((now - since) // 1000000 % 3600 // 60)::varchar, 2, '0') || ':' || lpad(((now - since) // 1000000 % 60)::varchar, 2, '0') uptime_formatted
+from n join c using (gateway) join p using (gateway) join t using (gateway) join u using (gateway) left join e using (gateway) join m using (gateway) left join s using (gateway)""")
+def dashboard_snapshot(spark, sf_dir):
+    """The dashboard of four gateways as of their last event, its lists as text."""
+    d = metrics.dashboard(gateway_events(spark, sf_dir))
+    text = lambda c: F.array_join(F.transform(F.map_entries(c), lambda x: F.concat(x["key"], F.lit("="), x["value"].cast("string"))), ";")
+    s = F.col("stats")
+    return d.select(
+        "gateway", *[s[c].alias(c) for c in ("total_requests", "successful_requests", "multimodal_requests", "active_count", "peak_concurrent", "requests_per_minute", "uptime_formatted")],
+        F.round(s["avg_response_time"], 3).alias("avg_response_time"), F.round(s["success_rate"], 6).alias("success_rate"), F.array_join(F.transform("recent_performance", lambda x: F.floor(x["response_time"] + 0.0001).cast("string")), ",").alias("recent"),
+        text("error_breakdown").alias("errors"), text("model_usage").alias("models"), F.array_join(F.transform("active_requests", lambda x: x["id"]), ";").alias("busy"), "timestamp",
+    )
+
+
 # ---------------------------------------------------------------- messages
 
 def _model():

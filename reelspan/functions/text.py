@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import mimetypes
 import struct
 import unicodedata
 import zlib
@@ -69,10 +70,32 @@ def stem(path: Column) -> Column:
     return F.regexp_replace(base_name(path), r"(?<=.)\.[^.]*$", "")
 
 
+#: The standard library's own table, whatever files of types a machine has.
+_TYPES = mimetypes.MimeTypes()
+#: Endings that say how a file is packed and are taken off before its type is told, and one that stands for two.
+PACKED, DOUBLE = (".gz", ".Z", ".bz2", ".xz", ".br"), {".svgz": ".svg.gz", ".tgz": ".tar.gz", ".taz": ".tar.gz", ".tz": ".tar.gz", ".tbz2": ".tar.bz2", ".txz": ".tar.xz"}
+
+
+def _ending(name: Column) -> Column:
+    """The last dot of a name and what follows; empty for none, and for dots that begin the name."""
+    return F.regexp_extract(name, r"[^.][.]*?(\.[^.]*)$", 1)
+
+
+def media_type(path: Column, kinds: tuple[str, ...] = ("image", "audio", "video")) -> Column:
+    """Media type by the name's ending, whatever its case, as the standard table has it; null for other kinds and unknown ones."""
+    name = base_name(path)
+    ending = _ending(name)
+    for short, long in DOUBLE.items():
+        name = F.when(F.lower(ending) == short, F.concat(F.left(name, F.char_length(name) - len(short)), F.lit(long))).otherwise(name)
+    ending = _ending(name)
+    name = F.when(ending.isin(*PACKED), F.left(name, F.char_length(name) - F.char_length(ending))).otherwise(name)
+    known = {e: k for e, k in _TYPES.types_map[True].items() if k.split("/")[0] in kinds}
+    return F.create_map(*[F.lit(x) for pair in sorted(known.items()) for x in pair])[F.lower(_ending(name))]
+
+
 def image_mime(path: Column) -> Column:
-    """Media type by extension; null for others."""
-    ext = F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1))
-    return F.when(ext.isin("jpg", "jpeg"), "image/jpeg").when(ext.isin("png", "webp", "gif", "bmp", "tiff"), F.concat(F.lit("image/"), ext))
+    """Media type of an image by its name; null for others."""
+    return F.coalesce(media_type(path, ("image",)), F.when(F.lower(_ending(base_name(path))) == ".webp", "image/webp"))
 
 
 def base64_of(content: Column) -> Column:

@@ -5,21 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelspan.functions.text import base_name, has_image, image_mime, text_of_parts
+from reelspan.functions.text import base_name, data_uri, has_image, image_mime, media_type, text_of_parts
+
+
+def truth(v: Column) -> Column:
+    """Whether a JSON value counts: not null, false, zero or empty."""
+    kind = F.schema_of_variant(v)
+    return (
+        F.when(v.isNull() | (kind == "VOID"), False)
+        .when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
+        .when(kind == "STRING", F.try_variant_get(v, "$", "string") != "")
+        .when(kind.startswith("OBJECT"), kind != "OBJECT<>")
+        .when(kind.startswith("ARRAY"), F.size(F.try_variant_get(v, "$", "array<variant>")) > 0)
+        .otherwise(F.coalesce(F.try_variant_get(v, "$", "double") != 0, F.lit(True)))
+    )
 
 
 def chat_request_status(body: Column) -> Column:
-    """HTTP status of a chat request: 400 for bad JSON or streaming, else 200."""
+    """HTTP status of a chat request: 400 for bad JSON or a `stream` that counts, 500 for JSON that is no object, else 200."""
     v = F.try_parse_json(body)
-    streams = F.coalesce(F.try_variant_get(v, "$.stream", "boolean"), F.lit(False))
-    return F.when(v.isNull() | streams, 400).otherwise(200)
+    streams = truth(F.try_variant_get(v, "$.stream", "variant"))
+    return F.when(v.isNull(), 400).when(~F.schema_of_variant(v).startswith("OBJECT"), 500).when(streams, 400).otherwise(200)
 
 
 def upload_media_type(explicit: Column, file_name: Column) -> Column:
-    """The stated media type, else one by extension; null unless audio or video."""
-    ext = F.lower(F.regexp_extract(file_name, r"\.([A-Za-z0-9]+)$", 1))
-    guess = F.when(ext.isin("mp3", "wav", "ogg", "flac", "aac"), F.concat(F.lit("audio/"), ext)).when(ext.isin("mp4", "webm", "mpeg", "avi", "mov"), F.concat(F.lit("video/"), ext))
-    kind = F.coalesce(F.nullif(explicit, F.lit("")), guess)
+    """The stated media type, else one by the name's ending; null unless audio or video."""
+    kind = F.coalesce(F.nullif(explicit, F.lit("")), media_type(file_name, ("audio", "video")))
     return F.when(kind.startswith("audio/") | kind.startswith("video/"), kind)
 
 
@@ -42,25 +53,40 @@ def content_of(messages: DataFrame) -> DataFrame:
 
 #: Why a request is refused, and what an image that cannot be read puts before the text.
 NEEDS, ONLY_USER, ONLY_TEXT = "Either 'prompt' or 'messages' must be provided.", "Images can only be added to the most recent 'user' message in the history.", "The last message content must be a string when providing new images."
-UNREADABLE = "[Error processing image %d: Error processing image file %s: Unsupported or unknown image format for file: %s]\n"
+FAILED, MISSING, UNKNOWN_TYPE = "[Error processing image %d: Error processing image file %s: %s]\n", "Image file not found at %s", "Unsupported or unknown image format for file: %s"
+
+
+def with_pictures(requests: DataFrame, files: DataFrame, key: str, images: str = "images") -> DataFrame:
+    """requests with `pictures`, for each path of `images` in order: (path, uri, error), a data URI of the file's content or why there is none.
+
+    files(path, content), one row a path.  Paths are joined before contents come in, so a file travels once for each
+    request that shows it; the join splits a path that many requests share where it is large.
+    """
+    asked = requests.select(key, F.posexplode(images).alias("n", "path"))
+    read = asked.join(files.select("path", "content"), "path", "left")
+    kind = image_mime(F.col("path"))
+    error = F.when(F.col("content").isNull(), F.format_string(MISSING, "path")).when(kind.isNull(), F.format_string(UNKNOWN_TYPE, base_name(F.col("path"))))
+    made = F.struct("n", "path", F.when(error.isNull(), data_uri(kind, F.col("content"))).alias("uri"), error.alias("error"))
+    pictures = read.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(made)), lambda x: x.dropFields("n")).alias("pictures"))
+    out = requests.join(pictures, key, "left")
+    return out.withColumn("pictures", F.coalesce("pictures", F.array().cast(out.schema["pictures"].dataType)))
 
 
-def assemble(prompt: Column, messages_n: Column, last_role: Column, last_text: Column, images: Column) -> Column:
+def assemble(prompt: Column, messages_n: Column, last_role: Column, last_text: Column, pictures: Column) -> Column:
     """Struct (error, parts) of a request of a prompt, or of messages, beside which a prompt does not count; an empty prompt is none.
 
-    Images go only on a last user message of string content; one of unknown type puts a line before the text, the
+    Images go only on a last user message of string content; one that could not be read puts a line before the text, the
     latest first.  A last message of list content has no parts here: it stays as it is.
     """
     none = F.coalesce(messages_n, F.lit(0)) == 0
     role, text = F.when(none, "user").otherwise(last_role), F.when(none, F.coalesce(prompt, F.lit(""))).otherwise(last_text)
-    numbered = F.transform(images, lambda p, i: F.struct(p.alias("p"), (i + 1).alias("n")))
-    bad = F.filter(numbered, lambda x: image_mime(x["p"]).isNull())
-    lines = F.transform(F.reverse(bad), lambda x: F.format_string(UNREADABLE, x["n"], x["p"], base_name(x["p"])))
+    numbered = F.transform(pictures, lambda p, i: F.struct((i + 1).alias("n"), p["path"].alias("path"), p["uri"].alias("uri"), p["error"].alias("error")))
+    lines = F.transform(F.reverse(F.filter(numbered, lambda x: x["uri"].isNull())), lambda x: F.format_string(FAILED, x["n"], x["path"], x["error"]))
     said = F.array(F.struct(F.lit("text").alias("type"), F.concat(F.array_join(lines, ""), text).alias("value")))
-    pictures = F.transform(F.filter(images, lambda p: image_mime(p).isNotNull()), lambda p: F.struct(F.lit("image_url").alias("type"), p.alias("value")))
-    some = F.size(images) > 0
+    shown = F.transform(F.filter(pictures, lambda p: p["uri"].isNotNull()), lambda p: F.struct(F.lit("image_url").alias("type"), p["uri"].alias("value")))
+    some = F.size(pictures) > 0
     error = F.when(none & F.coalesce(prompt == "", F.lit(True)), NEEDS).when(some & F.coalesce(role != "user", F.lit(True)), ONLY_USER).when(some & text.isNull(), ONLY_TEXT)
-    return F.struct(error.alias("error"), F.when(error.isNull() & text.isNotNull(), F.concat(said, pictures)).alias("parts"))
+    return F.struct(error.alias("error"), F.when(error.isNull() & text.isNotNull(), F.concat(said, shown)).alias("parts"))
 
 
 def completion(model: Column, text: Column, created: Column, request_id: Column) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import mimetypes
+
 from pyspark.sql import functions as F
 
 from reelspan.functions import text as T
@@ -274,31 +277,70 @@ def message_contents(spark, sf_dir):
     return messages.content_of(m).select("conv_id", "turn", "text", "sends_images")
 
 
-@query("""with e as (select *, case when turn % 5 = 0 then 'Either ''prompt'' or ''messages'' must be provided.' when turn % 5 = 1 and role <> 'user' then 'Images can only be added to the most recent ''user'' message in the history.' when turn % 5 = 3 then 'The last message content must be a string when providing new images.' end error from conversations where not (turn % 5 = 3 and role <> 'user') union all select *, 'Images can only be added to the most recent ''user'' message in the history.' from conversations where turn % 5 = 3 and role <> 'user')
-select conv_id, turn, error, case when error is null then case when turn % 5 = 1 then 2 else 1 end end::int n_parts, case when error is null then case when turn % 5 = 1 then e'[Error processing image 3: Error processing image file d/b.xyz: Unsupported or unknown image format for file: b.xyz]\n[Error processing image 2: Error processing image file a.doc: Unsupported or unknown image format for file: a.doc]\n' || text when turn % 5 = 2 then role else text end end first_part from e""")
+@query("""with q as (select *, conv_id || '-' || turn id, 'img/' || conv_id || '-' || turn own from conversations),
+p as (select *, own || '.png' p1, own || '.doc' p2, 'img/none-' || turn || '.webp' p3, own || '.TIF' p4 from q),
+e as (select *, case when turn % 5 = 0 then 'Either ''prompt'' or ''messages'' must be provided.' when turn % 5 in (1, 3) and role <> 'user' then 'Images can only be added to the most recent ''user'' message in the history.' when turn % 5 = 3 then 'The last message content must be a string when providing new images.' end error from p)
+select conv_id, turn, error, case when error is null then case when turn % 5 = 1 then
+'text=[Error processing image 3: Error processing image file ' || p3 || ': Image file not found at ' || p3 || e']\n[Error processing image 2: Error processing image file ' || p2 || ': Unsupported or unknown image format for file: ' || conv_id || '-' || turn || e'.doc]\n' || text || '|image_url=data:image/png;base64,' || to_base64(encode(text || '1')) || '|image_url=data:image/tiff;base64,' || to_base64(encode(text || '4'))
+when turn % 5 = 2 then 'text=' || role else 'text=' || text end end parts from e""")
 def assembled_requests(spark, sf_dir):
-    """By turn: neither prompt nor messages; images on a text; a prompt only; images on list content; a message, and a prompt that does not count."""
-    t = F.col("turn") % 5
-    images = F.when(t.isin(1, 3), F.array(F.lit("a.png"), F.lit("a.doc"), F.lit("d/b.xyz"))).otherwise(F.array().cast("array<string>"))
-    made = messages.assemble(F.when(t == 0, "").when(t == 2, F.col("role")).otherwise("a prompt"), F.when(t.isin(0, 2), 0).otherwise(1), F.col("role"), F.when(t != 3, F.col("text")), images)
-    out = table(spark, sf_dir, "conversations").select("conv_id", "turn", made.alias("m"))
-    return out.select("conv_id", "turn", "m.error", F.when(F.col("m.parts").isNotNull(), F.size("m.parts")).alias("n_parts"), F.get("m.parts", F.lit(0))["value"].alias("first_part"))
+    """By turn: neither prompt nor messages; images on a text, one missing and one of no image type; a prompt only; images on list content; a message beside a prompt."""
+    c = table(spark, sf_dir, "conversations").withColumn("id", F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")))
+    own, t = F.concat(F.lit("img/"), F.col("id")), F.col("turn") % 5
+    named = lambda *ends: F.array(*[F.concat(own, F.lit(e)) for e in ends])
+    missing = F.concat(F.lit("img/none-"), F.col("turn").cast("string"), F.lit(".webp"))
+    stored = c.select(F.explode(F.arrays_zip(named(".png", ".doc", ".TIF").alias("path"), F.array(*[F.encode(F.concat("text", F.lit(x)), "UTF-8") for x in "124"]).alias("content"))).alias("f")).select("f.*")
+    asked = c.withColumn("images", F.when(t.isin(1, 3), F.array(F.concat(own, F.lit(".png")), F.concat(own, F.lit(".doc")), missing, F.concat(own, F.lit(".TIF")))).otherwise(F.array().cast("array<string>")))
+    rows = messages.with_pictures(asked, stored, "id")
+    made = messages.assemble(F.when(t == 0, "").when(t == 2, F.col("role")).otherwise("a prompt"), F.when(t.isin(0, 2), 0).otherwise(1), F.col("role"), F.when(t != 3, F.col("text")), F.col("pictures"))
+    out = rows.select("conv_id", "turn", made.alias("m"))
+    return out.select("conv_id", "turn", "m.error", F.array_join(F.transform("m.parts", lambda x: F.concat_ws("=", x["type"], x["value"])), "|").alias("parts"))
+
+
+#: Request bodies and whether their `stream` counts; names of files, whose types the standard table tells.
+STREAMS = ["true", "false", "null", "1", "0", "0.0", "-1.5", '""', '"false"', '"on"', "[]", "[0]", "{}", '{"a": null}', "1e3"]
+BODIES = [f'{{"model": "m", "stream": {x}}}' for x in STREAMS] + ['{"model": "m"}', "{bad", "", "[1]", '"text"', '{"a": {"stream": true}}']
+NAMES = [f"{x}.{e}" for x, e in zip("abcdefghijklmnopqrstuvwxyz0123456789", ["mp3", "MP3", "wav", "m4a", "mp4", "mkv", "webm", "mpeg", "mpg", "mov", "avi", "ogg", "flac", "aac", "opus", "3gp", "aiff", "au", "txt", "png", "mp3.gz", "mp4.bak", "tar.gz", "svgz", "tif", "tiff", "bmp", "gif", "ico", "jpe", "JPEG", "webp", "heic", "avif", "svg", "pdf"])] + ["noending", ".mp3", "..mp4", "dir.mp3/file", "dots...wav", "end."]
+
+
+def _status(body):
+    try:
+        v = json.loads(body)
+    except ValueError:
+        return 400
+    return 500 if not isinstance(v, dict) else 400 if v.get("stream") else 200
+
+
+def _told(name, *kinds):
+    kind = mimetypes.MimeTypes().guess_type(name)[0]
+    return kind if kind and kind.split("/")[0] in kinds else None
+
+
+def _values(pairs):
+    quoted = lambda x: "null" if x is None else str(x) if isinstance(x, int) else "'" + x.replace("'", "''") + "'"
+    return ", ".join(f"({', '.join(quoted(x) for x in p)})" for p in pairs)
+
+
+def _nth(items, i):
+    return F.element_at(F.array(*[F.lit(x) for x in items]), (i % len(items) + 1).cast("int"))
 
 
-@query("""with b as (select event_id, case event_id % 4 when 0 then '{"model": "m"}' when 1 then '{"stream": true}' when 2 then '{bad' else props end body from events) select event_id, case when event_id % 4 in (1, 2) then 400 else 200 end status from b""")
+@query(f"with v(body, status) as (values {_values([(b, _status(b)) for b in BODIES])}), n as (select *, row_number() over () - 1 i from v) select event_id, body, status from events join n on i = event_id % {len(BODIES)}")
 def chat_request_checks(spark, sf_dir):
-    i = F.col("event_id") % 4
-    body = F.when(i == 0, '{"model": "m"}').when(i == 1, '{"stream": true}').when(i == 2, "{bad").otherwise(F.col("props"))
-    return table(spark, sf_dir, "events").select("event_id", messages.chat_request_status(body).alias("status"))
+    rows = table(spark, sf_dir, "events").select("event_id", _nth(BODIES, F.col("event_id")).alias("body"))
+    return rows.withColumn("status", messages.chat_request_status(F.col("body")))
 
 
-@query("select event_id, case event_id % 5 when 0 then 'audio/mp3' when 1 then 'video/webm' when 2 then 'audio/x-own' end media_type, case when event_id % 3 = 0 then 200 else 400 end upload_status from events")
+@query(f"""with v(name, kind, image) as (values {_values([(n, _told(n, "audio", "video"), _told(n, "image")) for n in NAMES])}), n as (select *, row_number() over () - 1 i from v)
+select event_id, user_id || name as name, case when event_id % 7 = 0 then 'audio/x-' || event_type when event_id % 7 <> 1 then kind end media_type, image image_type, case when event_id % 3 = 0 then 200 else 400 end upload_status from events join n on i = event_id % {len(NAMES)}""")
 def upload_checks(spark, sf_dir):
+    """Stated types of two rows in seven, one of them no audio or video; else by the name's ending."""
     i = F.col("event_id")
-    name = F.element_at(F.array(*[F.lit(x) for x in ("a.MP3", "b.webm", "c.txt", "d.txt", "e")]), (i % 5 + 1).cast("int"))
-    explicit = F.when(i % 5 == 2, "audio/x-own").when(i % 5 == 3, "text/plain").otherwise("")
+    explicit = F.when(i % 7 == 0, F.concat(F.lit("audio/x-"), "event_type")).when(i % 7 == 1, "text/plain").otherwise("")
     parts = F.when(i % 3 == 0, F.array(F.lit("file"), F.lit("purpose"))).when(i % 3 == 1, F.array(F.lit("purpose"), F.lit("file"))).otherwise(F.array(F.lit("file")))
-    return table(spark, sf_dir, "events").select("event_id", messages.upload_media_type(explicit, name).alias("media_type"), messages.file_upload_status(parts).alias("upload_status"))
+    named = table(spark, sf_dir, "events").withColumn("name", F.concat(F.col("user_id").cast("string"), _nth(NAMES, i)))
+    bare = _nth(NAMES, i)  # the user in front would hide dots that begin a name
+    return named.select("event_id", "name", messages.upload_media_type(explicit, bare).alias("media_type"), T.image_mime(bare).alias("image_type"), messages.file_upload_status(parts).alias("upload_status"))
 
 
 @query("""select conv_id, turn, '{"id":"' || conv_id || '-' || turn || '","object":"chat.completion","created":0,"model":"m","choices":[{"index":0,"message":{"role":"assistant","content":"' || role || '"},"finish_reason":"stop"}],"usage":{"prompt_tokens":0,"completion_tokens":0,"total_tokens":0}}' response from conversations""")

@@ -85,3 +85,31 @@ def playlist_entries(spark, sf_dir):
     variant = F.concat(F.lit("#EXTM3U\n#EXT-X-STREAM-INF:BANDWIDTH=1\n"), "lang", F.lit("/low.m3u8\n#EXT-X-STREAM-INF:BANDWIDTH=2\n"), "lang", F.lit("/high.m3u8\n"))
     media = F.concat(F.lit("#EXTM3U\r\n#EXTINF:4,\r\nhttps://h/"), "source", F.lit(".ts\r\n#EXTINF:4,\r\n"), "source", F.lit("-2.ts\r\n#EXT-X-ENDLIST"))
     return files.playlist(d.select(F.col("doc_id").alias("playlist_id"), F.when(F.col("doc_id") % 2 == 0, variant).otherwise(media).alias("text")))
+
+
+@query("""with s as (select doc_id, 'p/' || doc_id || '.m3u8' path, text from documents),
+e as (select path, 0::int pos, case when doc_id % 2 = 0 then doc_id else doc_id - 1 end own from s union all select path, 1, doc_id from s where doc_id % 2 = 1)
+select e.path, e.pos, 's/' || e.own || '.ts' segment, sha256(coalesce(d.text, '')) sha256, case when d.doc_id is null then 'no segment s/' || e.own || '.ts' end error from e left join documents d on d.doc_id = e.own where d.doc_id is not null
+union all select e.path, e.pos, 's/' || e.own || '.ts', null, 'no segment s/' || e.own || '.ts' from e anti join documents d on d.doc_id = e.own""")
+def resolved_playlists(spark, sf_dir):
+    """Playlists of documents as segments: every second one by way of a variant list, with a list of its own."""
+    d, i = table(spark, sf_dir, "documents"), F.col("doc_id").cast("string")
+    before = (F.col("doc_id") - 1).cast("string")
+    file = lambda folder, end, content: d.select(F.concat(F.lit(folder), i, F.lit(end)).alias("path"), content.cast("binary").alias("content"))
+    media = F.concat(F.lit("#EXTM3U\n../s/"), before, F.lit(".ts\n#EXTINF:4,\n../q/../s/"), i, F.lit(".ts\n"))
+    variant = F.concat(F.lit("#EXTM3U\n#EXT-X-STREAM-INF:BANDWIDTH=1\nlow/"), i, F.lit(".m3u8\n#EXT-X-STREAM-INF:BANDWIDTH=2\nhigh.m3u8\n"))
+    lists = file("p/", ".m3u8", F.when(F.col("doc_id") % 2 == 1, media).otherwise(variant))
+    low = file("p/low/", ".m3u8", F.concat(F.lit("../s/"), i, F.lit(".ts"))).filter("path is not null")
+    stored = lists.unionByName(low).unionByName(file("s/", ".ts", F.coalesce("text", F.lit(""))))
+    out = files.segments_of_playlists(lists.select("path"), stored)
+    return out.select("path", "pos", "segment", F.sha2("content", 256).alias("sha256"), "error")
+
+
+@query("""with c as (select c_custkey pos, case when c_acctbal < 0 then null else e' \\t' || c_mktsegment || '-' || (c_custkey % 40) || ' ' end t from customer),
+f as (select trim(t, e' \\t') token, min(pos) pos from c where t is not null group by 1), p as (select token, row_number() over (order by pos) - 1 place from f)
+select token, 'mistral-' || token[1:4] || '...' || token[-4:] || '-' || place as name, place::int place from p""")
+def named_plain_keys(spark, sf_dir):
+    """The cells of a headerless sheet, with repeats and empty ones, as keys with names by place."""
+    c = table(spark, sf_dir, "customer")
+    cell = F.when(F.col("c_acctbal") >= 0, F.concat(F.lit(" \t"), "c_mktsegment", F.lit("-"), (F.col("c_custkey") % 40).cast("string"), F.lit(" ")))
+    return files.named_keys(c.select(F.col("c_custkey").alias("pos"), cell.alias("token")), "mistral")

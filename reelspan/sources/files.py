@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelspan.functions.text import base_name, image_mime, is_url, stem
+from reelspan.operators import scan
 
 
 def images(spark: SparkSession, path: str, glob: str = "*.webp") -> DataFrame:
@@ -45,9 +46,25 @@ def key_sheet(spark: SparkSession, path: str) -> DataFrame:
     return rows.toDF(*[c.strip() for c in rows.columns]).withColumn("pos", F.monotonically_increasing_id())
 
 
-def plain_keys(spark: SparkSession, path: str) -> DataFrame:
-    """Column 0 of a headerless CSV as trimmed text."""
-    return spark.read.csv(path, header=False, schema="_c0 string").select(F.trim("_c0").alias("token"))
+#: Cells that a sheet's reader takes as empty.
+EMPTY = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
+def named_keys(cells: DataFrame, provider: str, at: str = "pos", cell: str = "token") -> DataFrame:
+    """(token, name, place) of a headerless sheet's cells: empty ones dropped, white space trimmed, the first of equal tokens kept.
+
+    place counts distinct tokens in order, a blank one included, which itself is no key; a name holds the token's ends and its place.
+    """
+    trimmed = cells.filter(F.col(cell).isNotNull() & ~F.col(cell).isin(*EMPTY)).select(F.regexp_replace(cell, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "").alias("token"), F.col(at).alias("pos"))
+    firsts = trimmed.groupBy("token").agg(F.min("pos").alias("pos"))
+    placed = scan.row_numbers(firsts, [], "pos", "place", 1 << 20).withColumn("place", F.col("place") - 1)
+    return placed.filter("token <> ''").select("token", F.format_string(f"{provider}-%s...%s-%d", F.left("token", F.lit(4)), F.right("token", F.lit(4)), F.col("place")).alias("name"), "place")
+
+
+def plain_keys(spark: SparkSession, path: str, provider: str = "mistral") -> DataFrame:
+    """(token, name, place) of column 0 of a headerless CSV."""
+    cells = spark.read.csv(path, header=False, schema="_c0 string").select(F.col("_c0").alias("token"), F.monotonically_increasing_id().alias("pos"))
+    return named_keys(cells, provider)
 
 
 def playlist(texts: DataFrame, key: str = "playlist_id", text: str = "text") -> DataFrame:
@@ -57,3 +74,39 @@ def playlist(texts: DataFrame, key: str = "playlist_id", text: str = "text") ->
     uris = lines.withColumn("is_variant", variant).filter((F.trim("line") != "") & ~F.trim("line").startswith("#"))
     uris = uris.withColumn("pos", F.row_number().over(Window.partitionBy(key).orderBy("line_no")) - 1)
     return uris.filter(~F.col("is_variant") | (F.col("pos") == 0)).select(key, "pos", F.trim("line").alias("uri"), "is_variant", is_url(F.trim("line")).alias("remote"))
+
+
+def folder_of(path: Column) -> Column:
+    """The path up to and with its last slash; empty without one."""
+    return F.regexp_extract(path, r"^(.*/)?", 1)
+
+
+def resolved(base: Column, uri: Column) -> Column:
+    """uri beside the folder `base`; a URL or an absolute path as it stands; `.` and `..` are worked out, as far as there are folders."""
+    path = F.when(is_url(uri) | uri.startswith("/"), uri).otherwise(F.concat(base, uri))
+    steps = F.filter(F.split(path, "/"), lambda x: x != ".")
+    walk = F.aggregate(steps, F.array().cast("array<string>"), lambda done, x: F.when((x == "..") & (F.size(done) > 0) & (F.element_at(done, -1) != ".."), F.slice(done, F.lit(1), F.size(done) - 1)).otherwise(F.concat(done, F.array(x))))
+    return F.when(is_url(path), path).otherwise(F.array_join(walk, "/"))
+
+
+def segments_of_playlists(playlists: DataFrame, files: DataFrame, depth: int = 1, beside_own: bool = False) -> DataFrame:
+    """(path, pos, segment, content, error) of playlists(path): the segments of each in order, with their bytes or why there are none.
+
+    files(path, content) holds playlists, segments and what was fetched from URLs.  A variant list is followed to its first sub-playlist,
+    up to `depth` times, by a join; what is a variant list still then has no segments.  Segments lie beside the first list, or with beside_own
+    beside the list that names them.  Contents of segments are joined last, by path; lists are texts of a few lines a segment.
+    """
+    found = playlists.select("path").distinct().withColumn("at", F.col("path"))
+    texts = files.select(F.col("path").alias("at"), F.col("content").cast("string").alias("text"))
+    whole = None
+    for level in range(depth + 1):
+        read = found.join(texts, "at", "left")
+        gone = read.filter("text is null").select("path", F.lit(0).alias("pos"), F.lit(None).cast("string").alias("segment"), F.concat(F.lit("no playlist "), "at").alias("error"))
+        own = read.filter("text is not null").withColumn("list", F.struct("path", "at"))
+        entries = playlist(own.select("list", "text"), "list").select("list.path", "list.at", "pos", "uri", "is_variant")
+        base = folder_of(F.col("at") if beside_own else F.col("path"))
+        rows = gone.unionByName(entries.filter("not is_variant").select("path", "pos", resolved(base, F.col("uri")).alias("segment"), F.lit(None).cast("string").alias("error")))
+        whole = rows if whole is None else whole.unionByName(rows)
+        found = entries.filter("is_variant").select("path", resolved(folder_of(F.col("at")), F.col("uri")).alias("at"))
+    held = whole.join(files.select(F.col("path").alias("segment"), F.col("content").cast("binary").alias("content")), "segment", "left")
+    return held.select("path", "pos", "segment", "content", F.coalesce("error", F.when(F.col("content").isNull(), F.concat(F.lit("no segment "), "segment"))).alias("error"))

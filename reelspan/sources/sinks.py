@@ -154,6 +154,38 @@ def write_archives(files: DataFrame, path: str, key: str = "video_id", job: str
     return _committed(dealt.mapInArrow(stage, MANIFEST), files.sparkSession, path, job)
 
 
+def write_joined(parts: DataFrame, path: str, key: str = "path", at: str = "pos", job: str | None = None) -> DataFrame:
+    """(name, n_bytes): for each key one file named by it, its parts(key, at, content) one behind the other in order of `at`.
+
+    Parts come to the task in order and are written as they come, so it holds one Arrow batch of them.
+    """
+    job = job or uuid.uuid4().hex
+
+    def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder, relative = _staged(path, job)
+        done: list[tuple[str, int, str]] = []
+        now = stream = None
+
+        def close() -> None:
+            if stream is not None:
+                done.append((now, stream.tell(), f"{relative}/{len(done)}"))
+                stream.close()
+
+        for b in batches:
+            for i in range(b.num_rows):
+                if (own := b.column(0)[i].as_py()) != now:
+                    close()
+                    now, stream = own, store.open_output_stream(f"{folder}/{len(done)}", compression=None)
+                stream.write(b.column(2)[i].as_py() or b"")
+        close()
+        if done:
+            names, sizes, where = zip(*done)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(sizes, pa.int64()), pa.array(where, pa.string())], ["name", "n_bytes", "staged"])
+
+    given = parts.select(F.col(key).cast("string").alias("key"), F.col(at).alias("at"), F.col("content").cast("binary")).filter("key is not null")
+    return _committed(given.repartition("key").sortWithinPartitions("key", "at").mapInArrow(stage, MANIFEST), parts.sparkSession, path, job)
+
+
 class _Counted(io.RawIOBase):
     """What zipfile needs of an output that can only go on."""
 

@@ -10,7 +10,7 @@ from reelspan.plans.proxies import FRAMES, SEGMENTS, SHOTS, features, frames, se
 from reelspan.plans.registry import query
 from reelspan.session import new_folder
 from reelspan.sources import frames as raw
-from reelspan.sources import sinks
+from reelspan.sources import sinks, wav
 
 DOT = "list_sum(list_transform(range(1, len({a}) + 1), lambda i: {a}[i]::double * {b}[i]::double))"
 
@@ -321,3 +321,37 @@ def raw_wanted_frames(spark, sf_dir):
     chosen = frames(spark, sf_dir).filter("value >= 75").select("video_id", "frame_idx")
     beyond = chosen.select("video_id", F.col("frame_idx") + 1_000_000)
     return _shown(raw.wanted_frames(chosen.union(chosen).union(beyond), _raw(spark, sf_dir), 4, 2, block=64))
+
+
+@query("""with l as (select user_id media_id, row_number() over (partition by user_id order by ts, event_id) - 1 k, case when value < 40 then 10 else 1000 end a from events),
+g as (select media_id, count(*) * 100 len, floor(sqrt(avg(a * a))) rms from l group by 1),
+t as (select media_id, len, pow(10, (20 * log10(rms / 32768) - 14) / 20) * 32768 lim from g),
+m as (select media_id, k * 100 + j ms, a * a sq from l cross join (select unnest(range(100)) j)),
+w as (select media_id, ms, sum(sq) over x s, count(*) over x c from m window x as (partition by media_id order by ms rows between current row and 299 following)),
+q as (select media_id, ms, lag(ms) over (partition by media_id order by ms) p from w join t using (media_id) where c = 300 and floor(sqrt(s / 300)) <= lim),
+r as (select *, sum((p is null or ms > p + 300)::int) over (partition by media_id order by ms rows unbounded preceding) no from q),
+s as (select media_id, min(ms) a, max(ms) + 300 b from r group by media_id, no),
+e as (select media_id, a, b from s union all select media_id, len, null from t),
+f as (select e.*, len, lag(e.a) over y pa, lag(e.b) over y pb from e join t using (media_id) window y as (partition by media_id order by e.a)),
+z as (select media_id, case when pa > 0 then case when pb - pa < 200 then (pa + pb) // 2 else pb - 100 end else greatest(0, coalesce(pb, 0) - 100) end start_ms, case when b < len then case when b - a < 200 then (a + b) // 2 else a + 100 end else least(len, a + 100) end end_ms from f where a > coalesce(pb, 0))
+select media_id, row_number() over (partition by media_id order by start_ms)::int seg_idx, start_ms::bigint start_ms, end_ms::bigint end_ms from z""")
+def speech_from_samples(spark, sf_dir):
+    """A user's events as WAV files of 100 ms a event, loud or quiet by value; silences of 300 ms of their samples split."""
+    folder = new_folder(spark, "audio")
+    f = frames(spark, sf_dir).select(F.concat(F.col("video_id").cast("string"), F.lit(".wav")).alias("path"), F.col("frame_idx").alias("pos"), F.unhex(F.repeat(F.when(F.col("value") < 40, "0A00").otherwise("E803"), 800)).alias("content"))
+    head = f.filter("pos = 0").select("path", F.lit(-1).alias("pos"), F.lit(wav.wav_header(8000, 1, 2, 0)[:40] + b"\xff" * 4).alias("content"))  # samples up to the file's end
+    sinks.write_joined(head.unionByName(f), folder)
+    found = wav.speech(wav.pieces_of(wav.wav_files(spark, folder), 5000), min_silence_ms=300, keep_ms=100)
+    return found.select(F.col("media_id").cast("long").alias("media_id"), "seg_idx", "start_ms", "end_ms")
+
+
+@query(f"""with recursive {SEGMENTS},
+o as (select sg.media_id, seg_idx, octet_length(encode(coalesce(text, ''))) n, text, row_number() over (partition by sg.media_id order by seg_idx) k from sg join documents d on d.doc_id = sg.seg_idx),
+r as (select media_id, seg_idx, k, 0 chunk_no, n total from o where k = 1
+      union all select o.media_id, o.seg_idx, o.k, case when r.total + o.n <= 20000 then r.chunk_no else r.chunk_no + 1 end, case when r.total + o.n <= 20000 then r.total + o.n else o.n end from r join o on o.media_id = r.media_id and o.k = r.k + 1)
+select r.media_id, r.chunk_no, min(r.seg_idx) as first, max(r.seg_idx) as last, sum(o.n)::bigint size_bytes, sha256(string_agg(coalesce(o.text, ''), '' order by r.seg_idx)) sha256 from r join o using (media_id, seg_idx) group by 1, 2""")
+def encoded_chunks(spark, sf_dir):
+    """Whole texts as segments, packed by the size of what the encoder makes of a chunk: here their bytes one behind the other."""
+    s = segments(spark, sf_dir).join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seg_idx"), F.col("text").cast("binary").alias("content")), "seg_idx")
+    made = audio.pack_encoded(s, 20_000, lambda: b"".join)
+    return made.select("media_id", "chunk_no", "first", "last", "size_bytes", F.sha2("content", 256).alias("sha256"))

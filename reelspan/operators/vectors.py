@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +41,35 @@ def band_similarity(features: DataFrame, reach: int, key: str, at: str = "frame_
     return near.select(key, "t", (F.col("u") - F.col("t")).alias("lag"), dot(F.col("v"), F.col("w")).alias("sim"))
 
 
+def band_vectors(features: DataFrame, key: str, at: str = "frame_idx", vector: str = "embedding", stride: int = 50, halo: int = 25, reach: int = 50) -> DataFrame:
+    """(key, at, band): for each frame its cosines with the frames from reach before to reach behind it, within its window; zero outside.
+
+    A window is a block of `stride` frames with `halo` more on either side; at the ends of a series, whose frames are numbered from
+    0 without gaps, the first and the last frame are repeated.  A block is one group and one matrix product: each frame is shuffled to its
+    own block and to the neighbours whose halo it is in, and gives one row.  A zero vector has cosine 0 with all.
+    """
+    spread = F.explode(F.sequence(F.greatest(F.lit(0), F.floor((F.col(at) - halo) / stride)), F.floor((F.col(at) + halo) / stride)))
+    rows = features.select(key, at, vector, spread.alias("_block"))
+    kinds = f"{key} {features.schema[key].dataType.simpleString()}, {at} {features.schema[at].dataType.simpleString()}, band array<double>"
+
+    def one(group: pa.Table) -> pa.Table:
+        group = group.sort_by(at)
+        frame, no = group.column(at).to_numpy(), group.column("_block")[0].as_py()
+        x = np.array(group.column(vector).to_pylist(), float)
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+        raw = np.arange(no * stride - halo, (no + 1) * stride + halo)
+        slot = np.clip(raw, frame[0], frame[-1]) - frame[0]
+        x = x[slot]
+        own = np.arange(halo, halo + min(stride, max(0, int(frame[-1]) - no * stride + 1)))
+        padded = np.pad(x[own] @ x.T, ((0, 0), (reach, reach)))
+        band = padded[np.arange(len(own))[:, None], own[:, None] + np.arange(2 * reach + 1)]
+        kept = np.searchsorted(frame, raw[own])
+        offsets = pa.array(np.arange(len(own) + 1) * (2 * reach + 1), pa.int32())
+        return pa.table([group.column(key).take(kept), group.column(at).take(kept), pa.ListArray.from_arrays(offsets, pa.array(band.ravel()))], [key, at, "band"])
+
+    return rows.groupBy(key, "_block").applyInArrow(one, kinds)
+
+
 def colour_histogram(pixels: DataFrame, keys: list[str]) -> DataFrame:
     """Share of each of 512 colour bins of a frame, L2-normalised."""
     bin_of = F.shiftleft(F.shiftright("r", 5), 6) + F.shiftleft(F.shiftright("g", 5), 3) + F.shiftright("b", 5)
@@ -53,26 +83,66 @@ def spatial_mean(cells: DataFrame, keys: list[str]) -> DataFrame:
     return cells.groupBy(*keys, "channel").agg(F.avg("value").alias("mean"))
 
 
+def mean_vectors(members: DataFrame, keys: list[str], vector: str = "embedding") -> DataFrame:
+    """(keys, mean): the mean vector of each group.  A task sums the vectors of its groups batch by batch; one row a group and batch is shuffled."""
+    kinds = ", ".join(f"{k} {members.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            own = pa.table(b).append_column("_i", pa.array(np.arange(b.num_rows))).sort_by([(k, "ascending") for k in keys])
+            lists = own.column(vector).combine_chunks()
+            x = lists.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(lists), -1)
+            new = np.zeros(len(x), bool)
+            new[0] = True
+            for k in keys:
+                code = own.column(k).combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy()
+                new[1:] |= code[1:] != code[:-1]
+            first = np.flatnonzero(new)
+            sums = np.add.reduceat(x, first, axis=0)
+            offsets = pa.array(np.arange(len(first) + 1) * x.shape[1], pa.int32())
+            yield pa.RecordBatch.from_arrays([*(own.column(k).combine_chunks().take(pa.array(first)) for k in keys), pa.array(np.diff(np.append(first, len(x)))), pa.ListArray.from_arrays(offsets, pa.array(sums.ravel()))], [*keys, "n", "total"])
+
+    parts = members.select(*keys, vector).filter(F.col(vector).isNotNull()).mapInArrow(run, f"{kinds}, n long, total array<double>")
+    width = parts.groupBy(*keys).agg(F.sum("n").alias("n"), F.collect_list("total").alias("totals"))
+    total = F.aggregate(F.slice("totals", 2, F.size("totals")), F.element_at("totals", 1), lambda s, x: F.zip_with(s, x, lambda a, b: a + b))
+    return width.select(*keys, F.transform(total, lambda x: x / F.col("n")).alias("mean"))
+
+
 def medoids(members: DataFrame, keys: list[str], at: str = "frame_idx", vector: str = "embedding") -> DataFrame:
     """The member nearest its group's mean vector; the first on a tie."""
-    means = members.select(*keys, F.posexplode(vector).alias("i", "x")).groupBy(*keys, "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    means = means.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("mean"))
     apart = F.aggregate(F.zip_with("mean", vector, lambda m, x: (m - x.cast("double")) * (m - x.cast("double"))), F.lit(0.0), lambda s, x: s + x)
-    return members.join(means, keys).withColumn("_d", F.round(apart, 9)).groupBy(*keys).agg(F.min(F.struct("_d", at))[at].alias(at))
+    return members.join(mean_vectors(members, keys, vector), keys).withColumn("_d", F.round(apart, 9)).groupBy(*keys).agg(F.min(F.struct("_d", at))[at].alias(at))
 
 
 def greedy_dedup(features: DataFrame, threshold: float, keys: list[str], at: str = "frame_idx", vector: str = "embedding") -> DataFrame:
     """Rows kept by a scan in order that drops a row whose dot product with an earlier kept row exceeds the threshold.
 
-    A fold over the ordered rows of a shot, which decimation keeps small.
+    Rows of a shot come to a task in order and are compared with what it has kept of the shot, a matrix that grows by halves; decimation
+    bounds a shot.
     """
-    kind = f"array<struct<{at}:{features.schema[at].dataType.simpleString()},{vector}:{features.schema[vector].dataType.simpleString()}>>"
-    rows = features.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(at, vector))).alias("rows"))
-    kept = F.aggregate(
-        F.col("rows").cast(kind), F.array().cast(kind),
-        lambda acc, x: F.when(F.exists(acc, lambda y: dot(y[vector], x[vector]) > threshold), acc).otherwise(F.array_append(acc, x)),
-    )
-    return rows.select(*keys, F.explode(F.transform(kept, lambda x: x[at])).alias(at))
+    kinds = ", ".join(f"{c} {features.schema[c].dataType.simpleString()}" for c in [*keys, at])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, kept, n = None, np.empty((0, 0)), 0
+        for b in batches:
+            groups, chosen = list(zip(*(b.column(k).to_pylist() for k in keys))), []
+            for i, v in enumerate(b.column(len(keys) + 1).to_pylist()):
+                x = np.array(v, float)
+                if groups[i] != now:
+                    now, kept, n = groups[i], np.empty((16, len(x))), 0
+                if n and (kept[:n] @ x).max() > threshold:
+                    continue
+                if n == len(kept):
+                    kept = np.concatenate((kept, np.empty((n // 2, len(x)))))
+                kept[n] = x
+                n += 1
+                chosen.append(i)
+            yield pa.RecordBatch.from_arrays([c.take(pa.array(chosen, pa.int64())) for c in b.columns[: len(keys) + 1]], [*keys, at])
+
+    dealt = features.select(*keys, at, vector).repartition(*keys).sortWithinPartitions(*keys, at)
+    return dealt.mapInArrow(run, kinds)
 
 
 # ---------------------------------------------------------------- k-means with silhouette

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from reelspan.functions import pixels
 from reelspan.functions import text as T
 from reelspan.operators import audio, enrich, shots, vectors
 from reelspan.plans.proxies import FRAMES, SEGMENTS, SHOTS, features, frames, segments, small_shots, table
@@ -82,6 +83,17 @@ def band_similarity(spark, sf_dir):
     return vectors.band_similarity(features(spark, sf_dir), 10, "video_id").select("t", "lag", F.round("sim", 6).alias("sim"))
 
 
+@query("""with recursive v as (select vec_id t, list_transform(embedding, lambda x: x::double / sqrt(list_sum(list_transform(embedding, lambda y: y::double * y::double)))) e from embeddings),
+n as (select count(*) n from v), s as (select t, unnest(range(-50, 51)) j from v),
+w as (select t, j, 25 + t % 50 + j slot, greatest(0, least((t // 50) * 50 + t % 50 + j, n - 1)) u from s cross join n),
+d as (select w.t, j, case when slot between 0 and 99 then round(list_sum(list_transform(range(1, len(a.e) + 1), lambda i: a.e[i] * b.e[i])), 4) + 0.0 else 0.0 end x from w join v a on a.t = w.t join v b on b.t = w.u)
+select t::int frame_idx, string_agg(printf('%.4f', x), ' ' order by j) band from d group by 1""")
+def band_of_windows(spark, sf_dir):
+    """Each frame's 101 cosines within its window, zero outside."""
+    rows = vectors.band_vectors(features(spark, sf_dir), "video_id")
+    return rows.select("frame_idx", F.array_join(F.transform("band", lambda x: F.format_string("%.4f", F.round(x, 4) + 0.0)), " ").alias("band"))
+
+
 PIXELS = "px as (select event_id // 64 frame_idx, (event_id * 37 % 256)::int r, (event_id * 91 % 256)::int g, (event_id * 53 % 256)::int b from events)"
 
 
@@ -101,11 +113,49 @@ def spatial_mean(spark, sf_dir):
     return vectors.spatial_mean(cells, ["frame_idx"]).withColumn("mean", F.round("mean", 6))
 
 
-@query(f"with {PIXELS} select frame_idx, round(avg((r / 255.0 - 0.48) / 0.27), 6) r_mean, round(avg((g / 255.0 - 0.46) / 0.26), 6) g_mean from px group by 1")
+@query(f"with {PIXELS} select frame_idx, round(avg((r / 255.0 - 0.48) / 0.27), 6) r_mean, round(avg((g / 255.0 - 0.46) / 0.26), 6) g_mean, round(avg((b / 255.0 - 0.41) / 0.28), 6) b_mean from px group by 1")
 def normalised_pixels(spark, sf_dir):
     from reelspan.functions.text import normalise_pixel
 
-    return _pixels(spark, sf_dir).groupBy("frame_idx").agg(F.round(F.avg(normalise_pixel(F.col("r"), 0.48, 0.27)), 6).alias("r_mean"), F.round(F.avg(normalise_pixel(F.col("g"), 0.46, 0.26)), 6).alias("g_mean"))
+    return _pixels(spark, sf_dir).groupBy("frame_idx").agg(F.round(F.avg(normalise_pixel(F.col("r"), 0.48, 0.27)), 6).alias("r_mean"), F.round(F.avg(normalise_pixel(F.col("g"), 0.46, 0.26)), 6).alias("g_mean"), F.round(F.avg(normalise_pixel(F.col("b"), 0.41, 0.28)), 6).alias("b_mean"))
+
+
+CUBIC = "case when abs({x}) < 1 then (1.5 * abs({x}) - 2.5) * {x} * {x} + 1 when abs({x}) < 2 then (((abs({x}) - 5) * abs({x}) + 8) * abs({x}) - 4) * -0.5 else 0 end"
+WEIGHTS = "select i, j, w / sum(w) over (partition by i) w from (select i, j, {cubic} w from (select unnest(range({m})) i) cross join (select unnest(range(8)) j) where j >= floor((i + 0.5) * 8 / {m} - 2 * greatest(8.0 / {m}, 1) + 0.5) and j < floor((i + 0.5) * 8 / {m} + 2 * greatest(8.0 / {m}, 1) + 0.5))"
+
+
+def _weights(m):
+    return WEIGHTS.format(m=m, cubic=CUBIC.format(x=f"((j + 0.5 - (i + 0.5) * 8.0 / {m}) / greatest(8.0 / {m}, 1))"))
+
+
+def _images(spark, sf_dir):
+    """Images of 8 x 8: 64 events in order of event_id each, whole ones only."""
+    e = table(spark, sf_dir, "events").select("event_id")
+    b = lambda x: F.unhex(F.lpad(F.hex(x), 2, "0"))
+    i = F.col("event_id")
+    rows = e.groupBy(F.floor(i / 64).alias("frame_idx")).agg(F.sort_array(F.collect_list(F.struct("event_id", F.concat(b(i * 37 % 256), b(i * 91 % 256), b(i * 53 % 256)).alias("rgb")))).alias("r"))
+    joined = F.aggregate("r", F.lit(b"").cast("binary"), lambda s, x: F.concat(s, x["rgb"]))
+    return rows.filter(F.size("r") == 64).select("frame_idx", F.lit(8).alias("width"), F.lit(8).alias("height"), joined.alias("pixels"))
+
+
+RESIZED = f"""{PIXELS}, c as (select frame_idx from px group by 1 having count(*) = 64),
+p0 as (select event_id // 64 frame_idx, event_id % 64 // 8 y, event_id % 8 x, unnest([event_id * 37 % 256, event_id * 91 % 256, event_id * 53 % 256]) v, unnest([0, 1, 2]) ch from events),
+p as (select p0.* from p0 join c using (frame_idx)), wx as ({_weights(12)}), wy as ({_weights(6)}),
+h as (select frame_idx, y, ch, i x, greatest(0, least(255, floor(sum(v * w) + 0.5))) v from p join wx on wx.j = p.x group by 1, 2, 3, 4),
+z as (select frame_idx, i y, x, ch, greatest(0, least(255, floor(sum(v * w) + 0.5)))::int v from h join wy on wy.j = h.y group by 1, 2, 3, 4)"""
+
+
+@query(f"with {RESIZED} select frame_idx, string_agg(lpad(to_hex(v), 2, '0'), '' order by y, x, ch) pixels from z group by 1")
+def resized_images(spark, sf_dir):
+    """Images of 8 x 8 at 12 x 6: one side grows, the other shrinks."""
+    return pixels.resize(_images(spark, sf_dir), 12, 6).select("frame_idx", F.hex("resized").alias("pixels"))
+
+
+@query(f"with {RESIZED}, t as (select frame_idx, (x // 6)::int tile, (x // 6 * 6)::int x0, 0 y0, string_agg(lpad(to_hex(v), 2, '0'), '' order by y, x, ch) pixels from z group by 1, 2, 3) select * from t")
+def image_tiles(spark, sf_dir):
+    """The same images as a grid of two tiles of 6 x 6, by content."""
+    grid = _images(spark, sf_dir).withColumns({"cols": F.lit(2), "rows": F.lit(1)})
+    return pixels.tiles(grid, "frame_idx", 6, thumbnail=False).withColumn("pixels", F.hex("pixels"))
 
 
 @query("select event_id, round(1 / (1 + exp(-(value - 50) / 10)), 9) p from events")
@@ -292,8 +342,8 @@ RAW = "(upper(sha256(event_id::varchar))[1:48])"
 def _raw(spark, sf_dir):
     """Every series as a raw video of 4 x 2 pixels, written with the frame sink; the folder."""
     path = new_folder(spark, "frames")
-    pixels = F.unhex(F.substring(F.sha2(F.col("event_id").cast("string"), 256), 1, 48))
-    raw.write_frames(frames(spark, sf_dir).select("video_id", "frame_idx", pixels.alias("pixels")), path, 4, 2, segment=256)
+    made = F.unhex(F.substring(F.sha2(F.col("event_id").cast("string"), 256), 1, 48))
+    raw.write_frames(frames(spark, sf_dir).select("video_id", "frame_idx", made.alias("pixels")), path, 4, 2, segment=256)
     return path
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,6 +105,40 @@ def layout_faults(listing: DataFrame, key: str = "video_id") -> DataFrame:
     return out.withColumn("valid", F.col("has_metadata") & (F.col("n_webp") > 0))
 
 
-def apply_model(rows: DataFrame, model, columns: str, keys: list[str]) -> DataFrame:
-    """A model called once a batch: `model(frame)` maps a batch's rows (a pandas frame) to a frame of `columns`."""
-    return rows.groupBy(*keys).applyInPandas(lambda frame: model()(frame), columns)
+#: Models of this Python worker, by the call that asked for them.
+_MODELS: dict = {}
+
+
+def built_once(model: Callable) -> Callable:
+    """A function that gives model(), built when a worker first asks and kept for its later tasks of the same query."""
+    token = uuid.uuid4().hex
+
+    def get():
+        if token not in _MODELS:
+            _MODELS.clear()  # models of earlier queries
+            _MODELS[token] = model()
+        return _MODELS[token]
+
+    return get
+
+
+def apply_model(rows: DataFrame, model: Callable, columns: str, keys: list[str]) -> DataFrame:
+    """A model called once a batch: model() is built once a worker and maps a batch's rows (a pandas frame) to a frame of `columns`.
+
+    Batches come to a task one behind the other, whole; it holds the batch it is at.
+    """
+    get = built_once(model)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        f, held = get(), None
+        for frame in frames:
+            frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            own = frame[keys].apply(tuple, axis=1) if len(frame) else []
+            edge = [0, *(i for i in range(1, len(frame)) if own.iat[i] != own.iat[i - 1])]
+            for a, b in zip(edge, edge[1:]):
+                yield f(frame.iloc[a:b].reset_index(drop=True))
+            held = frame.iloc[edge[-1] :].reset_index(drop=True) if len(frame) else None
+        if held is not None and len(held):
+            yield f(held)
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, columns)

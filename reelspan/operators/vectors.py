@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reelspan.operators.enrich import built_once
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -228,8 +230,10 @@ def keyframes_of_shots(features: DataFrame, keys: list[str], at: str = "frame_id
 
 def embed(frames: DataFrame, model, batch: int = 16, image: str = "pixels") -> DataFrame:
     """frames with an embedding of `image`: model() is built once in each worker and maps a list of images to vectors."""
+    get = built_once(model)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        f = model()
+        f = get()
         for b in batches:
             made = []
             for i in range(0, len(b), batch):

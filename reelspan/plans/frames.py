@@ -11,7 +11,7 @@ from reelspan.plans.proxies import FRAMES, SEGMENTS, SHOTS, features, frames, se
 from reelspan.plans.registry import query
 from reelspan.session import new_folder
 from reelspan.sources import frames as raw
-from reelspan.sources import sinks, wav
+from reelspan.sources import containers, sinks, wav
 
 DOT = "list_sum(list_transform(range(1, len({a}) + 1), lambda i: {a}[i]::double * {b}[i]::double))"
 
@@ -66,10 +66,10 @@ def _keyframes(spark, sf_dir):
     return shots.number_frames(picked)
 
 
-@query(f"with n as (select vec_id, sqrt({DOT.format(a='embedding', b='embedding')}) n, embedding from embeddings) select vec_id, round(list_sum(list_transform(embedding, lambda x: x::double / n)), 6) total, round(embedding[1]::double / n, 6) first_value from n")
+@query(f"with n as (select vec_id, sqrt({DOT.format(a='embedding', b='embedding')}) n, embedding from embeddings) select vec_id, list_transform(embedding, lambda x: round(x::double / n, 6) + 0.0) as values from n")
 def l2_normalised(spark, sf_dir):
     v = vectors.l2_normalise(F.col("embedding"))
-    return table(spark, sf_dir, "embeddings").select("vec_id", v.alias("v")).select("vec_id", F.round(F.aggregate("v", F.lit(0.0), lambda s, x: s + x), 6).alias("total"), F.round(F.element_at("v", 1), 6).alias("first_value"))
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.transform(v, lambda x: F.round(x, 6) + 0.0).alias("values"))
 
 
 @query(f"with f as (select vec_id // 50 shot_id, vec_id, embedding from embeddings) select a.shot_id::int shot_id, a.vec_id::int a, b.vec_id::int b, round({DOT.format(a='a.embedding', b='b.embedding')}, 6) sim from f a join f b on a.shot_id = b.shot_id and a.vec_id < b.vec_id where {DOT.format(a='a.embedding', b='b.embedding')} > 0.2")
@@ -175,9 +175,13 @@ def cluster_medoids(spark, sf_dir):
     return vectors.medoids(rows, ["shot_id", "cluster"])
 
 
-@query()
+@query(f"""with recursive f as (select (vec_id // 50)::int shot_id, vec_id::int frame_idx, embedding, row_number() over (partition by vec_id // 50 order by vec_id) k from embeddings),
+s as (select b.shot_id, b.k, b.frame_idx, coalesce(list(a.frame_idx) filter (a.frame_idx is not null), []) near from f b left join f a on a.shot_id = b.shot_id and a.k < b.k and {DOT.format(a='a.embedding', b='b.embedding')} > 0.2 group by 1, 2, 3),
+r as (select shot_id, k, [frame_idx] kept from s where k = 1
+      union all select r.shot_id, s.k, case when list_has_any(r.kept, s.near) then r.kept else list_append(r.kept, s.frame_idx) end from r join s on s.shot_id = r.shot_id and s.k = r.k + 1)
+select shot_id, unnest(kept) frame_idx from r where (shot_id, k) in (select shot_id, max(k) from s group by 1)""")
 def greedy_dedup(spark, sf_dir):
-    """Rows of a shot kept by a scan with threshold 0.2 (the test vectors' cosines stay under 0.6); tested by brute force."""
+    """Rows of a shot kept by a scan with threshold 0.2 (the test vectors' cosines stay under 0.6)."""
     return vectors.greedy_dedup(small_shots(spark, sf_dir), 0.2, ["shot_id"])
 
 
@@ -287,11 +291,12 @@ def flat_archives(spark, sf_dir):
     return sinks.archive_entries(made, path).select(F.regexp_replace("archive", "[.]zip$", "").alias("video_id"), "name", F.length("content").cast("long").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
 
 
-@query(f"with {MEDIUM} select medium || '/' || doc_id || '.webp' as name, octet_length(encode(coalesce(text, '')))::bigint n_bytes, sha256(coalesce(text, '')) sha256 from dm")
+@query(f"with {MEDIUM} select medium || '/' || doc_id || '.webp' as name, octet_length(encode('image ' || coalesce(text, '')))::bigint n_bytes, sha256('image ' || coalesce(text, '')) sha256 from dm")
 def written_files(spark, sf_dir):
-    """Documents as one file each in their medium's folder, by the file sink; read again as binary files."""
+    """Documents behind a mark as one file each in their medium's folder, by the file sink; read again as binary files."""
     path, d = new_folder(spark, "files"), _by_medium(spark, sf_dir)
-    sinks.write_files(d.select(F.concat("medium", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".webp")).alias("name"), F.col("text").cast("binary").alias("content")), path)
+    content = F.concat(F.lit("image "), F.coalesce("text", F.lit(""))).cast("binary")
+    sinks.write_files(d.select(F.concat("medium", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".webp")).alias("name"), content.alias("content")), path)
     read = spark.read.format("binaryFile").option("pathGlobFilter", "*.webp").option("recursiveFileLookup", "true").load(path)
     return read.select(F.regexp_extract("path", "([^/]+/[^/]+)$", 1).alias("name"), F.col("length").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
 
@@ -405,3 +410,24 @@ def encoded_chunks(spark, sf_dir):
     s = segments(spark, sf_dir).join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seg_idx"), F.col("text").cast("binary").alias("content")), "seg_idx")
     made = audio.pack_encoded(s, 20_000, lambda: b"".join)
     return made.select("media_id", "chunk_no", "first", "last", "size_bytes", F.sha2("content", 256).alias("sha256"))
+
+
+@query("select user_id video_id, round(1000.0::double / (20 + user_id % 30), 6) fps, count(*) frames, round(count(*) * (20 + user_id % 30) / 1000.0::double, 6) as seconds, (16 * (1 + user_id % 100))::int width, 90 height from events group by user_id")
+def container_headers(spark, sf_dir):
+    """MP4 files of as many frames as a user has events, their header behind the pictures; rate and length by box."""
+    word = lambda n: F.lpad(F.hex(n.cast("long")), 8, "0")
+
+    def box(kind, *parts):
+        body = F.concat(*parts)
+        return F.concat(word(F.char_length(body) / 2 + 8), F.lit(kind.encode().hex()), body)
+
+    user, n, nil = F.col("user_id"), F.col("n"), lambda k: F.lit("00" * k)
+    e = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    step = 20 + user % 30
+    stbl = box("stbl", box("stts", nil(4), word(F.lit(1)), word(n), word(step)))
+    mdia = box("mdia", box("mdhd", nil(12), word(F.lit(1000)), word(n * step), nil(4)), box("hdlr", nil(8), F.lit(b"vide".hex()), nil(12)), box("minf", stbl))
+    moov = box("moov", box("mvhd", nil(100)), box("trak", box("tkhd", nil(76), word(16 * (1 + user % 100) * 65536), word(F.lit(90 * 65536))), mdia))
+    folder = new_folder(spark, "videos")
+    sinks.write_files(e.select(F.concat(user.cast("string"), F.lit(".mp4")).alias("name"), F.unhex(F.concat(box("ftyp", F.lit(b"isom".hex())), box("mdat", F.repeat(F.lit("ab"), (n * 10).cast("int"))), moov)).alias("content")), folder)
+    h = containers.video_headers(spark, folder)
+    return h.select(F.col("video_id").cast("long").alias("video_id"), F.round("fps", 6).alias("fps"), "frames", F.round("seconds", 6).alias("seconds"), "width", "height")

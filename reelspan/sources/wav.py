@@ -95,7 +95,7 @@ def loud_bits(width: int) -> int:
 # ---------------------------------------------------------------- files and pieces
 
 def wav_files(spark: SparkSession, path: str, glob: str = "*.wav") -> DataFrame:
-    """(media_id, path) of the files of a folder; their contents are not read."""
+    """(media_id, path) of the files of a folder; their contents are not read, and empty files are passed over."""
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path).select(stem(F.col("path")).alias("media_id"), "path")
 
 

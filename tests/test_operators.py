@@ -293,3 +293,41 @@ def test_model_slot(spark):
     caption = lambda: (lambda frame: frame.assign(caption=[f"{x} of {len(frame)}" for x in frame["image"]])[["k", "caption"]])
     got = {r.k: r.caption for r in enrich.apply_model(rows, caption, "k int, caption string", ["video_id", "batch_no"]).collect()}
     assert (got[0], got[7]) == ("img0 of 6", "img7 of 2")
+
+
+def test_model_is_built_once_a_worker(spark, tmp_path):
+    log = str(tmp_path / "built")
+
+    def model():
+        import os
+
+        with open(log, "a") as f:
+            f.write(f"{os.getpid()}\n")
+        return lambda frame: frame.assign(n=len(frame))[["video_id", "k", "n"]]
+
+    rows = enrich.micro_batches(spark.range(900).selectExpr("cast(id % 7 as int) video_id", "cast(id as int) k"), 6, ["video_id"], ["k"]).repartition(16)
+    got = enrich.apply_model(rows, model, "video_id int, k int, n long", ["video_id", "batch_no"]).collect()
+    sizes = {}
+    for r in rows.collect():
+        sizes[r.video_id, r.batch_no] = sizes.get((r.video_id, r.batch_no), 0) + 1
+    batch = {(r.video_id, r.k): r.batch_no for r in rows.collect()}
+    assert len(got) == 900 and all(r.n == sizes[r.video_id, batch[r.video_id, r.k]] for r in got)
+    built = open(log).read().split()
+    assert len(built) == len(set(built))
+
+
+def test_silhouette_and_k_by_brute_force():
+    r = np.random.default_rng(8)
+    x = np.concatenate([r.normal(c, 0.3, (9, 3)) for c in (0, 4, 8)])
+    labels = r.integers(0, 4, len(x))
+    total = []
+    for i in range(len(x)):
+        d = [float(np.linalg.norm(x[i] - y)) for y in x]
+        own = [d[j] for j in range(len(x)) if labels[j] == labels[i] and j != i]
+        others = [np.mean([d[j] for j in range(len(x)) if labels[j] == k]) for k in set(labels.tolist()) - {int(labels[i])}]
+        total.append(0.0 if not own else (min(others) - np.mean(own)) / max(min(others), np.mean(own)))
+    assert vectors.silhouette(x, labels) == pytest.approx(np.mean(total))
+    best = vectors.best_clusters(x)
+    scores = {k: vectors.silhouette(x, vectors.kmeans(x, k)) for k in range(2, 6)}
+    assert len(np.unique(best)) == max(scores, key=lambda k: (scores[k], -k)) == 3
+    assert all(len(np.unique(best[i : i + 9])) == 1 for i in (0, 9, 18))

@@ -6,7 +6,7 @@ and the pages are extracted again from the elements on the winning path.  A page
 falls back on its own best container, then on its body.
 
 Inside the container, menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments go, by tag or by class, id and role tokens.  Character references are decoded, white
+reader comments go, by tag or by class, id and role tokens; a compound of a token and a word of the text's own stays.  Character references are decoded, white
 space inside a block becomes one space, blocks are joined by one line feed.
 
 Null and empty html: an empty text.  Markup that never closes is closed where its parent ends.  Of paths with equal votes
@@ -46,13 +46,30 @@ JUNK = frozenset(
 )
 
 
-def _junk(tag: str, attrs: str) -> bool:
+#: Words that mark no article in any compound, and words of compounds that say nothing of what is inside.
+CLEAR = frozenset("adsense advert adverts advertisement advertising breadcrumb breadcrumbs sidebar navbar navigation cookie cookies consent gdpr newsletter disqus pagination footer sponsored".split())
+PLAIN = frozenset("a area article articles bar block blocks body bottom box button buttons col column container content count element entry form global group head heading holder icon icons inner item items js label left link links list main module outer page panel post posts primary right row secondary section site slot stories story sub title top unit wrap wrapper zone".split())
+
+
+def _marks(token: str, inside: bool) -> bool:
+    """Whether a token of a class, id or role marks what is no article: a word of JUNK, or a compound of such and words that say nothing.
+
+    `share-price` is text, `share-buttons` is not.  A header inside the article itself is its own.
+    """
+    parts = [x for x in re.split(r"[^a-z]+", token) if x]
+    found = JUNK.intersection(parts)
+    if inside:
+        found -= {"header", "masthead"}
+    return bool(found) and (bool(CLEAR.intersection(parts)) or all(x in JUNK or x in PLAIN for x in parts))
+
+
+def _junk(tag: str, attrs: str, inside: bool = False) -> bool:
     if tag in DROPPED:
         return True
     if not attrs.strip() or tag in ("html", "body", "article", "main"):
         return "hidden" in attrs.split() if attrs else False
     for k, a, b, c in _ATTR.findall(attrs):
-        if k.lower() in ("class", "id", "role") and JUNK.intersection(re.split(r"[^a-z]+", entities.unescape(a or b or c).lower())):
+        if k.lower() in ("class", "id", "role") and any(_marks(x, inside) for x in entities.unescape(a or b or c).lower().split()):
             return True
         if k.lower() == "style" and re.search(r"display\s*:\s*none", a or b or c, re.I):
             return True
@@ -76,7 +93,7 @@ class Page:
     """
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.path, self.junk = [-1], [""], [0], [False]
+        self.parent, self.tag, self.path, self.junk, self.inside = [-1], [""], [0], [False], [False]
         self.paths: dict[tuple[int, str], int] = {}
         self.steps: list[tuple[int, str]] = [(-1, "")]
         self.blocks: list[tuple[int, str, int]] = []
@@ -143,7 +160,8 @@ class Page:
             self.parent.append(top)
             self.tag.append(tag)
             self.path.append(self._path(self.path[top], _step(tag, m[2])) if tag in BLOCK else self.path[top])
-            self.junk.append(self.junk[top] or _junk(tag, m[2]))
+            self.junk.append(self.junk[top] or _junk(tag, m[2], self.inside[top]))
+            self.inside.append(self.inside[top] or tag in ("article", "main"))
             stack.append(len(self.tag) - 1)
         flush()
 

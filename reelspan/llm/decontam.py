@@ -11,8 +11,9 @@ document, for at least `share` of the slots (verbatim copies agree with themselv
 Only (doc_id, position, hash) rows are exploded; a window's words are read again where a hash met.
 
 Items shorter than a window are one window of their own length, met by a hash join at that length inside any text;
-where such a template has placeholders only, their values must be the same too.  Null and empty texts match nothing.  Repeated rows give repeated results' keys
-once: results are per distinct (doc_id, item_id).
+where such a template has placeholders only, their values must be the same too.  Null and empty texts match nothing.  Results are per distinct
+(doc_id, item_id), a null doc_id included: repeated rows count once, and of different texts under one doc_id each is judged by itself, the
+fullest match is told.  Empty tables give no rows.  Very long texts are one row of words each.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -77,27 +78,29 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = 5, share: float = 0.8
     n = keys.limit(BROADCAST_ROWS + 1).count()
     small = (lambda df: F.broadcast(df)) if n <= BROADCAST_ROWS else (lambda df: df)
 
-    text = docs.select("doc_id", "text").filter("text is not null and doc_id is not null")
+    # a text is known by its own hash: rows that share a doc_id are not taken for one another
+    text = docs.select("doc_id", "text").filter("text is not null").withColumn("own", F.xxhash64("doc_id", "text"))
 
     def windows_met(width: int) -> DataFrame:
-        """doc_id, h, words of the documents' windows of `width` words that items of that width have too."""
+        """own, doc_id, h, words of the documents' windows of `width` words that items of that width have too."""
         hashes = keys.filter(F.col("width") == width).select("h").distinct()
-        found = cut(text.select("doc_id", let(written(F.col("text")), lambda w: window_hashes(w, width)).alias("hashes")).select("doc_id", F.posexplode("hashes").alias("pos", "h")).join(small(hashes), "h", "left_semi").select("doc_id", "pos", "h"))
+        found = cut(text.select("own", let(written(F.col("text")), lambda w: window_hashes(w, width)).alias("hashes")).select("own", F.posexplode("hashes").alias("pos", "h")).join(small(hashes), "h", "left_semi").select("own", "pos", "h"))
         # the words of the windows that met, read again from the few texts that hold them
-        places = found.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "h")).alias("places"))
-        again = beside(text, places, "doc_id", "places").select("doc_id", written(F.col("text")).alias("words"), "places")
+        places = found.groupBy("own").agg(F.collect_set(F.struct("pos", "h")).alias("places"))
+        again = beside(text, places, "own", "places").select("own", "doc_id", written(F.col("text")).alias("words"), "places")
         own_words = F.transform("places", lambda x: F.struct(x["h"].alias("h"), F.slice("words", x["pos"] + 1, width).alias("words")))
-        return again.select("doc_id", F.explode(own_words).alias("x")).select("doc_id", "x.h", "x.words", F.lit(width).alias("width")).distinct()
+        return again.select("own", "doc_id", F.explode(own_words).alias("x")).select("own", "doc_id", "x.h", "x.words", F.lit(width).alias("width")).distinct()
 
     found = reduce(DataFrame.unionByName, [windows_met(w) for w in widths])
     met = found.join(small(keys), ["width", "h"])
     # a short item of slots only would meet any number or name
     met = met.filter((F.col("width") == window) | F.exists("item_words", lambda w: w >= JOIN) | (F.col("item_words") == F.col("words")))
     slot = F.filter(F.arrays_zip(F.col("item_words").alias("i"), F.col("words").alias("d")), lambda x: x["i"] < JOIN)
-    met = met.select("doc_id", "item_id", "h", "at", slot.alias("slots"))
-    shares = met.groupBy("doc_id", "item_id").agg(F.countDistinct("h").alias("n_found")).join(small(sizes), "item_id").filter(F.col("n_found") >= F.lit(share) * F.col("n_windows"))
-    slots = met.select("doc_id", "item_id", F.explode("slots").alias("s")).groupBy("doc_id", "item_id", F.col("s.i").alias("i"), F.col("s.d").alias("d")).agg(F.count(F.lit(1)).alias("n"))
-    best = slots.groupBy("doc_id", "item_id", "i").agg(F.max("n").alias("best"), F.sum("n").alias("n"))
-    best = best.groupBy("doc_id", "item_id").agg(F.sum("n").alias("slots"), F.sum("best").alias("consistent"))
-    out = shares.join(best, ["doc_id", "item_id"], "left").fillna(0, ["slots", "consistent"])
-    return out.filter(F.col("consistent") >= F.lit(share) * F.col("slots")).select("doc_id", "item_id", "n_windows", "n_found", "slots", "consistent")
+    met = met.select("own", "doc_id", "item_id", "h", "at", slot.alias("slots"))
+    shares = met.groupBy("own", "doc_id", "item_id").agg(F.countDistinct("h").alias("n_found")).join(small(sizes), "item_id").filter(F.col("n_found") >= F.lit(share) * F.col("n_windows"))
+    slots = met.select("own", "item_id", F.explode("slots").alias("s")).groupBy("own", "item_id", F.col("s.i").alias("i"), F.col("s.d").alias("d")).agg(F.count(F.lit(1)).alias("n"))
+    best = slots.groupBy("own", "item_id", "i").agg(F.max("n").alias("best"), F.sum("n").alias("n"))
+    best = best.groupBy("own", "item_id").agg(F.sum("n").alias("slots"), F.sum("best").alias("consistent"))
+    out = shares.join(best, ["own", "item_id"], "left").fillna(0, ["slots", "consistent"]).filter(F.col("consistent") >= F.lit(share) * F.col("slots"))
+    fullest = F.max(F.struct("n_found", "consistent", (-F.col("slots")).alias("s")))
+    return out.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"), fullest.alias("f")).select("doc_id", "item_id", "n_windows", "f.n_found", (-F.col("f.s")).alias("slots"), "f.consistent")

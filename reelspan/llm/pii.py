@@ -16,7 +16,9 @@ the results are replaced.
 
 from __future__ import annotations
 
+import heapq
 import re
+import zlib
 from bisect import bisect_left
 from itertools import accumulate
 
@@ -30,6 +32,8 @@ from reelspan.llm.common import numbered
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS, TREES, DEPTH = 6000, 40, 3
+#: Spans of one text that give lessons, of each sort.
+PER_TEXT = 200
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
@@ -139,13 +143,21 @@ def _wide(kind: int, x: str) -> list[str]:
     return [rest] + ([f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]}-{d[3:6]}-{d[6:]}", f"{d[:3]}.{d[3:6]}.{d[6:]}"] if len(d) == 10 else [])
 
 
-def lessons(text: str) -> list[tuple[list[float], bool]]:
-    """Described proposals of one text and whether they are personal data."""
+def _some(spans: list[tuple], most: int) -> list[tuple]:
+    """The spans, in order; of more than `most` those least by a hash of their places, which are spread over the text."""
+    if len(spans) <= most:
+        return spans
+    return sorted(heapq.nsmallest(most, spans, key=lambda s: (zlib.crc32(b"%d:%d" % (s[0], s[2])), s)))
+
+
+def lessons(text: str, most: int = PER_TEXT) -> list[tuple[list[float], bool]]:
+    """Described proposals of one text and whether they are personal data, from `most` of its base spans and of its other proposals at most."""
     base, out = base_spans(text), []
     taken = Taken(base)
-    for p in proposals(text):
-        if not taken.meets(p) and not _CUES[p[1]].search(text[max(0, p[0] - 24) : p[0]]):
-            out.append((describe(text, p), False))  # after a cue it may well be personal data: no lesson
+    # after a cue it may well be personal data: no lesson
+    others = [p for p in proposals(text) if not taken.meets(p) and not _CUES[p[1]].search(text[max(0, p[0] - 24) : p[0]])]
+    out += [(describe(text, p), False) for p in _some(others, most)]
+    base = _some(base, most)
     for a, kind, b in base:
         for form in _wide(kind, text[a:b]):
             for cue in ("", _SAID[kind]):

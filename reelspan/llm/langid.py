@@ -27,6 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from reelspan.llm.common import numbered
 
 TRAIN_CHARS, LANE, SYMBOLS = 24_000, 256, 63
 PIECE, TABLES = 2_000, 1 << 29
@@ -206,7 +209,7 @@ def sample(docs: DataFrame, chars: int = TRAIN_CHARS, piece: int = PIECE) -> dic
 
 
 def identify(docs: DataFrame, train: DataFrame, chars: int = TRAIN_CHARS, lane: int = LANE) -> DataFrame:
-    """Columns of docs(doc_id, held_out, text) but text, and lang_pred, score.
+    """Columns of docs(doc_id, held_out, text) but text, and lang_pred, score, which replace columns of these names; others stay, whatever their names.
 
     Null texts and texts without a letter: `und`, score 0.  Ties go to the first language by name.  Without any
     training text every text is `und`.  The score is the margin of the winner's entropy over the next one's.
@@ -214,8 +217,9 @@ def identify(docs: DataFrame, train: DataFrame, chars: int = TRAIN_CHARS, lane:
     spark = docs.sparkSession
     texts = sample(train, chars)
     shared = spark.sparkContext.broadcast(Model(texts))  # TABLES bounds its size
-    keep = [c for c in docs.columns if c != "text"]
-    schema = ", ".join(f"{docs.schema[c].name} {docs.schema[c].dataType.simpleString()}" for c in keep) + ", lang_pred string, score double"
+    keep = [c for c in docs.columns if c not in ("text", "lang_pred", "score")]
+    given = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string"))
+    schema = T.StructType(given.schema.fields[:-1]).add("lang_pred", "string").add("score", "double")
 
     def run(batches):
         model = shared.value
@@ -242,6 +246,6 @@ def identify(docs: DataFrame, train: DataFrame, chars: int = TRAIN_CHARS, lane:
                 margin = np.where(rest > 0, 1 - low / np.maximum(rest, 1e-12), 0.0)
                 pred += [model.names[i] if ok else UNKNOWN for i, ok in zip(best, known)]
                 score += [float(m) if ok else 0.0 for m, ok in zip(margin, known)]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), pa.array(pred, pa.string()), pa.array(score, pa.float64())], schema.names)
 
-    return docs.select(*keep, "text").mapInArrow(run, schema)
+    return numbered(given).mapInArrow(run, schema)

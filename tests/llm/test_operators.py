@@ -461,3 +461,41 @@ def test_decontamination_of_short_items_and_longer_slots(spark):
     items = spark.createDataFrame([(1, item), (2, "what is photosynthesis"), (3, "12"), (4, ""), (5, None)], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontam.leaks(docs, items).collect()}
     assert got == {(0, 1), (1, 1), (2, 1), (3, 1), (4, 2), (7, 2), (6, 3)}
+
+
+def test_leaks_under_a_shared_or_missing_doc_id(spark):
+    item = "Which of the following planets takes the longest time to turn once around its own axis in our system"
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(7, f"before {item} after"), (7, "quite another text about the sea and its tides and what the wind does there"), (8, f"x {item}"), (8, f"x {item}"), (None, item), (9, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, "k", 1) for i, t in rows], "doc_id long, text string, `a.b` string, own int")
+    got = sorted((r.doc_id is None, r.doc_id, r.item_id) for r in decontam.leaks(docs, items).collect())
+    assert got == [(False, 7, 1), (False, 8, 1), (True, None, 1)]
+    assert decontam.leaks(docs.limit(0), items).count() == 0 and decontam.leaks(docs, items.limit(0)).count() == 0
+
+
+def test_one_text_gives_a_bounded_number_of_lessons():
+    many = " ".join(f"write a{i}@b.org or see 12.{i % 250}.7.9 and 55{i:07d} on 2024-01-{i % 28 + 1:02d}" for i in range(3000))
+    few, all_of = pii.lessons(many, 20), pii.lessons(many[:4000], 10**9)
+    assert 0 < len(few) <= 20 + 20 * 24 and {y for _, y in few} == {True, False}
+    assert pii.lessons(many[:4000], 10**6) == all_of
+
+
+def test_language_and_model_beside_any_columns(spark):
+    schema = "doc_id long, held_out boolean, text string, score int, lang_pred string, `a.b` string, `x y` string, tail int, _row int, n_tokens string"
+    docs = spark.createDataFrame([(i, False, t, 1, "p", "k", "z", 2, 3, "n") for i, t in enumerate(["the wind and the sea", "der Wind und das Meer", None, ""] * 3)], schema)
+    train = spark.createDataFrame([(i, t, g) for i, (t, g) in enumerate([("the wind and the sea and the boat", "en"), ("der Wind und das Meer und das Boot", "de")])], "doc_id long, text string, lang string")
+    told = langid.identify(docs, train)
+    assert told.columns == ["doc_id", "held_out", "a.b", "x y", "tail", "_row", "n_tokens", "lang_pred", "score"]
+    rows = told.orderBy("doc_id").collect()
+    assert [r.lang_pred for r in rows[:3]] == ["en", "de", "und"] and all(r["a.b"] == "k" and r._row == 3 for r in rows)
+    assert langid.identify(docs.limit(0), train).count() == 0 and langid.identify(docs, train.limit(0)).select("lang_pred").distinct().collect()[0][0] == "und"
+    scored = lm.score(docs, train, P.path("byte_bpe_50k.tiktoken"))
+    assert scored.columns == ["doc_id", "held_out", "lang_pred", "a.b", "x y", "tail", "_row", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    rows = scored.orderBy("doc_id").collect()
+    assert len(rows) == 12 and all(r["x y"] == "z" and r.tail == 2 and r._row == 3 for r in rows) and [r.n_tokens for r in rows[:4]] == [6, 6, 1, 1]
+
+
+def test_html_keeps_what_only_looks_like_junk():
+    page = """<body><div class="header">Site name</div><article><div class="header"><h1>Title of it</h1></div><p>Long text of the article.</p><p class="share-price">Share price rose.</p>
+    <div class="share-buttons">Share</div><div id="cookie-banner-2">Cookies</div><div class="comment-list">First!</div><p class="search-history notice-period">Words.</p><div class="related posts">More</div></article><div class="site-footer">Foot</div></body>"""
+    assert html.Page(page).text(None) == "Title of it\nLong text of the article.\nShare price rose.\nWords."

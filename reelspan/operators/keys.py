@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, MutableMapping
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 RETIRED_S, PENALTY_S, PENALTY_AT, RESET_S = 90.0, 600.0, 5, 1800.0
 
@@ -24,64 +26,74 @@ def unseen(sheet: DataFrame, known: DataFrame) -> DataFrame:
     return sheet.join(known.select("token"), "token", "left_anti")
 
 
+class Key(NamedTuple):
+    """A key's state; place is its turn of loading."""
+
+    place: int
+    state: str = "active"
+    used: float | None = None
+    failures: int = 0
+    until: float = 0.0
+
+
+KEY_STATE = "place int, state string, used double, failures int, until double"
+
+
 class Pool:
-    """One provider's keys.
+    """The rules of one provider's keys over a map from token to Key: a dict, or the keyed state of a stream.
 
     load, select, release, retire, remove, success, reset events move keys between active, in use, cooling,
     retired and removed.  Time is the events' own, so a replay gives the same states.  A retired key keeps its
     failures until a success; a removed key never comes back; a reset leaves keys in use alone.
     """
 
-    def __init__(self, rpm: float, state: dict | None = None):
-        self.cooldown = 60.0 / rpm
-        self.keys: dict[str, dict] = (state or {}).get("keys", {})
-        self.turn: int = (state or {}).get("turn", -1)
-
-    def dump(self) -> dict:
-        return {"keys": self.keys, "turn": self.turn}
+    def __init__(self, rpm: float, keys: MutableMapping[str, Key] | None = None, turn: int = -1, loaded: int = 0):
+        self.cooldown, self.keys, self.turn, self.loaded = 60.0 / rpm, {} if keys is None else keys, turn, loaded
 
     def _free(self, now: float) -> list[str]:
-        for k in self.keys.values():
-            if k["state"] == "retired" and now >= k["until"]:
-                k["state"] = "active"
-        return [t for t, k in self.keys.items() if k["state"] == "active" and (k["used"] is None or now - k["used"] > self.cooldown)]
+        free = []
+        for token, k in list(self.keys.items()):
+            if k.state == "retired" and now >= k.until:
+                k = self.keys[token] = k._replace(state="active")
+            if k.state == "active" and (k.used is None or now - k.used > self.cooldown):
+                free.append((k.place, token))
+        return [token for _, token in sorted(free)]
 
     def apply(self, now: float, event: str, token: str | None) -> tuple[str | None, str]:
         """(token, outcome) of one event."""
         if event == "load":
             if token in self.keys:
                 return token, "known"
-            self.keys[token] = {"state": "active", "used": None, "failures": 0, "until": 0.0}
+            self.keys[token] = Key(self.loaded)
+            self.loaded += 1
             return token, "active"
         if event == "reset":
-            for k in self.keys.values():
-                if k["state"] == "retired":
-                    k["state"] = "active"
-                if k["state"] == "active":
-                    k["used"], k["failures"] = None, 0
+            for t, k in list(self.keys.items()):
+                if k.state in ("retired", "active"):
+                    self.keys[t] = k._replace(state="active", used=None, failures=0)
             return None, "reset"
         if event == "select":
             free = self._free(now)
             if not free:
-                return None, "none free" if self.keys else "no keys"
+                return None, "none free" if self.loaded else "no keys"
             self.turn = (self.turn + 1) % len(free)
-            self.keys[free[self.turn]]["state"] = "in_use"
-            return free[self.turn], "in_use"
-        k = self.keys.get(token)
-        if k is None or k["state"] == "removed":
+            chosen = free[self.turn]
+            self.keys[chosen] = self.keys[chosen]._replace(state="in_use")
+            return chosen, "in_use"
+        if token is None or token not in self.keys or (k := self.keys[token]).state == "removed":
             return token, "ignored"
-        if event == "release" and k["state"] == "in_use":
-            k["state"], k["used"] = "active", now
+        if event == "release" and k.state == "in_use":
+            self.keys[token] = k._replace(state="active", used=now)
             return token, "cooling"
         if event == "success":
-            k["failures"] = 0
-            return token, k["state"]
+            self.keys[token] = k._replace(failures=0)
+            return token, k.state
         if event == "retire":
-            k["failures"] += 1
-            k["state"], k["until"] = "retired", now + (PENALTY_S if k["failures"] >= PENALTY_AT else RETIRED_S)
+            failures = k.failures + 1
+            self.keys[token] = k._replace(state="retired", failures=failures, until=now + (PENALTY_S if failures >= PENALTY_AT else RETIRED_S))
             return token, "retired"
         if event == "remove":
-            k["state"] = "removed"
+            self.keys[token] = k._replace(state="removed")
             return token, "removed"
         return token, "ignored"
 
@@ -127,18 +139,57 @@ def token_bucket(requests: DataFrame, rpm: float, capacity: int, key: str, at: s
     return rows.select(key, order, at, due.alias("start_s"), (due - F.col("a")).alias("wait_s"))
 
 
-def pool_stream(events: DataFrame, rpm: float) -> DataFrame:
-    """The same pool over a stream of key events, its keys in state by provider."""
-    import json
+class _Held(MutableMapping):
+    """A stream's map state as a map from token to Key: each key is read and written by itself."""
 
-    def run(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        pool = Pool(rpm, json.loads(state.get[0]) if state.exists else None)
-        rows = []
-        for frame in frames:
-            for r in frame.sort_values(["at_s", "seq"]).itertuples():
-                token, outcome = pool.apply(r.at_s, r.event, r.token)
-                rows.append((r.provider, r.at_s, r.event, token, outcome))
-        state.update((json.dumps(pool.dump()),))
-        yield pd.DataFrame(rows, columns=["provider", "at_s", "event", "token", "outcome"])
+    def __init__(self, state):
+        self.state = state
+
+    def __contains__(self, token) -> bool:
+        return self.state.containsKey((token,))
+
+    def __getitem__(self, token) -> Key:
+        return Key(*self.state.getValue((token,)))
+
+    def __setitem__(self, token, key: Key) -> None:
+        self.state.updateValue((token,), tuple(key))
 
-    return events.groupBy("provider").applyInPandasWithState(run, OUTCOMES, "pool string", "append", "NoTimeout")
+    def __delitem__(self, token) -> None:
+        self.state.removeKey((token,))
+
+    def __iter__(self):
+        return iter([k[0] for k in self.state.keys()])
+
+    def __len__(self) -> int:
+        return sum(1 for _ in self.state.keys())
+
+    def items(self):
+        return [(k[0], Key(*v)) for k, v in self.state.iterator()]
+
+
+class PoolState(StatefulProcessor):
+    """A provider's pool in keyed state: a row a key, the turn and the number of keys loaded."""
+
+    def __init__(self, rpm: float):
+        self.rpm = rpm
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.held = handle.getMapState("keys", "token string", KEY_STATE)
+        self.turn = handle.getValueState("turn", "turn int, loaded int")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        pool = Pool(self.rpm, _Held(self.held), *(self.turn.get() if self.turn.exists() else ()))
+        events = sorted((e for f in rows for e in zip(f["at_s"].tolist(), f["seq"].tolist(), f["event"].tolist(), f["token"].tolist())), key=lambda e: e[:2])
+        out = [(key[0], at, event, *pool.apply(at, event, token if isinstance(token, str) else None)) for at, _, event, token in events]
+        self.turn.update((pool.turn, pool.loaded))
+        yield pd.DataFrame(out, columns=["provider", "at_s", "event", "token", "outcome"])
+
+    def close(self) -> None:
+        pass
+
+
+def pool_stream(events: DataFrame, rpm: float) -> DataFrame:
+    """The same pool over a stream of key events (provider, at_s, seq, event, token); a trigger's events are taken in order of at_s and seq."""
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    rows = events.filter("provider is not null").select("provider", "at_s", "seq", "event", "token")
+    return rows.groupBy("provider").transformWithStateInPandas(PoolState(rpm), OUTCOMES, "append", "none")

@@ -192,7 +192,7 @@ def test_key_pool():
     assert p.apply(110, "select", None) == ("a", "in_use")
     for i in range(4):
         p.apply(200 + i, "retire", "a")
-    assert p.keys["a"]["until"] == 203 + keys.PENALTY_S  # the fifth failure since the last success
+    assert p.keys["a"].until == 203 + keys.PENALTY_S  # the fifth failure since the last success
     p.apply(300, "remove", "a")
     assert p.apply(301, "load", "a") == ("a", "known") and p.apply(302, "select", None)[1] == "none free"
 
@@ -212,12 +212,15 @@ def test_pool_stream_equals_replay(spark, tmp_path):
     from reelspan.plans.requests import _key_events
 
     ev = _key_events(spark, SF)
-    ev.coalesce(1).write.parquet(str(tmp_path / "ev"))
-    stream = spark.readStream.schema(ev.schema).parquet(str(tmp_path / "ev"))
-    q = keys.pool_stream(stream, 10).writeStream.outputMode("append").format("memory").queryName("pool").start()
-    q.processAllAvailable()
-    q.stop()
-    assert sorted(map(repr, map(tuple, spark.table("pool").collect()))) == sorted(map(repr, map(tuple, keys.replay(ev, 10).collect())))
+    middle = ev.approxQuantile("at_s", [0.5], 0.0)[0]
+    for part in (ev.filter(F.col("at_s") <= middle), ev.filter(F.col("at_s") > middle)):  # two runs over one checkpoint
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "ev"))
+        stream = spark.readStream.schema(ev.schema).parquet(str(tmp_path / "ev"))
+        q = keys.pool_stream(stream, 10).writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
+        q.awaitTermination(240)
+        q.stop()
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, map(tuple, keys.replay(ev, 10).collect())))
 
 
 def test_sources(spark, tmp_path):

@@ -266,14 +266,15 @@ def keyframe_summary(spark, sf_dir):
     return enrich.summary_lines(_keyframes(spark, sf_dir), shots=_shots(spark, sf_dir))
 
 
-@query(f"with {MEDIUM}, f as (select medium video_id, 'frame_' || lpad(doc_id::varchar, 6, '0') name, text from dm where lang <> 'en'), n as (select *, (row_number() over (partition by video_id order by name) - 1) // 8 batch_no from f), v as (select distinct medium video_id from dm), g as (select video_id, batch_no, count(*) n_images, min(name) first_name, sum(len(to_base64(encode(text)))) n_base64 from n group by 1, 2), j as (select v.video_id, coalesce(batch_no, 0) batch_no, coalesce(n_images, 0) n_images, first_name, coalesce(n_base64, 0)::bigint n_base64 from v left join g using (video_id)) select video_id, batch_no, batch_no = 0 has_metadata, n_images, first_name, n_base64, batch_no = max(batch_no) over (partition by video_id) is_final_batch from j")
+@query(f"with {MEDIUM}, f as (select medium video_id, 'frame_' || lpad(doc_id::varchar, greatest(6, len(doc_id::varchar))::int, '0') name, text from dm), n as (select *, (row_number() over (partition by video_id order by name) - 1) // 8 batch_no from f), v as (select distinct medium video_id from dm union select distinct 'none-' || source from documents), g as (select video_id, batch_no, count(*) n_images, min(name) first_name, string_agg(name || '=' || to_base64(encode(coalesce(text, ''))), ';' order by name) images from n group by 1, 2), j as (select v.video_id, coalesce(batch_no, 0) batch_no, coalesce(n_images, 0) n_images, first_name, coalesce(images, '') images from v left join g using (video_id)) select video_id, batch_no, batch_no = 0 has_metadata, n_images, first_name, sha256(images) images_sha256, batch_no = max(batch_no) over (partition by video_id) is_final_batch from j")
 def upload_batches(spark, sf_dir):
-    """Whole texts as images; media in English only have none."""
+    """Whole texts as images of their medium, every name and content told by a hash; a medium of each source has none."""
     d = _by_medium(spark, sf_dir)
-    files = d.filter("lang <> 'en'").select(F.col("medium").alias("video_id"), F.format_string("frame_%06d", "doc_id").alias("name"), F.col("text").cast("binary").alias("content"))
-    b = enrich.upload_batches(files, d.select(F.col("medium").alias("video_id")).distinct().withColumn("metadata_json", F.lit("{}")))
-    # sizes and the first name tell a batch
-    return b.select("video_id", "batch_no", F.col("metadata_json").isNotNull().alias("has_metadata"), F.coalesce(F.size(F.map_keys("keyframes")), F.lit(0)).cast("long").alias("n_images"), F.array_min(F.map_keys("keyframes")).alias("first_name"), F.coalesce(F.aggregate(F.map_values("keyframes"), F.lit(0).cast("long"), lambda s, x: s + F.length(x)), F.lit(0)).alias("n_base64"), "is_final_batch")
+    images = d.select(F.col("medium").alias("video_id"), F.format_string("frame_%06d", "doc_id").alias("name"), F.coalesce("text", F.lit("")).cast("binary").alias("content"))
+    videos = d.select(F.col("medium").alias("video_id")).union(d.select(F.concat(F.lit("none-"), "source"))).distinct()
+    b = enrich.upload_batches(images, videos.withColumn("metadata_json", F.lit("{}")))
+    entries = F.transform(F.sort_array(F.map_entries("keyframes")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return b.select("video_id", "batch_no", F.col("metadata_json").isNotNull().alias("has_metadata"), F.coalesce(F.size(F.map_keys("keyframes")), F.lit(0)).cast("long").alias("n_images"), F.array_min(F.map_keys("keyframes")).alias("first_name"), F.sha2(F.coalesce(F.array_join(entries, ";"), F.lit("")), 256).alias("images_sha256"), "is_final_batch")
 
 
 @query("with l as (select source video_id, case when doc_id % 50 = 7 then 'metadata.json' when doc_id % 3 = 0 then doc_id || '.WEBP' else doc_id || '.txt' end name from documents) select video_id, bool_or(lower(name) = 'metadata.json') has_metadata, count(*) filter (lower(name) like '%.webp') n_webp, bool_or(lower(name) = 'metadata.json') and count(*) filter (lower(name) like '%.webp') > 0 valid from l group by 1")

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -11,7 +12,7 @@ os.environ["PYTHONPATH"] = os.path.dirname(os.path.dirname(os.path.abspath(__fil
 def spark():
     from reelspan.session import session
 
-    s = session("local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false", spark__driver__memory="4g", spark__sql__session__timeZone="UTC")
+    s = session("local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false", spark__driver__memory="4g", spark__sql__session__timeZone="UTC", spark__checkpoint__dir=tempfile.mkdtemp(prefix="spark-"))
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

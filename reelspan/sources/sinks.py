@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from reelspan.sources.staging import file_name, opened
 
 MANIFEST = "name string, n_bytes long, staged string"
+#: Names that would lie outside the target, or among a job's own files.
+OUTSIDE = r"^$|^/|(^|/)[.]{1,2}(/|$)|^_temporary(/|$)|^_ledger(/|$)"
 
 
 def write_documents(rows: DataFrame, path: str, key: str, text: str, order: str | None = None) -> None:
@@ -46,6 +48,8 @@ def _committed(staged: DataFrame | None, spark: SparkSession, path: str, job: st
         if not _exists(store, f"{top}/{work}/manifest/_SUCCESS"):
             staged.write.mode("overwrite").parquet(manifest)
         rows = spark.read.schema(MANIFEST).parquet(manifest)
+        if bad := rows.filter(F.col("name").rlike(OUTSIDE)).first():
+            raise ValueError(f"a file can't be named {bad['name']!r} here")
         if twice := rows.groupBy("name").count().filter("count > 1").first():
             raise ValueError(f"{twice['count']} files are named {twice['name']}")
 

@@ -61,6 +61,12 @@ def test_odd_rows(spark, tmp_path):
         sinks.write_files(df.union(df), str(tmp_path / "t"))
 
 
+@pytest.mark.parametrize("name", ["../x", "/x", "a/../../x", "", "_ledger/x", "."])
+def test_names_stay_inside(spark, tmp_path, name):
+    with pytest.raises(ValueError, match="named"):
+        sinks.write_files(spark.createDataFrame([(name, b"1")], "name string, content binary"), str(tmp_path / "o"))
+
+
 def test_stream_of_files_over_a_restart(spark, tmp_path):
     source, path, check = (str(tmp_path / x) for x in ("in", "out", "check"))
     calls = str(tmp_path / "calls")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -73,6 +74,17 @@ def parts_of(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; what one has taken goes back to the system before the next, so that a worker kept for later tasks holds little."""
+    libc = ctypes.CDLL(None)
+    for b in batches:
+        yield b
+        del b
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc, "malloc_trim"):
+            libc.malloc_trim(0)
+
+
 # ---------------------------------------------------------------- Arrow text
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelspan.llm.common import BROADCAST_ROWS, beside, cut, mix, parts_of, utf8, word_hashes
+from reelspan.llm.common import BROADCAST_ROWS, beside, cut, lean, mix, parts_of, slices, utf8, word_hashes
 from reelspan.llm.graph import components
 
 #: Least and most bits of the count sketch; in between, four cells for each document.
@@ -80,7 +80,7 @@ def _sketch(docs: DataFrame, k: int, bits: int) -> np.ndarray:
 
     def count(batches):
         cells = np.zeros(1 << bits, np.int64)
-        for batch in batches:
+        for batch in lean(batches):
             for s in sets_of(batch.column(0), k):
                 if len(s):
                     np.add.at(cells, (s >> np.uint64(64 - bits)).astype(np.int64), 1)
@@ -109,7 +109,7 @@ def _signatures(docs: DataFrame, k: int, percent: int, level: DataFrame) -> Data
 
     def sign(batches):
         order, met = level.value, set()
-        for batch in batches:
+        for batch in lean(batches):
             ids, n, cls, prefix = batch.column(0), [], [], []
             for s in sets_of(batch.column(1), k):
                 n.append(len(s))
@@ -138,12 +138,15 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     small = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
 
     def load(batches):
-        for b in batches:
-            sets = list(sets_of(b.column(len(names)), k))
-            # another text under the same doc_id is not the class's
-            own = [i for i, (c, s) in enumerate(zip(b.column(0).to_pylist(), sets)) if len(s) and signature(s) == c]
-            rows = b.take(pa.array(own, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*rows.columns[: len(names)], pa.array([sets[i].view(np.int64) for i in own], pa.list_(pa.int64()))], [*names, "set"])
+        for batch in lean(batches):
+            _, offsets = utf8(batch.column(len(names)))
+            for first, last in slices(offsets, 1 << 22):  # sets are about as large as their texts
+                b = batch.slice(first, last - first)
+                sets = list(sets_of(b.column(len(names)), k))
+                # another text under the same doc_id is not the class's
+                own = [i for i, (c, s) in enumerate(zip(b.column(0).to_pylist(), sets)) if len(s) and signature(s) == c]
+                rows = [c.take(pa.array(own, pa.int64())) for c in b.columns[: len(names)]]
+                yield pa.RecordBatch.from_arrays([*rows, pa.array([sets[i].view(np.int64) for i in own], pa.list_(pa.int64()))], [*names, "set"])
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     rows = texts.join(F.broadcast(wanted) if small else wanted, "doc_id").select(*names, "text")

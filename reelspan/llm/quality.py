@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelspan.llm.common import numbered, slices, utf8, word_hashes
+from reelspan.llm.common import lean, numbered, slices, utf8, word_hashes
 
 PASSAGE, TRAIN_DOCS, PASSAGES = 640, 3000, 48
 HIDDEN, GATE, HASHED = 24, 16, 64
@@ -176,9 +176,9 @@ def score(docs: DataFrame, model: GatedAttention, name: str = "score") -> DataFr
     schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema.add(name, "double")
 
     def run(batches):
-        for b in batches:
+        for b in lean(batches):
             _, offsets = utf8(b.column(at))
-            made = [shared.value.score(*features(b.column(at).slice(i, j - i))) for i, j in slices(offsets, 1 << 22)]
+            made = [shared.value.score(*features(b.column(at).slice(i, j - i))) for i, j in slices(offsets)]  # about 50 bytes of features a byte of text
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate(made) if made else [], pa.float64())], schema.names)
 
     return numbered(docs.select(*[F.col(f"`{c}`") for c in keep])).mapInArrow(run, schema)

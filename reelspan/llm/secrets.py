@@ -162,6 +162,15 @@ def candidates(index: DataFrame, queries: dict[int, list[list[str]]]) -> DataFra
     return met.groupBy("row").agg(F.collect_set("rule").alias("rules"))
 
 
+#: Matches gathered in one array before they are put behind the others.
+FOLD = 256
+
+
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once: inside a lambda it is a variable, not a copied expression."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _spans(rule: Rule, at: int) -> Column:
     """Kept matches of rule as an array of (start, rank of kind, end, kind).
 
@@ -172,7 +181,7 @@ def _spans(rule: Rule, at: int) -> Column:
     gaps = F.split("text", rule.pattern, -1)
     rows = F.arrays_zip(gaps.alias("gap"), whole.alias("match"), group.alias("group"))
     kind = "struct<pos:int,spans:array<struct<start:int,rank:int,end:int,kind:string>>>"
-    zero = F.struct(F.lit(0).alias("pos"), F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>").alias("spans")).cast(kind)
+    none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
 
     def step(acc, x):
         start = acc["pos"] + F.char_length(x["gap"])
@@ -181,7 +190,14 @@ def _spans(rule: Rule, at: int) -> Column:
         good = x["match"].isNotNull() & (F.char_length(x["group"]) >= rule.least)
         return F.struct(end.alias("pos"), F.when(good, F.array_append(acc["spans"], found)).otherwise(acc["spans"]).alias("spans")).cast(kind)
 
-    return F.aggregate(rows, zero, step, lambda acc: acc["spans"])
+    def stretch(acc, i, own):
+        """FOLD matches more: their spans are gathered by themselves and put behind the others at once, as each append copies its array."""
+        begin = F.struct(acc["pos"].alias("pos"), none.alias("spans")).cast(kind)
+        made = F.aggregate(F.slice(own, i * FOLD + 1, F.lit(FOLD)), begin, step)
+        return let(made, lambda m: F.struct(m["pos"].alias("pos"), F.concat(acc["spans"], m["spans"]).alias("spans")).cast(kind))
+
+    zero = F.struct(F.lit(0).alias("pos"), none.alias("spans")).cast(kind)
+    return let(rows, lambda own: F.aggregate(F.sequence(F.lit(0), F.floor((F.size(own) - 1) / FOLD).cast("int")), zero, lambda acc, i: stretch(acc, i, own), lambda acc: acc["spans"]))
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

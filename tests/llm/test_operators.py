@@ -499,3 +499,9 @@ def test_html_keeps_what_only_looks_like_junk():
     page = """<body><div class="header">Site name</div><article><div class="header"><h1>Title of it</h1></div><p>Long text of the article.</p><p class="share-price">Share price rose.</p>
     <div class="share-buttons">Share</div><div id="cookie-banner-2">Cookies</div><div class="comment-list">First!</div><p class="search-history notice-period">Words.</p><div class="related posts">More</div></article><div class="site-footer">Foot</div></body>"""
     assert html.Page(page).text(None) == "Title of it\nLong text of the article.\nShare price rose.\nWords."
+
+
+def test_secrets_of_a_text_with_very_many(spark):
+    text = " ".join(f"token=abc{i:06d}x" for i in range(9000))
+    (r,) = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert [(s.start, s.rank, s.end) for s in r.spans if s.kind in ("assign", "access", "hex")] == brute.secrets(text)

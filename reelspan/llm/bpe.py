@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelspan.llm.common import numbered
+from reelspan.llm.common import lean, numbered
 
 MEMO = 1 << 18
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -239,7 +239,7 @@ def _map(docs: DataFrame, path: str, pattern: str, source: str, added: list[tupl
 
     def run(batches):
         own = codec(path, pattern)
-        for b in batches:
+        for b in lean(batches):
             rows = [f(own, empty if x is None else x) for x in b.column(at).to_pylist()]
             made = list(zip(*rows)) or [()] * len(added)
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(c, types[k]) for c, (_, k) in zip(made, added))], schema.names)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelspan.llm.common import numbered
+from reelspan.llm.common import lean, numbered
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS, TREES, DEPTH = 6000, 40, 3
@@ -303,7 +303,7 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Finder:
     """A finder from a sample of at most `train_docs` texts that hold a proposal, in hash order."""
 
     def load(batches):
-        for b in batches:
+        for b in lean(batches):
             rows = [(h, [float(v) for v in x], y) for h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if t for x, y in lessons(t)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.float64())), pa.array([r[2] for r in rows], pa.bool_())], ["h", "x", "y"])
 
@@ -330,7 +330,7 @@ def detect(docs: DataFrame, finder: Finder) -> DataFrame:
     arrow = pa.list_(pa.struct([("start", pa.int32()), ("rank", pa.int32()), ("end", pa.int32())]))
 
     def run(batches):
-        for b in batches:
+        for b in lean(batches):
             both = [shared.value.find(t) if t else ([], []) for t in b.column(at).to_pylist()]
             cols = [pa.array([[{"start": s, "rank": k, "end": e} for s, k, e in x[i]] for x in both], arrow) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*b.columns, *cols], schema.names)
@@ -357,7 +357,7 @@ def redacted(docs: DataFrame, finder: Finder) -> DataFrame:
     at = cols.index("text")
 
     def run(batches):
-        for b in batches:
+        for b in lean(batches):
             texts = [t if not t else redact(t, sum(shared.value.find(t), [])) for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(b.columns)], cols)
 

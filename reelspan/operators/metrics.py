@@ -72,9 +72,9 @@ def dashboard(events: DataFrame, key: str = "gateway", at: str = "ts", block_s:
     """A row a gateway as of its last event: the fields of `streaming.dashboard.snapshots`, over the whole history.
 
     Counters are aggregated before they are shuffled; the last 100 and 50 rows are ranked with a limit inside each task; the
-    peak is scanned in blocks.  Requests under way and names of models and errors are gathered in one row, as a snapshot is.
+    peak is scanned in blocks.  Events without a gateway, a time or an id are left out.  Requests under way and names of models and errors are gathered in one row, as a snapshot is.
     """
-    rows = events.filter(F.col(at).isNotNull() & F.col("request_id").isNotNull()).withColumn("us", F.unix_micros(at))
+    rows = events.filter(F.col(key).isNotNull() & F.col(at).isNotNull() & F.col("request_id").isNotNull()).withColumn("us", F.unix_micros(at))
     starts = rows.filter("kind = 'start'").select(key, "request_id", F.col("us").alias("start_us"), F.coalesce("model", F.lit("")).alias("model"), F.coalesce("has_images", F.lit(False)).alias("has_images"))
     ends = rows.filter("kind = 'end'").select(key, "request_id", F.col("us").alias("end_us"), F.coalesce("success", F.lit(False)).alias("success"), F.nullif("error_type", F.lit("")).alias("error_type"))
     # an end that is no later than its start comes before it and is ignored, as one without a start is

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelspan.operators import scan
+from reelspan.operators.enrich import built_once
 
 THRESHOLD = 0.3
 
@@ -73,16 +74,18 @@ def number_frames(frames: DataFrame, key: str = "video_id") -> DataFrame:
 
 
 def score_frames(frames: DataFrame, model, key: str = "video_id", at: str = "frame_idx", width: int = 100, stride: int = 50) -> DataFrame:
-    """(key, frame_idx, p_single): model() scores windows of `width` frames; the middle `stride` scores of each are kept.
+    """(key, frame_idx, p_single): model(), built once a worker, scores windows of `width` frames; the middle `stride` scores of each are kept.
 
     frames(key, frame_idx, pixels); the model maps a window's list of pixels to a score each.  A window fits in a task.
     """
     slots = sliding_windows(frames, key, at, width, stride).join(frames.select(key, at, "pixels"), [key, at])
     kind = f"{key} {frames.schema[key].dataType.simpleString()}, {at} int, p_single float"
 
+    get = built_once(model)
+
     def run(window: pd.DataFrame) -> pd.DataFrame:
         window = window.sort_values("slot")
-        window["p_single"] = list(model()(window["pixels"].tolist()))
+        window["p_single"] = list(get()(window["pixels"].tolist()))
         return window.loc[window["kept"], [key, at, "p_single"]]
 
     return slots.groupBy(key, "window_id").applyInPandas(run, kind)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from reelspan.functions.text import base_name, image_mime, is_url, stem
 from reelspan.operators import scan
+from reelspan.operators.enrich import built_once
 
 
 def images(spark: SparkSession, path: str, glob: str = "*.webp") -> DataFrame:
@@ -28,8 +29,10 @@ def decode(videos: DataFrame, decoder, rate: int = 1, wanted: DataFrame | None =
     Frames outside the stride, or outside `wanted` (video_id, frame_idx), go.
     """
 
+    get = built_once(decoder)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        f = decoder()
+        f = get()
         for b in batches:
             for video_id, content in zip(b["video_id"], b["content"]):
                 rows = [(video_id, i, bytes(x)) for i, x in f(bytes(content)) if i % rate == 0]

@@ -100,12 +100,12 @@ def snapshots(events: DataFrame, key: str = "gateway", at: str = "ts") -> DataFr
     """(key, at_us, snapshot): a JSON snapshot of a gateway each time a trigger brings events of it.
 
     events(key, at, kind, request_id, model, has_images, success, error_type), kind `start` or `end`.  A trigger's events are taken in order
-    of (at, ends before starts, request_id); an end without a start is ignored.  The clock is the last event's.  A gateway's state is
+    of (at, ends before starts, request_id); an end without a start is ignored, and so is an event without a gateway, a time or an id.  The clock is the last event's.  A gateway's state is
     bounded but for its requests under way and its names of models and errors.
     """
     use_rocksdb(events.sparkSession)
     kind = events.schema[key].dataType.simpleString()
-    rows = events.filter(F.col(at).isNotNull() & F.col("request_id").isNotNull()).select(
+    rows = events.filter(F.col(key).isNotNull() & F.col(at).isNotNull() & F.col("request_id").isNotNull()).select(
         key, F.unix_micros(at).alias("at_us"), (F.col("kind") == "start").cast("int").alias("rank"), F.col("request_id").cast("string").alias("request_id"), F.coalesce(F.col("model").cast("string"), F.lit("")).alias("model"),
         F.coalesce("has_images", F.lit(False)).alias("has_images"), F.coalesce("success", F.lit(False)).alias("success"), "error_type",
     )

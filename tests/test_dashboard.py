@@ -23,7 +23,7 @@ def traffic(seed=1, n=400):
         rows.append((g, a, "start", f"r{i}", r.choice(["m1", "m2", None]), r.random() < 0.3, None, None))
         if r.random() < 0.9:
             rows.append((g, a + r.randrange(1, 90_000_000), "end", f"r{i}", None, None, ok, None if ok else r.choice(["quota", "timeout", ""])))
-    rows += [("x", 1_700_000_000_500_000, "end", "nobody", None, None, True, None), ("x", None, "start", "z", None, None, None, None), ("y", 1_700_000_001_000_000, "start", None, None, None, None, None)]
+    rows += [("x", 1_700_000_000_500_000, "end", "nobody", None, None, True, None), ("x", None, "start", "z", None, None, None, None), ("y", 1_700_000_001_000_000, "start", None, None, None, None, None), (None, 1_700_000_001_000_000, "start", "q", None, None, None, None)]
     return rows
 
 

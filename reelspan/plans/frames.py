@@ -379,7 +379,7 @@ def raw_wanted_frames(spark, sf_dir):
     return _shown(raw.wanted_frames(chosen.union(chosen).union(beyond), _raw(spark, sf_dir), 4, 2, block=64))
 
 
-@query("""with l as (select user_id media_id, row_number() over (partition by user_id order by ts, event_id) - 1 k, case when value < 40 then 10 else 1000 end a from events),
+SPEECH = """with l as (select user_id media_id, row_number() over (partition by user_id order by ts, event_id) - 1 k, case when value < 40 then 10 else 1000 end a from events),
 g as (select media_id, count(*) * 100 len, floor(sqrt(avg(a * a))) rms from l group by 1),
 t as (select media_id, len, pow(10, (20 * log10(rms / 32768) - 14) / 20) * 32768 lim from g),
 m as (select media_id, k * 100 + j ms, a * a sq from l cross join (select unnest(range(100)) j)),
@@ -389,18 +389,36 @@ r as (select *, sum((p is null or ms > p + 300)::int) over (partition by media_i
 s as (select media_id, min(ms) a, max(ms) + 300 b from r group by media_id, no),
 e as (select media_id, a, b from s union all select media_id, len, null from t),
 f as (select e.*, len, lag(e.a) over y pa, lag(e.b) over y pb from e join t using (media_id) window y as (partition by media_id order by e.a)),
-z as (select media_id, case when pa > 0 then case when pb - pa < 200 then (pa + pb) // 2 else pb - 100 end else greatest(0, coalesce(pb, 0) - 100) end start_ms, case when b < len then case when b - a < 200 then (a + b) // 2 else a + 100 end else least(len, a + 100) end end_ms from f where a > coalesce(pb, 0))
-select media_id, row_number() over (partition by media_id order by start_ms)::int seg_idx, start_ms::bigint start_ms, end_ms::bigint end_ms from z""")
-def speech_from_samples(spark, sf_dir):
-    """A user's events as WAV files of 100 ms a event, loud or quiet by value; silences of 300 ms of their samples split."""
+z as (select media_id, case when pa > 0 then case when pb - pa < 200 then (pa + pb) // 2 else pb - 100 end else greatest(0, coalesce(pb, 0) - 100) end start_ms, case when b < len then case when b - a < 200 then (a + b) // 2 else a + 100 end else least(len, a + 100) end end_ms from f where a > coalesce(pb, 0))"""
+
+
+def _recordings(spark, sf_dir):
+    """A user's events as a WAV file of 100 ms an event, loud or quiet by value; the folder."""
     folder = new_folder(spark, "audio")
     f = frames(spark, sf_dir).select(F.concat(F.col("video_id").cast("string"), F.lit(".wav")).alias("path"), F.col("frame_idx").alias("pos"), F.unhex(F.repeat(F.when(F.col("value") < 40, "0A00").otherwise("E803"), 800)).alias("content"))
     head = f.filter("pos = 0").select("path", F.lit(-1).alias("pos"), F.lit(wav.wav_header(8000, 1, 2, 0)[:40] + b"\xff" * 4).alias("content"))  # samples up to the file's end
     sinks.write_joined(head.unionByName(f), folder)
-    found = wav.speech(wav.pieces_of(wav.wav_files(spark, folder), 5000), min_silence_ms=300, keep_ms=100)
+    return wav.wav_files(spark, folder)
+
+
+@query(f"{SPEECH} select media_id, row_number() over (partition by media_id order by start_ms)::int seg_idx, start_ms::bigint start_ms, end_ms::bigint end_ms from z")
+def speech_from_samples(spark, sf_dir):
+    """Recordings split at silences of 300 ms of their samples."""
+    found = wav.speech(wav.pieces_of(_recordings(spark, sf_dir), 5000), min_silence_ms=300, keep_ms=100)
     return found.select(F.col("media_id").cast("long").alias("media_id"), "seg_idx", "start_ms", "end_ms")
 
 
+@query(f"""{SPEECH}, n as (select media_id, row_number() over (partition by media_id order by start_ms)::int seg_idx, start_ms, end_ms from z),
+v as (select n.media_id, n.seg_idx, ((end_ms - start_ms) * 16)::bigint size_bytes, (end_ms - start_ms)::bigint dur_ms, round(20 * log10(floor(sqrt(avg(m.sq))) / 32768), 6) dbfs from n join m on m.media_id = n.media_id and m.ms >= n.start_ms and m.ms < n.end_ms group by n.media_id, n.seg_idx, start_ms, end_ms)
+select * from v where size_bytes >= 4000 and dur_ms >= 350 and dbfs >= -31.5 and size_bytes <= 200000""")
+def good_speech(spark, sf_dir):
+    """Segments of speech kept by size, length and the loudness of their own samples."""
+    files = _recordings(spark, sf_dir)
+    found = wav.speech(wav.pieces_of(files, 5000), min_silence_ms=300, keep_ms=100)
+    kept = audio.good_chunks(wav.measured(wav.samples_of(found, files)), 200_000, min_bytes=4000, min_ms=350, min_dbfs=-31.5)
+    return kept.select(F.col("media_id").cast("long").alias("media_id"), "seg_idx", "size_bytes", "dur_ms", F.round("dbfs", 6).alias("dbfs"))
+
+
 @query(f"""with recursive {SEGMENTS},
 o as (select sg.media_id, seg_idx, octet_length(encode(coalesce(text, ''))) n, text, row_number() over (partition by sg.media_id order by seg_idx) k from sg join documents d on d.doc_id = sg.seg_idx),
 r as (select media_id, seg_idx, k, 0 chunk_no, n total from o where k = 1

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelspan.functions.text import stem
 from reelspan.operators import scan
@@ -213,5 +214,27 @@ def samples_of(segments: DataFrame, files: DataFrame) -> DataFrame:
     return asked.mapInArrow(run, f"media_id string, seg_idx {segments.schema['seg_idx'].dataType.simpleString()}, start_ms long, end_ms long, rate {kinds['rate']}, channels int, width int, content binary")
 
 
+def measured(samples: DataFrame) -> DataFrame:
+    """samples_of() rows with size_bytes, dur_ms and dbfs of their own samples, as `audio.good_chunks` takes them; silence is minus infinity."""
+    schema = T.StructType([*samples.schema.fields]).add("size_bytes", "long").add("dur_ms", "long").add("dbfs", "double")
+    at = {c: samples.columns.index(c) for c in ("rate", "channels", "width", "content")}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            size, ms, level = [], [], []
+            for r in range(b.num_rows):
+                rate, channels, width, data = (b.column(at[c])[r].as_py() for c in ("rate", "channels", "width", "content"))
+                data = data or b""
+                x = decoded(data, width)
+                x = x >> 8 if width == 4 else x
+                rms = int(np.sqrt(float(sum(int((p * p).sum()) for p in np.array_split(x, len(x) // 65536 + 1))) / max(1, len(x))))
+                size.append(len(data))
+                ms.append(round(1000 * len(x) / channels / rate))
+                level.append(20 * float(np.log10(rms / 2.0 ** (loud_bits(width) - 1))) if rms else float("-inf"))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(size, pa.int64()), pa.array(ms, pa.int64()), pa.array(level, pa.float64())], schema.names)
+
+    return samples.mapInArrow(run, schema)
+
+
 def wav_header(rate: int, channels: int, width: int, n_bytes: int) -> bytes:
     return struct.pack("<4sI4s4sIHHIIHH4sI", b"RIFF", 36 + n_bytes, b"WAVE", b"fmt ", 16, 1, channels, rate, rate * channels * width, channels * width, 8 * width, b"data", n_bytes)

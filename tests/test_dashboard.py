@@ -66,3 +66,12 @@ def test_equals_batch_at_each_trigger(spark, tmp_path):
             near(got[g], want[g], g)
         seen.append(got)
     assert len(seen[-1]["x"]["recent_performance"]) == 50 and seen[-1]["x"]["error_breakdown"] and seen[-1]["x"]["stats"]["active_count"] > 3
+
+
+def test_last_rows_are_limited_before_the_shuffle(spark):
+    rows = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
+    out = metrics.latest(rows, ["k"], [F.desc("id")], 50)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    below = plan.split("Exchange hashpartitioning", 1)
+    assert "WindowGroupLimit" in below[0] and "WindowGroupLimit" in below[1]
+    assert out.groupBy("k").count().select("count").distinct().collect()[0][0] == 50

@@ -49,6 +49,8 @@ REACH = 20
 SMALL = 16
 #: About so many members of a larger group choose its centre.
 DRAWN = 24
+#: Groups whose members have so many entries in all deal their askers by these entries alone.
+FEW_ENTRIES = 1024
 
 
 def shingles(words: np.ndarray, k: int) -> np.ndarray:
@@ -182,7 +184,8 @@ def links_in_groups(rows: DataFrame, percent: int) -> DataFrame:
     comparison an asker finds what connects them.  Classes that share an entry meet again in the subgroup of that
     entry, without it.  Before that a group is centred on the entries that more than half of some DRAWN members have: any
     centre is right, this one keeps differences and subgroups small; groups of SMALL rows are compared pair by pair.  Subgroups of one component, or with the rows of
-    another subgroup, go; a class enters those of its rarest entries only, as many as the bound on s asks for.
+    another subgroup, go; a class enters those of its rarest entries only, as many as the bound on s asks for.  Entries of an
+    asker that no member has lead to nobody: where the members have few, they are taken out before the entries are dealt.
     """
     scale = 100 + percent
     links = rows.select("a", F.col("c").alias("b")).limit(0)
@@ -223,7 +226,13 @@ def links_in_groups(rows: DataFrame, percent: int) -> DataFrame:
         merged = components(made.select(F.col("c").alias("a"), F.col("x_c").alias("b")).distinct()).withColumnRenamed("node", "c")
         star = cut(beside(star, merged, "c", how="left").withColumn("c", F.coalesce("component", "c")).filter("near").select("g", "a", "c", "n", "d", "asks", "w", "other_w"))  # who is too far even if it shared all of a partner's entries goes
         # subgroups: by entries that askers and members of different components share
-        entries = star.select("g", "a", "c", "asks", F.greatest(F.lit(1), F.ceil((F.col("w") + F.col("other_w")) / (2 * scale))).alias("needed"), "d").filter(F.col("needed") <= F.size("d")).withColumn("t", F.explode("d")).drop("d")
+        dealt = star.select("g", "a", "c", "asks", F.greatest(F.lit(1), F.ceil((F.col("w") + F.col("other_w")) / (2 * scale))).alias("needed"), "d").filter(F.col("needed") <= F.size("d"))
+        members, askers = dealt.filter("not asks"), dealt.filter("asks")
+        few = members.groupBy("g").agg(F.sum(F.size("d")).alias("m"))
+        held = beside(members, few.filter(F.col("m") <= FEW_ENTRIES).select("g"), "g").select("g", F.explode("d").alias("t")).groupBy("g").agg(F.collect_set("t").alias("held"))
+        askers = beside(askers, few.join(held, "g", "left").select("g", "held"), "g", "held")  # a group without members goes
+        askers = askers.withColumn("d", F.when(F.col("held").isNull(), F.col("d")).otherwise(F.array_intersect("d", "held"))).drop("held").filter(F.col("needed") <= F.size("d"))
+        entries = cut(members.unionByName(askers)).withColumn("t", F.explode("d")).drop("d")
         useful = entries.groupBy("g", "t").agg(F.count(F.lit(1)).alias("f"), *ends).filter(open_still).select("g", "t", "f")
         entries = cut(entries.join(useful, ["g", "t"]))
         own = Window.partitionBy("g", "a", "asks")

@@ -505,3 +505,31 @@ def test_secrets_of_a_text_with_very_many(spark):
     text = " ".join(f"token=abc{i:06d}x" for i in range(9000))
     (r,) = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
     assert [(s.start, s.rank, s.end) for s in r.spans if s.kind in ("assign", "access", "hex")] == brute.secrets(text)
+
+
+def _generated(spark) -> int:
+    """Rows that all Generate nodes of the session have made so far."""
+    store, total = spark._jsparkSession.sharedState().statusStore(), 0
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    runs = store.executionsList()
+    for i in range(runs.size()):
+        of = runs.apply(i).executionId()
+        nodes, values = store.planGraph(of).allNodes(), store.executionMetrics(of)
+        for j in range(nodes.size()):
+            metrics = nodes.apply(j).metrics()
+            for k in range(metrics.size()):
+                m = metrics.apply(k)
+                if nodes.apply(j).name() == "Generate" and m.name() == "number of output rows" and values.contains(m.accumulatorId()):
+                    total += int(values.apply(m.accumulatorId()).replace(",", ""))
+    return total
+
+
+def test_entries_that_no_member_has_are_not_dealt(spark):
+    """200 askers of 20 entries beside 20 members of 10: three entries shared do not link, six do."""
+    members = [(1, 1000 + m, 1000, 100, [m * 10 + i for i in range(10)], False) for m in range(20)]
+    askers = [(1, a, a, 100, [a % 20 * 10 + i for i in range(3)] + [10_000 + a * 100 + i for i in range(17)], True) for a in range(1, 201)]
+    askers.append((1, 500, 500, 100, [70 + i for i in range(6)] + [90_000 + i for i in range(14)], True))
+    rows = spark.createDataFrame(members + askers, "g long, a long, c long, n long, d array<long>, asks boolean")
+    before = _generated(spark)
+    assert {tuple(r) for r in jaccard.links_in_groups(rows, 80).collect()} == {(500, 1007)}
+    assert _generated(spark) - before < 3000

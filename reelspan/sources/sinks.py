@@ -110,6 +110,35 @@ def write_files(rows: DataFrame, path: str, encoder: Callable | None = None, job
     return _committed(given.mapInArrow(stage, MANIFEST), rows.sparkSession, path, job)
 
 
+def read_files(made: DataFrame, path: str, most: int = 1 << 23) -> DataFrame:
+    """(name, content) of the files made(name) under path, as the sinks return them; each is opened by the task that has its name.
+
+    A listing of the folder would bring every file's state to the driver.  A task holds about `most` bytes, or one file.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, top = opened(path)
+        made = lambda rows: pa.RecordBatch.from_arrays([pa.array([n for n, _ in rows], pa.string()), pa.array([c for _, c in rows], pa.binary())], ["name", "content"])
+        for b in batches:
+            rows, held = [], 0
+            for name in b.column(0).to_pylist():
+                with store.open_input_file(f"{top}/{name}") as f:
+                    rows.append((name, f.read()))
+                held += len(rows[-1][1])
+                if held >= most:
+                    yield made(rows)
+                    rows, held = [], 0
+            if rows:
+                yield made(rows)
+
+    return made.select("name").mapInArrow(run, "name string, content binary")
+
+
+def paths_of(made: DataFrame, path: str) -> DataFrame:
+    """(path) of the files made(name, n_bytes) under path that are not empty, without a listing."""
+    return made.filter("n_bytes > 0").select(F.concat(F.lit(f"{path.rstrip('/')}/"), "name").alias("path"))
+
+
 def stream_files(rows: DataFrame, path: str, checkpoint: str, encoder: Callable | None = None, **trigger):
     """A running query that writes each row of a stream of (name, content) as a file, once, whatever restarts there are."""
     each = lambda frame, epoch: write_files(frame, path, encoder, f"epoch-{epoch}")
@@ -158,14 +187,16 @@ def write_archives(files: DataFrame, path: str, key: str = "video_id", job: str
     return _committed(dealt.mapInArrow(stage, MANIFEST), files.sparkSession, path, job)
 
 
-def write_joined(parts: DataFrame, path: str, key: str = "path", at: str = "pos", job: str | None = None) -> DataFrame:
+def write_joined(parts: DataFrame, path: str, key: str = "path", at: str = "pos", job: str | None = None, encoder: Callable | None = None) -> DataFrame:
     """(name, n_bytes): for each key one file named by it, its parts(key, at, content) one behind the other in order of `at`.
 
-    Parts come to the task in order and are written as they come, so it holds one Arrow batch of them.
+    Parts come to the task in order and are written as they come, so it holds one Arrow batch of them.  encoder(), if given, makes what is
+    written of each content in the task that writes it, so that only what it needs for that is shuffled.
     """
     job = job or uuid.uuid4().hex
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder() if encoder else bytes
         store, folder, relative = _staged(path, job)
         done: list[tuple[str, int, str]] = []
         now = stream = None
@@ -176,11 +207,11 @@ def write_joined(parts: DataFrame, path: str, key: str = "path", at: str = "pos"
                 stream.close()
 
         for b in batches:
-            for i in range(b.num_rows):
-                if (own := b.column(0)[i].as_py()) != now:
+            for own, content in zip(b.column(0).to_pylist(), b.column(2)):
+                if own != now:
                     close()
                     now, stream = own, store.open_output_stream(f"{folder}/{len(done)}", compression=None)
-                stream.write(b.column(2)[i].as_py() or b"")
+                stream.write(encode(content.as_py() or b""))
         close()
         if done:
             names, sizes, where = zip(*done)

@@ -139,3 +139,21 @@ def test_uploads_once(spark, tmp_path):
     assert run(client(refused=("b/5", "c/0"))) == want  # nothing of it comes again but the fallback that failed
     again = open(log).read().split("\n")
     assert sorted(again) == sorted([*sent, "c fallback"])
+
+
+def test_files_are_read_by_the_names_that_the_sink_returns(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = spark.createDataFrame([(f"d/{i} é%.bin", bytes([i]) * i) for i in range(30)], "name string, content binary").repartition(4)
+    made = sinks.write_files(rows, path)
+    (tmp_path / "out" / "d" / "other.bin").write_bytes(b"not of this job")
+    got = sinks.read_files(made, path, most=40)
+    assert {(r.name, bytes(r.content)) for r in got.collect()} == {(f"d/{i} é%.bin", bytes([i]) * i) for i in range(30)}
+    assert not [f for f in got.inputFiles() if f.endswith(".bin")]  # the driver has listed none of them
+    assert {r.path for r in sinks.paths_of(made, path).collect()} == {f"{path}/d/{i} é%.bin" for i in range(1, 30)}  # an empty file has no row
+
+
+def test_joined_files_are_encoded_where_they_are_written(spark, tmp_path):
+    parts = spark.createDataFrame([("a", 1, b"x"), ("a", 0, b"head"), ("b", 0, None)], "path string, pos int, content binary")
+    made = sinks.write_joined(parts, str(tmp_path / "j"), encoder=lambda: lambda part: part * 3 if len(part) == 1 else part)
+    assert {(r.name, r.n_bytes) for r in made.collect()} == {("a", 7), ("b", 0)}
+    assert (tmp_path / "j" / "a").read_bytes() == b"headxxx"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(master: str | None = None, **settings: str) -> SparkSession:
@@ -30,3 +30,15 @@ def shared_dir(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nobody else uses."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read again: what is asked for several times is made once."""
+    path = new_folder(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def parts_of(df: DataFrame) -> int:
+    """Shuffle partitions of the session."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from reelspan.functions.text import stem
 from reelspan.operators import scan
+from reelspan.session import cut, parts_of
 from reelspan.sources.staging import opened
 
 PIECE_MS = 60_000
@@ -96,8 +97,16 @@ def loud_bits(width: int) -> int:
 # ---------------------------------------------------------------- files and pieces
 
 def wav_files(spark: SparkSession, path: str, glob: str = "*.wav") -> DataFrame:
-    """(media_id, path) of the files of a folder; their contents are not read, and empty files are passed over."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path).select(stem(F.col("path")).alias("media_id"), "path")
+    """(media_id, path) of the files of a folder; their contents are not read, and empty files are passed over.
+
+    The driver lists the folder; where the files' paths are in a table, `named_files` takes them without that.
+    """
+    return named_files(spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path))
+
+
+def named_files(files: DataFrame) -> DataFrame:
+    """(media_id, path) of files(path)."""
+    return files.select(stem(F.col("path")).alias("media_id"), "path")
 
 
 def pieces_of(files: DataFrame, piece_ms: int = PIECE_MS) -> DataFrame:
@@ -121,8 +130,8 @@ def pieces_of(files: DataFrame, piece_ms: int = PIECE_MS) -> DataFrame:
 
     heads = files.select("media_id", "path").mapInArrow(run, PIECES.split(", from_ms")[0])
     start = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("len_ms") - 1, F.lit(0)), F.lit(piece_ms).cast("long")))
-    cut = heads.select("*", start.alias("from_ms")).withColumn("to_ms", F.least(F.col("from_ms") + piece_ms, "len_ms"))
-    return cut.repartition("media_id", "from_ms")
+    made = heads.select("*", start.alias("from_ms")).withColumn("to_ms", F.least(F.col("from_ms") + piece_ms, "len_ms"))
+    return made.repartition(parts_of(files), "media_id", "from_ms")  # rows are small, what they stand for is not: a number given stays
 
 
 def _each(b: pa.RecordBatch) -> Iterator[tuple[dict, Header]]:
@@ -155,12 +164,15 @@ def speech(pieces: DataFrame, min_silence_ms: int = 700, below: float = 14.0, ke
     A silence is made of windows of min_silence_ms, one from every ms on, whose integer root mean square is at most that of
     the whole medium less `below` decibels; windows join where they meet or overlap.  Neighbours share a silence too short
     for both their margins in its middle.  A medium without speech has no rows; one without silence has one.
+
+    All samples are read twice, for the mean level and for the windows: what is found is written and read again where it is asked for more than once.
     """
-    level = loudness(pieces)
+    pieces = cut(pieces)
+    level = cut(loudness(pieces))
     # a silent medium has no loudness: its threshold is zero, which every window reaches
     limit = F.coalesce(F.pow(F.lit(10.0), (F.col("dbfs") - below) / 20) * F.col("full_scale"), F.lit(0.0))
     levels = level.select("media_id", limit.alias("limit"))
-    asked = pieces.join(levels, "media_id")
+    asked = pieces.join(levels, "media_id").repartition(parts_of(pieces), "media_id", "from_ms")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -180,7 +192,7 @@ def speech(pieces: DataFrame, min_silence_ms: int = 700, below: float = 14.0, ke
                 hi += (edge[1::2] - 1 + r["from_ms"]).tolist()
             yield pa.RecordBatch.from_arrays([pa.array(media, pa.string()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], ["media_id", "lo", "hi"])
 
-    runs = asked.mapInArrow(run, "media_id string, lo long, hi long")
+    runs = cut(asked.mapInArrow(run, "media_id string, lo long, hi long"))
     runs = scan.previous(runs, ["media_id"], "lo", "hi", "before", block_ms)
     new = F.col("before").isNull() | (F.col("lo") > F.col("before") + min_silence_ms)
     silences = scan.running_sum(runs, ["media_id"], "lo", new.cast("int"), "no", block_ms).groupBy("media_id", "no").agg(F.min("lo").alias("a"), (F.max("hi") + min_silence_ms).alias("b"))
@@ -196,10 +208,15 @@ def speech(pieces: DataFrame, min_silence_ms: int = 700, below: float = 14.0, ke
     return scan.row_numbers(made, ["media_id"], "start_ms", "seg_idx", block_ms).select("media_id", "seg_idx", "start_ms", "end_ms")
 
 
+def _placed(segments: DataFrame, files: DataFrame) -> DataFrame:
+    """segments(media_id, seg_idx, start_ms, end_ms) with the path and format of their file, dealt over all tasks."""
+    heads = pieces_of(files, 1 << 40).drop("from_ms", "to_ms")
+    return segments.select("media_id", "seg_idx", "start_ms", "end_ms").join(heads, "media_id").repartition(parts_of(files), "media_id", "seg_idx")
+
+
 def samples_of(segments: DataFrame, files: DataFrame) -> DataFrame:
     """segments(media_id, seg_idx, start_ms, end_ms) with rate, channels, width and content, the raw samples; each is read by its own range."""
-    heads = pieces_of(files, 1 << 40).drop("from_ms", "to_ms")
-    asked = segments.select("media_id", "seg_idx", "start_ms", "end_ms").join(heads, "media_id").repartition("media_id", "seg_idx")
+    asked = _placed(segments, files)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -214,6 +231,14 @@ def samples_of(segments: DataFrame, files: DataFrame) -> DataFrame:
     return asked.mapInArrow(run, f"media_id string, seg_idx {segments.schema['seg_idx'].dataType.simpleString()}, start_ms long, end_ms long, rate {kinds['rate']}, channels int, width int, content binary")
 
 
+def _measures(data: bytes, rate: int, channels: int, width: int) -> tuple[int, int, float]:
+    """Bytes, milliseconds and loudness of samples; silence is minus infinity."""
+    x = decoded(data, width)
+    x = x >> 8 if width == 4 else x
+    rms = int(np.sqrt(float(sum(int((p * p).sum()) for p in np.array_split(x, len(x) // 65536 + 1))) / max(1, len(x))))
+    return len(data), round(1000 * len(x) / channels / rate), 20 * float(np.log10(rms / 2.0 ** (loud_bits(width) - 1))) if rms else float("-inf")
+
+
 def measured(samples: DataFrame) -> DataFrame:
     """samples_of() rows with size_bytes, dur_ms and dbfs of their own samples, as `audio.good_chunks` takes them; silence is minus infinity."""
     schema = T.StructType([*samples.schema.fields]).add("size_bytes", "long").add("dur_ms", "long").add("dbfs", "double")
@@ -221,20 +246,31 @@ def measured(samples: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            size, ms, level = [], [], []
+            rows = []
             for r in range(b.num_rows):
                 rate, channels, width, data = (b.column(at[c])[r].as_py() for c in ("rate", "channels", "width", "content"))
-                data = data or b""
-                x = decoded(data, width)
-                x = x >> 8 if width == 4 else x
-                rms = int(np.sqrt(float(sum(int((p * p).sum()) for p in np.array_split(x, len(x) // 65536 + 1))) / max(1, len(x))))
-                size.append(len(data))
-                ms.append(round(1000 * len(x) / channels / rate))
-                level.append(20 * float(np.log10(rms / 2.0 ** (loud_bits(width) - 1))) if rms else float("-inf"))
+                rows.append(_measures(data or b"", rate, channels, width))
+            size, ms, level = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(size, pa.int64()), pa.array(ms, pa.int64()), pa.array(level, pa.float64())], schema.names)
 
     return samples.mapInArrow(run, schema)
 
 
+def measures_of(segments: DataFrame, files: DataFrame) -> DataFrame:
+    """segments with size_bytes, dur_ms and dbfs, as measured(samples_of()) has them, without the samples: these stay in the task that reads them."""
+    names = ["media_id", "seg_idx", "start_ms", "end_ms", "size_bytes", "dur_ms", "dbfs"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for r, h in _each(b):
+                store, path = opened(r["path"])
+                rows.append(_measures(_ranged(store, path, h, r["start_ms"], r["end_ms"])[0], h.rate, h.channels, h.width))
+            size, ms, level = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names[:4]), pa.array(size, pa.int64()), pa.array(ms, pa.int64()), pa.array(level, pa.float64())], names)
+
+    return _placed(segments, files).mapInArrow(run, f"media_id string, seg_idx {segments.schema['seg_idx'].dataType.simpleString()}, start_ms long, end_ms long, size_bytes long, dur_ms long, dbfs double")
+
+
 def wav_header(rate: int, channels: int, width: int, n_bytes: int) -> bytes:
     return struct.pack("<4sI4s4sIHHIIHH4sI", b"RIFF", 36 + n_bytes, b"WAVE", b"fmt ", 16, 1, channels, rate, rate * channels * width, channels * width, 8 * width, b"data", n_bytes)

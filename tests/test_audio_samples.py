@@ -111,6 +111,15 @@ def test_samples_of_segments(spark, tmp_path):
     assert got == {1: ints[:80].astype("<i2").tobytes(), 2: ints[2995 * 8 :].astype("<i2").tobytes()}
 
 
+def test_measures_of_segments_are_those_of_their_samples(spark, tmp_path):
+    (tmp_path / "x.wav").write_bytes(made(3, channels=2)[0])
+    files = wav.wav_files(spark, str(tmp_path))
+    segments = spark.createDataFrame([("x", i, i * 300, i * 300 + 299) for i in range(10)], "media_id string, seg_idx int, start_ms long, end_ms long")
+    names = ["media_id", "seg_idx", "start_ms", "end_ms", "size_bytes", "dur_ms", "dbfs"]
+    assert sorted(wav.measures_of(segments, files).select(names).collect()) == sorted(wav.measured(wav.samples_of(segments, files)).select(names).collect())
+    assert wav.pieces_of(files, 10).rdd.getNumPartitions() == wav.parts_of(files)  # small rows that stand for many samples stay dealt
+
+
 def test_pack_by_encoded_size(spark):
     r = random.Random(3)
     rows = [(k, i, 10, r.choice([b"a", bytes(r.randrange(256) for _ in range(50))]) * r.randrange(0, 30)) for k in ("m", "n", None) for i in range(60)]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reelspan.functions.text import base_name, image_mime, is_url, stem
 from reelspan.operators import scan
 from reelspan.operators.enrich import built_once
+from reelspan.session import parts_of
 
 
 def images(spark: SparkSession, path: str, glob: str = "*.webp") -> DataFrame:
@@ -49,6 +50,9 @@ def key_sheet(spark: SparkSession, path: str) -> DataFrame:
     return rows.toDF(*[c.strip() for c in rows.columns]).withColumn("pos", F.monotonically_increasing_id())
 
 
+#: Bytes of contents that a task of a join by path sorts.
+DEALT = 1 << 25
+
 #: Cells that a sheet's reader takes as empty.
 EMPTY = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
@@ -98,7 +102,10 @@ def segments_of_playlists(playlists: DataFrame, files: DataFrame, depth: int = 1
     files(path, content) holds playlists, segments and what was fetched from URLs.  A variant list is followed to its first sub-playlist,
     up to `depth` times, by a join; what is a variant list still then has no segments.  Segments lie beside the first list, or with beside_own
     beside the list that names them.  Contents of segments are joined last, by path; lists are texts of a few lines a segment.
+    Files are dealt by path once for all joins, to as many tasks as it takes for about DEALT bytes each, however many there are.
     """
+    size = files.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+    files = files.select("path", "content").repartition(max(parts_of(files), -(-size // DEALT)), "path")  # a number given is not merged into fewer
     found = playlists.select("path").distinct().withColumn("at", F.col("path"))
     texts = files.select(F.col("path").alias("at"), F.col("content").cast("string").alias("text"))
     whole = None

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import json
 import mimetypes
+import re
 
 from pyspark.sql import functions as F
 
@@ -86,3 +87,13 @@ def test_playlists(spark, tmp_path):
     sinks.write_joined(rows.filter("error is null").repartition(7), str(tmp_path / "j"))
     assert (tmp_path / "j" / "v" / "top.m3u8").read_bytes() == b"\x00onetwothree"
     assert (tmp_path / "j" / "long.m3u8").read_bytes() == b"".join(bytes([i % 256]) * 50 for i in range(300))
+
+
+def test_contents_are_dealt_by_size(spark, monkeypatch):
+    """40 segments of 1,000 bytes at 2,000 a task: 20 tasks and no fewer, whatever the session's number is; dealt once for all joins."""
+    monkeypatch.setattr(files, "DEALT", 2000)
+    stored = spark.createDataFrame([("p.m3u8", b"\n".join(b"%d.ts" % i for i in range(40)))] + [(f"{i}.ts", bytes([i]) * 1000) for i in range(40)], "path string, content binary")
+    rows = files.segments_of_playlists(stored.filter("path = 'p.m3u8'").select("path"), stored)
+    assert [(r.pos, r.segment, bytes(r.content), r.error) for r in rows.orderBy("pos").collect()] == [(i, f"{i}.ts", bytes([i]) * 1000, None) for i in range(40)]
+    dealt = re.findall(r"hashpartitioning\(path#\d+, (\d+)\), REPARTITION_BY_NUM", rows._jdf.queryExecution().executedPlan().toString())
+    assert dealt and min(map(int, dealt)) >= 20

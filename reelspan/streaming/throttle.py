@@ -16,6 +16,10 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
+def _columns(rows: list[tuple]) -> tuple:
+    return tuple(map(list, zip(*rows)))
+
+
 class Bucket(StatefulProcessor):
     """One key's bucket, full at first, which gains rpm / 60 tokens a second up to its capacity.
 
@@ -32,13 +36,14 @@ class Bucket(StatefulProcessor):
         self.handle = handle
         self.taken = handle.getValueState("taken", "n long, most double")
         self.alarm = handle.getValueState("alarm", "ms long")
-        self.arrived = handle.getListState("arrived", f"at_s double, id {self.order_kind}")
-        self.waiting = handle.getListState("waiting", f"at_s double, id {self.order_kind}, start_s double")
+        # a row a batch of arrivals, and one for the queue: each row of a state is a message of its own between Spark and Python
+        self.arrived = handle.getListState("arrived", f"at_s array<double>, id array<{self.order_kind}>")
+        self.waiting = handle.getValueState("waiting", f"at_s array<double>, id array<{self.order_kind}>, start_s array<double>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         came = [x for frame in rows for x in zip(frame["at_s_"].tolist(), frame[self.names[1]].tolist())]
         if self.by_event:  # others may come before them
-            self.arrived.appendList(came)
+            self.arrived.appendValue(_columns(came))
             self._wake(math.ceil(min(at for at, _ in came) * 1000))
             return iter(())
         now = timerValues.getCurrentProcessingTimeInMs()
@@ -47,16 +52,19 @@ class Bucket(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.alarm.clear()
         now = timerValues.getCurrentWatermarkInMs() if self.by_event else timerValues.getCurrentProcessingTimeInMs()
-        here = [tuple(x) for x in self.arrived.get()] if self.by_event else []
-        due = sorted(x for x in here if x[0] * 1000 <= now)
-        if due:
-            self._put(self.arrived, [x for x in here if x[0] * 1000 > now])
-        return self._settled(key, due, now)
-
-    def _settled(self, key, due: list[tuple], now: int) -> Iterator[pd.DataFrame]:
-        """Gives starts to what is due, releases what may start by now, and sets the alarm for what is left."""
+        here = [x for chunk in self.arrived.get() for x in zip(*chunk)] if self.by_event else []
+        due, later = sorted(x for x in here if x[0] * 1000 <= now), [x for x in here if x[0] * 1000 > now]
+        if due and later:
+            self.arrived.put([_columns(later)])
+        elif due:
+            self.arrived.clear()
+        return self._settled(key, due, now, later)
+
+    def _settled(self, key, due: list[tuple], now: int, later: list[tuple] = ()) -> Iterator[pd.DataFrame]:
+        """Gives starts to what is due, releases what may start by now, and sets the alarm for what is left and what comes later."""
         n, most = self.taken.get() if self.taken.exists() else (0, -math.inf)
-        queue = [tuple(x) for x in self.waiting.get()]
+        held = self.waiting.exists()
+        queue = list(zip(*self.waiting.get())) if held else []
         for at, i in due:
             n += 1
             start = max(at, most + n * self.step - self.credit)
@@ -66,19 +74,15 @@ class Bucket(StatefulProcessor):
             self.taken.update((n, most))
         free = [x for x in queue if x[2] * 1000 <= now]
         left = queue[len(free) :]  # starts never fall along the queue
-        self._put(self.waiting, left)
-        times = [x[2] for x in left] + ([min((x[0] for x in self.arrived.get()), default=math.inf)] if self.by_event else [])
-        if times and min(times) < math.inf:
+        if left:
+            self.waiting.update(_columns(left))
+        elif held:
+            self.waiting.clear()
+        if times := [x[2] for x in left[:1]] + [x[0] for x in later]:
             self._wake(math.ceil(min(times) * 1000))
         if free:
             yield pd.DataFrame([(key[0], i, at, start, start - at) for at, i, start in free], columns=self.names)
 
-    def _put(self, state, rows: list[tuple]) -> None:
-        if rows:
-            state.put(rows)
-        else:
-            state.clear()
-
     def _wake(self, ms: int) -> None:
         """The key's only timer, moved forward if it was set for later."""
         if self.alarm.exists():

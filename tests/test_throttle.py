@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import time
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from reelspan.operators import keys
@@ -73,3 +74,68 @@ def test_by_the_clock(spark, tmp_path):
         q.stop()
     got = spark.table("clocked").orderBy("id").collect()
     assert [round(r.wait_s) for r in got] == [0, 0, 1, 2, 3]
+
+
+class Kept:
+    """A state in memory that counts the rows it is sent."""
+
+    sent = 0
+
+    def __init__(self):
+        self.rows = []
+
+    def exists(self):
+        return bool(self.rows)
+
+    def get(self):
+        return self.rows if self.many else self.rows[0]
+
+    def clear(self):
+        self.rows = []
+
+    def put(self, rows):
+        self.rows = list(rows)
+        Kept.sent += len(rows)
+
+    def update(self, row):
+        self.put([row])
+
+    def appendList(self, rows):
+        self.rows += rows
+        Kept.sent += len(rows)
+
+    def appendValue(self, row):
+        self.appendList([row])
+
+
+class Handle:
+    def __init__(self):
+        self.timers = set()
+        self.registerTimer, self.deleteTimer = self.timers.add, self.timers.discard
+
+    def state(self, name, schema, many):
+        made = Kept()
+        made.many = many
+        return made
+
+    def getValueState(self, name, schema):
+        return self.state(name, schema, False)
+
+    def getListState(self, name, schema):
+        return self.state(name, schema, True)
+
+
+class Clock:
+    def __init__(self, ms):
+        self.getCurrentWatermarkInMs = lambda: ms
+
+
+def test_a_batch_and_a_queue_are_a_state_row_each():
+    """500 requests in two batches at a bucket of one that gains one a second: a few rows of state, not one or more a request."""
+    handle, bucket, before = Handle(), throttle.Bucket(60, 1, "k", "id", "long", True), Kept.sent
+    bucket.init(handle)
+    for ids in (range(250), range(250, 500)):
+        list(bucket.handleInputRows(("x",), iter([pd.DataFrame({"at_s_": [10.0] * 250, "id": list(ids)})]), None))
+    out = [f for ms in (10_000, 100_000, 1_000_000) for f in bucket.handleExpiredTimer(("x",), Clock(ms), None)]
+    assert [tuple(r) for f in out for r in f[["id", "start_s"]].itertuples(index=False)] == [(i, 10.0 + i) for i in range(500)]
+    assert Kept.sent - before < 20 and not bucket.waiting.exists() and not bucket.arrived.exists()

@@ -7,9 +7,10 @@ Model: one causal attention layer over subword ids (vocabulary entries of a publ
 match inside each word), with learned distance biases; it predicts the class of the next id by a softmax over
 groups of classes and one over the group's classes, and the id within its class by its share.  Texts are scored in overlapping windows: a window reads
 `window` ids and scores the last `stride` of them, so each id is scored once, in batches of masked attention.
-Id counts, and with them the classes' and the ids' shares, cover every training document.  Training takes windows
-drawn in every task, by a hash of document and place: their number grows with the training ids, each document gives
-a few at most, and the steps grow so that as many windows are drawn as there are.  Gradients are hand-written.
+Id counts, and with them the classes' and the ids' shares, cover every training document, and so does the fit: the
+driver only starts the model, on a bounded draw of windows; then the tasks take it on over every window of every
+training text, in a few rounds, after each of which their changes are averaged.  How texts are dealt to tasks moves the
+fitted weights a little.  Gradients are hand-written.
 
 The text scored by the model is the text's words, A-Z lower-cased, and one end: white space counts as one
 separator.  Null and empty texts hold the end only.
@@ -17,6 +18,8 @@ separator.  Null and empty texts hold the end only.
 
 from __future__ import annotations
 
+import copy
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,10 +30,12 @@ from reelspan.llm.bpe import load_ranks
 from reelspan.llm.common import LOWER, SPACE, cut, mix, numbered, slices, utf8, whole_words, word_hashes
 
 HEAD, WINDOW, STRIDE, DIM, CLASSES = 150_000, 16, 8, 16, 256
-#: One window of so many is drawn, or about LEAST windows where that is more; of one document FEW, or more while the documents are few.
-RATE, LEAST, FEW = 256, 50_000, 8
+#: About LEAST windows are drawn for the start; of one document FEW, or more while the documents are few.
+LEAST, FEW = 50_000, 8
 STEPS, BATCH = 600, 512
 LONGEST, VOCABULARY = 4, 3000
+#: Windows of a tile and of a segment of text, segments of a step, and rounds in which the tasks' models are brought together.
+TILE, SEGMENT, SEGMENTS, ROUNDS = 4, 32, 32, 4
 
 
 # ---------------------------------------------------------------- subword ids
@@ -187,8 +192,9 @@ class Attention:
         scale = 1 / np.sqrt(dim)
         p = {"E": r.normal(0, 0.5, (n + 1, dim)), "Q": r.normal(0, scale, (dim, dim)), "K": r.normal(0, scale, (dim, dim)), "V": r.normal(0, scale, (dim, dim)), "D": np.zeros(window), "H": r.normal(0, scale, (2 * dim, 2 * dim)), "g": np.zeros(2 * dim), "O": r.normal(0, scale, (2 * dim, groups)), "b": np.log(full.sum(1)), "I": r.normal(0, scale, (groups, 2 * dim, self.wide)), "i": inside}
         self.p = {k: v.astype(np.float32) for k, v in p.items()}
+        self.group = np.append((self.of // self.wide).astype(np.int16), np.int16(groups))  # the pad's is none of them
         self._mask()
-        self._train(*(self._blocks(ids, offsets)[1:] if windows is None else windows), steps, batch, rate, r)
+        self._train(*(self._blocks(ids, offsets) if windows is None else windows), steps, batch, rate, r)
         self.freeze()
 
     def _mask(self):
@@ -197,23 +203,123 @@ class Attention:
         back = (np.arange(w - s, w)[:, None] - 1) - np.arange(w - 1)[None, :]
         self.back, self.seen = np.clip(back, 0, w - 1), back >= 0
 
-    def _blocks(self, ids, offsets, a=0, b=None):
-        """Of windows a to b: text, inputs and targets."""
-        total = int((-(-np.diff(offsets) // self.stride)).sum())
-        return blocks(ids, offsets, self.n, self.window, self.stride, np.arange(a, total if b is None else min(b, total)))
-
-    def _forward(self, x):
-        p, s, w = self.p, self.stride, self.window
-        e = p["E"][x]
-        last = e[:, w - s - 1 :]  # the id before each target
-        q, k, v = last @ p["Q"], e @ p["K"], e @ p["V"]
-        a = q @ k.transpose(0, 2, 1) + p["D"][self.back]
-        a = np.where(self.seen, np.clip(a, -30, 30), -1e9)
-        a = np.exp(a - a.max(-1, keepdims=True))
-        a /= a.sum(-1, keepdims=True)
-        c = np.concatenate([last, a @ v], -1)
-        h = np.tanh(c @ p["H"] + p["g"])
-        return e, last, q, k, v, a, c, h
+    def _blocks(self, ids, offsets):
+        """Of all windows: inputs and targets."""
+        return blocks(ids, offsets, self.n, self.window, self.stride)[1:]
+
+    def segments(self, ids: np.ndarray, offsets: np.ndarray, long: int = SEGMENT) -> tuple[np.ndarray, np.ndarray]:
+        """The texts one behind the other in segments of `long` windows, each with the ids its first window reads; and each id's place among the targets."""
+        w, s = self.window, self.stride
+        lead = -(-(w - s) // s)  # strides of pads before a text
+        n = np.diff(offsets)
+        strides = -(-n // s) + lead
+        start = (np.cumsum(strides) - strides + lead) * s
+        place = np.arange(len(ids)) + np.repeat(start - offsets[:-1], n)
+        rows = -(-int(strides.sum()) // long)
+        text = np.full(w - s + rows * long * s, self.n, np.int16)
+        text[place + w - s] = ids
+        return np.lib.stride_tricks.as_strided(text, (rows, w - s + long * s), (long * s * 2, 2), writeable=False), place
+
+    def _views(self, rows):
+        """Of table rows (segments, places, 3 dim): keys and values that each tile of windows reads, queries of the id before each target."""
+        d, w, s = self.p["E"].shape[1], self.window, self.stride
+        many = (rows.shape[1] - (w - s)) // s
+        tile = TILE if many % TILE == 0 else 1
+        a, b, c = rows.strides
+
+        def view(first, size, column):
+            return np.lib.stride_tricks.as_strided(rows[:, first:, column:], (len(rows), many // tile, size, d), (a, tile * s * b, b, c))
+
+        return view(0, (tile - 1) * s + w - 1, 0), view(0, (tile - 1) * s + w - 1, d), view(w - s - 1, tile * s, 2 * d)
+
+    def _band(self, dense):
+        """Of tiles (segments, tiles, queries, keys): what each window's queries have with the keys it reads."""
+        s, (a, b, c, e) = self.stride, dense.strides
+        return np.lib.stride_tricks.as_strided(dense, (*dense.shape[:2], dense.shape[2] // s, s, self.window - 1), (a, b, s * (c + e), c, e))
+
+    def _forward(self, text):
+        """Table rows, attention (by window and in tiles), and of the targets that are ids, by group of classes: places, the ids before them, ids, attended values, hidden layer and where each group begins."""
+        p, d = self.p, self.p["E"].shape[1]
+        rows = self.table.take(text.ravel(), 0, mode="clip").reshape(*text.shape, -1)
+        key, value, query = self._views(rows)
+        dense = query @ key.transpose(0, 1, 3, 2)  # one product a tile of windows, of which the windows' own part counts
+        a = np.clip(self._band(dense), -30, 30)
+        a += self.bias
+        np.exp(a, out=a)
+        a /= (a.reshape(-1, a.shape[-1]) @ np.ones(a.shape[-1], a.dtype)).reshape(a.shape[:-1])[..., None]
+        dense[...] = 0
+        self._band(dense)[...] = a
+        lead = self.window - self.stride
+        to, last = text[:, lead:].ravel(), text[:, lead - 1 : -1].ravel()
+        group = self.group.take(to)
+        order = np.argsort(group, kind="stable")  # ids of one group of classes in a row, pads last
+        at = np.searchsorted(group.take(order), np.arange(len(p["b"]) + 1))
+        order = order[: at[-1]]
+        to, last = to.take(order), last.take(order)
+        mean = (dense @ value).reshape(-1, d).take(order, 0)
+        h = mean @ p["H"][d:]
+        h += self.own.take(last, 0, mode="clip")
+        return rows, a, dense, order, last, to, mean, _tanh(h), at
+
+    def _logits(self, h, at):
+        """Of the groups, and of the classes of each target's own group."""
+        p = self.p
+        z = np.empty((len(h), self.wide), h.dtype)
+        for j in np.flatnonzero(np.diff(at)):
+            own = z[at[j] : at[j + 1]]
+            np.matmul(h[at[j] : at[j + 1]], p["I"][j], out=own)
+            own += p["i"][j]
+        return h @ p["O"] + p["b"], z
+
+    def _gradients(self, text):
+        """Of the mean loss over the targets of the segments; and their number."""
+        p, d, s = self.p, self.p["E"].shape[1], self.stride
+        rows, a, dense, order, last, to, mean, h, at = self._forward(text)
+        key, value, query = self._views(rows)
+        many, each, of = max(1, len(to)), np.arange(len(to)), self.of.take(to)
+        dz, di = map(_softmax, self._logits(h, at))
+        group = of // self.wide
+        dz[each, group] -= 1
+        di[each, of - group * self.wide] -= 1
+        dh = dz @ p["O"].T
+        g = {"O": h.T @ dz, "b": np.ones(len(dz), dz.dtype) @ dz, "I": np.zeros_like(p["I"]), "i": np.zeros_like(p["i"])}
+        for j in np.flatnonzero(np.diff(at)):
+            i, k = at[j], at[j + 1]
+            dh[i:k] += di[i:k] @ p["I"][j].T
+            g["I"][j], g["i"][j] = h[i:k].T @ di[i:k], np.ones(k - i, di.dtype) @ di[i:k]
+        h *= h
+        np.subtract(1, h, out=h)
+        dh *= h
+        dm = dh @ p["H"][d:].T
+        dmean, dot = np.zeros((a.size // a.shape[-1], d), dm.dtype), np.zeros(a.size // a.shape[-1], dm.dtype)
+        dmean[order] = dm
+        dot[order] = np.einsum("ij,ij->i", dm, mean)
+        dmean = dmean.reshape(query.shape)
+        tiles = dmean @ value.transpose(0, 1, 3, 2)
+        ds = self._band(tiles) - dot.reshape(a.shape[:-1])[..., None]
+        ds *= a
+        g["D"] = np.bincount(self.back.ravel(), ((np.ones(ds.size // self.seen.size, ds.dtype) @ ds.reshape(-1, self.seen.size)).reshape(self.seen.shape) * self.seen).ravel(), self.window)
+        tiles[...] = 0
+        self._band(tiles)[...] = ds
+        # by place: what the tiles say of a place is added, then by id
+        made = np.zeros_like(rows)
+        self._views(made)[2][...] = tiles @ key
+        both = np.concatenate([tiles.transpose(0, 1, 3, 2) @ query, dense.transpose(0, 1, 3, 2) @ dmean], -1)
+        long = query.shape[2]
+        for k in range(0, both.shape[2], long):
+            size = min(long, both.shape[2] - k)
+            c, e, i = made.strides
+            there = np.lib.stride_tricks.as_strided(made[:, k:], (*both.shape[:2], size, 2 * d), (c, long * e, e, i))
+            there += both[:, :, k : k + size]
+        e, made = p["E"].take(text.ravel(), 0, mode="clip"), made.reshape(-1, 3 * d)
+        both = e.T @ made
+        g["K"], g["V"], g["Q"], g["g"] = both[:, :d], both[:, d : 2 * d], both[:, 2 * d :], np.ones(len(dh), dh.dtype) @ dh
+        g["H"] = np.concatenate([p["E"].take(last, 0, mode="clip").T @ dh, mean.T @ dh])
+        de = made @ np.concatenate([p["K"], p["V"], p["Q"]], 1).T
+        targets = text.shape[1] - self.window + s
+        de[order + order // targets * (text.shape[1] - targets) + self.window - s - 1] += dh @ p["H"][:d].T  # at the place before each target
+        g["E"] = _sums(text.ravel(), de, self.n + 1)
+        return {k: v / many for k, v in g.items()}, len(to)
 
     def prior(self) -> np.ndarray:
         """Log probability of each id by the biases alone."""
@@ -222,100 +328,82 @@ class Attention:
     def _train(self, x, y, steps, batch, rate, r):
         if not len(x):
             return
-        p = self.p
-        m, v = {k: np.zeros_like(a) for k, a in p.items()}, {k: np.zeros_like(a) for k, a in p.items()}
-        w, s = self.window, self.stride
+        text = np.where((both := np.concatenate([x[:, : self.window - self.stride], y], 1)) < 0, self.n, both).astype(np.int16)  # a window is a segment
+        step = self.steps()
         for t in range(1, steps + 1):
-            drawn = r.integers(0, len(x), batch)
-            xb, yb = x[drawn], y[drawn]
-            e, last, q, k, val, a, c, h = self._forward(xb)
-            good = np.flatnonzero(yb.ravel() >= 0)
-            flat, of = h.reshape(-1, h.shape[-1]), self.of[yb.ravel()[good]]
-            group = of // self.wide
-            dz = _softmax(flat[good] @ p["O"] + p["b"])
-            dz[np.arange(len(good)), group] -= 1
-            dz /= max(1, len(good))
-            dflat = np.zeros_like(flat)
-            dflat[good] = dz @ p["O"].T
-            g = {"O": flat[good].T @ dz, "b": dz.sum(0), "I": np.zeros_like(p["I"]), "i": np.zeros_like(p["i"])}
-            for j, own in _by_group(group, len(p["b"])):
-                rows = good[own]
-                dz = _softmax(flat[rows] @ p["I"][j] + p["i"][j])
-                dz[np.arange(len(rows)), of[own] % self.wide] -= 1
-                dz /= len(good)
-                dflat[rows] += dz @ p["I"][j].T
-                g["I"][j], g["i"][j] = flat[rows].T @ dz, dz.sum(0)
-            dh = dflat.reshape(h.shape) * (1 - h * h)
-            g["H"], g["g"] = np.tensordot(c, dh, ([0, 1], [0, 1])), dh.sum((0, 1))
-            dc = dh @ p["H"].T
-            d = last.shape[-1]
-            dlast, dr = dc[..., :d].copy(), dc[..., d:]
-            da = dr @ val.transpose(0, 2, 1)
-            dv = a.transpose(0, 2, 1) @ dr
-            ds = a * (da - (a * da).sum(-1, keepdims=True))
-            g["D"] = np.bincount(self.back.ravel(), (ds.sum(0) * self.seen).ravel(), w)
-            dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-            g["Q"], g["K"], g["V"] = np.tensordot(last, dq, ([0, 1], [0, 1])), np.tensordot(e, dk, ([0, 1], [0, 1])), np.tensordot(e, dv, ([0, 1], [0, 1]))
-            de = dk @ p["K"].T + dv @ p["V"].T
-            de[:, w - s - 1 :] += dlast + dq @ p["Q"].T
-            ge = np.zeros_like(p["E"])
-            np.add.at(ge, xb.ravel(), de.reshape(-1, d))
-            g["E"] = ge
-            step = rate * min(1, t / 20) * (1 - 0.9 * t / steps)
+            step(text[r.integers(0, len(x), batch)], rate * min(1, t / 20) * (1 - 0.9 * t / steps))
+
+    def steps(self):
+        """A function that makes one step of Adam on segments, at a rate; it returns the number of targets."""
+        p, t = self.p, 0
+        m, v = {k: np.zeros_like(a) for k, a in p.items()}, {k: np.zeros_like(a) for k, a in p.items()}
+
+        def step(text, rate):
+            nonlocal t
+            t += 1
+            self.freeze()
+            g, many = self._gradients(text)
             for name, grad in g.items():
-                m[name] = 0.9 * m[name] + 0.1 * grad
-                v[name] = 0.99 * v[name] + 0.01 * grad * grad
-                p[name] -= (step * (m[name] / (1 - 0.9**t)) / (np.sqrt(v[name] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
+                grad = grad.astype(np.float32, copy=False)
+                m[name] *= np.float32(0.9)
+                m[name] += np.float32(0.1) * grad
+                v[name] *= np.float32(0.99)
+                v[name] += np.float32(0.01) * grad * grad
+                p[name] -= np.float32(rate / (1 - 0.9**t)) * m[name] / (np.sqrt(v[name] * np.float32(1 / (1 - 0.99**t))) + np.float32(1e-8))
+            return many
+
+        return step
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([self.p[k].ravel() for k in sorted(self.p)])
+
+    def move(self, by: np.ndarray):
+        """Adds to all parameters, in the order of flat()."""
+        at = 0
+        for k in sorted(self.p):
+            a = self.p[k]
+            self.p[k] = a + by[at : at + a.size].reshape(a.shape).astype(np.float32)
+            at += a.size
+        self.freeze()
 
     def freeze(self):
-        """With one layer, queries, keys, values and the last id's part of the hidden layer depend on the id alone: tables."""
+        """With one layer, keys, values, queries and the last id's part of the hidden layer depend on the id alone: tables."""
         p, d = self.p, self.p["E"].shape[1]
-        self.query, self.key = p["E"] @ p["Q"], p["E"] @ p["K"]
-        self.value = p["E"] @ p["V"] @ p["H"][d:]  # attention is linear in the values
+        self.table = p["E"] @ np.concatenate([p["K"], p["V"], p["Q"]], 1)
         self.own = p["E"] @ p["H"][:d] + p["g"]
-        self.bias = np.where(self.seen, p["D"][self.back], -np.inf).astype(np.float32)
+        self.bias = np.where(self.seen, p["D"][self.back], -100).astype(np.float32)
 
-    def score(self, ids: np.ndarray, offsets: np.ndarray, width: int = 2048) -> np.ndarray:
+    def score(self, ids: np.ndarray, offsets: np.ndarray, width: int = 32) -> np.ndarray:
         """log10 probability of each text."""
-        w, s, p = self.window, self.stride, self.p
-        n = np.diff(offsets)
-        windows = -(-n // s)
-        doc = np.repeat(np.arange(len(n)), windows)
-        # every text after w - s pads, up to whole strides: a window is a slice
-        start = np.concatenate(([0], np.cumsum(windows * s + w - s)))
-        text = np.full(int(start[-1]) + w, self.n, np.int32)
-        text[np.arange(len(ids)) + np.repeat(start[:-1] + w - s - offsets[:-1], n)] = ids
-        first = start[doc] + s * (np.arange(len(doc)) - np.repeat(np.cumsum(windows) - windows, windows))
-        each = np.zeros(len(doc))
-        for a in range(0, len(doc), width):
-            own = text[first[a : a + width, None] + np.arange(w)]
-            xb, to = own[:, : w - 1], own[:, w - s :].ravel()
-            last = xb[:, w - s - 1 :]
-            att = self.query[last] @ self.key[xb].transpose(0, 2, 1)
-            np.clip(att, -30, 30, out=att)
-            att += self.bias
-            np.exp(att, out=att)
-            mean = att @ self.value[xb]
-            mean /= (att.reshape(-1, w - 1) @ np.ones(w - 1, np.float32)).reshape(-1, s, 1)
-            mean += self.own[last]
-            good = np.flatnonzero(to < self.n)
-            to = to[good]
-            of = self.of[to]
-            order = np.argsort((of // self.wide).astype(np.int16), kind="stable")  # ids of one group of classes in a row
-            good, to, of = good[order], to[order], of[order]
+        text, place = self.segments(ids, offsets)
+        each = np.zeros((len(text), text.shape[1] - (self.window - self.stride)))
+        for a in range(0, len(text), width):
+            _, _, _, order, _, to, _, h, at = self._forward(text[a : a + width])
+            of = self.of.take(to)
             group = of // self.wide
-            h = np.tanh(mean.reshape(len(last) * s, -1)[good])
-            got = self.inner[to] + _log_share(h @ p["O"] + p["b"], group)
-            at = np.searchsorted(group, np.arange(len(p["b"]) + 1))
-            for j in np.flatnonzero(np.diff(at)):
-                got[at[j] : at[j + 1]] += _log_share(h[at[j] : at[j + 1]] @ p["I"][j] + p["i"][j], of[at[j] : at[j + 1]] - j * self.wide)
-            each[a : a + width] += np.bincount(good // s, got, len(own))
-        return np.bincount(doc, each, len(n)) / np.log(10)
+            z, own = self._logits(h, at)
+            each[a : a + width].reshape(-1)[order] = self.inner.take(to) + _log_share(z, group) + _log_share(own, of - group * self.wide)
+        n = np.diff(offsets)
+        return np.bincount(np.repeat(np.arange(len(n)), n), each.ravel().take(place), len(n)) / np.log(10)
+
+
+def _tanh(z: np.ndarray) -> np.ndarray:
+    """In place; np.exp is several times as fast as np.tanh."""
+    np.minimum(z, 20, out=z)
+    z += z
+    np.exp(z, out=z)
+    z += 1
+    np.divide(-2, z, out=z)
+    z += 1
+    return z
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
-    z = np.exp(z - z.max(-1, keepdims=True))
-    return z / z.sum(-1, keepdims=True)
+    """In place."""
+    np.minimum(z, 60, out=z)
+    np.exp(z, out=z)
+    z /= (z @ np.ones(z.shape[1], z.dtype))[:, None]
+    return z
 
 
 def _log_share(z: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -326,12 +414,12 @@ def _log_share(z: np.ndarray, at: np.ndarray) -> np.ndarray:
     return own - np.log(z @ np.ones(z.shape[1], z.dtype))
 
 
-def _by_group(group: np.ndarray, n: int):
-    """(group, places) of each group that occurs."""
-    order = np.argsort(group.astype(np.int16), kind="stable")
-    at = np.searchsorted(group[order], np.arange(n + 1))
-    for j in np.flatnonzero(np.diff(at)):
-        yield j, order[at[j] : at[j + 1]]
+def _sums(ids: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows of each id below n, column by column."""
+    ids, out = ids.astype(np.intp), np.empty((rows.shape[1], n), rows.dtype)
+    for own, column in zip(out, rows.T.astype(float, "C")):
+        own[:] = np.bincount(ids, column, n)
+    return out.T
 
 
 # ---------------------------------------------------------------- Spark
@@ -384,7 +472,7 @@ def _head(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     return h[by], c[by]
 
 
-def gather(train: DataFrame, pieces: Pieces, window: int = WINDOW, stride: int = STRIDE, rate: int = RATE, least: int = LEAST, few: int = FEW) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+def gather(train: DataFrame, pieces: Pieces, window: int = WINDOW, stride: int = STRIDE, rate: float = np.inf, least: int = LEAST, few: int = FEW) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
     """The count of every id over all of train(doc_id, text); inputs and targets of the drawn windows."""
     sizes = train.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
     share = min(1.0, max(1 / rate, least / max(1.0, (sizes.bytes or 0) / 3 / stride)))  # an id has about three bytes
@@ -426,10 +514,53 @@ def gather(train: DataFrame, pieces: Pieces, window: int = WINDOW, stride: int =
     return counts, (ids[:, : window - 1], ids[:, window - 1 :])
 
 
+def fit(model: Attention, train: DataFrame, pieces: Pieces, total: int, rounds: int = ROUNDS, rate: float = 0.004) -> int:
+    """Takes the model on over every window of train(doc_id, text), which has `total` ids; returns the number of ids it was fitted to.
+
+    Every text is in one round, by hash.  In a round each task goes on from the shared model over all windows of its
+    texts, a segment of them at a time, and the tasks' changes are averaged by the ids they saw: sums of whole numbers,
+    parameter by parameter, so their order doesn't matter and what reaches the driver has the size of the model.
+    """
+    spark, text, seen = train.sparkSession, F.col("text").cast("string"), 0
+    given = train.select(F.pmod(F.xxhash64(F.col("doc_id"), text), F.lit(rounds)).alias("round"), text.alias("text"))
+    unit = 2.0**50 / max(1, total)
+    for r in range(rounds):
+        shared = spark.sparkContext.broadcast(model)
+
+        def run(batches, step_rate=rate * (1 - r / rounds), shared=shared):
+            own = copy.deepcopy(shared.value)
+            start, step, many, t = own.flat().astype(float), own.steps(), 0, 0
+            random = np.random.default_rng(7)
+            for b in batches:
+                data, offsets = utf8(b.column(0))
+                for i, j in slices(offsets):
+                    segments, _ = own.segments(*pieces.ids(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
+                    for k in np.array_split(random.permutation(len(segments)), -(-len(segments) // SEGMENTS)):
+                        t += 1
+                        many += step(segments[k], step_rate * min(1, t / 20))
+            if many:
+                moved = np.append(np.rint((own.flat() - start) * (many * unit)).astype(np.int64), many)
+                for k in range(0, len(moved), 10_000):
+                    part = moved[k : k + 10_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(k, k + len(part), dtype=np.int32)), pa.array(part)], ["at", "v"])
+
+        rows = given.filter(F.col("round") == r).select("text").mapInArrow(run, "at int, v long").groupBy("at").agg(F.sum("v").alias("v")).toPandas()
+        shared.unpersist()
+        if len(rows):
+            sums = rows.sort_values("at").v.to_numpy(np.int64)
+            model.move(sums[:-1] / (sums[-1] * unit))
+            seen += int(sums[-1])
+    return seen
+
+
 def train_model(train: DataFrame, pieces_path: str, steps: int = STEPS) -> tuple[Pieces, Attention]:
+    """A model started on drawn windows, then fitted to all; without steps, the shares of the ids alone."""
     pieces = Pieces(pieces_path)
     counts, windows = gather(train, pieces)
-    return pieces, Attention(np.empty(0, np.int32), np.zeros(1, np.int64), pieces.n, steps=max(steps, -(-len(windows[0]) // BATCH) if steps else 0), counts=counts, windows=windows)
+    model = Attention(np.empty(0, np.int32), np.zeros(1, np.int64), pieces.n, steps=steps, counts=counts, windows=windows)
+    if steps:
+        fit(model, train, pieces, int(counts.sum()))
+    return pieces, model
 
 
 def score(docs: DataFrame, train: DataFrame, pieces_path: str, head: int = HEAD) -> DataFrame:

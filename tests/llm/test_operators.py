@@ -403,6 +403,46 @@ def test_language_model_learns_from_every_text(spark):
         assert (y[:, 0] >= 0).all() and len(x) == 4 + 1 + -(-len(pieces.ids(*common.utf8(pa.array([small], pa.string())))[0]) // lm.STRIDE)
 
 
+def test_language_model_gradients_by_differences():
+    r = np.random.default_rng(4)
+    ids, at = r.integers(0, 9, 900).astype(np.int32), np.array([0, 1, 150, 900])
+    m = lm.Attention(ids, at, 9, dim=4, classes=4, steps=30, batch=32)
+    m.p = {k: v.astype(np.float64) for k, v in m.p.items()}
+    m.freeze()
+    for long in (1, 6, 8):  # windows of a segment: alone, none and whole tiles
+        g, n = m._gradients(m.segments(ids, at, long)[0])
+        assert n == len(ids)
+        for k, a in m.p.items():
+            where = np.unravel_index(np.argmax(np.abs(g[k])), a.shape)
+            loss = []
+            for by in (1e-3, -2e-3):
+                a[where] += by
+                m.freeze()
+                loss.append(-m.score(ids, at).sum() * np.log(10) / len(ids))
+            a[where] += 1e-3
+            m.freeze()
+            assert (loss[0] - loss[1]) / 2e-3 == pytest.approx(g[k][where], rel=1e-3, abs=1e-6)
+
+
+def test_language_model_is_fitted_to_every_window(spark):
+    path = P.path("byte_bpe_50k.tiktoken")
+    pieces = lm.Pieces(path)
+    # what is said only far inside one of the texts, beyond the windows that a draw takes of each
+    texts = ["the wind and the sea " * 40] * 20 + ["the wind and the sea " * 20_000 + "zebra quiz jumps over " * 8000, None, ""]
+    train = frame(spark, texts)
+    ids, at = pieces.ids(*common.utf8(pa.array(texts, pa.string())))
+    counts, windows = lm.gather(train, pieces, least=100)
+    assert len(windows[0]) < 400
+    model = lm.Attention(ids[:0], np.zeros(1, np.int64), pieces.n, steps=50, counts=counts, windows=windows)
+    far = pieces.ids(*common.utf8(pa.array(["zebra quiz jumps over " * 50], pa.string())))
+    before = model.score(*far)[0]
+    assert lm.fit(model, train, pieces, int(counts.sum())) == len(ids) == counts.sum()
+    assert model.score(*far)[0] > before / 2
+    # the order in which sums arrive doesn't matter
+    again = [lm.train_model(frame(spark, sample(60)).repartition(3, "doc_id"), path, steps=5)[1].flat() for _ in range(2)]
+    assert (again[0] == again[1]).all()
+
+
 def test_language_model_windows_grow(spark):
     pieces = lm.Pieces(P.path("byte_bpe_50k.tiktoken"))
     sizes = [len(lm.gather(frame(spark, sample(n)), pieces, rate=4, least=0)[1][0]) for n in (300, 3000)]

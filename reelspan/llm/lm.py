@@ -208,17 +208,18 @@ class Attention:
         return blocks(ids, offsets, self.n, self.window, self.stride)[1:]
 
     def segments(self, ids: np.ndarray, offsets: np.ndarray, long: int = SEGMENT) -> tuple[np.ndarray, np.ndarray]:
-        """The texts one behind the other in segments of `long` windows, each with the ids its first window reads; and each id's place among the targets."""
+        """The texts one behind the other in segments of `long` windows, each with the ids its first window reads; and each window's text."""
         w, s = self.window, self.stride
         lead = -(-(w - s) // s)  # strides of pads before a text
         n = np.diff(offsets)
         strides = -(-n // s) + lead
-        start = (np.cumsum(strides) - strides + lead) * s
-        place = np.arange(len(ids)) + np.repeat(start - offsets[:-1], n)
+        start = (np.cumsum(strides) - strides + lead) * s + w - s
         rows = -(-int(strides.sum()) // long)
         text = np.full(w - s + rows * long * s, self.n, np.int16)
-        text[place + w - s] = ids
-        return np.lib.stride_tricks.as_strided(text, (rows, w - s + long * s), (long * s * 2, 2), writeable=False), place
+        place = np.arange(len(ids))
+        place += np.repeat(start - offsets[:-1], n)
+        text[place] = ids
+        return np.lib.stride_tricks.as_strided(text, (rows, w - s + long * s), (long * s * 2, 2), writeable=False), np.repeat(np.arange(len(n)), strides)
 
     def _views(self, rows):
         """Of table rows (segments, places, 3 dim): keys and values that each tile of windows reads, queries of the id before each target."""
@@ -375,16 +376,17 @@ class Attention:
 
     def score(self, ids: np.ndarray, offsets: np.ndarray, width: int = 32) -> np.ndarray:
         """log10 probability of each text."""
-        text, place = self.segments(ids, offsets)
-        each = np.zeros((len(text), text.shape[1] - (self.window - self.stride)))
+        text, doc = self.segments(ids, offsets)
+        each = np.zeros((len(text), SEGMENT))
         for a in range(0, len(text), width):
             _, _, _, order, _, to, _, h, at = self._forward(text[a : a + width])
             of = self.of.take(to)
             group = of // self.wide
             z, own = self._logits(h, at)
-            each[a : a + width].reshape(-1)[order] = self.inner.take(to) + _log_share(z, group) + _log_share(own, of - group * self.wide)
-        n = np.diff(offsets)
-        return np.bincount(np.repeat(np.arange(len(n)), n), each.ravel().take(place), len(n)) / np.log(10)
+            got = self.inner.take(to) + _log_share(z, group) + _log_share(own, of - group * self.wide)
+            sums = each[a : a + width]
+            sums += np.bincount(order // self.stride, got, sums.size).reshape(sums.shape)
+        return np.bincount(doc, each.ravel()[: len(doc)], len(offsets) - 1) / np.log(10)
 
 
 def _tanh(z: np.ndarray) -> np.ndarray:

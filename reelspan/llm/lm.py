@@ -54,32 +54,26 @@ class Pieces:
             ids = np.array([i for i, (_, k) in enumerate(own) if len(k) == size], np.int32)
             by = np.argsort(keys)
             self.tables[size] = (keys[by], ids[by])
-        # a direct table for one and two bytes; a small hash table for longer ones
-        self.one = np.full(256, -1, np.int32)
-        self.one[self.tables[1][0]] = self.tables[1][1]
-        self.two = np.full(65536, -1, np.int32)
-        self.two[self.tables[2][0]] = self.tables[2][1]
-
-        self.hashed = {size: self._slots(*self.tables[size]) for size in range(3, LONGEST + 1)}
-
-    @staticmethod
-    def _slots(keys: np.ndarray, ids: np.ndarray, bits: int = 18) -> tuple:
-        """Multiplier, shift, keys and ids by slot: a hash table in which no two keys meet."""
-        shift = np.uint32(32 - bits)
-        while len(keys):
-            for factor in np.random.default_rng(1).integers(0, 2**31, 400, np.uint32) * np.uint32(2) + np.uint32(1):
-                slot = keys * factor >> shift
-                if len(np.unique(slot)) == len(keys):
-                    have, own = np.zeros(1 << bits, np.uint32), np.full(1 << bits, -1, np.int32)
-                    have[slot], own[slot] = keys, ids
-                    return factor, shift, have, own
-            bits, shift = bits + 1, shift - np.uint32(1)
-        return np.uint32(1), np.uint32(31), np.zeros(2, np.uint32), np.full(2, -1, np.int32)
-
-    def _find(self, size: int, keys: np.ndarray) -> np.ndarray:
-        factor, shift, have, own = self.hashed[size]
-        slot = keys * factor >> shift
-        return np.where(have[slot] == keys, own[slot], -1)
+        # by its first two bytes, then by each next one: the id of the longest entry, or (from n on) a prefix of entries still longer
+        names = {k: i for i, (_, k) in enumerate(own)}
+        longer = [{k[:size] for k in names if len(k) > size} for size in range(LONGEST)]
+        self.size = np.array([len(k) for _, k in own], np.intp)
+        self.first, self.then, live = np.empty(1 << 16, np.uint16), [], {}
+        for pair in range(1 << 16):
+            k = pair.to_bytes(2, "little")
+            self.first[pair] = live.setdefault(k, self.n + len(live)) if k in longer[2] else names.get(k, names[k[:1]])
+        for size in range(3, LONGEST + 1):
+            table, after = np.empty((self.n + len(live), 256), np.uint16), {}
+            table[: self.n] = np.arange(self.n)[:, None]
+            for k, i in live.items():
+                table[i] = next(names[k[:j]] for j in range(size - 1, 0, -1) if k[:j] in names)
+            for k in sorted(longer[size] if size < LONGEST else ()):
+                table[live[k[:-1]], k[-1]] = after.setdefault(k, self.n + len(after))
+            for k in names:
+                if len(k) == size and k not in after:
+                    table[live[k[:-1]], k[-1]] = names[k]
+            self.then.append(table.ravel())
+            live = after
 
     def ids(self, data: np.ndarray, offsets: np.ndarray, most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the rows' texts, each with a space before every word and one end id; and the rows' offsets.
@@ -114,25 +108,22 @@ class Pieces:
         at = np.concatenate(([0], np.cumsum(solid)))[own]
         packed = np.where(space, np.uint8(0x20), text[: len(keep)])[solid]
         n = len(packed)
-        packed = np.append(packed, np.zeros(LONGEST, np.uint8))
-        last = np.zeros(n + 1, bool)
-        last[at[1:]] = True
+        packed = np.append(packed, np.full(LONGEST, 0x20, np.uint8))
         word_start = packed[:n] == 0x20
         word_start[at[:-1][at[:-1] < at[1:]]] = True
-        # the longest entry that begins at a word's start and stays inside it, then from where that ends: all words advance together
+        # the longest entry that begins at a word's start and stays inside it (a space is in no entry but as its first byte),
+        # then from where that ends: all words advance together
         four = np.ndarray((n,), "<u4", packed.tobytes(), 0, (1,))  # the four bytes from each place on
         begins, found = np.zeros(n + 1, bool), np.empty(n, np.int32)
         here = np.flatnonzero(word_start)
         stop = np.append(here[1:], n)
         while len(here):
-            key, left = four[here], stop - here
-            got, size = self.one[key & np.uint32(0xFF)], np.ones(len(here), np.int64)
-            for k in range(2, LONGEST + 1):
-                own = self.two[key & np.uint32(0xFFFF)] if k == 2 else self._find(k, key & np.uint32((1 << 8 * k) - 1))
-                hit = (own >= 0) & (left >= k)
-                got[hit], size[hit] = own[hit], k
+            key = four[here]
+            got = self.first[key & np.uint32(0xFFFF)]
+            for k, table in enumerate(self.then, 2):
+                got = table[got.astype(np.uint32) << np.uint32(8) | (key >> np.uint32(8 * k) & np.uint32(0xFF))]
             begins[here], found[here] = True, got
-            here = here + size
+            here = here + self.size[got]
             on = here < stop
             here, stop = here[on], stop[on]
         picks = np.flatnonzero(begins[:n])
@@ -179,6 +170,8 @@ class Attention:
         self.of[by] = np.unique(rank, return_inverse=True)[1]
         m = int(self.of.max()) + 1
         total = np.bincount(self.of, counts, m)
+        self.rank = np.empty(n + 1, np.int16)  # of ids by count; the pad is the last
+        self.rank[np.append(by, n)] = np.arange(n + 1)
         self.inner = np.log(counts / total[self.of]).astype(np.float32)
         # classes in groups of about the root of their number, by share; a group that is not full has classes of no share
         self.wide = int(np.ceil(np.sqrt(m)))
@@ -221,36 +214,41 @@ class Attention:
         text[place] = ids
         return np.lib.stride_tricks.as_strided(text, (rows, w - s + long * s), (long * s * 2, 2), writeable=False), np.repeat(np.arange(len(n)), strides)
 
-    def _views(self, rows):
-        """Of table rows (segments, places, 3 dim): keys and values that each tile of windows reads, queries of the id before each target."""
-        d, w, s = self.p["E"].shape[1], self.window, self.stride
-        many = (rows.shape[1] - (w - s)) // s
-        tile = TILE if many % TILE == 0 else 1
-        a, b, c = rows.strides
-
-        def view(first, size, column):
-            return np.lib.stride_tricks.as_strided(rows[:, first:, column:], (len(rows), many // tile, size, d), (a, tile * s * b, b, c))
-
-        return view(0, (tile - 1) * s + w - 1, 0), view(0, (tile - 1) * s + w - 1, d), view(w - s - 1, tile * s, 2 * d)
-
     def _band(self, dense):
         """Of tiles (segments, tiles, queries, keys): what each window's queries have with the keys it reads."""
         s, (a, b, c, e) = self.stride, dense.strides
         return np.lib.stride_tricks.as_strided(dense, (*dense.shape[:2], dense.shape[2] // s, s, self.window - 1), (a, b, s * (c + e), c, e))
 
-    def _forward(self, text):
-        """Table rows, attention (by window and in tiles), and of the targets that are ids, by group of classes: places, the ids before them, ids, attended values, hidden layer and where each group begins."""
-        p, d = self.p, self.p["E"].shape[1]
-        rows = self.table.take(text.ravel(), 0, mode="clip").reshape(*text.shape, -1)
-        key, value, query = self._views(rows)
-        dense = query @ key.transpose(0, 1, 3, 2)  # one product a tile of windows, of which the windows' own part counts
-        a = np.clip(self._band(dense), -30, 30)
-        a += self.bias
-        np.exp(a, out=a)
+    def _pairs(self, ids):
+        """Products of the queries and keys of ids: all that attention asks of two ids."""
+        z = self.query.take(ids, 0) @ self.key.take(ids, 0).T
+        return z if not z.size or -30 <= z.min() and z.max() <= 30 else np.clip(z, -30, 30, out=z)
+
+    def _asked(self, text, n):
+        """By segment, tile, window, target and id read: the place in a table of n x n pairs of the id before the target and the id read."""
+        w, s = self.window, self.stride
+        many = (text.shape[1] - (w - s)) // s
+        tile = TILE if many % TILE == 0 else 1
+        last = (text[:, w - s - 1 : -1] * np.intp(n)).reshape(len(text), many // tile, tile, s, 1)
+        text = text.astype(np.intp)
+        a, b = text.strides
+        return last + np.lib.stride_tricks.as_strided(text, (len(text), many // tile, tile, 1, w - 1), (a, tile * s * b, s * b, 0, b))
+
+    def _values(self, rows, tile):
+        """Of rows by place (segments, places, dim): those that each tile of windows reads."""
+        w, s = self.window, self.stride
+        a, b, c = rows.strides
+        return np.lib.stride_tricks.as_strided(rows, (len(rows), (rows.shape[1] - (w - s)) // s // tile, (tile - 1) * s + w - 1, rows.shape[2]), (a, tile * s * b, b, c))
+
+    def _forward(self, text, a):
+        """From the attention before it is shared out: that in tiles, each tile's values, and of the targets that are ids, by group of classes: places, the ids before them, ids, attended values, hidden layer and where each group begins."""
+        p, d, s = self.p, self.p["E"].shape[1], self.stride
+        tile = a.shape[2]
         a /= (a.reshape(-1, a.shape[-1]) @ np.ones(a.shape[-1], a.dtype)).reshape(a.shape[:-1])[..., None]
-        dense[...] = 0
+        value = self._values(self.value.take(text.ravel(), 0, mode="clip").reshape(*text.shape, d), tile)
+        dense = np.zeros((*a.shape[:2], tile * s, value.shape[2]), a.dtype)  # one product a tile of windows, of which the windows' own part counts
         self._band(dense)[...] = a
-        lead = self.window - self.stride
+        lead = self.window - s
         to, last = text[:, lead:].ravel(), text[:, lead - 1 : -1].ravel()
         group = self.group.take(to)
         order = np.argsort(group, kind="stable")  # ids of one group of classes in a row, pads last
@@ -260,34 +258,47 @@ class Attention:
         mean = (dense @ value).reshape(-1, d).take(order, 0)
         h = mean @ p["H"][d:]
         h += self.own.take(last, 0, mode="clip")
-        return rows, a, dense, order, last, to, mean, _tanh(h), at
+        return dense, value, order, last, to, mean, _tanh(h), at
 
     def _logits(self, h, at):
-        """Of the groups, and of the classes of each target's own group."""
-        p = self.p
-        z = np.empty((len(h), self.wide), h.dtype)
+        """Of the groups, then of the classes of each target's own group."""
+        z = np.empty((len(h), self.out.shape[2]), h.dtype)
         for j in np.flatnonzero(np.diff(at)):
             own = z[at[j] : at[j + 1]]
-            np.matmul(h[at[j] : at[j + 1]], p["I"][j], out=own)
-            own += p["i"][j]
-        return h @ p["O"] + p["b"], z
+            np.matmul(h[at[j] : at[j + 1]], self.out[j], out=own)
+            own += self.shift[j]
+        return np.minimum(z, 60, out=z) if self.steep else z
 
     def _gradients(self, text):
-        """Of the mean loss over the targets of the segments; and their number."""
-        p, d, s = self.p, self.p["E"].shape[1], self.stride
-        rows, a, dense, order, last, to, mean, h, at = self._forward(text)
-        key, value, query = self._views(rows)
+        """Of the mean loss over the targets of the segments; and their number.
+
+        Attention, values and the last id's part of the hidden layer depend on ids alone, so gradients are summed by
+        id, or by pair of ids, before they meet the parameters.
+        """
+        p, d = self.p, self.p["E"].shape[1]
+        used = np.flatnonzero(np.bincount(text.ravel(), minlength=self.n + 1))
+        local = np.zeros(self.n + 1, np.int16)
+        local[used] = np.arange(len(used))
+        here = local.take(text)
+        asked = self._asked(here, len(used))
+        a = self._pairs(used).take(asked)
+        a += self.bias
+        np.exp(a, out=a)
+        dense, value, order, last, to, mean, h, at = self._forward(text, a)
         many, each, of = max(1, len(to)), np.arange(len(to)), self.of.take(to)
-        dz, di = map(_softmax, self._logits(h, at))
-        group = of // self.wide
-        dz[each, group] -= 1
-        di[each, of - group * self.wide] -= 1
-        dh = dz @ p["O"].T
-        g = {"O": h.T @ dz, "b": np.ones(len(dz), dz.dtype) @ dz, "I": np.zeros_like(p["I"]), "i": np.zeros_like(p["i"])}
+        groups, dz = len(p["b"]), self._logits(h, at)
+        np.exp(dz, out=dz)
+        dz *= np.reciprocal(dz @ self.halves) @ self.halves.T
+        dz[each, groups + of % self.wide] -= 1
+        dh, g = np.empty_like(h), {"O": np.zeros_like(p["O"]), "b": np.zeros_like(p["b"]), "I": np.zeros_like(p["I"]), "i": np.zeros_like(p["i"])}
         for j in np.flatnonzero(np.diff(at)):
-            i, k = at[j], at[j + 1]
-            dh[i:k] += di[i:k] @ p["I"][j].T
-            g["I"][j], g["i"][j] = h[i:k].T @ di[i:k], np.ones(k - i, di.dtype) @ di[i:k]
+            own, there = dz[at[j] : at[j + 1]], h[at[j] : at[j + 1]]
+            own[:, j] -= 1
+            np.matmul(own, self.out[j].T, out=dh[at[j] : at[j + 1]])
+            to_out, to_shift = there.T @ own, np.ones(len(own), own.dtype) @ own
+            g["O"] += to_out[:, :groups]
+            g["b"] += to_shift[:groups]
+            g["I"][j], g["i"][j] = to_out[:, groups:], to_shift[groups:]
         h *= h
         np.subtract(1, h, out=h)
         dh *= h
@@ -295,31 +306,26 @@ class Attention:
         dmean, dot = np.zeros((a.size // a.shape[-1], d), dm.dtype), np.zeros(a.size // a.shape[-1], dm.dtype)
         dmean[order] = dm
         dot[order] = np.einsum("ij,ij->i", dm, mean)
-        dmean = dmean.reshape(query.shape)
-        tiles = dmean @ value.transpose(0, 1, 3, 2)
-        ds = self._band(tiles) - dot.reshape(a.shape[:-1])[..., None]
+        dmean = dmean.reshape(*dense.shape[:3], d)
+        ds = self._band(dmean @ value.transpose(0, 1, 3, 2)) - dot.reshape(a.shape[:-1])[..., None]
         ds *= a
         g["D"] = np.bincount(self.back.ravel(), ((np.ones(ds.size // self.seen.size, ds.dtype) @ ds.reshape(-1, self.seen.size)).reshape(self.seen.shape) * self.seen).ravel(), self.window)
-        tiles[...] = 0
-        self._band(tiles)[...] = ds
-        # by place: what the tiles say of a place is added, then by id
-        made = np.zeros_like(rows)
-        self._views(made)[2][...] = tiles @ key
-        both = np.concatenate([tiles.transpose(0, 1, 3, 2) @ query, dense.transpose(0, 1, 3, 2) @ dmean], -1)
-        long = query.shape[2]
-        for k in range(0, both.shape[2], long):
-            size = min(long, both.shape[2] - k)
-            c, e, i = made.strides
-            there = np.lib.stride_tricks.as_strided(made[:, k:], (*both.shape[:2], size, 2 * d), (c, long * e, e, i))
-            there += both[:, :, k : k + size]
-        e, made = p["E"].take(text.ravel(), 0, mode="clip"), made.reshape(-1, 3 * d)
-        both = e.T @ made
-        g["K"], g["V"], g["Q"], g["g"] = both[:, :d], both[:, d : 2 * d], both[:, 2 * d :], np.ones(len(dh), dh.dtype) @ dh
-        g["H"] = np.concatenate([p["E"].take(last, 0, mode="clip").T @ dh, mean.T @ dh])
-        de = made @ np.concatenate([p["K"], p["V"], p["Q"]], 1).T
-        targets = text.shape[1] - self.window + s
-        de[order + order // targets * (text.shape[1] - targets) + self.window - s - 1] += dh @ p["H"][:d].T  # at the place before each target
-        g["E"] = _sums(text.ravel(), de, self.n + 1)
+        pairs = np.bincount(asked.ravel(), ds.ravel(), len(used) ** 2).reshape(len(used), len(used)).astype(ds.dtype)
+        # what the tiles say of a place is added, then by id
+        told, made = dense.transpose(0, 1, 3, 2) @ dmean, np.zeros((*text.shape, d), dmean.dtype)
+        long = dense.shape[2]
+        for k in range(0, told.shape[2], long):
+            size = min(long, told.shape[2] - k)
+            a, b, c = made.strides
+            there = np.lib.stride_tricks.as_strided(made[:, k:], (*told.shape[:2], size, d), (a, long * b, b, c))
+            there += told[:, :, k : k + size]
+        e, q, k = (t.take(used, 0) for t in (p["E"], self.query, self.key))
+        dv, do = _sums(here.ravel(), made.reshape(-1, d), len(used)), _sums(local.take(last), dh, len(used))
+        dq, dk = pairs @ k, pairs.T @ q
+        g["Q"], g["K"], g["V"], g["g"] = e.T @ dq, e.T @ dk, e.T @ dv, np.ones(len(do), do.dtype) @ do
+        g["H"] = np.concatenate([e.T @ do, mean.T @ dh])
+        g["E"] = np.zeros_like(p["E"])
+        g["E"][used] = dq @ p["Q"].T + dk @ p["K"].T + dv @ p["V"].T + do @ p["H"][:d].T
         return {k: v / many for k, v in g.items()}, len(to)
 
     def prior(self) -> np.ndarray:
@@ -336,21 +342,31 @@ class Attention:
 
     def steps(self):
         """A function that makes one step of Adam on segments, at a rate; it returns the number of targets."""
-        p, t = self.p, 0
-        m, v = {k: np.zeros_like(a) for k, a in p.items()}, {k: np.zeros_like(a) for k, a in p.items()}
+        names, t = sorted(self.p), 0
+        all_of = self.flat()  # the parameters are views of it from here on
+        m, v, g, by, scaled = (np.zeros_like(all_of) for _ in range(5))
+
+        def views(flat):
+            parts = np.split(flat, np.cumsum([self.p[k].size for k in names])[:-1])
+            return {k: part.reshape(self.p[k].shape) for k, part in zip(names, parts)}
+
+        into, self.p = views(g), views(all_of)
 
         def step(text, rate):
             nonlocal t
             t += 1
             self.freeze()
-            g, many = self._gradients(text)
-            for name, grad in g.items():
-                grad = grad.astype(np.float32, copy=False)
-                m[name] *= np.float32(0.9)
-                m[name] += np.float32(0.1) * grad
-                v[name] *= np.float32(0.99)
-                v[name] += np.float32(0.01) * grad * grad
-                p[name] -= np.float32(rate / (1 - 0.9**t)) * m[name] / (np.sqrt(v[name] * np.float32(1 / (1 - 0.99**t))) + np.float32(1e-8))
+            grads, many = self._gradients(text)
+            for k, grad in grads.items():
+                into[k][...] = grad
+            for mean, beta, new in ((m, 0.9, g), (v, 0.99, np.multiply(g, g, out=by))):
+                mean *= np.float32(beta)
+                mean += np.multiply(new, np.float32(1 - beta), out=scaled)
+            np.sqrt(np.multiply(v, np.float32(1 / (1 - 0.99**t)), out=by), out=by)
+            np.add(by, np.float32(1e-8), out=by)
+            np.divide(m, by, out=by)
+            np.multiply(by, np.float32(rate / (1 - 0.9**t)), out=by)
+            np.subtract(all_of, by, out=all_of)
             return many
 
         return step
@@ -370,20 +386,39 @@ class Attention:
     def freeze(self):
         """With one layer, keys, values, queries and the last id's part of the hidden layer depend on the id alone: tables."""
         p, d = self.p, self.p["E"].shape[1]
-        self.table = p["E"] @ np.concatenate([p["K"], p["V"], p["Q"]], 1)
+        self.key, self.value, self.query = (p["E"] @ p[k] for k in "KVQ")
         self.own = p["E"] @ p["H"][:d] + p["g"]
         self.bias = np.where(self.seen, p["D"][self.back], -100).astype(np.float32)
+        self.shares = None
+        groups = len(p["b"])
+        self.out = np.concatenate([np.broadcast_to(p["O"], (groups, *p["O"].shape)), p["I"]], 2)
+        self.shift = np.concatenate([np.broadcast_to(p["b"], (groups, groups)), p["i"]], 1)
+        self.halves = (np.arange(groups + self.wide)[:, None] >= groups) == np.array([False, True])
+        self.halves = self.halves.astype(p["O"].dtype)
+        # logits are at most so large, as the hidden layer is within -1 and 1; beyond, they are cut before np.exp
+        self.steep = bool((np.abs(self.out).sum(1) + self.shift).max() > 80)
+
+    def all_pairs(self) -> np.ndarray:
+        """Of all pairs of ids by rank, so that frequent ones lie together, the exponentials that attention shares out; made once for a frozen model."""
+        if self.shares is None:
+            self.shares = np.exp(self._pairs(np.argsort(self.rank)))
+        return self.shares
 
     def score(self, ids: np.ndarray, offsets: np.ndarray, width: int = 32) -> np.ndarray:
         """log10 probability of each text."""
         text, doc = self.segments(ids, offsets)
-        each = np.zeros((len(text), SEGMENT))
+        each, pairs = np.zeros((len(text), SEGMENT)), self.all_pairs()
+        decay = np.where(self.seen, np.exp(self.bias), 0).astype(pairs.dtype)
         for a in range(0, len(text), width):
-            _, _, _, order, _, to, _, h, at = self._forward(text[a : a + width])
-            of = self.of.take(to)
-            group = of // self.wide
-            z, own = self._logits(h, at)
-            got = self.inner.take(to) + _log_share(z, group) + _log_share(own, of - group * self.wide)
+            asked = pairs.take(self._asked(self.rank.take(text[a : a + width]), self.n + 1))
+            asked *= decay
+            _, _, order, _, to, _, h, at = self._forward(text[a : a + width], asked)
+            z = self._logits(h, at)
+            got = self.inner.take(to) + z[np.arange(len(z)), len(at) - 1 + self.of.take(to) % self.wide]
+            for j in np.flatnonzero(np.diff(at)):
+                got[at[j] : at[j + 1]] += z[at[j] : at[j + 1], j]
+            np.exp(z, out=z)
+            got -= np.log(z @ self.halves) @ np.ones(2, z.dtype)
             sums = each[a : a + width]
             sums += np.bincount(order // self.stride, got, sums.size).reshape(sums.shape)
         return np.bincount(doc, each.ravel()[: len(doc)], len(offsets) - 1) / np.log(10)
@@ -391,37 +426,25 @@ class Attention:
 
 def _tanh(z: np.ndarray) -> np.ndarray:
     """In place; np.exp is several times as fast as np.tanh."""
-    np.minimum(z, 20, out=z)
     z += z
-    np.exp(z, out=z)
+    with np.errstate(over="ignore"):  # infinity gives 1
+        np.exp(z, out=z)
     z += 1
     np.divide(-2, z, out=z)
     z += 1
     return z
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    """In place."""
-    np.minimum(z, 60, out=z)
-    np.exp(z, out=z)
-    z /= (z @ np.ones(z.shape[1], z.dtype))[:, None]
-    return z
-
-
-def _log_share(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log of the softmax of each row of z at its place."""
-    np.minimum(z, 60, out=z)
-    own = z[np.arange(len(z)), at]
-    np.exp(z, out=z)
-    return own - np.log(z @ np.ones(z.shape[1], z.dtype))
-
-
 def _sums(ids: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Sums of the rows of each id below n, column by column."""
-    ids, out = ids.astype(np.intp), np.empty((rows.shape[1], n), rows.dtype)
-    for own, column in zip(out, rows.T.astype(float, "C")):
-        own[:] = np.bincount(ids, column, n)
-    return out.T
+    """Sums of the rows of each id below n."""
+    out = np.zeros((n, rows.shape[1]), rows.dtype)
+    if len(ids):
+        order = np.argsort(ids, kind="stable")
+        ids = ids.take(order)
+        first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+        kind = np.result_type(rows, np.complex64) if rows.shape[1] % 2 == 0 else rows.dtype  # two columns at a time
+        out.view(kind)[ids[first]] = np.add.reduceat(rows.take(order, 0).view(kind), first, 0)
+    return out
 
 
 # ---------------------------------------------------------------- Spark

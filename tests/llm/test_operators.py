@@ -424,6 +424,49 @@ def test_language_model_gradients_by_differences():
             assert (loss[0] - loss[1]) / 2e-3 == pytest.approx(g[k][where], rel=1e-3, abs=1e-6)
 
 
+def test_language_model_work_of_an_id(monkeypatch):
+    r = np.random.default_rng(6)
+    ids, at = r.integers(0, 200, 4000).astype(np.int32), np.array([0, 4000])
+    m = lm.Attention(ids, at, 201, dim=4, classes=40, steps=3, batch=8)
+    m.score(ids, at)
+    taken, exp = [0], np.exp
+
+    def counted(x, *args, **kwargs):
+        taken[0] += np.size(x)
+        return exp(x, *args, **kwargs)
+
+    monkeypatch.setattr(np, "exp", counted)
+    m.score(ids, at)
+    # of an id: its hidden layer and classes, and no attention, whose exponentials are made once for all pairs of ids
+    assert taken[0] <= len(ids) * (2 * 4 + m.p["b"].size + m.wide) + m.bias.size
+
+
+def test_language_model_sums_by_id():
+    r = np.random.default_rng(7)
+    for columns, kind in ((4, np.float32), (3, np.float32), (4, np.float64)):
+        ids, rows = r.integers(0, 9, 50).astype(np.int16), r.normal(size=(50, columns)).astype(kind)
+        want = [rows[ids == i].sum(0) for i in range(11)]
+        assert lm._sums(ids, rows, 11) == pytest.approx(np.array(want), abs=1e-5)
+    assert (lm._sums(ids[:0], rows[:0], 2) == 0).all()
+
+
+def test_language_model_ids_by_longest_match():
+    pieces = lm.Pieces(P.path("byte_bpe_50k.tiktoken"))
+    names = {int(k).to_bytes(size, "little"): int(i) for size, (keys, own) in pieces.tables.items() for k, i in zip(keys, own)}
+    r = np.random.default_rng(8)
+    texts = [None, "", " \n", "x", "\0\0a\0", "  The caf\u00e9 \u6f22\u5b57\tand THE end "] + ["".join(r.choice(list("theand\u00e9\0 \n.1"), 40)) for _ in range(200)]
+    ids, at = pieces.ids(*common.utf8(pa.array(texts, pa.string())))
+    for k, text in enumerate(texts):
+        want = []
+        for word in brute.words(text):
+            left = b" " + word.encode()
+            while left:
+                size = next(n for n in range(lm.LONGEST, 0, -1) if len(left) >= n and left[:n] in names)
+                want.append(names[left[:size]])
+                left = left[size:]
+        assert ids[at[k] : at[k + 1]].tolist() == [*want, pieces.end]
+
+
 def test_language_model_is_fitted_to_every_window(spark):
     path = P.path("byte_bpe_50k.tiktoken")
     pieces = lm.Pieces(path)

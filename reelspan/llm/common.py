@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +30,30 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Spark's setting by which the shuffle files of a query go with its end, not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Queries made and run inside leave no shuffle files; for those that run once."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read again: lineage ends there and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/reelspan-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_go(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -54,14 +74,55 @@ def numbered(df: DataFrame) -> DataFrame:
 BROADCAST_ROWS = 250_000
 
 
-def beside(rows: DataFrame, table: DataFrame, on: str, numbers: str | None = None, how: str = "inner") -> DataFrame:
+#: Tables of bits are broadcast up to so many rows of 64; a sieve has a bit for each of as many hash values.
+SLOTS = 1 << 18
+
+
+def beside(rows: DataFrame, table: DataFrame, on: str, numbers: str | None = None, how: str = "inner", sparse: bool = False) -> DataFrame:
     """rows with the columns of table, which has one row a key (numbers: its array column).
 
     The table is counted, arrays by their items, and broadcast while it is small, so that a frequent key is in no single task.
+    sparse, for inner joins: few rows meet the table, and only those that may are shuffled if it is not small.
     """
     table = cut(table)
     size = table.agg(F.coalesce(F.sum(F.size(numbers)) if numbers else F.count(F.lit(1)), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("rows")).first()
-    return rows.join(F.broadcast(table) if max(size.n, size.rows) <= BROADCAST_ROWS else table, on, how)
+    if max(size.n, size.rows) <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table), on, how)
+    return (sifted(rows, table, on) if sparse else rows).join(table, on, how)
+
+
+def marked(rows: DataFrame, keys: DataFrame, at: Column, name: str) -> DataFrame:
+    """rows with a column name: whether their position `at`, which both tables have, occurs in keys.
+
+    Rows meet a bit for each position, not the keys: wide rows are not shuffled before SLOTS * 64 positions.
+    """
+    slot, bits = free_name(rows, "slot"), free_name(rows, "bits")
+    bit = at.bitwiseAND(63).cast("int")
+    table = cut(keys.groupBy(F.shiftright(at, 6).alias(slot)).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias(bits)))
+    few = table.limit(SLOTS + 1).count() <= SLOTS
+    met = rows.withColumn(slot, F.shiftright(at, 6)).join(F.broadcast(table) if few else table, slot, "left")
+    return met.withColumn(name, F.coalesce(F.getbit(F.col(bits), bit) == 1, F.lit(False))).drop(slot, bits)
+
+
+def _sieve(rows: DataFrame, keys: DataFrame, on: str, name: str) -> DataFrame:
+    """rows with a column name: whether the hash of their key is one of the keys'."""
+    return marked(rows, keys, F.pmod(F.xxhash64(on), F.lit(SLOTS * 64)), name)
+
+
+def sifted(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """rows that may have a key of keys, by a broadcast bit for each hash value: all that have, few others.  An exact join follows."""
+    name = free_name(rows, "may")
+    return _sieve(rows, keys, on, name).filter(F.col(name)).drop(name)
+
+
+def without(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """rows whose key is none of keys, null keys included; of many keys, only rows that may have one are shuffled."""
+    keys = cut(keys.select(on).distinct())
+    if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(keys), on, "left_anti")
+    name = free_name(rows, "may")
+    told = _sieve(rows, keys, on, name)
+    return told.filter(~F.col(name)).unionByName(told.filter(F.col(name)).join(keys, on, "left_anti")).drop(name)
 
 
 def bucket_of(column: str | Column, modulus: int) -> Column:

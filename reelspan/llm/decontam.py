@@ -87,7 +87,7 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = 5, share: float = 0.8
         found = cut(text.select("own", let(written(F.col("text")), lambda w: window_hashes(w, width)).alias("hashes")).select("own", F.posexplode("hashes").alias("pos", "h")).join(small(hashes), "h", "left_semi").select("own", "pos", "h"))
         # the words of the windows that met, read again from the few texts that hold them
         places = found.groupBy("own").agg(F.collect_set(F.struct("pos", "h")).alias("places"))
-        again = beside(text, places, "own", "places").select("own", "doc_id", written(F.col("text")).alias("words"), "places")
+        again = beside(text, places, "own", "places", sparse=True).select("own", "doc_id", written(F.col("text")).alias("words"), "places")
         own_words = F.transform("places", lambda x: F.struct(x["h"].alias("h"), F.slice("words", x["pos"] + 1, width).alias("words")))
         return again.select("own", "doc_id", F.explode(own_words).alias("x")).select("own", "doc_id", "x.h", "x.words", F.lit(width).alias("width")).distinct()
 

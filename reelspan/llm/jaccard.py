@@ -28,6 +28,7 @@ Nulls and texts without words: an empty set, linked with nothing.  Repeated rows
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelspan.llm.common import BROADCAST_ROWS, beside, cut, lean, mix, parts_of, slices, utf8, word_hashes
+from reelspan.llm.common import BROADCAST_ROWS, beside, cut, lean, mix, parts_of, shuffles_go, sifted, slices, utf8, word_hashes
 from reelspan.llm.graph import components
 
 #: Least and most bits of the count sketch; in between, four cells for each document.
@@ -77,6 +78,16 @@ def signature(s: np.ndarray) -> int:
     return int(mix(np.array([np.add.reduce(mix(s, 7)) + np.uint64(len(s))], np.uint64), 11).view(np.int64)[0])
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes as hold the largest, compressed: a task's cells are as many as the sketch's, however few texts it has."""
+    kind = np.min_scalar_type(int(counts.max()))
+    return bytes([kind.itemsize]) + zlib.compress(counts.astype(kind).tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data[1:]), f"u{data[0]}")
+
+
 def _sketch(docs: DataFrame, k: int, bits: int) -> np.ndarray:
     """A level for each of 2**bits cells: 0 for shingles that are not more frequent than chance."""
 
@@ -87,16 +98,17 @@ def _sketch(docs: DataFrame, k: int, bits: int) -> np.ndarray:
                 if len(s):
                     np.add.at(cells, (s >> np.uint64(64 - bits)).astype(np.int64), 1)
         for at in range(0, len(cells), BLOCK):
-            yield pa.RecordBatch.from_arrays([pa.array([at // BLOCK], pa.int32()), pa.array([cells[at : at + BLOCK].astype("<i4").tobytes()], pa.binary())], ["block", "cells"])
+            yield pa.RecordBatch.from_arrays([pa.array([at // BLOCK], pa.int32()), pa.array([packed(cells[at : at + BLOCK])], pa.binary())], ["block", "cells"])
 
     def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BLOCK, np.int64)  # a task sends each block once; they are added as they come
         for b in batches:
             for x in b.column("cells").to_pylist():
-                total += np.frombuffer(x, "<i4")
+                total += unpacked(x).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.astype("<i8").tobytes()], pa.binary())], ["block", "cells"])
 
-    rows = docs.select("text").mapInArrow(count, "block int, cells binary").groupBy("block").applyInArrow(add, "block int, cells binary").collect()
+    with shuffles_go(docs.sparkSession):
+        rows = docs.select("text").mapInArrow(count, "block int, cells binary").groupBy("block").applyInArrow(add, "block int, cells binary").collect()
     cells = np.zeros(1 << bits, np.int64)
     for r in rows:
         cells[r.block * BLOCK : (r.block + 1) * BLOCK] = np.frombuffer(r.cells, "<i8")
@@ -151,6 +163,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*rows, pa.array([sets[i].view(np.int64) for i in own], pa.list_(pa.int64()))], [*names, "set"])
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    if not small:
+        texts = sifted(texts, wanted, "doc_id")
     rows = texts.join(F.broadcast(wanted) if small else wanted, "doc_id").select(*names, "text")
     return rows.mapInArrow(load, ", ".join(f"`{c}` long" for c in names) + ", set array<long>")
 

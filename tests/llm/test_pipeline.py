@@ -6,9 +6,10 @@ import numpy as np
 import public_tokenizers as P
 import pyarrow as pa
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reelspan.llm import bpe, common, pii, quality
+from reelspan.llm import bpe, common, jaccard, pii, quality
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -89,3 +90,72 @@ def test_stages_keep_columns_of_clashing_names(spark):
 
 def test_quality_keeps_what_op3_predicts():
     assert corpus_pipeline.QUALITY == 0.7
+
+
+def shuffled(spark):
+    """Bytes of shuffles written so far in this session."""
+    all_of_them = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(all_of_them.apply(i).totalShuffleWrite() for i in range(all_of_them.size()))
+
+
+def test_texts_are_not_shuffled_where_no_table_is_small(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = ["".join(chr(97 + c) for c in rng.integers(0, 16, 8200)) for _ in range(300)]
+    texts = [" ".join(t[i : i + 40] for i in range(0, 8200, 41)) for t in texts]
+    for i in range(3):
+        texts[10 + i] = texts[200 + i].rsplit(" ", 1)[0] + " other"
+    spark.createDataFrame([(i, " ".join(texts[50 + i].split()[20:32])) for i in range(3)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([*enumerate(texts), (None, None), (None, None)], "doc_id long, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for stage, gone in ((corpus_pipeline.one_of_each, {200, 201, 202}), (corpus_pipeline.no_leaks, {50, 51, 52})):
+            before = shuffled(spark)
+            got = [r.doc_id for r in stage(spark, docs, str(tmp_path)).collect()]
+            assert sorted(got, key=repr) == sorted([*({*range(300)} - gone), None, None], key=repr)
+            assert shuffled(spark) - before < sum(map(len, texts)) / 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_by_a_broadcast_bit_for_each_hash(spark, monkeypatch):
+    rows = spark.range(20_000).selectExpr("if(id % 100 = 7, null, id * 7919 - 5000000) as k", "id as `a.b`", "id as slot", "id as may")
+    keys = rows.filter("slot % 400 = 3").select("k").union(spark.createDataFrame([(1,), (None,)], "k long"))
+    wanted = {r.k for r in keys.collect()} - {None}
+    may = common.sifted(rows, keys, "k")
+    assert may.columns == rows.columns
+    assert {r.k for r in may.collect()} >= wanted - {1} and may.filter("k is not null").count() < len(wanted) + 10
+    for most in (common.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(common, "BROADCAST_ROWS", most)
+        got = common.without(rows.union(rows), keys, "k")
+        assert got.columns == rows.columns
+        assert sorted(r.slot for r in got.collect()) == sorted(2 * [r.slot for r in rows.collect() if r.k not in wanted])
+    for most in (common.SLOTS, 0):
+        monkeypatch.setattr(common, "SLOTS", most)
+        got = common.marked(rows, keys, F.col("k") + 2**40, "is_key")
+        assert {r.k for r in got.filter("is_key").collect()} == wanted - {1} and got.count() == 20_000
+
+
+def test_shuffle_files_of_a_cut_go_with_its_end(spark):
+    import time
+
+    def files():
+        return {f for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+    before, set_before = files(), spark.conf.get(common.CLEANUP, None)
+    made = common.cut(spark.range(50_000).selectExpr("xxhash64(id) as k").repartition(4, "k"))
+    end = time.time() + 10
+    while files() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not files() - before
+    assert made.distinct().count() == 50_000
+    assert spark.conf.get(common.CLEANUP, None) == set_before
+
+
+def test_a_tasks_share_of_the_sketch_is_small():
+    rng = np.random.default_rng(3)
+    for counts, most in ((rng.poisson(1, jaccard.BLOCK), 0.5), (rng.integers(0, 2**40, jaccard.BLOCK), 9), (np.zeros(jaccard.BLOCK, np.int64), 0.1)):
+        data = jaccard.packed(counts)
+        assert (jaccard.unpacked(data) == counts).all() and len(data) < most * jaccard.BLOCK

@@ -177,6 +177,9 @@ def slices(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]
 
 # ---------------------------------------------------------------- word hashes
 
+#: Bytes that are hashed at once where a worker's memory counts: tables of powers and what a piece needs are about 50 times that.
+PIECE = 1 << 18
+
 #: Bytes that end a word: \x20 and \x09-\x0D.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelspan.llm.common import BROADCAST_ROWS, beside, cut, lean, mix, parts_of, shuffles_go, sifted, slices, utf8, word_hashes
+from reelspan.llm.common import BROADCAST_ROWS, PIECE, beside, cut, lean, mix, parts_of, shuffles_go, sifted, slices, utf8, word_hashes
 from reelspan.llm.graph import components
 
 #: Least and most bits of the count sketch; in between, four cells for each document.
@@ -68,7 +68,7 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
 
 def sets_of(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
     data, offsets = utf8(texts)
-    for a, b, hashes, at in word_hashes(data, offsets):
+    for a, b, hashes, at in word_hashes(data, offsets, PIECE):
         for i in range(b - a):
             yield shingles(hashes[at[i] : at[i + 1]], k)
 

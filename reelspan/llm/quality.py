@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelspan.llm.common import lean, numbered, slices, utf8, word_hashes
+from reelspan.llm.common import PIECE, lean, numbered, slices, utf8, word_hashes
 
 PASSAGE, TRAIN_DOCS, PASSAGES = 640, 3000, 48
 HIDDEN, GATE, HASHED = 24, 16, 64
@@ -45,7 +45,7 @@ def features(texts: pa.Array, passage: int = PASSAGE) -> tuple[np.ndarray, np.nd
     """Passages' features (float32) and each row's first passage."""
     data, offsets = utf8(texts)
     out, counts = [], []
-    words = word_hashes(data, offsets)
+    words = word_hashes(data, offsets, PIECE)
     for a, b, hashes, at in words:
         text, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
         n = np.maximum(1, -(-np.diff(own) // passage))
